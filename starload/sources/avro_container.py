@@ -1,0 +1,108 @@
+"""Data source that frames already encoded records as Avro container files, on the executors.
+
+It needs a folder that Python reaches through ``pyarrow.fs``: a shared mount, HDFS, S3 or GCS.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+FORMAT = "starload_avro"
+
+
+def _varint(value: int) -> bytes:
+    value <<= 1
+    out = bytearray()
+    while value > 0x7F:
+        out.append(value & 0x7F | 0x80)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
+
+
+def _blob(data: bytes) -> bytes:
+    return _varint(len(data)) + data
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    hidden: str
+    final: str
+
+
+class ContainerDataSource(DataSource):
+    """Write-only source: one container file per task, one block per Arrow batch."""
+
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def schema(self) -> str:
+        return "record binary"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> "ContainerWriter":
+        return ContainerWriter(self.options["target"], self.options["recordSchema"])
+
+
+class ContainerWriter(DataSourceArrowWriter):
+    """Files get their final name only when the whole write succeeded."""
+
+    def __init__(self, target: str, record_schema: str):
+        self.target = target
+        self.record_schema = record_schema
+
+    def _filesystem(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.target.replace("s3a://", "s3://", 1))
+
+    def write(self, iterator: Iterator) -> WriterCommitMessage:
+        from pyspark import TaskContext
+
+        filesystem, folder = self._filesystem()
+        filesystem.create_dir(folder, recursive=True)
+        task = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.avro"
+        sync = os.urandom(16)
+        hidden = f"{folder}/_{task}"
+        with filesystem.open_output_stream(hidden) as out:
+            out.write(self._header(sync))
+            for batch in iterator:
+                if batch.num_rows:
+                    out.write(_block(batch.column(0), sync))
+        return _Written(hidden, f"{folder}/{task}")
+
+    def _header(self, sync: bytes) -> bytes:
+        meta = {b"avro.schema": self.record_schema.encode(), b"avro.codec": b"deflate"}
+        pairs = b"".join(_blob(k) + _blob(v) for k, v in meta.items())
+        return b"Obj\x01" + _varint(len(meta)) + pairs + b"\x00" + sync
+
+    def commit(self, messages: list) -> None:
+        filesystem, _ = self._filesystem()
+        for message in messages:
+            if message is not None:
+                filesystem.move(message.hidden, message.final)
+
+    def abort(self, messages: list) -> None:
+        filesystem, _ = self._filesystem()
+        for message in messages:
+            if message is not None:
+                filesystem.delete_file(message.hidden)
+
+
+def _block(records, sync: bytes) -> bytes:
+    """A block of an Arrow binary column: its value buffer already is the records one after another."""
+    import pyarrow as pa
+
+    records = records.cast(pa.large_binary())
+    bounds = memoryview(records.buffers()[1]).cast("q")
+    data = records.buffers()[2][bounds[records.offset] : bounds[records.offset + len(records)]]
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    packed = packer.compress(data) + packer.flush()
+    return _varint(len(records)) + _varint(len(packed)) + packed + sync
