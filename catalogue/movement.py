@@ -228,8 +228,9 @@ def streamed_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The same requests as files, one request per line, taken in by a stream of several micro-batches."""
     warehouse = _with_dimensions(spark, sf, "stream")
     inbox, checkpoint = fresh_dir(spark, "inbox"), fresh_dir(spark, "offsets")
-    _bodies(spark, sf).select("body").repartition(4).write.text(inbox)
-    query = ingest_stream(warehouse, "hired_employees", inbox, checkpoint, 300, maxFilesPerTrigger="2")
+    files = max(spark.sparkContext.defaultParallelism, 3)
+    _bodies(spark, sf).select("body").repartition(files).write.text(inbox)
+    query = ingest_stream(warehouse, "hired_employees", inbox, checkpoint, 300, maxFilesPerTrigger=str(files // 3 + 1))
     query.awaitTermination()
     return warehouse.read("hired_employees").select(*HIRE_COLUMNS)
 

@@ -13,36 +13,32 @@ NULL_FIELD = r"\N"
 
 def null_if_empty(text: Column) -> Column:
     """Empty text becomes null; blanks stay."""
-    return F.nullif(text, F.lit(""))
+    return F.when(text != "", text)
 
 
-def split_fields(line: Column, separator: str = ",") -> Column:
-    """Array of raw fields. A separator after a backslash belongs to the field.
+def read_fields(line: Column, separator: str = ",") -> Column:
+    r"""Array of the values of a line; ``\N`` is null, and a separator after a backslash is data.
 
     Lines without a backslash, nearly all of them, take the plain split.
     """
-    escaped = F.regexp_extract_all(
+    literal = separator if separator.isalnum() or separator in ",;" else "\\" + separator
+    raw = F.regexp_extract_all(
         F.concat(F.lit(separator), line),
-        F.lit(rf"(?s)\Q{separator}\E((?:[^\\{separator}]++|\\.)*+)"),
+        F.lit(rf"(?s){literal}((?:[^\\{literal}]++|\\.)*+)"),
         F.lit(1),
     )
-    return F.when(F.contains(line, F.lit("\\")), escaped).otherwise(F.split(line, rf"\Q{separator}\E", -1))
+    escaped = F.transform(raw, _unescape)
+    return F.when(F.contains(line, F.lit("\\")), escaped).otherwise(F.split(line, literal, -1))
 
 
-def unescape(field: Column) -> Column:
-    r"""The value of a raw field: ``\N`` is null, ``\x`` is its meaning or plain ``x``.
+def _unescape(field: Column) -> Column:
+    r"""``\x`` is its meaning or plain ``x``; the whole field ``\N`` is null.
 
-    Splitting at pairs of backslashes first leaves pieces in which every backslash starts an escape.
+    Each pattern starts where the last match ended and steps over the other escapes whole, so a
+    pair of backslashes is never read as the start of the next escape.
     """
-
-    def piece(part: Column) -> Column:
-        for letter, meaning in ESCAPES.items():
-            part = F.replace(part, F.lit("\\" + letter), F.lit(meaning))
-        return F.regexp_replace(part, r"(?s)\\(.)", "$1")
-
-    pieces = F.transform(F.split(field, r"\\\\", -1), piece)
-    return (
-        F.when(field == NULL_FIELD, F.lit(None).cast("string"))
-        .when(F.contains(field, F.lit("\\")), F.array_join(pieces, "\\"))
-        .otherwise(field)
-    )
+    plain = field
+    for letter, meaning in ESCAPES.items():
+        plain = F.regexp_replace(plain, rf"(?s)\G((?:[^\\]++|\\[^{letter}])*+)\\{letter}", "$1" + meaning)
+    plain = F.regexp_replace(plain, r"(?s)\\(.)", "$1")
+    return F.when(field != NULL_FIELD, plain)

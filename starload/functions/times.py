@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 # Fixed pattern: the datetime texts accepted, a date with an optional time and an optional Z.
 DATETIME_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?)?Z?$"
 
@@ -36,5 +34,8 @@ def parse_datetime(text: Column) -> Column:
 
 
 def datetime_text(ts: Column) -> Column:
-    """The full form always, also when every value is midnight; null stays null."""
-    return F.date_format(ts, TEXT_FORMAT)
+    """``YYYY-MM-DD HH:MM:SS`` always, also when every value is midnight; null stays null.
+
+    The plain cast is zone-free, where ``date_format`` would pass through the session's zone.
+    """
+    return F.substring(ts.cast("string"), 1, 19)

@@ -7,18 +7,25 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starload.session import broadcastable, written
 from starload.spec import ForeignKey
 
 
 def with_parent_flag(rows: DataFrame, fk: ForeignKey, parent: DataFrame, flag: str) -> DataFrame:
     """Add ``flag``: whether the parent row exists. Every row is kept; a null key has no parent.
 
-    No broadcast is forced. Spark broadcasts the parent keys when they are small by its own
-    measure; otherwise AQE splits the partitions of a hot key, which a left join allows.
+    Parent keys that Spark would broadcast are joined directly. Larger ones meet only the distinct
+    keys of ``rows``, which leaves the keys without parent; those are few as a rule and are joined
+    back by their written size. Either way a hot key never gathers its rows in one task.
     """
-    ids = parent.select(F.col(fk.parent_key).alias("_parent")).where(F.col("_parent").isNotNull()).distinct()
-    joined = rows.join(ids, rows[fk.column] == F.col("_parent"), "left")
-    return joined.withColumn(flag, F.col("_parent").isNotNull()).drop("_parent")
+    ids = parent.select(F.col(fk.parent_key).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    known = broadcastable(ids)
+    if not known:
+        used = rows.select(F.col(fk.column).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+        ids = written(used.join(ids, "_key", "left_anti"), "orphan-keys")
+    joined = rows.join(ids, rows[fk.column] == ids["_key"], "left")
+    matched = F.col("_key").isNotNull()
+    return joined.withColumn(flag, matched if known else rows[fk.column].isNotNull() & ~matched).drop("_key")
 
 
 def with_parent_flags(rows: DataFrame, fks: tuple[ForeignKey, ...], parents: Mapping[str, DataFrame]) -> DataFrame:

@@ -62,11 +62,9 @@ def _reason(spec: TableSpec) -> Column:
 def judge_loaded_rows(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
     """Add ``reason_code`` to rows read from history files, by the rules of the table itself."""
     flagged = with_parent_flags(rows, spec.foreign_keys, parents)
-    times = [f.name for f in spec.schema if isinstance(f.dataType, T.TimestampNTZType)]
-    bad = F.col("bad_columns")
     code = first_failure(
-        (F.arrays_overlap(bad, F.array(*[F.lit(c) for c in times])) if times else F.lit(False), BAD_DATETIME),
-        (F.size(bad) > 0, BAD_VALUE),
+        (F.col("bad_datetime"), BAD_DATETIME),
+        (F.col("bad_value"), BAD_VALUE),
         (any_of(*[F.col(c).isNull() for c in spec.not_null]), NULL_NOT_ALLOWED),
         (any_of(*[too_long(F.col(c), n) for c, n in spec.max_length.items()]), TOO_LONG),
         (any_of(*[is_orphan(fk) for fk in spec.foreign_keys]), FOREIGN_KEY),

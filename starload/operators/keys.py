@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.session import written
+
 
 def key_violations(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows."""
@@ -30,7 +32,7 @@ def first_positions(rows: DataFrame, key: str, position: Sequence[str]) -> DataF
     Repeats are few in a sane file. The first pass is a plain count over the key column alone;
     only rows of repeated keys take part in the comparison of positions.
     """
-    repeated = key_violations(rows, [key]).select(key)
+    repeated = written(key_violations(rows, [key]).select(key), "repeated-keys")
     contenders = rows.select(key, *position).join(repeated, key, "left_semi")
     return contenders.groupBy(key).agg(F.min(F.struct(*position)).alias("_first"))
 
@@ -47,4 +49,4 @@ def present_keys(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
 def absent_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of ``incoming`` whose key is not stored; stored rows win."""
-    return incoming.join(present_keys(stored, incoming, key), key, "left_anti")
+    return incoming.join(written(present_keys(stored, incoming, key), "present-keys"), key, "left_anti")

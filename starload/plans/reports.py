@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.times import in_year
+from starload.session import broadcastable
 
 QUARTERS = ("Q1", "Q2", "Q3", "Q4")
 
@@ -15,30 +16,35 @@ def quarterly_counts(
 ) -> DataFrame:
     """Rows per quarter of ``year`` by department name and job name: ``department, job, Q1..Q4``.
 
-    Counts are taken per pair of ids before the joins. The fact then shuffles as partial counts,
-    whatever share of it one department holds, and the joins see one row per pair, so no dimension
-    has to be small. Equal names merge in the second, small aggregation.
+    With dimensions small enough to broadcast, each fact row is named in place and only partial
+    counts per pair of names are shuffled. Otherwise counts are taken per pair of ids before the
+    joins: the fact again shuffles as partial counts only, whatever share of it one department
+    holds, and the joins see one row per pair. Equal names merge in the last aggregation.
     """
-    names = (_name("department", collation), _name("job", collation))
-    named = (
-        pair_counts(fact, year)
-        .join(_labels(departments, "department"), "department_id")
-        .join(_labels(jobs, "job"), "job_id")
-    )
-    merged = named.groupBy(*names).agg(*[F.sum(q).alias(q) for q in QUARTERS])
-    return merged.orderBy("department", "job")
-
-
-def pair_counts(fact: DataFrame, year: int) -> DataFrame:
-    """Rows per quarter by pair of ids; rows without datetime or without an id do not count."""
+    dimensions = {"department": _labels(departments, "department"), "job": _labels(jobs, "job")}
+    names = [_name(label, collation) for label in dimensions]
+    keys = [f"{label}_id" for label in dimensions]
+    rows = fact.where(in_year(F.col("hire_datetime"), year)).dropna(subset=keys)
+    if all(broadcastable(dimension) for dimension in dimensions.values()):
+        counts = _quarter_counts()
+    else:
+        rows = rows.groupBy(*keys).agg(*_quarter_counts())
+        counts = [F.sum(q).alias(q) for q in QUARTERS]
+    for label, dimension in dimensions.items():
+        rows = rows.join(dimension, f"{label}_id")
+    return rows.groupBy(*names).agg(*counts).orderBy("department", "job")
+
+
+def _quarter_counts() -> list[Column]:
     quarter = F.quarter("hire_datetime")
-    counts = [F.count(F.when(quarter == i, 1)).alias(q) for i, q in enumerate(QUARTERS, 1)]
-    matched = fact.where(in_year(F.col("hire_datetime"), year)).dropna(subset=["department_id", "job_id"])
-    return matched.groupBy("department_id", "job_id").agg(*counts)
+    return [F.count(F.when(quarter == i, 1)).alias(q) for i, q in enumerate(QUARTERS, 1)]
 
 
 def group_counts(fact: DataFrame, departments: DataFrame, year: int) -> DataFrame:
-    """Fact rows with an id, by department id and name: ``id, department, hired``."""
+    """Fact rows with an id, by department id and name: ``id, department, hired``.
+
+    Counted per id before the join, so the join sees one row per department.
+    """
     matched = fact.where(in_year(F.col("hire_datetime"), year)).dropna(subset=["department_id"])
     per_id = matched.groupBy("department_id").agg(F.count("id").alias("hired"))
     named = per_id.join(_labels(departments, "department"), "department_id")

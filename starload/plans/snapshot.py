@@ -84,9 +84,11 @@ def restore(warehouse: Warehouse, table: str, path: str, check_fk: bool = False)
     """
     spark, spec = warehouse.spark, warehouse.specs[table]
     raw = read_avro(spark, path, snapshot_schema(spec))
-    staged = warehouse.stage(table, _typed(raw, spec))
-    rows = spark.read.schema(_nullable(spec)).parquet(staged)
-    count = rows.count()
+    staged = warehouse.stage(table, _typed(raw, spec, flag_lost=True), extra=[f"_lost_{c}" for c in _times(spec)])
+    rows = spark.read.schema(_staged_schema(spec)).parquet(staged)
+    lost = [F.count_if(f"_lost_{c}").alias(c) for c in _times(spec)]
+    totals = rows.agg(F.count(F.lit(1)).alias("_rows"), *lost).first().asDict()
+    count = totals.pop("_rows")
     expected = _manifest_rows(spark, path)
     if expected is not None and count != expected:
         raise ValueError(f"{path} holds {count} rows, {expected} were written")
@@ -98,30 +100,28 @@ def restore(warehouse: Warehouse, table: str, path: str, check_fk: bool = False)
     if hard:
         raise ValueError(f"{path} breaks the rules of {table}: {hard}")
 
-    unreadable = _unreadable(raw, spec)
     warehouse.replace(table, staged, f"restore-{uuid.uuid4().hex}")
-    return RestoreReport(count, unreadable, orphans)
+    return RestoreReport(count, totals, orphans)
 
 
-def _typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    return raw.select(
-        *[
-            (parse_datetime(F.col(f.name)) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name).cast(f.dataType)).alias(f.name)
-            for f in spec.schema
-        ]
-    )
+def _times(spec: TableSpec) -> list[str]:
+    return [f.name for f in spec.schema if isinstance(f.dataType, T.TimestampNTZType)]
 
 
-def _nullable(spec: TableSpec) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema])
+def _typed(raw: DataFrame, spec: TableSpec, flag_lost: bool = False) -> DataFrame:
+    """Declared types; with ``flag_lost`` also a flag per datetime whose text could not be read."""
+    times = _times(spec)
+    values = [
+        (parse_datetime(F.col(f.name)) if f.name in times else F.col(f.name).cast(f.dataType)).alias(f.name)
+        for f in spec.schema
+    ]
+    flags = [(F.col(c).isNotNull() & parse_datetime(F.col(c)).isNull()).alias(f"_lost_{c}") for c in times if flag_lost]
+    return raw.select(*values, *flags)
 
 
-def _unreadable(raw: DataFrame, spec: TableSpec) -> dict[str, int]:
-    times = [f.name for f in spec.schema if isinstance(f.dataType, T.TimestampNTZType)]
-    if not times:
-        return {}
-    lost = [F.count_if(F.col(c).isNotNull() & parse_datetime(F.col(c)).isNull()).alias(c) for c in times]
-    return raw.agg(*lost).first().asDict()
+def _staged_schema(spec: TableSpec) -> T.StructType:
+    flags = [T.StructField(f"_lost_{c}", T.BooleanType()) for c in _times(spec)]
+    return T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema] + flags)
 
 
 def _manifest_rows(spark: SparkSession, path: str) -> int | None:

@@ -58,3 +58,10 @@ def written(rows: DataFrame, label: str, folder: str | None = None) -> DataFrame
     path = folder or fresh_dir(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def broadcastable(rows: DataFrame) -> bool:
+    """Whether Spark itself would broadcast ``rows``: its size statistic against the session's threshold."""
+    session = rows.sparkSession._jsparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= session.sessionState().conf().autoBroadcastJoinThreshold()

@@ -1,8 +1,8 @@
 """Avro container files: written and read through Spark, with or without the spark-avro module.
 
 With the module (``--packages org.apache.spark:spark-avro_2.13:<version>``) the ``avro`` format does
-both. Without it, writing goes through a Python data source that only frames what the JVM encoded,
-and reading through the Avro input format that ships with Spark.
+both. Without it, writing goes through a Python data source that encodes whole Arrow batches, and
+reading through the Avro input format that ships with Spark.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starload.files import Files
-from starload.functions.avro_binary import avro_schema, encode_record
 from starload.sources import avro_container
 from starload.sources.avro_container import FORMAT, ContainerDataSource
 
@@ -23,6 +22,23 @@ from starload.sources.avro_container import FORMAT, ContainerDataSource
 cloudpickle.register_pickle_by_value(avro_container)
 
 
+def avro_schema(name: str, schema: T.StructType) -> dict:
+    """Record schema of a flat table; nullable columns are unions with null."""
+
+    def kind(field: T.StructField):
+        if isinstance(field.dataType, T.StringType):
+            plain = "string"
+        elif isinstance(field.dataType, T.IntegerType):
+            plain = "int"
+        elif isinstance(field.dataType, T.LongType):
+            plain = "long"
+        else:
+            raise TypeError(f"no Avro form for {field.name}: {field.dataType.simpleString()}")
+        return ["null", plain] if field.nullable else plain
+
+    return {"type": "record", "name": name, "fields": [{"name": f.name, "type": kind(f)} for f in schema]}
+
+
 def has_avro_module(spark: SparkSession) -> bool:
     lookup = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource
     try:
@@ -42,8 +58,7 @@ def write_avro(rows: DataFrame, path: str, name: str, schema: T.StructType) -> s
         return "avro"
     spark.dataSource.register(ContainerDataSource)
     (
-        rows.select(encode_record(schema).alias("record"))
-        .write.format(FORMAT)
+        rows.write.format(FORMAT)
         .option("target", Files(spark).qualified(path))
         .option("recordSchema", text)
         .mode("append")

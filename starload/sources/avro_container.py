@@ -1,10 +1,12 @@
-"""Data source that frames already encoded records as Avro container files, on the executors.
+"""Data source that writes flat rows as Avro container files, on the executors.
 
+Whole Arrow batches are encoded with array operations, one batch per block; no row is touched alone.
 It needs a folder that Python reaches through ``pyarrow.fs``: a shared mount, HDFS, S3 or GCS.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -17,20 +19,6 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 FORMAT = "starload_avro"
 
 
-def _varint(value: int) -> bytes:
-    value <<= 1
-    out = bytearray()
-    while value > 0x7F:
-        out.append(value & 0x7F | 0x80)
-        value >>= 7
-    out.append(value)
-    return bytes(out)
-
-
-def _blob(data: bytes) -> bytes:
-    return _varint(len(data)) + data
-
-
 @dataclass
 class _Written(WriterCommitMessage):
     hidden: str
@@ -44,9 +32,6 @@ class ContainerDataSource(DataSource):
     def name(cls) -> str:
         return FORMAT
 
-    def schema(self) -> str:
-        return "record binary"
-
     def writer(self, schema: T.StructType, overwrite: bool) -> "ContainerWriter":
         return ContainerWriter(self.options["target"], self.options["recordSchema"])
 
@@ -70,12 +55,13 @@ class ContainerWriter(DataSourceArrowWriter):
         filesystem.create_dir(folder, recursive=True)
         task = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.avro"
         sync = os.urandom(16)
+        unions = [isinstance(f["type"], list) for f in json.loads(self.record_schema)["fields"]]
         hidden = f"{folder}/_{task}"
         with filesystem.open_output_stream(hidden) as out:
             out.write(self._header(sync))
             for batch in iterator:
                 if batch.num_rows:
-                    out.write(_block(batch.column(0), sync))
+                    out.write(_block(batch, unions, sync))
         return _Written(hidden, f"{folder}/{task}")
 
     def _header(self, sync: bytes) -> bytes:
@@ -96,13 +82,87 @@ class ContainerWriter(DataSourceArrowWriter):
                 filesystem.delete_file(message.hidden)
 
 
-def _block(records, sync: bytes) -> bytes:
-    """A block of an Arrow binary column: its value buffer already is the records one after another."""
+def _varint(value: int) -> bytes:
+    """One length or count, as Avro writes a long."""
+    value <<= 1
+    out = bytearray()
+    while value > 0x7F:
+        out.append(value & 0x7F | 0x80)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
+
+
+def _blob(data: bytes) -> bytes:
+    return _varint(len(data)) + data
+
+
+def _block(batch, unions: list[bool], sync: bytes) -> bytes:
+    """The rows of an Arrow batch: count, size, deflated records, sync marker."""
+    packer = zlib.compressobj(1, zlib.DEFLATED, -15)
+    packed = packer.compress(_records(batch, unions)) + packer.flush()
+    return _varint(batch.num_rows) + _varint(len(packed)) + packed + sync
+
+
+def _records(batch, unions: list[bool]) -> bytes:
+    """All records of a batch, encoded column by column into their places.
+
+    Each column gives pieces, a pair of lengths per row and a function that puts the bytes at given
+    positions; the running sum of the lengths is where each row's piece starts.
+    """
+    import numpy as np
+
+    pieces = [piece for column, union in zip(batch.columns, unions) for piece in _pieces(column, union)]
+    sizes = np.stack([lengths for lengths, _ in pieces])
+    row_ends = np.cumsum(sizes.sum(axis=0))
+    starts = np.concatenate(([0], row_ends[:-1])) + np.vstack((np.zeros_like(sizes[:1]), np.cumsum(sizes, axis=0)[:-1]))
+    out = np.zeros(row_ends[-1], np.uint8)
+    for (_, put), start in zip(pieces, starts):
+        put(out, start)
+    return out.tobytes()
+
+
+def _pieces(column, union: bool) -> list:
+    """The pieces of one column: branch of the union, then the value or its length and bytes."""
+    import numpy as np
     import pyarrow as pa
 
-    records = records.cast(pa.large_binary())
-    bounds = memoryview(records.buffers()[1]).cast("q")
-    data = records.buffers()[2][bounds[records.offset] : bounds[records.offset + len(records)]]
-    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
-    packed = packer.compress(data) + packer.flush()
-    return _varint(len(records)) + _varint(len(packed)) + packed + sync
+    present = np.asarray(column.is_valid().to_numpy(zero_copy_only=False))
+    pieces = []
+    if union:
+        branch = np.where(present, 2, 0).astype(np.uint8)
+        pieces.append((np.ones(len(column), np.int64), lambda out, at: out.__setitem__(at, branch)))
+    elif not present.all():
+        raise ValueError("null in a column declared without nulls")
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        values = column.fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+        return pieces + [_varint_piece((values << 1) ^ (values >> 63), present)]
+
+    texts = column.fill_null("").cast(pa.large_string())
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    lengths = np.diff(bounds)
+
+    def put(out, at) -> None:
+        out[np.arange(len(data)) + np.repeat(at - (bounds[:-1] - bounds[0]), lengths)] = data
+
+    return pieces + [_varint_piece(lengths << 1, present), (lengths, put)]
+
+
+def _varint_piece(numbers, present) -> tuple:
+    """Unsigned numbers in groups of seven bits, low group first; nothing for absent values."""
+    import numpy as np
+
+    numbers = numbers.astype(np.uint64)
+    groups = [numbers]
+    while (groups[-1] >> np.uint64(7)).any():
+        groups.append(groups[-1] >> np.uint64(7))
+    lengths = np.where(present, 1 + sum((g != 0).astype(np.int64) for g in groups[1:]), 0)
+
+    def put(out, at) -> None:
+        for i, group in enumerate(groups):
+            here = lengths > i
+            more = np.where(lengths > i + 1, 0x80, 0).astype(np.uint8)
+            out[at[here] + i] = ((group & np.uint64(0x7F)).astype(np.uint8) | more)[here]
+
+    return lengths, put

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.functions.text import null_if_empty, split_fields, unescape
+from starload.functions.fields import any_of
+from starload.functions.text import null_if_empty, read_fields
 from starload.functions.times import parse_datetime
 from starload.spec import TableSpec
 
@@ -19,11 +20,11 @@ POSITION = ["src_file", "src_block", "src_line"]
 def read_delimited(
     spark: SparkSession, paths: str | Sequence[str], spec: TableSpec, separator: str = ",", line_sep: str = "\r\n"
 ) -> DataFrame:
-    """Typed columns of ``spec`` plus ``line``, ``extra_fields``, ``bad_columns`` and the position.
+    """Typed columns of ``spec`` plus ``line``, ``extra_fields``, ``bad_datetime``, ``bad_value`` and the position.
 
     The text source keeps empty fields, quotes and line feeds inside a field as they are, which the
-    csv source does not. A value that cannot be read becomes null and its column is named in
-    ``bad_columns``. Missing fields are null; fields beyond the last column are counted and dropped.
+    csv source does not. A value that cannot be read becomes null and is flagged. Missing fields are
+    null; fields beyond the last column are counted and dropped.
     """
     lines = (
         spark.read.option("lineSep", line_sep)
@@ -33,7 +34,7 @@ def read_delimited(
             F.col("_metadata.file_path").alias("src_file"),
             F.col("_metadata.file_block_start").alias("src_block"),
             F.monotonically_increasing_id().alias("src_line"),
-            split_fields(F.col("value"), separator).alias("fields"),
+            read_fields(F.col("value"), separator).alias("fields"),
         )
     )
     texts = [_text(i, f.name, spec).alias(f"_t_{f.name}") for i, f in enumerate(spec.schema)]
@@ -43,14 +44,20 @@ def read_delimited(
     typed = read.select("line", *POSITION, "extra_fields", *read.columns[-len(texts):], *[
         _typed(F.col(f"_t_{f.name}"), f.dataType).alias(f.name) for f in spec.schema
     ])
-    bad = F.array_compact(F.array(*[
-        F.when(F.col(f"_t_{f.name}").isNotNull() & F.col(f.name).isNull(), F.lit(f.name)) for f in spec.schema
-    ]))
-    return typed.select(*spec.columns, "line", "extra_fields", bad.alias("bad_columns"), *POSITION)
+    lost = {f.name: F.col(f"_t_{f.name}").isNotNull() & F.col(f.name).isNull() for f in spec.schema}
+    times = [f.name for f in spec.schema if isinstance(f.dataType, T.TimestampNTZType)]
+    return typed.select(
+        *spec.columns,
+        "line",
+        "extra_fields",
+        any_of(*[lost[c] for c in times]).alias("bad_datetime"),
+        any_of(*[lost[c] for c in spec.columns if c not in times]).alias("bad_value"),
+        *POSITION,
+    )
 
 
 def _text(index: int, name: str, spec: TableSpec) -> Column:
-    text = unescape(F.get("fields", F.lit(index)))
+    text = F.get("fields", F.lit(index))
     return null_if_empty(text) if name in spec.empty_is_null else text
 
 

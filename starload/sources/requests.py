@@ -41,37 +41,51 @@ def request_rows(requests: DataFrame, spec: TableSpec, max_rows: int = MAX_ROWS)
     request MALFORMED, and such a request yields one row without ordinal, as does an empty one.
     The size is known from the array, so the cap needs no shuffle.
     """
-    records = F.try_variant_get(F.try_parse_json("body"), f"$.{RECORDS_FIELD}", "array<variant>")
-    parsed = requests.select("request_id", records.alias("records"))
-
-    def malformed(record: Column) -> Column:
-        return any_of(*[_field(record, f).isNull() for f in spec.row_fields])
-
+    raw = ", ".join(f"`{f.name}`: variant" for f in spec.row_fields)
+    records = F.try_variant_get(F.try_parse_json("body"), f"$.{RECORDS_FIELD}", f"array<struct<{raw}>>")
+    malformed = F.exists("records", lambda r: any_of(*[~_well_formed(r[f.name], f) for f in spec.row_fields]))
     status = (
-        F.when(F.col("records").isNull() | F.exists("records", malformed), MALFORMED)
+        F.when(F.col("records").isNull() | malformed, MALFORMED)
         .when(F.size("records") > max_rows, TOO_MANY_ROWS)
         .otherwise(OK)
     )
-    judged = parsed.withColumn("request_status", status)
+    judged = requests.select("request_id", records.alias("records")).withColumn("request_status", status)
     kept = F.when(F.col("request_status") != MALFORMED, F.col("records"))
     exploded = judged.select("request_id", "request_status", F.posexplode_outer(kept).alias("ordinal", "record"))
-    return exploded.select(
-        "request_id",
-        "ordinal",
-        *[_field(F.col("record"), f).alias(f.name) for f in spec.row_fields],
-        "request_status",
+    values = [_value(F.col(f"record.{f.name}"), f).alias(f.name) for f in spec.row_fields]
+    return exploded.select("request_id", "ordinal", *values, "request_status")
+
+
+def _kind(value: Column) -> Column:
+    return F.schema_of_variant(value)
+
+
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _well_formed(value: Column, field: T.StructField) -> Column:
+    """Whether a field of a record is present and of its type."""
+    wanted = "BIGINT" if isinstance(field.dataType, T.IntegralType) else "STRING"
+    fits = F.when(_kind(value) == wanted, True)
+    if wanted == "BIGINT":
+        fits = fits.when(_kind(value) == "BOOLEAN", True).when(_whole(value).isNotNull(), True)
+    return fits.otherwise(False)
+
+
+def _value(value: Column, field: T.StructField) -> Column:
+    """The typed value of a well-formed field."""
+    if not isinstance(field.dataType, T.IntegralType):
+        return _text(value)
+    return (
+        F.when(_kind(value).isin("BIGINT", "BOOLEAN"), F.try_variant_get(value, "$", "bigint"))
+        .otherwise(_whole(value))
     )
 
 
-def _field(record: Column, field: T.StructField) -> Column:
-    """The typed value of a record's field, null when absent or of another type."""
-    path = f"$.{field.name}"
-    kind = F.schema_of_variant(F.try_variant_get(record, path, "variant"))
-    text = F.try_variant_get(record, path, "string")
-    if isinstance(field.dataType, T.IntegralType):
-        number = F.trim(text).try_cast("decimal(38,6)")
-        # Beyond 64 bits no parent can match either, so the bound stands in and the row is refused.
-        inside = F.least(F.greatest(number, F.lit(-(2**63))), F.lit(2**63 - 1))
-        whole = F.when(number == F.floor(number), inside).cast("bigint")
-        return F.when(kind == "BOOLEAN", text.try_cast("boolean").cast("bigint")).otherwise(whole)
-    return F.when(kind == "STRING", text)
+def _whole(value: Column) -> Column:
+    """Number without fraction, given as decimal, double or text. Beyond 64 bits no parent can match
+    either, so the bound stands in and the row is refused."""
+    number = F.trim(_text(value)).try_cast("decimal(38,6)")
+    inside = F.least(F.greatest(number, F.lit(-(2**63))), F.lit(2**63 - 1))
+    return F.when(number == F.floor(number), inside).cast("bigint")

@@ -14,7 +14,7 @@ One writer per table is assumed, as with any plain Parquet folder.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,15 +98,15 @@ class Warehouse:
         spec = self.specs[name]
         return rows.withColumn(spec.year_column, F.year(spec.year_of)) if spec.year_column else rows
 
-    def stage(self, name: str, rows: DataFrame, run: str | None = None) -> str:
-        """Write rows of a table to a new staging folder and return it.
+    def stage(self, name: str, rows: DataFrame, run: str | None = None, extra: Sequence[str] = ()) -> str:
+        """Write rows of a table to a new staging folder and return it. Readers never see ``extra`` columns.
 
         The rebalance hint gives files of even size: AQE splits a year that holds most rows and
         joins small ones, where a plain partitioned write makes one file per task and year.
         """
         spec = self.specs[name]
         path = self.staging(name, run)
-        rows = self.with_year(name, rows.select(*spec.columns))
+        rows = self.with_year(name, rows.select(*spec.columns, *extra))
         if spec.year_column:
             rows.hint("rebalance", spec.year_column).write.partitionBy(spec.year_column).parquet(path)
         else:
