@@ -24,7 +24,7 @@ def read_fields(line: Column, separator: str = ",") -> Column:
     literal = separator if separator.isalnum() or separator in ",;" else "\\" + separator
     raw = F.regexp_extract_all(
         F.concat(F.lit(separator), line),
-        F.lit(rf"(?s){literal}((?:[^\\{literal}]++|\\.)*+)"),
+        F.lit(rf"(?s){literal}((?:[^\\{literal}]++|\\.?+)*+)"),
         F.lit(1),
     )
     escaped = F.transform(raw, _unescape)

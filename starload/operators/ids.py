@@ -17,9 +17,13 @@ def _task_order(file_name: str) -> tuple[int, int]:
     return int(part.group(1)), int(piece.group(1)) if piece else 0
 
 
-def number_rows(stored: DataFrame, column: str, after: int = 0, dtype: T.DataType | None = None) -> DataFrame:
+def number_rows(
+    stored: DataFrame, column: str, after: int = 0, dtype: T.DataType | None = None
+) -> tuple[DataFrame, int]:
     """Rows read straight from Parquet files plus ``column``: after+1, after+2, ... in stored order.
 
+    Also returns the last number given, ``after`` when there is no row.
+
     A row's place is (file, row in file), which no retry can change. The driver sees one count per
     file, never a row, and turns the counts into the first key of each file.
     """
@@ -36,15 +40,12 @@ def number_rows(stored: DataFrame, column: str, after: int = 0, dtype: T.DataTyp
         [(r["_file"], start) for r, start in zip(sizes, starts)], "_file string, _start bigint"
     )
     placed = stored.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return (
-        placed.join(offsets, "_file")
-        .withColumn(column, (F.col("_start") + F.col("_row")).cast(dtype))
-        .drop("_file", "_row", "_start")
-    )
+    numbered = placed.join(offsets, "_file").withColumn(column, (F.col("_start") + F.col("_row")).cast(dtype))
+    return numbered.drop("_file", "_row", "_start"), after + total
 
 
 def assign_ids(rows: DataFrame, column: str, order: list[str], path: str, after: int = 0,
                dtype: T.DataType | None = None) -> DataFrame:
     """Number rows by a total order: range-sort them into files at ``path``, then number the files."""
     rows.orderBy(*order).write.parquet(path)
-    return number_rows(rows.sparkSession.read.schema(rows.schema).parquet(path), column, after, dtype)
+    return number_rows(rows.sparkSession.read.schema(rows.schema).parquet(path), column, after, dtype)[0]

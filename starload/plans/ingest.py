@@ -89,12 +89,12 @@ def _store(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str) ->
     accepted_path = f"{path}/verdict=accepted"
     warehouse.files.mkdirs(accepted_path)
     key_type = spec.schema[spec.key].dataType
-    numbered = number_rows(read.parquet(accepted_path), spec.key, warehouse.max_id(table), key_type)
+    numbered, last = number_rows(read.parquet(accepted_path), spec.key, warehouse.max_id(table), key_type)
     accepted = warehouse.stage(table, _stored_row(numbered, spec), run)
 
     warehouse.publish_log(table, REJECTED_ROWS, f"{path}/verdict=rejected", batch_id)
     warehouse.publish_log(table, REQUESTS, f"{run}/requests", batch_id)
-    warehouse.publish(table, accepted, batch_id)
+    warehouse.publish(table, accepted, batch_id, last)
     warehouse.clear(run)
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ REJECTED_LINES = "rejected_lines"
 
 @dataclass(frozen=True)
 class LoadReport:
-    """``counts``: table, reason_code (null = stored), rows, lines_with_extra_fields. A few rows per table."""
+    """``counts``: per table and reason_code (None = stored) the rows, lines_with_extra_fields, largest_key."""
 
     batch_id: str
     counts: list[Row]
@@ -44,16 +46,37 @@ def load_history(
     warehouse.create()
     run = warehouse.staging(batch_id)
     staged: dict[str, str] = {}
-    for name, spec in warehouse.specs.items():
-        if name in paths:
-            lines = read_delimited(warehouse.spark, paths[name], spec, **format_options)
-            staged[name] = _stage_judged(warehouse, spec, lines, staged, logged_at, run)
-
-    counts = [row for name, path in staged.items() for row in _counts(warehouse, name, path)]
+    for wave in _waves(warehouse, paths):
+        with ThreadPoolExecutor(len(wave)) as pool:
+            stage = inheritable_thread_target(warehouse.spark)(
+                lambda spec: _stage_judged(
+                    warehouse, spec, read_delimited(warehouse.spark, paths[spec.name], spec, **format_options),
+                    staged, logged_at, run,
+                )
+            )
+            staged |= dict(zip([spec.name for spec in wave], list(pool.map(stage, wave))))
+
+    totals = {name: _totals(warehouse, name, path) for name, path in staged.items()}
     for name, path in staged.items():
-        _publish(warehouse, name, path, batch_id)
+        _publish(warehouse, name, path, batch_id, totals[name])
     warehouse.clear(run)
-    return LoadReport(batch_id, counts)
+    return LoadReport(batch_id, [row for rows in totals.values() for row in rows])
+
+
+def _waves(warehouse: Warehouse, paths: Mapping[str, str | Sequence[str]]) -> list[list[TableSpec]]:
+    """Tables to load, parents in an earlier wave than the tables that point at them.
+
+    The tables of one wave do not depend on each other and are staged at the same time.
+    """
+    left = {name: spec for name, spec in warehouse.specs.items() if name in paths}
+    waves = []
+    while left:
+        wave = [s for s in left.values() if not any(fk.parent in left and fk.parent != s.name for fk in s.foreign_keys)]
+        if not wave:
+            raise ValueError(f"foreign keys of {sorted(left)} form a circle")
+        waves.append(wave)
+        left = {name: spec for name, spec in left.items() if spec not in wave}
+    return waves
 
 
 def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, staged: Mapping[str, str],
@@ -70,9 +93,11 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
 
     rows = warehouse.spark.read.parquet(first_pass)
     valid = rows.where(F.col("reason_code").isNull())
-    firsts = written(first_positions(valid, spec.key, POSITION), "firsts", warehouse.staging("firsts", run))
-    rows = rows.join(firsts, spec.key, "left")
-    repeated = F.col("_first").isNotNull() & (F.struct(*POSITION) != F.col("_first"))
+    repeated = F.lit(False)
+    firsts = first_positions(valid, spec.key, POSITION)
+    if firsts is not None:
+        rows = rows.join(written(firsts, "firsts", warehouse.staging("firsts", run)), spec.key, "left")
+        repeated = F.col("_first").isNotNull() & (F.struct(*POSITION) != F.col("_first"))
     if not warehouse.is_empty(spec.name):
         present = present_keys(warehouse.read(spec.name), valid, spec.key).withColumn("_present", F.lit(True))
         rows = rows.join(written(present, "present", warehouse.staging("present", run)), spec.key, "left")
@@ -114,14 +139,18 @@ def _judged(warehouse: Warehouse, name: str, path: str) -> DataFrame:
     return warehouse.spark.read.schema(columns).parquet(path)
 
 
-def _counts(warehouse: Warehouse, name: str, path: str) -> list[Row]:
+def _totals(warehouse: Warehouse, name: str, path: str) -> list[Row]:
+    """One row per reason: how many rows, how many lines with extra fields, the largest key."""
     totals = _judged(warehouse, name, path).groupBy("reason_code").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("has_extra_fields").alias("lines_with_extra_fields")
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("has_extra_fields").alias("lines_with_extra_fields"),
+        F.max(warehouse.specs[name].key).alias("largest_key"),
     )
-    return totals.select(F.lit(name).alias("table"), "reason_code", "rows", "lines_with_extra_fields").collect()
+    return totals.withColumn("table", F.lit(name)).collect()
 
 
-def _publish(warehouse: Warehouse, name: str, path: str, batch_id: str) -> None:
+def _publish(warehouse: Warehouse, name: str, path: str, batch_id: str, totals: list[Row]) -> None:
     warehouse.publish_log(name, REJECTED_LINES, f"{path}/verdict=rejected", batch_id)
-    if warehouse.files.exists(f"{path}/verdict=accepted"):
-        warehouse.publish(name, f"{path}/verdict=accepted", batch_id)
+    for stored in totals:
+        if stored["reason_code"] is None:
+            warehouse.publish(name, f"{path}/verdict=accepted", batch_id, stored["largest_key"])

@@ -87,8 +87,8 @@ def restore(warehouse: Warehouse, table: str, path: str, check_fk: bool = False)
     staged = warehouse.stage(table, _typed(raw, spec, flag_lost=True), extra=[f"_lost_{c}" for c in _times(spec)])
     rows = spark.read.schema(_staged_schema(spec)).parquet(staged)
     lost = [F.count_if(f"_lost_{c}").alias(c) for c in _times(spec)]
-    totals = rows.agg(F.count(F.lit(1)).alias("_rows"), *lost).first().asDict()
-    count = totals.pop("_rows")
+    totals = rows.agg(F.count(F.lit(1)).alias("_rows"), F.max(spec.key).alias("_largest"), *lost).first().asDict()
+    count, largest = totals.pop("_rows"), totals.pop("_largest") or 0
     expected = _manifest_rows(spark, path)
     if expected is not None and count != expected:
         raise ValueError(f"{path} holds {count} rows, {expected} were written")
@@ -100,7 +100,7 @@ def restore(warehouse: Warehouse, table: str, path: str, check_fk: bool = False)
     if hard:
         raise ValueError(f"{path} breaks the rules of {table}: {hard}")
 
-    warehouse.replace(table, staged, f"restore-{uuid.uuid4().hex}")
+    warehouse.replace(table, staged, f"restore-{uuid.uuid4().hex}", largest)
     return RestoreReport(count, totals, orphans)
 
 

@@ -113,20 +113,23 @@ class Warehouse:
             rows.hint("rebalance").write.parquet(path)
         return path
 
-    def publish(self, name: str, staged: str, batch_id: str) -> bool:
-        """Make a staged folder a batch of the table; False when that batch is already there."""
+    def publish(self, name: str, staged: str, batch_id: str, largest: int | None = None) -> bool:
+        """Make a staged folder a batch of the table; False when that batch is already there.
+
+        ``largest`` is the largest key in it, read from the folder when the caller does not know it.
+        """
         if self.has_batch(name, batch_id):
             return False
-        self._move_batch(staged, self._current(name), name, batch_id)
+        self._move_batch(staged, self._current(name), name, batch_id, largest)
         return True
 
-    def replace(self, name: str, staged: str, batch_id: str) -> None:
+    def replace(self, name: str, staged: str, batch_id: str, largest: int | None = None) -> None:
         """Make a staged folder the whole table, by one rename of a prepared version folder.
 
         The version replaced is kept for readers in flight; older ones are removed.
         """
         prepared = self.staging(f"{name}-version")
-        self._move_batch(staged, prepared, name, batch_id)
+        self._move_batch(staged, prepared, name, batch_id, largest)
         older = self._versions(name)[:-1]
         self.files.move(prepared, self._version_path(name, self._version(name) + 1))
         for path in older:
@@ -179,14 +182,12 @@ class Warehouse:
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema] + fields)
         return self.spark.read.schema(schema).parquet(self._current(name))
 
-    def _move_batch(self, staged: str, version_path: str, name: str, batch_id: str) -> None:
+    def _move_batch(self, staged: str, version_path: str, name: str, batch_id: str, largest: int | None) -> None:
         """Two renames: into a staging folder named by the largest key, then that folder into place."""
-        key = self.specs[name].key
-        largest = self.spark.read.schema(self._key_schema(name)).parquet(staged).agg(F.max(key)).first()[0] or 0
+        if largest is None:
+            key = self.specs[name].schema[self.specs[name].key]
+            keys = self.spark.read.schema(T.StructType([key])).parquet(staged)
+            largest = keys.agg(F.max(key.name)).first()[0] or 0
         prepared = self.staging(f"{name}-batch")
         self.files.move(staged, f"{prepared}/max_id={largest}")
         self.files.move(prepared, f"{version_path}/batch={batch_id}")
-
-    def _key_schema(self, name: str) -> T.StructType:
-        spec = self.specs[name]
-        return T.StructType([spec.schema[spec.key]])
