@@ -28,6 +28,20 @@ class Files:
         fs, target = self._open(path)
         return fs.exists(target) and fs.getFileStatus(target).isFile()
 
+    def size(self, path: str) -> int:
+        fs, target = self._open(path)
+        return fs.getFileStatus(target).getLen()
+
+    def read(self, path: str, position: int, length: int) -> bytes:
+        """A few bytes of a file, for looking at its ends."""
+        fs, target = self._open(path)
+        stream = fs.open(target)
+        try:
+            stream.seek(position)
+            return self._spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, length)
+        finally:
+            stream.close()
+
     def qualified(self, path: str) -> str:
         fs, target = self._open(path)
         return fs.makeQualified(target).toString()

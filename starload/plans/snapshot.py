@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from starload.files import Files
 from starload.functions.times import datetime_text, parse_datetime
 from starload.operators.constraints import audit
-from starload.sources.avro import read_avro, write_avro
+from starload.sources.avro import check_complete, read_avro, write_avro
 from starload.spec import TableSpec
 from starload.warehouse import Warehouse
 
@@ -83,13 +83,15 @@ def restore(warehouse: Warehouse, table: str, path: str, check_fk: bool = False)
     counts the orphans.
     """
     spark, spec = warehouse.spark, warehouse.specs[table]
+    expected = _manifest_rows(spark, path)
+    if expected is None:
+        check_complete(spark, path)
     raw = read_avro(spark, path, snapshot_schema(spec))
     staged = warehouse.stage(table, _typed(raw, spec, flag_lost=True), extra=[f"_lost_{c}" for c in _times(spec)])
     rows = spark.read.schema(_staged_schema(spec)).parquet(staged)
     lost = [F.count_if(f"_lost_{c}").alias(c) for c in _times(spec)]
     totals = rows.agg(F.count(F.lit(1)).alias("_rows"), F.max(spec.key).alias("_largest"), *lost).first().asDict()
     count, largest = totals.pop("_rows"), totals.pop("_largest") or 0
-    expected = _manifest_rows(spark, path)
     if expected is not None and count != expected:
         raise ValueError(f"{path} holds {count} rows, {expected} were written")
 

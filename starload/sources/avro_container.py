@@ -37,7 +37,11 @@ class ContainerDataSource(DataSource):
 
 
 class ContainerWriter(DataSourceArrowWriter):
-    """Files get their final name only when the whole write succeeded."""
+    """Files get their final name only when the whole write succeeded.
+
+    Until then their names start with an underscore, which readers of the folder pass over, so a
+    file left by a lost executor does no harm.
+    """
 
     def __init__(self, target: str, record_schema: str):
         self.target = target
@@ -57,11 +61,15 @@ class ContainerWriter(DataSourceArrowWriter):
         sync = os.urandom(16)
         unions = [isinstance(f["type"], list) for f in json.loads(self.record_schema)["fields"]]
         hidden = f"{folder}/_{task}"
-        with filesystem.open_output_stream(hidden) as out:
-            out.write(self._header(sync))
-            for batch in iterator:
-                if batch.num_rows:
-                    out.write(_block(batch, unions, sync))
+        try:
+            with filesystem.open_output_stream(hidden) as out:
+                out.write(self._header(sync))
+                for batch in iterator:
+                    if batch.num_rows:
+                        out.write(_block(batch, unions, sync))
+        except BaseException:
+            filesystem.delete_file(hidden)
+            raise
         return _Written(hidden, f"{folder}/{task}")
 
     def _header(self, sync: bytes) -> bytes:
