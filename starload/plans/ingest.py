@@ -52,7 +52,11 @@ def _ingest(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str | N
     """Store a batch unless its id is already stored, and hand out what was kept of it."""
     batch_id = batch_id or f"ingest-{uuid.uuid4().hex}"
     if not warehouse.has_batch(table, batch_id):
-        _store(warehouse, table, rows, batch_id)
+        run = warehouse.staging(batch_id)
+        try:
+            _store(warehouse, table, rows, batch_id, run)
+        finally:
+            warehouse.clear(run)
     return IngestResult(
         batch_id,
         warehouse.read_batch(table, batch_id),
@@ -61,14 +65,13 @@ def _ingest(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str | N
     )
 
 
-def _store(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str) -> None:
+def _store(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str, run: str) -> None:
     """Judge once into a staging folder split by verdict; ids, append and summary all come from there.
 
     The rows are published last, so the batch in the table marks the whole batch as done: a replay
     after a failure in between replaces the logs and stores nothing twice.
     """
     spec = warehouse.specs[table]
-    run = warehouse.staging(batch_id)
     path = f"{run}/judged"
     parents = {fk.parent: warehouse.read(fk.parent) for fk in spec.foreign_keys}
     logged_at = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
@@ -95,7 +98,6 @@ def _store(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str) ->
     warehouse.publish_log(table, REJECTED_ROWS, f"{path}/verdict=rejected", batch_id)
     warehouse.publish_log(table, REQUESTS, f"{run}/requests", batch_id)
     warehouse.publish(table, accepted, batch_id, last)
-    warehouse.clear(run)
 
 
 def judged_schema(spec: TableSpec) -> T.StructType:

@@ -63,10 +63,13 @@ def write_snapshot(rows: DataFrame, spec: TableSpec, target: str) -> str:
         datetime_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
         for f in spec.schema
     ]
-    write_avro(rows.select(*texts), staged, spec.name, snapshot_schema(spec))
-    manifest = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(spec.name))
-    manifest.write.json(f"{staged}/{MANIFEST}")
-    files.move(staged, target)
+    try:
+        write_avro(rows.select(*texts), staged, spec.name, snapshot_schema(spec))
+        manifest = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(spec.name))
+        manifest.write.json(f"{staged}/{MANIFEST}")
+        files.move(staged, target)
+    finally:
+        files.delete(staged)
     return target
 
 
@@ -86,24 +89,31 @@ def restore(warehouse: Warehouse, table: str, path: str, check_fk: bool = False)
     expected = _manifest_rows(spark, path)
     if expected is None:
         check_complete(spark, path)
-    raw = read_avro(spark, path, snapshot_schema(spec))
-    staged = warehouse.stage(table, _typed(raw, spec, flag_lost=True), extra=[f"_lost_{c}" for c in _times(spec)])
-    rows = spark.read.schema(_staged_schema(spec)).parquet(staged)
-    lost = [F.count_if(f"_lost_{c}").alias(c) for c in _times(spec)]
-    totals = rows.agg(F.count(F.lit(1)).alias("_rows"), F.max(spec.key).alias("_largest"), *lost).first().asDict()
-    count, largest = totals.pop("_rows"), totals.pop("_largest") or 0
-    if expected is not None and count != expected:
-        raise ValueError(f"{path} holds {count} rows, {expected} were written")
+    run = warehouse.staging(f"restore-{table}")
+    try:
+        raw = read_avro(spark, path, snapshot_schema(spec))
+        staged = warehouse.stage(table, _typed(raw, spec, flag_lost=True), run, [f"_lost_{c}" for c in _times(spec)])
+        rows = spark.read.schema(_staged_schema(spec)).parquet(staged)
+        lost = [F.count_if(f"_lost_{c}").alias(c) for c in _times(spec)]
+        totals = rows.agg(F.count(F.lit(1)).alias("_rows"), F.max(spec.key).alias("_largest"), *lost).first().asDict()
+        count, largest = totals.pop("_rows"), totals.pop("_largest") or 0
+        if expected is not None and count != expected:
+            raise ValueError(f"{path} holds {count} rows, {expected} were written")
+        orphans = _check_rules(warehouse, spec, rows, path, check_fk)
+        warehouse.replace(table, staged, f"restore-{uuid.uuid4().hex}", largest)
+    finally:
+        warehouse.clear(run)
+    return RestoreReport(count, totals, orphans)
 
-    parents = {fk.parent: warehouse.read(fk.parent) for fk in spec.foreign_keys} if check_fk else None
-    broken = {r["rule"]: r["violations"] for r in audit(rows, spec, parents).collect()}
-    orphans = sum(n for rule, n in broken.items() if rule.startswith("foreign_key:")) if check_fk else None
-    hard = {rule: n for rule, n in broken.items() if n and not rule.startswith("foreign_key:")}
-    if hard:
-        raise ValueError(f"{path} breaks the rules of {table}: {hard}")
 
-    warehouse.replace(table, staged, f"restore-{uuid.uuid4().hex}", largest)
-    return RestoreReport(count, totals, orphans)
+def _check_rules(warehouse: Warehouse, spec: TableSpec, rows: DataFrame, path: str, check_fk: bool) -> int | None:
+    """Raise when a rule of the table is broken; returns the number of orphans when asked for."""
+    parents = {fk.parent: warehouse.read(fk.parent) for fk in spec.foreign_keys} if check_fk else None
+    broken = {r["rule"]: r["violations"] for r in audit(rows, spec, parents).collect() if r["violations"]}
+    orphans = sum(broken.pop(f"foreign_key:{fk.column}", 0) for fk in spec.foreign_keys)
+    if broken:
+        raise ValueError(f"{path} breaks the rules of {spec.name}: {broken}")
+    return orphans if check_fk else None
 
 
 def _times(spec: TableSpec) -> list[str]:

@@ -1,18 +1,20 @@
 """Where the tables live: Parquet folders that are only ever added to.
 
-    <root>/tables/<table>/v000001/batch=<id>/max_id=<n>/[<ts>_year=<y>/]part-*.parquet
+    <root>/tables/<table>/v000001/batch=<id>~<largest key>/[<ts>_year=<y>/]part-*.parquet
     <root>/log/<table>/<kind>/batch=<id>/part-*.parquet     rejected rows and request summaries
     <root>/staging/<run>/...                                removed when the run is over
 
 A batch is written to a staging folder first and becomes visible by one rename, under a name that a
 repeat finds taken. Replacing a table publishes a new version folder; readers take the highest one,
-so a failed replacement leaves the old table as it was. ``max_id`` in the name keeps the largest key
-of the batch, so the next free key needs a folder listing and not a scan of the table.
+so a failed replacement leaves the old table as it was. The largest key of a batch is part of its
+folder's name, so the next free key needs one listing and not a scan of the table. Many small
+batches, as a stream leaves them, are joined by ``compact``.
 One writer per table is assumed, as with any plain Parquet folder.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -59,17 +61,14 @@ class Warehouse:
         return stored.select(*spec.columns)
 
     def read_batch(self, name: str, batch_id: str) -> DataFrame:
-        return self._stored(name).where(F.col("batch") == batch_id).select(*self.specs[name].columns)
+        """The rows of one batch, empty when the table no longer keeps it apart."""
+        stored = self._stored(name)
+        return stored.where(F.col("batch").startswith(f"{batch_id}~")).select(*self.specs[name].columns)
 
     def max_id(self, name: str) -> int:
         """Largest key stored so far, 0 for an empty table."""
-        current = self._current(name)
-        largest = 0
-        for batch in self.files.names(current):
-            for folder in self.files.names(f"{current}/{batch}"):
-                if folder.startswith("max_id="):
-                    largest = max(largest, int(folder.removeprefix("max_id=")))
-        return largest
+        batches = [n for n in self.files.names(self._current(name)) if n.startswith("batch=")]
+        return max((int(n.rsplit("~", 1)[1]) for n in batches), default=0)
 
     def is_empty(self, name: str) -> bool:
         """Whether no batch has been published; answered from the folder names."""
@@ -77,7 +76,7 @@ class Warehouse:
 
     def has_batch(self, name: str, batch_id: str) -> bool:
         """Whether the batch was ever published, also when the table has been rewritten since."""
-        return any(self.files.exists(f"{v}/batch={batch_id}") for v in self._versions(name))
+        return any(n.startswith(f"batch={batch_id}~") for v in self._versions(name) for n in self.files.names(v))
 
     def log(self, name: str, kind: str) -> DataFrame | None:
         """What all runs kept beside the table, for instance its rejected rows; None when there is nothing."""
@@ -176,18 +175,17 @@ class Warehouse:
 
     def _stored(self, name: str) -> DataFrame:
         spec = self.specs[name]
-        fields = [T.StructField("batch", T.StringType()), T.StructField("max_id", T.LongType())]
+        fields = [T.StructField("batch", T.StringType())]
         if spec.year_column:
             fields.append(T.StructField(spec.year_column, T.IntegerType()))
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema] + fields)
         return self.spark.read.schema(schema).parquet(self._current(name))
 
     def _move_batch(self, staged: str, version_path: str, name: str, batch_id: str, largest: int | None) -> None:
-        """Two renames: into a staging folder named by the largest key, then that folder into place."""
+        if not re.fullmatch(r"[\w.-]+", batch_id):
+            raise ValueError(f"batch id {batch_id!r} cannot name a folder")
         if largest is None:
             key = self.specs[name].schema[self.specs[name].key]
             keys = self.spark.read.schema(T.StructType([key])).parquet(staged)
             largest = keys.agg(F.max(key.name)).first()[0] or 0
-        prepared = self.staging(f"{name}-batch")
-        self.files.move(staged, f"{prepared}/max_id={largest}")
-        self.files.move(prepared, f"{version_path}/batch={batch_id}")
+        self.files.move(staged, f"{version_path}/batch={batch_id}~{largest}")
