@@ -58,7 +58,7 @@ def csv_load_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_load_fact(spark: SparkSession, sf: str) -> DataFrame:
     """Hires through a history file: ISO datetimes with T and Z, empty names."""
-    iso = F.date_format("hire_datetime", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    iso = F.concat(F.replace(datetime_text(F.col("hire_datetime")), F.lit(" "), F.lit("T")), F.lit("Z"))
     rows = hires(spark, sf).select("id", "name", iso, "department_id", "job_id")
     path = _write_lines(rows, fresh_dir(spark, "csv"))
     return read_delimited(spark, path, HIRED_EMPLOYEES.widened()).select("id", *HIRE_COLUMNS)

@@ -64,8 +64,8 @@ def datetime_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def datetime_rounding(spark: SparkSession, sf: str) -> DataFrame:
     """Text with microseconds is read to the nearest second."""
-    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return table(spark, sf, "events").select("event_id", parse_datetime(F.concat(text, F.lit("Z"))).alias("ts"))
+    text = F.concat(F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    return table(spark, sf, "events").select("event_id", parse_datetime(text).alias("ts"))
 
 
 # -- foreign keys ---------------------------------------------------------------------------------

@@ -11,7 +11,9 @@ from starload.session import broadcastable, written
 from starload.spec import ForeignKey
 
 
-def with_parent_flag(rows: DataFrame, fk: ForeignKey, parent: DataFrame, flag: str) -> DataFrame:
+def with_parent_flag(
+    rows: DataFrame, fk: ForeignKey, parent: DataFrame, flag: str, scratch: str | None = None
+) -> DataFrame:
     """Add ``flag``: whether the parent row exists. Every row is kept; a null key has no parent.
 
     Parent keys that Spark would broadcast are joined directly. Larger ones meet only the distinct
@@ -22,15 +24,17 @@ def with_parent_flag(rows: DataFrame, fk: ForeignKey, parent: DataFrame, flag: s
     known = broadcastable(ids)
     if not known:
         used = rows.select(F.col(fk.column).alias("_key")).where(F.col("_key").isNotNull()).distinct()
-        ids = written(used.join(ids, "_key", "left_anti"), "orphan-keys")
+        ids = written(used.join(ids, "_key", "left_anti"), "orphan-keys", scratch)
     joined = rows.join(ids, rows[fk.column] == ids["_key"], "left")
     matched = F.col("_key").isNotNull()
     return joined.withColumn(flag, matched if known else rows[fk.column].isNotNull() & ~matched).drop("_key")
 
 
-def with_parent_flags(rows: DataFrame, fks: tuple[ForeignKey, ...], parents: Mapping[str, DataFrame]) -> DataFrame:
+def with_parent_flags(
+    rows: DataFrame, fks: tuple[ForeignKey, ...], parents: Mapping[str, DataFrame], scratch: str | None = None
+) -> DataFrame:
     for fk in fks:
-        rows = with_parent_flag(rows, fk, parents[fk.parent], flag_name(fk))
+        rows = with_parent_flag(rows, fk, parents[fk.parent], flag_name(fk), scratch)
     return rows
 
 

@@ -23,13 +23,15 @@ NULL_NOT_ALLOWED = "NULL_NOT_ALLOWED"
 DUPLICATE_KEY = "DUPLICATE_KEY"
 
 
-def judge_request_rows(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
+def judge_request_rows(
+    rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame], scratch: str | None = None
+) -> DataFrame:
     """Add ``reason_code`` and ``reason`` to request rows; both null for a row that may be stored.
 
     A refused request refuses its rows. Then the order is: missing field, foreign keys (one message
     naming all ids), then what the table itself would refuse. Datetimes are still text here.
     """
-    flagged = with_parent_flags(rows, spec.foreign_keys, parents)
+    flagged = with_parent_flags(rows, spec.foreign_keys, parents, scratch)
     times = [f.name for f in spec.row_fields if isinstance(f.dataType, T.TimestampNTZType)]
     numbers = [(f.name, f.dataType) for f in spec.row_fields if isinstance(f.dataType, T.IntegralType)]
     code = F.coalesce(
@@ -59,9 +61,11 @@ def _reason(spec: TableSpec) -> Column:
     return text.otherwise(F.lower(F.replace(code, F.lit("_"), F.lit(" "))))
 
 
-def judge_loaded_rows(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
+def judge_loaded_rows(
+    rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame], scratch: str | None = None
+) -> DataFrame:
     """Add ``reason_code`` to rows read from history files, by the rules of the table itself."""
-    flagged = with_parent_flags(rows, spec.foreign_keys, parents)
+    flagged = with_parent_flags(rows, spec.foreign_keys, parents, scratch)
     code = first_failure(
         (F.col("bad_datetime"), BAD_DATETIME),
         (F.col("bad_value"), BAD_VALUE),

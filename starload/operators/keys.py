@@ -26,13 +26,15 @@ def first_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return picked.select(*[c if c in key else F.col(f"_first.{c}").alias(c) for c in rows.columns])
 
 
-def first_positions(rows: DataFrame, key: str, position: Sequence[str]) -> DataFrame | None:
+def first_positions(
+    rows: DataFrame, key: str, position: Sequence[str], scratch: str | None = None
+) -> DataFrame | None:
     """For each key in more than one row, the position of its first row, as a struct ``_first``.
 
     None when no key repeats. Repeats are few in a sane file: the first pass is a plain count over
     the key column alone, and only rows of repeated keys take part in comparing positions.
     """
-    repeated = written(key_violations(rows, [key]).select(key), "repeated-keys")
+    repeated = written(key_violations(rows, [key]).select(key), "repeated-keys", scratch)
     if repeated.isEmpty():
         return None
     contenders = rows.select(key, *position).join(repeated, key, "left_semi")

@@ -75,7 +75,7 @@ def _store(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str, run
     path = f"{run}/judged"
     parents = {fk.parent: warehouse.read(fk.parent) for fk in spec.foreign_keys}
     logged_at = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
-    judged = judge_request_rows(rows, spec, parents).withColumn("logged_at", logged_at)
+    judged = judge_request_rows(rows, spec, parents, run).withColumn("logged_at", logged_at)
     verdict = (
         F.when(F.col("reason_code").isNotNull(), "rejected").when(F.col("ordinal").isNull(), "empty").otherwise("accepted")
     )

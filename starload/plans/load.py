@@ -89,19 +89,19 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
     """
     parents = {fk.parent: _parent_rows(warehouse, fk.parent, staged) for fk in spec.foreign_keys}
     first_pass = warehouse.staging(f"{spec.name}-lines", run)
-    judged = judge_loaded_rows(lines, spec, parents)
+    judged = judge_loaded_rows(lines, spec, parents, run)
     judged.withColumn("line", F.when(F.col("reason_code").isNotNull(), F.col("line"))).write.parquet(first_pass)
 
     rows = warehouse.spark.read.parquet(first_pass)
     valid = rows.where(F.col("reason_code").isNull())
     repeated = F.lit(False)
-    firsts = first_positions(valid, spec.key, POSITION)
+    firsts = first_positions(valid, spec.key, POSITION, run)
     if firsts is not None:
-        rows = rows.join(written(firsts, "firsts", warehouse.staging("firsts", run)), spec.key, "left")
+        rows = rows.join(written(firsts, "firsts", run), spec.key, "left")
         repeated = F.col("_first").isNotNull() & (F.struct(*POSITION) != F.col("_first"))
     if not warehouse.is_empty(spec.name):
         present = present_keys(warehouse.read(spec.name), valid, spec.key).withColumn("_present", F.lit(True))
-        rows = rows.join(written(present, "present", warehouse.staging("present", run)), spec.key, "left")
+        rows = rows.join(written(present, "present", run), spec.key, "left")
         repeated = repeated | F.col("_present").isNotNull()
 
     code = F.coalesce(F.col("reason_code"), F.when(repeated, F.lit(DUPLICATE_KEY)))

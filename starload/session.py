@@ -48,14 +48,14 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/starload/{label}-{uuid.uuid4().hex}"
 
 
-def written(rows: DataFrame, label: str, folder: str | None = None) -> DataFrame:
-    """Write ``rows`` to the shared folder and read them back.
+def written(rows: DataFrame, label: str, scratch: str | None = None) -> DataFrame:
+    """Write ``rows`` to a new folder, under ``scratch`` when given, and read them back.
 
     Cuts the lineage in a way that survives lost executors. It also gives the optimizer the true
     size: a small derived side is then broadcast from the start, where AQE alone would find out
     only after it had shuffled the large side too.
     """
-    path = folder or fresh_dir(rows.sparkSession, label)
+    path = f"{scratch}/{label}-{uuid.uuid4().hex}" if scratch else fresh_dir(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
