@@ -1,25 +1,19 @@
-"""Avro container files: written and read through Spark, with or without the spark-avro module.
+"""Avro container files through Spark's own Avro format.
 
-With the module (``--packages org.apache.spark:spark-avro_2.13:<version>``) the ``avro`` format does
-both. Without it, writing goes through a Python data source that encodes whole Arrow batches, and
-reading through the Avro input format that ships with Spark.
+The short name ``avro`` needs the spark-avro module to be deployed; the format class itself is part of
+Spark's SQL jar since 4.0 and of the module before, so its full name works in both.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starload.files import Files
-from starload.sources import avro_container
-from starload.sources.avro_container import FORMAT, ContainerDataSource
 
-# The writer travels to the Python workers by value, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(avro_container)
+FORMAT = "org.apache.spark.sql.avro.AvroFileFormat"
 
 
 def avro_schema(name: str, schema: T.StructType) -> dict:
@@ -39,47 +33,16 @@ def avro_schema(name: str, schema: T.StructType) -> dict:
     return {"type": "record", "name": name, "fields": [{"name": f.name, "type": kind(f)} for f in schema]}
 
 
-def has_avro_module(spark: SparkSession) -> bool:
-    lookup = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource
-    try:
-        lookup("avro", spark._jsparkSession.sessionState().conf())
-        return True
-    except AnalysisException:
-        return False
-
-
-def write_avro(rows: DataFrame, path: str, name: str, schema: T.StructType) -> str:
-    """Write ``rows`` as container files with exactly the declared record schema; returns the route taken."""
-    spark = rows.sparkSession
-    rows = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema])
-    text = json.dumps(avro_schema(name, schema))
-    if has_avro_module(spark):
-        rows.write.format("avro").option("avroSchema", text).save(path)
-        return "avro"
-    spark.dataSource.register(ContainerDataSource)
-    (
-        rows.write.format(FORMAT)
-        .option("target", Files(spark).qualified(path))
-        .option("recordSchema", text)
-        .mode("append")
-        .save()
-    )
-    return FORMAT
+def write_avro(rows: DataFrame, path: str, name: str, schema: T.StructType) -> None:
+    """Write ``rows`` as container files with exactly the declared record schema."""
+    typed = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema])
+    typed.write.format(FORMAT).option("avroSchema", json.dumps(avro_schema(name, schema))).save(path)
 
 
 def read_avro(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of one container file or of a folder of them; a folder without any is an error."""
     container_files(spark, path)
-    plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-    if has_avro_module(spark):
-        return spark.read.format("avro").load(path).select(*plain.names)
-    records = spark.sparkContext.hadoopFile(
-        path,
-        "org.apache.avro.mapred.AvroAsTextInputFormat",
-        "org.apache.hadoop.io.Text",
-        "org.apache.hadoop.io.Text",
-    )
-    return spark.read.schema(plain).option("mode", "FAILFAST").json(records.keys())
+    return spark.read.format(FORMAT).load(path).select(*schema.names)
 
 
 def container_files(spark: SparkSession, path: str) -> list[str]:
