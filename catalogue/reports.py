@@ -63,6 +63,13 @@ def quarterly_counts_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return reports.quarterly_counts(gappy_fact(spark, sf), solvent_departments(spark, sf), jobs(spark, sf), YEAR)
 
 
+def quarterly_counts_collated(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second job is spelled in capitals; the collation merges the spellings."""
+    spelled = jobs(spark, sf).withColumn("job", F.when(F.col("id") % 2 == 0, F.upper("job")).otherwise(F.col("job")))
+    report = reports.quarterly_counts(fact(spark, sf), departments(spark, sf), spelled, YEAR, "UNICODE_CI_AI")
+    return report.withColumn("job", F.lower("job"))
+
+
 def above_mean_groups(spark: SparkSession, sf: str) -> DataFrame:
     return reports.above_mean_groups(fact(spark, sf), departments(spark, sf), YEAR)
 
@@ -99,6 +106,7 @@ def star_join(spark: SparkSession, sf: str) -> DataFrame:
 ENTRIES = {
     "quarterly_counts": (quarterly_counts, _quarterly_sql(FACT_SQL, ALL_DEPARTMENTS_SQL)),
     "quarterly_counts_with_gaps": (quarterly_counts_with_gaps, _quarterly_sql(GAPPY_SQL, SOLVENT_SQL)),
+    "quarterly_counts_collated": (quarterly_counts_collated, _quarterly_sql(FACT_SQL, ALL_DEPARTMENTS_SQL)),
     "above_mean_groups": (above_mean_groups, _groups_sql(FACT_SQL, ALL_DEPARTMENTS_SQL) + ABOVE_SQL),
     "above_mean_groups_with_gaps": (above_mean_groups_with_gaps, _groups_sql(GAPPY_SQL, SOLVENT_SQL) + ABOVE_SQL),
     "group_counts": (group_counts, _groups_sql(FACT_SQL, ALL_DEPARTMENTS_SQL) + "SELECT id, department, hired FROM groups"),

@@ -17,7 +17,7 @@ from catalogue.tables import (
     solvent_departments,
     table,
 )
-from starload.functions.fields import any_of, first_failure, is_missing
+from starload.functions.fields import any_of, first_failure, is_missing, nan_to_null, to_nullable_int
 from starload.functions.text import null_if_empty
 from starload.functions.times import datetime_text, parse_datetime
 from starload.operators.constraints import audit
@@ -68,6 +68,15 @@ def datetime_rounding(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", parse_datetime(text).alias("ts"))
 
 
+def nullable_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Event values with NaN put in by rule: as whole numbers, as text and as doubles, null for NaN."""
+    value = F.when(F.col("event_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.floor("value").cast("double"))
+    whole = to_nullable_int(value)
+    return table(spark, sf, "events").select(
+        "event_id", whole.alias("whole"), whole.cast("string").alias("text"), nan_to_null(value).alias("value")
+    )
+
+
 # -- foreign keys ---------------------------------------------------------------------------------
 
 
@@ -224,6 +233,11 @@ SELECT event_id, text, TRY_CAST(text AS TIMESTAMP) AS ts FROM texts""",
         datetime_rounding,
         "SELECT event_id, date_trunc('second', ts + INTERVAL 500 MILLISECOND) AS ts FROM events",
     ),
+    "nullable_numbers": (
+        nullable_numbers,
+        """WITH rounded AS (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN floor(value) END AS value FROM events)
+SELECT event_id, CAST(value AS INTEGER) AS whole, CAST(CAST(value AS INTEGER) AS VARCHAR) AS text, value FROM rounded""",
+    ),
     "fk_accepted": (
         fk_accepted,
         """SELECT l_orderkey AS id, l_shipdate AS hire_datetime, l_suppkey AS department_id, l_partkey AS job_id

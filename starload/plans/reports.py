@@ -32,7 +32,8 @@ def quarterly_counts(
         counts = [F.sum(q).alias(q) for q in QUARTERS]
     for label, dimension in dimensions.items():
         rows = rows.join(dimension, f"{label}_id")
-    return rows.groupBy(*names).agg(*counts).orderBy("department", "job")
+    report = rows.groupBy(*names).agg(*counts).orderBy(*dimensions)
+    return report.withColumns({label: F.col(label).cast("string") for label in dimensions}) if collation else report
 
 
 def _quarter_counts() -> list[Column]:

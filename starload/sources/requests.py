@@ -29,8 +29,9 @@ def with_request_ids(lines: DataFrame) -> DataFrame:
     return lines.select(F.format_string("%s#%d-%d", "file", "block", line_no).alias("request_id"), "body")
 
 
-def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    return with_request_ids(request_lines(spark.read.text(path)))
+def read_requests(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """``options`` go to the text source: ``wholetext="true"`` takes each file as one request."""
+    return with_request_ids(request_lines(spark.read.format("text").options(**options).load(path)))
 
 
 def request_rows(requests: DataFrame, spec: TableSpec, max_rows: int = MAX_ROWS) -> DataFrame:

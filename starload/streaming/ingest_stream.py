@@ -31,7 +31,7 @@ def ingest_stream(
     after a failure finds the batch published and adds nothing.
     """
     warehouse.create()
-    lines = request_lines(warehouse.spark.readStream.options(**source_options).text(folder))
+    lines = request_lines(warehouse.spark.readStream.format("text").options(**source_options).load(folder))
 
     def store(batch: DataFrame, number: int) -> None:
         batch_id = f"{_query_id(warehouse, checkpoint)}-{number}"

@@ -136,7 +136,8 @@ class Warehouse:
 
     def compact(self, name: str) -> None:
         """Rewrite a table of many small batches as one."""
-        self.replace(name, self.stage(name, self.read(name)), f"compact-{uuid.uuid4().hex}")
+        largest = self.max_id(name)
+        self.replace(name, self.stage(name, self.read(name)), f"compact-{uuid.uuid4().hex}", largest)
 
     def publish_log(self, name: str, kind: str, staged: str, batch_id: str) -> None:
         """Keep a staged folder, if there is one, in place of what an earlier attempt at the batch left."""

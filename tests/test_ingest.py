@@ -163,6 +163,12 @@ def test_requests_from_files_have_distinct_ids(spark, tmp_path):
     assert read.select("request_id").distinct().count() == 4
 
 
+def test_a_request_over_several_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"registros": [hire(), hire()]}, indent=2))
+    read = read_requests(spark, f"file:{tmp_path}", wholetext="true")
+    assert [r["request_status"] for r in request_rows(read, HIRED_EMPLOYEES).collect()] == ["OK", "OK"]
+
+
 def test_one_department_in_most_rows(spark, root):
     """A hot key, and parents both below and above the broadcast threshold."""
     warehouse = stored_star(spark, root)
