@@ -65,12 +65,12 @@ def csv_load_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load(spark: SparkSession, sf: str) -> Warehouse:
-    """Two hire files: one with bad dates and bad ids put in, then one that repeats every third key."""
+    """Two hire files: all hires with bad dates and bad ids put in, then the urgent ones once more."""
     folder = fresh_dir(spark, "history")
     rows = hires(spark, sf).select("id", "name", datetime_text(F.col("hire_datetime")).alias("at"), "department_id", "job_id")
     first = rows.withColumn("at", F.when(F.col("id") % 17 == 0, "2021-02-30").otherwise(F.col("at")))
     first = first.withColumn("id", F.when(F.col("id") % 41 == 0, F.concat(F.lit("x"), "id")).otherwise(F.col("id").cast("string")))
-    again = rows.where("id % 3 = 0").withColumn("name", F.lit("again"))
+    again = rows.where("name = '1-URGENT'").withColumn("name", F.lit("again"))
     paths = {
         "departments": _write_lines(solvent_customers(spark, sf), f"{folder}/departments"),
         "jobs": _write_lines(nations(spark, sf), f"{folder}/jobs"),
@@ -86,7 +86,8 @@ LOADED_SQL = f"""WITH {HIRES_SQL},
 lines AS (
   SELECT 1 AS file, *, id % 17 = 0 AS bad_date, id % 41 = 0 AS bad_id FROM hires
   UNION ALL
-  SELECT 2, id, 'again', hire_datetime, department_id, job_id, FALSE, FALSE FROM hires WHERE id % 3 = 0),
+  SELECT 2, id, 'again', hire_datetime, department_id, job_id, FALSE, FALSE FROM hires
+  WHERE name = '1-URGENT'),
 checked AS (
   SELECT *, CASE WHEN bad_date THEN 'BAD_DATETIME' WHEN bad_id THEN 'BAD_VALUE'
                  WHEN department_id NOT IN (SELECT id FROM departments) OR job_id NOT IN (SELECT id FROM jobs)

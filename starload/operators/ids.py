@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+BROADCAST_FILES = 100_000
+"""Files whose first keys are sent to every executor, some 15 MB at most; more are joined by shuffle."""
+
+
 def _task_order(file_name: str) -> tuple[int, int]:
     """Number of the writing task, then the number of the file within it."""
     part = re.match(r"part-(\d+)-", file_name)
@@ -39,6 +43,8 @@ def number_rows(
     offsets = stored.sparkSession.createDataFrame(
         [(r["_file"], start) for r, start in zip(sizes, starts)], "_file string, _start bigint"
     )
+    if len(sizes) <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     placed = stored.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     numbered = placed.join(offsets, "_file").withColumn(column, (F.col("_start") + F.col("_row")).cast(dtype))
     return numbered.drop("_file", "_row", "_start"), after + total

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from catalogue.tables import departments, fact, jobs
 from starload.operators.foreign_keys import with_parent_flag
-from starload.operators.ids import assign_ids
+from starload.operators import ids
+from starload.operators.ids import assign_ids, number_rows
 from starload.operators.keys import first_by_key
 from starload.plans.reports import above_mean_groups, quarterly_counts
 from starload.spec import ForeignKey
@@ -99,3 +100,19 @@ def test_no_operator_puts_all_rows_in_one_partition(spark, root):
         assert "Window" not in plan(df)
     partial = plan(deduped)
     assert "partial_min" in partial[partial.index("Exchange hashpartitioning") :]
+
+
+def test_numbering_does_not_shuffle_the_rows(spark, root):
+    spark.range(1000).write.parquet(f"{root}/n")
+    numbered, _ = number_rows(spark.read.parquet(f"{root}/n"), "key")
+    text = executed(numbered)
+    assert "BroadcastHashJoin" in text
+    assert "Exchange hashpartitioning" not in text
+
+
+def test_numbering_by_shuffle_gives_the_same(spark, root, monkeypatch):
+    spark.range(1000).repartition(5).write.parquet(f"{root}/n")
+    stored = spark.read.parquet(f"{root}/n")
+    expected = number_rows(stored, "key")[0].collect()
+    monkeypatch.setattr(ids, "BROADCAST_FILES", 0)
+    assert sorted(number_rows(stored, "key")[0].collect()) == sorted(expected)
