@@ -9,7 +9,7 @@ from catalogue.tables import departments, fact, jobs
 from starload.operators.foreign_keys import with_parent_flag
 from starload.operators import ids
 from starload.operators.ids import assign_ids, number_rows
-from starload.operators.keys import first_by_key
+from starload.operators.keys import first_by_key, present_keys
 from starload.plans.reports import above_mean_groups, quarterly_counts
 from starload.spec import ForeignKey
 from starload.warehouse import Warehouse
@@ -116,3 +116,14 @@ def test_numbering_by_shuffle_gives_the_same(spark, root, monkeypatch):
     expected = number_rows(stored, "key")[0].collect()
     monkeypatch.setattr(ids, "BROADCAST_FILES", 0)
     assert sorted(number_rows(stored, "key")[0].collect()) == sorted(expected)
+
+
+def test_lookup_of_stored_keys_skips_files_and_sends_the_small_side(spark, root):
+    spark.range(100_000).write.parquet(f"{root}/stored")
+    spark.range(99_990, 100_010).write.parquet(f"{root}/incoming")
+    present = present_keys(spark.read.parquet(f"{root}/stored"), spark.read.parquet(f"{root}/incoming"), "id")
+    text = executed(present)
+    scan = next(line for line in text.splitlines() if "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,99990)" in line)
+    join = text.index("BroadcastHashJoin")
+    assert "Exchange hashpartitioning" not in text[join : text.index(scan)]
+    assert present.count() == 10
