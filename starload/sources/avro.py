@@ -1,7 +1,7 @@
 """Avro container files through Spark's own Avro format.
 
-The short name ``avro`` needs the spark-avro module to be deployed; the format class itself is part of
-Spark's SQL jar since 4.0 and of the module before, so its full name works in both.
+The short name ``avro`` needs the spark-avro module to be deployed; the format class itself is in the SQL
+jar of Spark 4.1, so its full name works without.
 """
 
 from __future__ import annotations
