@@ -4,6 +4,7 @@ import pytest
 from oracle import assert_same, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalogue import ENTRIES
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -13,7 +14,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(ENTRIES))
 def test_matches_oracle(spark, con, name):
     assert assert_same(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) > 0
 
