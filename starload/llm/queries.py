@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import decontamination, mixing, near_dedup, quality, sharding, url_filter
-from starload.llm.common import table
+from starload.llm import (
+    chat,
+    decontamination,
+    lm_score,
+    mixing,
+    near_dedup,
+    quality,
+    sharding,
+    token_output,
+    toxicity,
+    url_filter,
+)
+from starload.llm.common import crc_of_id, table
+from starload.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,11 +113,34 @@ FROM b
 """
 
 
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    token_output.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_output.digests(token_output.read_tokens(spark, path))
+
+
+def op5_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scored(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.scored(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+    return scores.select(
+        "doc_id", (F.pmod(crc_of_id(F.col("doc_id")), F.lit(5)) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.assign_shards(table(spark, sf_dir, "documents"))
     return sharded.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
@@ -153,7 +189,11 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_decontaminate": (op1_decontaminate, OP1_SQL),
     "op2_mix": (op2_mix, None),
     "op3_quality": (op3_quality, OP3_SQL),
+    "op4_tokens": (op4_tokens, None),
+    "op5_score": (op5_score, None),
+    "op6_toxicity": (op6_toxicity, None),
     "op7_shards": (op7_shards, None),
+    "op8_chat": (op8_chat, None),
     "op9_near_dedup": (op9_near_dedup, None),
     "op10_urls": (op10_urls, OP10_SQL),
 }
