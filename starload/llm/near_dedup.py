@@ -19,6 +19,8 @@ THRESHOLD = 0.8
 BANDS = 40
 ROWS = 6
 """A pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**40, about 6e-6."""
+COMMON = 50
+"""Nodes of a hub that may share a shingle the hub lacks before it counts as common to them all."""
 _BATCH_BYTES = 8 << 20
 _BATCH_COMPONENTS = 2 << 20
 
@@ -246,7 +248,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     placed = with_root(buckets, "node", roots, "root")
     torn = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     torn = written(placed.join(torn.select("bucket"), "bucket").select("node", "root").distinct(), "near-torn")
-    cross = prefix_pairs(texts.join(torn, "node"), threshold)
+    ties = stars.select(F.col("a").alias("node"), F.col("b").alias("hub"))
+    cross = prefix_pairs(texts, ties, torn, threshold)
     stars_by_order = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     rest = written(cross.join(stars_by_order, ["a", "b"], "left_anti"), "near-rest")
     if not rest.isEmpty():
@@ -259,40 +262,76 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     return rooted.join(least, "root").select("doc_id", "row", "class_id")
 
 
-def prefix_pairs(texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of ``texts(node, text, root)`` of different roots that may reach the threshold; none is lost.
+def prefix_pairs(texts: DataFrame, stars: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different roots, both tied to one hub, that may reach the threshold; none is lost.
 
-    With shingles in one order for all texts, rarest first, let X and Y be what is left of each
-    text's weight (of 1) from the first shared shingle on. What lies before is not shared, and then
-    the probability Jaccard is at most XY / (X + Y - XY): each shared d contributes at most
-    x_d y_d / (x_d + q_x y_d), a concave and homogeneous term, so the sum is bounded by its value at the
-    sums. Hence the first shared shingle of a similar pair stands where 1/X + 1/Y <= 1 + 1/threshold.
-    A text full of shingles of its own has no shared one that early and meets nothing.
+    ``texts(node, text)``, ``stars(node, hub)``, ``roots(node, root)``. Within a hub, a shingle is private
+    when it is neither in the hub's text nor held by more than ``COMMON`` nodes. All texts order their
+    shingles alike, private ones first, rare ones before frequent ones.
+
+    Let X and Y be what is left of each text's weight (of 1) from the first shared shingle on. What
+    lies before is not shared, and then the probability Jaccard is at most XY / (X + Y - XY): each
+    shared d contributes at most x_d y_d / (x_d + q_x y_d), a concave and homogeneous term, so the sum
+    is bounded by its value at the sums. Hence a similar pair first meets where 1/X + 1/Y <= 1 + 1/threshold.
+
+    If it first meets at a shingle that is not private, it shares no private one. For texts that
+    repeat no shingle at most k = min(k_x, k_y) can then be shared, with k_x the number of x's shingles
+    that are not private, so k >= threshold * (n_x + n_y - k). This spares the copies of a hub that
+    each went their own way the comparison with all others. Only nodes outside the hub's most frequent
+    root look for partners.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
+        last, of_last = None, None
         for whole in batches:
             for batch in batches_of(whole, _BATCH_BYTES):
-                weighted = [shingler.weighted(split_words(t)) for t in column_bytes(batch.column("text"))]
-                lengths = [len(s) for s, _ in weighted]
-                yield pa.RecordBatch.from_pydict({
-                    "node": pa.array(np.repeat(batch.column("node").to_numpy(), lengths)),
-                    "root": pa.array(np.repeat(batch.column("root").to_numpy(), lengths)),
-                    "shingle": pa.array(np.concatenate([s for s, _ in weighted]).view(np.int64)),
-                    "mass": pa.array(np.concatenate([w / w.sum() for _, w in weighted])),
-                })
-
-    rows = texts.select("node", "root", "text").mapInArrow(spread, "node long, root long, shingle long, mass double")
+                columns: dict[str, list] = {c: [] for c in ("hub", "node", "root", "shingle", "mass", "own", "n")}
+                rows = zip(batch.column("hub").to_pylist(), batch.column("node").to_pylist(), batch.column("root").to_pylist(),
+                           column_bytes(batch.column("text")), column_bytes(batch.column("hub_text")))
+                for hub, node, root, text, hub_text in rows:
+                    if hub != last:
+                        last, of_last = hub, shingler.weighted(split_words(hub_text))[0]
+                    shingles, weights = shingler.weighted(split_words(text))
+                    n = len(shingles)
+                    for name, value in (("hub", hub), ("node", node), ("root", root)):
+                        columns[name].append(np.full(n, value, np.int64))
+                    columns["shingle"].append(shingles.view(np.int64))
+                    columns["mass"].append(weights / weights.sum())
+                    columns["own"].append(~np.isin(shingles, of_last))
+                    columns["n"].append(np.full(n, n if weights.max() == 1 else -1, np.int64))
+                yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate(v)) for c, v in columns.items()})
+
+    tied = stars.join(roots, "node").join(texts, "node").join(
+        texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub"
+    )
+    rows = tied.select("hub", "node", "root", "text", "hub_text").mapInArrow(
+        spread, "hub long, node long, root long, shingle long, mass double, own boolean, n long"
+    )
     rows = written(rows, "near-shingles")
-    held = written(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")), "near-held")
-    earlier = W.partitionBy("node").orderBy("held", "shingle").rowsBetween(W.unboundedPreceding, -1)
-    left = 1 - F.coalesce(F.sum("mass").over(earlier), F.lit(0.0))
-    front = rows.join(held, "shingle").withColumn("left", left).where(F.col("left") >= threshold - 1e-9)
-    front = written(front.where("held > 1").select("node", "root", "shingle", "left"), "near-front")
-    one, two = front.alias("x"), front.alias("y")
+    held = written(rows.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("held")), "near-held")
+    of_node = W.partitionBy("hub", "node")
+    earlier = of_node.orderBy(F.desc("private"), "held", "shingle").rowsBetween(W.unboundedPreceding, -1)
+    front = (
+        rows.join(held, ["hub", "shingle"])
+        .withColumn("private", F.col("own") & (F.col("held") <= COMMON))
+        .withColumn("left", 1 - F.coalesce(F.sum("mass").over(earlier), F.lit(0.0)))
+        .withColumn("k", F.count_if(~F.col("private")).over(of_node))
+    )
+    meets = F.col("private") | (F.col("n") < 0) | (F.col("k") >= threshold * F.col("n"))
+    front = front.where((F.col("held") > 1) & (F.col("left") >= threshold - 1e-9) & meets)
+    front = written(front.select("hub", "node", "root", "shingle", "left", "private", "n", "k"), "near-front")
+    per_root = stars.join(roots, "node").groupBy("hub", "root").agg(F.count(F.lit(1)).alias("nodes"))
+    most = per_root.groupBy("hub").agg(F.max(F.struct("nodes", "root")).alias("most")).select("hub", F.col("most.root").alias("_root"))
+    seeking = written(front.join(most, "hub").where("root <> _root").drop("_root"), "near-seeking")
+    x, y = seeking.alias("x"), front.alias("y")
+    k = F.least("x.k", "y.k")
     near = (1 / F.col("x.left") + 1 / F.col("y.left")) <= 1 + 1 / threshold + 1e-9
-    met = one.join(two, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") < F.col("y.root")) & near)
+    enough = F.col("x.private") | (F.col("x.n") < 0) | (F.col("y.n") < 0) | (k >= threshold * (F.col("x.n") + F.col("y.n") - k))
+    met = x.join(
+        y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.root") != F.col("y.root")) & near & enough,
+    )
     return met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 
