@@ -27,19 +27,26 @@ def plain_words(text: Column) -> Column:
     return words(bare)
 
 
-def shingles(held: Column) -> Column:
-    """Hash of each run of five words, one hash of all words for a shorter text, none for no words."""
-    n = F.size(held)
+def shingles(held: Column, size: int) -> Column:
+    """Hash of each run of ``size`` words; none for a shorter text."""
     runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(n - (SHINGLE - 1), F.lit(1))),
-        lambda i: F.xxhash64(*[F.get(held, i + (k - 1)) for k in range(SHINGLE)]),
+        F.sequence(F.lit(1), F.greatest(F.size(held) - (size - 1), F.lit(1))),
+        lambda i: F.xxhash64(*[F.get(held, i + (k - 1)) for k in range(size)]),
     )
-    return F.when(n > 0, runs).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(held) >= size, runs).otherwise(F.array().cast("array<bigint>"))
+
+
+def own_shingles(held: Column, n_words: Column) -> Column:
+    """Shingles as an item of ``n_words`` words has them: five words each, or all of a shorter item's."""
+    found = F.array().cast("array<bigint>")
+    for size in range(1, SHINGLE + 1):
+        found = F.when(F.least(n_words, F.lit(SHINGLE)) == size, shingles(held, size)).otherwise(found)
+    return found
 
 
 def weighted_shingles(texts: DataFrame, key: list[str]) -> DataFrame:
-    """``texts(*key, words)`` as rows (*key, shingle, weight); the weight is the number of occurrences."""
-    rows = texts.select(*key, F.explode(shingles(F.col("words"))).alias("shingle"))
+    """``texts(*key, n_words, words)`` as rows (*key, shingle, weight); the weight is the number of occurrences."""
+    rows = texts.select(*key, F.explode(own_shingles(F.col("words"), F.col("n_words"))).alias("shingle"))
     return rows.groupBy(*key, "shingle").agg(F.count(F.lit(1)).alias("weight"))
 
 
@@ -71,7 +78,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
 
     Rows: doc_id, item_id, start (word of the document, from 0), n_words, distance, similarity.
 
-    1. The five-word shingles of all documents meet those of the items. A window that shares none has
+    1. The shingles of all documents meet those of the items. A window that shares none has
        similarity 0, so this loses nothing.
     2. Each meeting lays an item-sized window where the two places coincide. Windows are
        fingerprinted by SimHash over their weighted shingles, as are the items.
@@ -79,7 +86,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     4. Pairs within it whose weighted Jaccard similarity, sum of least over sum of greatest weights,
        is at least ``threshold`` are returned.
 
-    An item or document without words matches nothing; one of fewer than five words has one shingle.
+    An item or document without words matches nothing. An item of fewer than five words is one
+    shingle of all its words, and is looked for as such.
     Null ids stay null. Repeated rows of a document give one row per window. Empty tables give no
     rows; other columns are ignored.
     """
@@ -92,14 +100,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
         "leak-items",
     )
     item_shingles = written(
-        items.select("item", "n_words", F.posexplode(shingles(F.col("words"))).alias("item_at", "shingle")), "leak-shingles"
+        items.select(
+            "item", "n_words", F.posexplode(own_shingles(F.col("words"), F.col("n_words"))).alias("item_at", "shingle")
+        ),
+        "leak-shingles",
     )
+    sizes = [r["size"] for r in items.select(F.least("n_words", F.lit(SHINGLE)).alias("size")).distinct().collect()]
+
     wanted = F.broadcast(item_shingles) if item_shingles.count() <= BROADCAST_SHINGLES else item_shingles
 
     row = F.xxhash64(F.col("doc_id"), F.col("text")).alias("row")
-    spread = docs.select("doc_id", row, plain_words(F.col("text")).alias("words")).select(
-        "doc_id", "row", F.size("words").alias("doc_words"), F.posexplode(shingles(F.col("words"))).alias("at", "shingle")
-    )
+    split = docs.select("doc_id", row, plain_words(F.col("text")).alias("words"))
+    runs = F.flatten(F.array(*[
+        F.transform(shingles(F.col("words"), k), lambda h, i: F.struct(i.alias("at"), h.alias("shingle"))) for k in sizes
+    ])) if len(sizes) > 1 else None
+    counted = split.select("row", F.size("words").alias("doc_words"), "words")
+    if runs is None:  # all items have five words or more, as a rule
+        places = F.posexplode(shingles(F.col("words"), (sizes or [SHINGLE])[0])).alias("at", "shingle")
+    else:
+        places = F.inline(runs)
+    spread = counted.select("row", "doc_words", places)
     met = spread.join(wanted, "shingle")
     last = F.greatest(F.col("doc_words") - F.col("n_words"), F.lit(0))
     start = F.least(F.greatest(F.col("at") - F.col("item_at"), F.lit(0)), last)

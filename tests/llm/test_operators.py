@@ -1,0 +1,433 @@
+"""Each corpus operator against brute force on a small fixture of odd rows, and on an empty table."""
+
+import itertools
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from llm_helpers import plain_ppm, prose
+from tokenizers import Tokenizer
+
+from starload.llm import (
+    chat, decontamination, lm_score, mixing, near_dedup, quality, queries, sharding, token_codec, token_output, toxicity,
+    url_filter,
+)
+
+
+
+def got(df) -> list[dict]:
+    return [r.asDict() for r in df.collect()]
+
+
+# -- 1 ------------------------------------------------------------------------------------------
+
+
+def test_leaks(spark, odd, none):
+    item = prose(8, 30)
+    near = item.split()
+    near[3] = "changed"
+    bench = spark.createDataFrame([(0, item), (1, None), (2, ""), (3, "Only, three words"), (None, prose(4, 40))], "item_id long, text string")
+    extra = [(100, prose(9, 20) + " " + item.upper() + ". " + prose(10, 9)), (101, " ".join(near[:28] + near[29:])),
+             (102, " ".join(near)), (103, "x only three words y"), (104, prose(11, 50))]
+    more = spark.createDataFrame([(i, t, None, None, None, 1, "r", 1, "w", 1) for i, t in extra], odd.schema)
+    docs = odd.unionByName(more)
+    found = {(r["doc_id"], r["item_id"]): r for r in got(decontamination.leaks(docs, bench))}
+    # item 0 whole in 100; in 102 one of 30 words differs: 22 of 26 shingles are shared, 22 / 30 < 0.8
+    assert set(found) == {(100, 0), (103, 3), (None, None)}
+    assert found[100, 0]["start"] == 20 and found[100, 0]["similarity"] == 1.0
+    loose = {r["doc_id"] for r in got(decontamination.leaks(docs, bench, threshold=0.7))}
+    assert 102 in loose and 104 not in loose
+    assert decontamination.leaks(none, bench).count() == 0
+    assert decontamination.leaks(odd, bench.limit(0)).count() == 0
+    kept = decontamination.keep_clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert kept.count() == docs.count() - 3
+
+
+def test_blocks_find_all_within_radius(spark):
+    rng = np.random.default_rng(3)
+    a = int(rng.integers(-(2**62), 2**62))
+    for distance in (0, 1, 20):
+        b = a
+        for bit in rng.choice(63, distance, replace=False):
+            b ^= 1 << int(bit)
+        row = spark.range(1).select(decontamination.blocks(F.lit(a), 20).alias("a"), decontamination.blocks(F.lit(b), 20).alias("b")).first()
+        assert len(row["a"]) == 21 and any(x == y for x, y in zip(row["a"], row["b"]))
+
+
+# -- 2 ------------------------------------------------------------------------------------------
+
+
+def filled(sizes, weights, share, cap):
+    """Targets by repeated sharing."""
+    capped, budget = set(), share * sum(sizes)
+    while True:
+        left = budget - sum(cap * sizes[i] for i in capped)
+        free = [i for i in range(len(sizes)) if i not in capped]
+        level = left / sum(weights[i] for i in free) if free else 0
+        over = {i for i in free if level * weights[i] > cap * sizes[i]}
+        if not over:
+            return [cap * sizes[i] if i in capped else level * weights[i] for i in range(len(sizes))]
+        capped |= over
+
+
+@pytest.mark.parametrize("sizes", [[100, 10, 1, 300, 5], [7], [50, 50, 50, 50], [0, 10, 1000]])
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "source string, size long")
+    found = sorted(mixing.source_targets(rows).collect(), key=lambda r: r["source"])
+    weights = [mixing.WEIGHTS[i % 3] for i in range(len(sizes))]
+    assert [r["target"] for r in found] == pytest.approx(filled(sizes, weights, 1.5, 2.0))
+
+
+def test_mix(spark, odd, none):
+    rows = got(mixing.mix(odd))
+    assert len(rows) == odd.count()
+    assert rows_key(rows) == rows_key(got(mixing.mix(odd.repartition(7))))
+    assert all(0 <= r["copies"] <= 2 for r in rows)
+    assert mixing.mix(none).count() == 0
+    mixed = mixing.mixed_rows(odd)
+    assert mixed.columns == odd.columns and mixed.count() == sum(r["copies"] for r in rows)
+
+
+def rows_key(rows):
+    return sorted((str(r["doc_id"]), str(r["source"]), r["size"], r["copies"]) for r in rows)
+
+
+def test_mix_meets_targets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(mixing, "MERGED_BLOCKS", 4)
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), F.col("id") % 7)).alias("source"),
+        (F.pmod(F.xxhash64("id"), F.lit(500)) + 1).alias("given"),
+    )
+    rows = got(mixing.mix(docs, size=F.col("given")))
+    assert len(rows) == 6000
+    for source in {r["source"] for r in rows}:
+        own = [r for r in rows if r["source"] == source]
+        taken = sum(r["size"] * r["copies"] for r in own)
+        assert abs(taken - own[0]["target"]) <= 0.002 * own[0]["target"] + 50
+
+
+# -- 3 ------------------------------------------------------------------------------------------
+
+
+def test_quality(odd, none):
+    rows = got(quality.judged(odd, measures=["n_words", "n_repeat_words"]))
+    assert len(rows) == odd.count()
+    kept = {r["doc_id"] for r in rows if r["kept"]}
+    assert kept == {1, 2, 3, 4, 8, None, 11, 12}
+    assert {r["doc_id"]: r["n_repeat_words"] for r in rows}[13] == 60
+    assert quality.judged(none).count() == 0
+    good = quality.keep_good(odd)
+    assert good.columns == odd.columns and good.count() == 9
+    assert quality.keep_good(none).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_repeat_words(seed):
+    rng = np.random.default_rng(seed)
+    words = [b"w%d" % x for x in rng.integers(0, 2, 60)] + [b"z"] * int(rng.integers(0, 20))
+    m = quality.Measures(b" ".join(words).decode())
+    seen = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {p for i in range(len(words) - 7) if seen[tuple(words[i : i + 8])] > 1 for p in range(i, i + 8)}
+    assert m.n_repeat_words == len(covered)
+
+
+def test_cascade_order_changes_no_verdict(odd):
+    one = {r["doc_id"]: r["kept"] for r in got(quality.judged(odd, quality.RULES))}
+    two = {r["doc_id"]: r["kept"] for r in got(quality.judged(odd, quality.RULES[::-1]))}
+    assert one == two
+
+
+# -- 4 ------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_codec_round_trip(seed):
+    rng = np.random.default_rng(seed)
+    blocks = [
+        np.array([], np.uint16), np.zeros(300, np.uint16), rng.integers(0, 65536, 400).astype(np.uint16),
+        np.full(200, 65535, np.uint16), (rng.zipf(1.4, 500) % 50257).astype(np.uint16), np.array([7], np.uint16),
+    ]
+    coded = token_codec.encode(blocks)
+    again = token_codec.decode(coded, [len(b) for b in blocks])
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, again))
+    assert len(coded[1]) < 40
+
+
+def test_token_files(spark, odd, none, tmp_path):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    path = f"file:{tmp_path}/tokens"
+    more = spark.createDataFrame([(20, "  a  b\n\n c<|endoftext|> d'll 12,000", *[None] * 3, 1, "r", 1, "w", 1)], odd.schema)
+    docs = odd.unionByName(more)
+    token_output.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), path)
+    found = sorted(got(token_output.digests(token_output.read_tokens(spark, path))), key=lambda r: r["start"])
+    given = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    start = 0
+    for (doc_id, text), r in zip(given, found, strict=True):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (doc_id, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    token_output.write_tokens(none, public_tokenizers.path("byte_bpe_50k.json"), f"{path}-none")
+    assert token_output.read_tokens(spark, f"{path}-none").count() == 0
+
+
+# -- 5 ------------------------------------------------------------------------------------------
+
+
+def test_lm_score(odd, none):
+    rows = got(lm_score.scored(odd))
+    docs = [(r["doc_id"], (r["text"] or "").encode().translate(lm_score.UPPER_TO_LOWER)) for r in odd.collect()]
+    held = {i for i, _ in docs if zlib.crc32(str("" if i is None else i).encode()) % 7 == 2}
+    learned = [t for i, t in docs if i not in held]
+    counts = Counter(w for t in learned for w in [*t.split(), None])
+    tokens, kinds = sum(counts.values()), len(counts)
+    expected = Counter()
+    for i, t in docs:
+        words = [*t.split(), None]
+        base = sum(math.log10((counts[w] + 1) / (tokens + kinds + 1)) for w in words)
+        expected[i, i in held, len(words), sum(counts[w] > 0 for w in words), tokens, round(base, 6), round(plain_ppm(learned, t), 5)] += 1
+    assert Counter(
+        (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 5))
+        for r in rows
+    ) == expected
+    assert lm_score.scored(none).count() == 0
+
+
+def test_probabilities_sum_to_one():
+    texts = [b"abracadabra", b"abba", b"", b"banana band"]
+    keys = np.concatenate([k for k, _ in lm_score.contexts(texts)])
+    seen, n = np.unique(keys, return_counts=True)
+    width, order = lm_score.WIDTH, lm_score.ORDER
+    entries = []
+    for k in range(order + 1):
+        cut, at = np.unique(seen & ((1 << (width * (k + 1))) - 1), return_inverse=True)
+        entries.append((cut, np.bincount(at, n).astype(np.int64)))
+    entries[3] = tuple(x[entries[3][1] > 1] for x in entries[3])  # pruned as rare entries are
+    entries[4] = entries[5] = (np.array([], np.int64), np.array([], np.int64))
+    trie = lm_score.Trie(entries)
+    for context in {int(k) >> width for k in keys}:
+        every = (context << width) | np.arange(lm_score.SYMBOLS)
+        assert float((10 ** trie.log10(every)).sum()) == pytest.approx(1)
+
+
+# -- 6 ------------------------------------------------------------------------------------------
+
+
+def distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, above[j] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_automaton_is_levenshtein():
+    terms = [toxicity.Term("idiot", 2.0, False), toxicity.Term("worthless", 3.0, False), toxicity.Term("scum", 1.0, False), toxicity.Term("lowe", 4.0, True)]
+    automaton = toxicity.Automaton(terms)
+    words = ["idiot", "idot", "idioot", "ldiot", "idit", "iidiott", "worthles", "wortles", "wrthles", "wothles", "scum", "scam", "lowering",
+             "low", "", "x", "id", "worthlessxx"]
+    for word in words:
+        near = [
+            (-(0 if t.stem else distance(word, t.text)), t.weight) for t in terms
+            if (word.startswith(t.text) if t.stem else distance(word, t.text) <= t.edits)
+        ]
+        assert automaton.look_up(word) == ((max(near)[1], -max(near)[0]) if near else None), word
+
+
+def test_quotation_is_told_from_abuse():
+    automaton = toxicity.Automaton([toxicity.Term("idiot", 2.0, False)])
+    plain = toxicity.features(toxicity.tokens("you are such an idiot really"), automaton)
+    quoted = toxicity.features(toxicity.tokens('he called them "an idiot" yesterday'), automaton)
+    assert plain[0] > 0 and plain[2] == 0 and quoted[0] == 0 and quoted[2] > 0
+
+
+def test_toxicity(spark, odd, none):
+    texts = [(1000 + i, prose(i, 30) + (" you idiot" if i % 3 == 0 else "")) for i in range(300)]
+    more = spark.createDataFrame([(i, t, None, None, None, 1, "r", 1, "w", 1) for i, t in texts], odd.schema)
+    labels = spark.createDataFrame([(1000 + i, int(i % 3 == 0)) for i in range(300)] + [(None, 1), (5, None)], "doc_id long, toxic int")
+    docs = odd.unionByName(more)
+    model = toxicity.trained(docs, labels)
+    rows = {r["doc_id"]: r["score"] for r in got(toxicity.scored(docs, model))}
+    assert all((rows[1000 + i] >= 0.5) == (i % 3 == 0) for i in range(300))
+    assert rows[5] < 0.5 and rows[6] < 0.5
+    assert toxicity.scored(none, model).count() == 0
+    flat = toxicity.trained(none, labels.limit(0))
+    assert all(r["score"] == pytest.approx(1 / (1 + math.exp(3))) for r in got(toxicity.scored(odd, flat)))
+
+
+# -- 7 ------------------------------------------------------------------------------------------
+
+
+def test_differencing():
+    assert sorted(Counter(sharding.differencing([8, 7, 6, 5, 4], 2)).values()) == [2, 3]
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 1000, 300).tolist()
+    sums = Counter()
+    for size, where in zip(sizes, sharding.differencing(sizes, 8)):
+        sums[where] += size
+    assert max(sums.values()) - min(sums.values()) <= 2
+    assert sharding.differencing([], 3) == []
+
+
+@pytest.mark.parametrize("bundles", [4, 4096])
+def test_shards(odd, none, bundles):
+    rows = got(sharding.assign_shards(odd, shards=3, bundles=bundles))
+    texts = {r["doc_id"]: r["text"] or "" for r in odd.collect()}
+    assert len(rows) == odd.count()
+    for shard in range(3):
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    home = {}
+    for r in rows:
+        text = texts[r["doc_id"]]
+        assert r["size"] == len(text.encode()) + 1 and r["text_crc32"] == zlib.crc32(text.encode())
+        assert home.setdefault(text, r["shard"]) == r["shard"]
+    assert sharding.assign_shards(none).count() == 0
+
+
+# -- 8 ------------------------------------------------------------------------------------------
+
+
+def cheapest(roles: tuple) -> float:
+    """Least cost over all role choices, merges and insertions, by search over target sequences."""
+    best = {None: 0.0}  # last output role
+    order = {None: {"system", "user"}, "system": {"user"}, "user": {"assistant"}, "assistant": {"user"}}
+    for role in roles:
+        after = {}
+        for last, cost in best.items():
+            ways = [(cost, last)]
+            for first in order[last]:
+                if first != "system":
+                    ways.append((cost + 2, first))
+            for spent, state in ways:
+                for target in ("system", "user", "assistant"):
+                    relabel = 0 if target == role else 3
+                    if target in order[state]:
+                        after[target] = min(after.get(target, math.inf), spent + relabel)
+                    if target == last and state == last:
+                        after[target] = min(after.get(target, math.inf), spent + relabel + 1)
+        best = after
+    return min(cost + {None: 0, "system": 4, "user": 2, "assistant": 0}[last] for last, cost in best.items())
+
+
+def test_chat_costs_are_least():
+    names = {"system": chat.SYSTEM, "user": chat.USER, "assistant": chat.ASSISTANT, "tool": None}
+    for n in range(1, 5):
+        for roles in itertools.product(names, repeat=n):
+            out = chat.repaired([(names[r], r, "t") for r in roles], chat.START, None, True)
+            assert sum(o["cost"] for o in out) == cheapest(roles)
+            shown = [o["role"] for o in out if "merged" not in o["action"]]
+            rest = shown[1:] if shown[0] == "system" else shown
+            assert rest == ["user", "assistant"] * (len(rest) // 2)
+
+
+def test_chat_pieces(spark):
+    rng = np.random.default_rng(5)
+    roles = ["user", "assistant", "system", None, "Human"]
+    rows = [(k, i, roles[rng.integers(5)], f"t{i}" if i % 4 else None, 1) for k in (1, 2, None) for i in range(40)]
+    rows += [(3, None, "user", "x", 1), (3, 0, "user", "", 1), (3, 0, "user", "", 1)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, piece int")
+    whole, cut = got(chat.format_chats(turns, 1000)), got(chat.format_chats(turns, 7))
+    for conv in (1, 2, None):
+        def shown(found):
+            return sorted((r for r in found if r["conv_id"] == conv), key=lambda r: (r["piece"], r["position"]))
+        assert sum(r["cost"] for r in shown(whole)) == sum(r["cost"] for r in shown(cut))
+        text = "".join(r["rendered"] for r in shown(cut))
+        assert text.count("<|im_start|>") == text.count("<|im_end|>\n")
+        assert [r["source_turn"] for r in shown(cut) if r["action"] != "inserted"] == list(range(40))
+    assert len([r for r in whole if r["conv_id"] == 3 and r["action"] != "inserted"]) == 3
+    assert chat.format_chats(turns.limit(0)).count() == 0
+
+
+# -- 9 ------------------------------------------------------------------------------------------
+
+
+def jaccard(a: dict, b: dict) -> float:
+    x, y = ({k: v / sum(d.values()) for k, v in d.items()} for d in (a, b))
+    keys = x.keys() | y.keys()
+    return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in keys) for d in x.keys() & y.keys())
+
+
+def test_probability_jaccard_and_signatures():
+    rng = np.random.default_rng(2)
+    a = {int(k): int(w) for k, w in zip(range(1, 60), rng.integers(1, 4, 59))}
+    b = {k: w for k, w in a.items() if k > 8} | {k: 2 for k in range(100, 106)}
+    arrays = [(np.array(sorted(d), np.uint64), np.array([d[k] for k in sorted(d)])) for d in (a, b)]
+    exact = near_dedup.probability_jaccard(*arrays[0], *arrays[1])
+    assert exact == pytest.approx(jaccard(a, b))
+    shingles = near_dedup.mixed(np.concatenate([s for s, _ in arrays]))
+    owner = np.repeat([0, 1], [len(s) for s, _ in arrays])
+    winner = near_dedup.signatures(shingles, np.concatenate([w for _, w in arrays]).astype(float), owner, 2, 4000)
+    assert (winner[0] == winner[1]).mean() == pytest.approx(exact, abs=0.03)
+
+
+def test_near_classes(spark, odd, none):
+    family = prose(50, 120).split()
+    extra = []
+    for i in range(60):
+        words = list(family)
+        for k in np.random.default_rng(i).choice(120, i % 7, replace=False):
+            words[k] = f"m{i}x{k}"
+        extra.append((200 + i, " ".join(words)))
+    more = spark.createDataFrame([(i, t, None, None, None, 1, "r", 1, "w", 1) for i, t in extra], odd.schema)
+    docs = odd.unionByName(more)
+    rows = got(near_dedup.classes(docs))
+    assert len(rows) == docs.count()
+    held = [(r["doc_id"], tuple((r["text"] or "").split())) for r in docs.collect()]
+    grams = {w: Counter(w[i : i + 5] for i in range(max(len(w) - 4, 1))) if w else Counter() for _, w in held}
+    texts = list(grams)
+    root = {w: w for w in texts}
+
+    def find(w):
+        while root[w] != w:
+            w = root[w]
+        return w
+
+    for a, b in itertools.combinations(texts, 2):
+        if grams[a].keys() & grams[b].keys() and jaccard(grams[a], grams[b]) >= 0.8:
+            root[find(a)] = find(b)
+    least = {}
+    for i, w in held:
+        if i is not None:
+            least[find(w)] = min(i, least.get(find(w), i))
+    assert Counter((r["doc_id"], r["class_id"]) for r in rows) == Counter((i, least.get(find(w))) for i, w in held)
+    kept = near_dedup.keep_first(docs)
+    assert kept.columns == docs.columns and kept.count() == len({find(w) for w in texts})
+    assert near_dedup.classes(none).count() == 0
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
+    found = {r["node"]: r["root"] for r in near_dedup.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert found == {i: 0 for i in range(1, 41)} | {95: 90, 100: 90}
+
+
+# -- 10 -----------------------------------------------------------------------------------------
+
+
+def test_urls(spark):
+    urls = [None, "", "nourl", "http://A.example.ORG/es/1?x", "https://example.org/en/12#f", "http://org", "http://x.com/fr/",
+            "http://x.com/de/a", "http://x.net/?utm_source=1", "http://x.net/?utm_source=1", "http://y.net/", "http://xorg/", "a://b://c/d"]
+    pages = spark.createDataFrame([(i, u, "h", "p") for i, u in enumerate(urls)], "page_id long, url string, host string, path string")
+    rows = {r["page_id"]: r for r in got(url_filter.judge_urls(pages, queries.URL_RULES, url_filter.tracking_hosts(pages)))}
+    assert [rows[i]["rule"] for i in range(len(urls))] == [
+        None, None, None, "example.org/es/", "example.org/en/1", None, "com/fr/", "com/de/", None, None, None, None, None]
+    assert [rows[i]["verdict"] for i in (3, 4, 5, 6, 7, 8, 9, 10)] == ["block", "block", "allow", "allow", "block", "block", "block", "allow"]
+    assert (rows[3]["host"], rows[3]["path"], rows[12]["host"], rows[12]["path"]) == ("a.example.org", "/es/1", "b:", "//c/d")
+    assert url_filter.judge_urls(pages.limit(0), queries.URL_RULES, url_filter.tracking_hosts(pages.limit(0))).count() == 0
+
+
+def test_cascade_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "FIRST_RATE", 0.3)
+    universe = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.where("xxhash64(key) % 5 = 0").union(spark.createDataFrame([("elsewhere",)], "key string"))
+    cascade = url_filter.Cascade(listed, universe)
+    assert len(cascade.levels) > 2
+    assert universe.where(cascade.listed(F.col("key")) != F.expr("xxhash64(key) % 5 = 0")).isEmpty()
