@@ -47,6 +47,11 @@ def parser() -> argparse.ArgumentParser:
     back.add_argument("table", choices=TABLES)
     back.add_argument("path")
     back.add_argument("--check-fk", action="store_true")
+    back.add_argument("--expected-rows", type=int, help="rows of a backup without a row count of its own")
+    back.add_argument("--trust-unverified", action="store_true", help="take what can be read of such a backup")
+
+    join = commands.add_parser("compact", help="rewrite a table of many small batches as one")
+    join.add_argument("table", choices=TABLES)
     return top
 
 
@@ -64,8 +69,10 @@ def run(warehouse: Warehouse, args: argparse.Namespace) -> None:
     elif args.command == "backup":
         for name in args.table:
             print(name, backup(warehouse, name, args.folder))
+    elif args.command == "compact":
+        warehouse.compact(args.table)
     else:
-        print(restore(warehouse, args.table, args.path, args.check_fk))
+        print(restore(warehouse, args.table, args.path, args.check_fk, args.expected_rows, args.trust_unverified))
 
 
 def _report(warehouse: Warehouse, kind: str, year: int) -> DataFrame:

@@ -10,15 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-BROADCAST_FILES = 100_000
-"""Files whose first keys are sent to every executor, some 15 MB at most; more are joined by shuffle."""
-
-
-def _task_order(file_name: str) -> tuple[int, int]:
-    """Number of the writing task, then the number of the file within it."""
-    part = re.match(r"part-(\d+)-", file_name)
-    piece = re.search(r"[-.]c(\d+)\.", file_name)
-    return int(part.group(1)), int(piece.group(1)) if piece else 0
+def _task_order(path: str) -> tuple[int, int, str]:
+    """Number of the writing task, of the file within it, then the path; other committers' names go by path alone."""
+    name = path.rsplit("/", 1)[-1]
+    part = re.match(r"part-(\d+)-", name)
+    piece = re.search(r"[-.]c(\d+)\.", name)
+    return int(part.group(1)) if part else 0, int(piece.group(1)) if piece else 0, path
 
 
 def number_rows(
@@ -32,7 +29,7 @@ def number_rows(
     file, never a row, and turns the counts into the first key of each file.
     """
     dtype = dtype or T.LongType()
-    file = F.col("_metadata.file_name")
+    file = F.col("_metadata.file_path")
     sizes = stored.groupBy(file.alias("_file")).agg(F.count(F.lit(1)).alias("n")).collect()
     sizes.sort(key=lambda r: _task_order(r["_file"]))
     total = sum(r["n"] for r in sizes)
@@ -43,8 +40,6 @@ def number_rows(
     offsets = stored.sparkSession.createDataFrame(
         [(r["_file"], start) for r, start in zip(sizes, starts)], "_file string, _start bigint"
     )
-    if len(sizes) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
     placed = stored.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     numbered = placed.join(offsets, "_file").withColumn(column, (F.col("_start") + F.col("_row")).cast(dtype))
     return numbered.drop("_file", "_row", "_start"), after + total

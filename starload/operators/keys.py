@@ -53,6 +53,6 @@ def present_keys(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     return in_range.join(incoming.select(key).distinct(), key, "left_semi").distinct()
 
 
-def absent_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def absent_rows(incoming: DataFrame, stored: DataFrame, key: str, scratch: str | None = None) -> DataFrame:
     """Rows of ``incoming`` whose key is not stored; stored rows win."""
-    return incoming.join(written(present_keys(stored, incoming, key), "present-keys"), key, "left_anti")
+    return incoming.join(written(present_keys(stored, incoming, key), "present-keys", scratch), key, "left_anti")

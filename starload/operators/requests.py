@@ -21,10 +21,10 @@ def request_sizes(rows: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return sizes.withColumn("refused", F.col("rows") > max_rows)
 
 
-def with_request_status(rows: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def with_request_status(rows: DataFrame, max_rows: int = MAX_ROWS, scratch: str | None = None) -> DataFrame:
     """Add ``request_status``. The ids of oversized requests are written first, then joined back."""
     refused = request_sizes(rows, max_rows).where("refused").select(F.col("request_id").alias("_over"))
-    over = written(refused, "refused-requests")
+    over = written(refused, "refused-requests", scratch)
     joined = rows.join(over, rows["request_id"] == over["_over"], "left")
     status = F.when(F.col("_over").isNotNull(), F.lit(TOO_MANY_ROWS)).otherwise(F.lit(OK))
     return joined.withColumn("request_status", status).drop("_over")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -37,7 +38,7 @@ def ingest_requests(
     warehouse: Warehouse, table: str, requests: DataFrame, batch_id: str | None = None, max_rows: int = MAX_ROWS
 ) -> IngestResult:
     """Ingest JSON requests, a DataFrame of ``request_id, body``."""
-    return _ingest(warehouse, table, request_rows(requests, warehouse.specs[table], max_rows), batch_id)
+    return _ingest(warehouse, table, lambda run: request_rows(requests, warehouse.specs[table], max_rows), batch_id)
 
 
 def ingest(
@@ -45,16 +46,21 @@ def ingest(
 ) -> IngestResult:
     """Ingest rows of ``request_id, ordinal`` and the table's request fields."""
     fields = [F.col(f.name).cast(f.dataType) for f in judged_schema(warehouse.specs[table]) if f.name in rows.columns]
-    return _ingest(warehouse, table, with_request_status(rows.select(*fields), max_rows), batch_id)
+    return _ingest(warehouse, table, lambda run: with_request_status(rows.select(*fields), max_rows, run), batch_id)
 
 
-def _ingest(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str | None) -> IngestResult:
-    """Store a batch unless its id is already stored, and hand out what was kept of it."""
+def _ingest(
+    warehouse: Warehouse, table: str, rows: Callable[[str], DataFrame], batch_id: str | None
+) -> IngestResult:
+    """Store a batch unless its id is already stored, and hand out what was kept of it.
+
+    ``rows`` gets the run's staging folder, and is not asked for a batch that is there already.
+    """
     batch_id = batch_id or f"ingest-{uuid.uuid4().hex}"
     if not warehouse.has_batch(table, batch_id):
         run = warehouse.staging(batch_id)
         try:
-            _store(warehouse, table, rows, batch_id, run)
+            _store(warehouse, table, rows(run), batch_id, run)
         finally:
             warehouse.clear(run)
     return IngestResult(

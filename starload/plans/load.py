@@ -84,13 +84,13 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
                   logged_at: datetime, run: str) -> str:
     """Write the judged rows under ``verdict=accepted`` and ``verdict=rejected`` and return the folder.
 
-    The text is read once, into Parquet. The key rules then read a few columns of that, and the
-    final write is the only time whole rows are shuffled.
+    The typed lines are written once, with their text, so that every rejected line keeps it. The key
+    rules read a few columns of that; the joins on the key and the final write shuffle whole rows.
     """
     parents = {fk.parent: _parent_rows(warehouse, fk.parent, staged) for fk in spec.foreign_keys}
     first_pass = warehouse.staging(f"{spec.name}-lines", run)
     judged = judge_loaded_rows(lines, spec, parents, run)
-    judged.withColumn("line", F.when(F.col("reason_code").isNotNull(), F.col("line"))).write.parquet(first_pass)
+    judged.write.parquet(first_pass)
 
     rows = warehouse.spark.read.parquet(first_pass)
     valid = rows.where(F.col("reason_code").isNull())
@@ -108,7 +108,7 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
     rejected = F.col("reason_code").isNotNull()
     out = rows.withColumn("reason_code", code).select(
         *spec.columns,
-        "line",
+        F.when(rejected, F.col("line")).alias("line"),
         "reason_code",
         F.when(rejected, F.col("src_file")).alias("src_file"),
         F.when(rejected, F.lit(logged_at).cast("timestamp_ntz")).alias("logged_at"),

@@ -6,14 +6,14 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starload.files import Files
-from starload.functions.times import datetime_text, parse_datetime
+from starload.functions.times import datetime_text, parse_datetime, to_seconds
 from starload.operators.constraints import audit
-from starload.sources.avro import check_complete, read_avro, write_avro
+from starload.sources.avro import container_files, read_avro, write_avro
 from starload.spec import TableSpec
 from starload.warehouse import Warehouse
 
@@ -60,7 +60,7 @@ def write_snapshot(rows: DataFrame, spec: TableSpec, target: str) -> str:
     parent, name = target.rsplit("/", 1)
     staged = f"{parent}/_{name}-{uuid.uuid4().hex}"
     texts = [
-        datetime_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
+        _whole_seconds_text(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
         for f in spec.schema
     ]
     try:
@@ -73,22 +73,40 @@ def write_snapshot(rows: DataFrame, spec: TableSpec, target: str) -> str:
     return target
 
 
+def _whole_seconds_text(column: str) -> Column:
+    """Rounded half up; a year that four digits cannot hold fails the backup rather than the restore."""
+    rounded = to_seconds(F.col(column))
+    fits = F.year(rounded).between(0, 9999) | rounded.isNull()
+    refusal = F.raise_error(F.concat(F.lit(f"{column} cannot be kept in a snapshot: "), rounded.cast("string")))
+    return F.when(fits, datetime_text(rounded)).otherwise(refusal.cast("string")).alias(column)
+
+
 def read_snapshot(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """Rows with the declared types. Datetime text that cannot be read, such as NaT, is null."""
     return _typed(read_avro(spark, path, snapshot_schema(spec)), spec)
 
 
-def restore(warehouse: Warehouse, table: str, path: str, check_fk: bool = False) -> RestoreReport:
+def restore(
+    warehouse: Warehouse, table: str, path: str, check_fk: bool = False, expected_rows: int | None = None,
+    trust_unverified: bool = False,
+) -> RestoreReport:
     """Replace the table by a snapshot; on any failure the table stays as it was.
 
     The rows are staged with the declared types and must keep the declared key, NOT NULL and length
     rules. Foreign keys are not a condition, since parents may be restored later: ``check_fk``
     counts the orphans.
+
+    Avro readers take a file cut short at a block for its end, so the rows are counted against the
+    snapshot's manifest. One without a manifest needs ``expected_rows``, or ``trust_unverified`` to take
+    what can be read.
     """
     spark, spec = warehouse.spark, warehouse.specs[table]
+    container_files(spark, path)
     expected = _manifest_rows(spark, path)
     if expected is None:
-        check_complete(spark, path)
+        expected = expected_rows
+    if expected is None and not trust_unverified:
+        raise ValueError(f"{path} has no row count: give expected_rows, or trust_unverified=True to take what is there")
     run = warehouse.staging(f"restore-{table}")
     try:
         raw = read_avro(spark, path, snapshot_schema(spec))

@@ -54,41 +54,3 @@ def container_files(spark: SparkSession, path: str) -> list[str]:
     if not found:
         raise FileNotFoundError(f"no .avro file in {path}")
     return found
-
-
-def check_complete(spark: SparkSession, path: str) -> None:
-    """Raise when a container file does not end with its own sync marker.
-
-    Avro readers take a file cut short for its end and say nothing. Snapshots with a row count do
-    not need this; it looks at the first and last bytes of each file from the driver.
-    """
-    files = Files(spark)
-    for file in container_files(spark, path):
-        size = files.size(file)
-        marker = _sync_marker(files.read(file, 0, min(size, 1 << 20)))
-        if files.read(file, max(size - 16, 0), min(size, 16)) != marker:
-            raise ValueError(f"{file} is cut short")
-
-
-def _sync_marker(head: bytes) -> bytes:
-    """The 16 bytes after the header's metadata, a map of text to bytes in counted runs."""
-    at = 4
-
-    def number() -> int:
-        nonlocal at
-        value = shift = 0
-        while True:
-            byte = head[at]
-            at += 1
-            value |= (byte & 0x7F) << shift
-            shift += 7
-            if byte < 0x80:
-                return (value >> 1) ^ -(value & 1)
-
-    while count := number():
-        if count < 0:
-            number()
-        for _ in range(2 * abs(count)):
-            length = number()
-            at += length
-    return head[at : at + 16]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from starload.functions.text import null_if_empty, read_fields
 from starload.functions.times import parse_datetime
 from starload.spec import TableSpec
 
-POSITION = ["src_file", "src_block", "src_line"]
-"""Order of the lines over all files: file path, split of the file, line within the split's task."""
+POSITION = ["src_rank", "src_file", "src_block", "src_line"]
+"""Order of the lines over all files: place in the caller's list, file path, split of the file, line within the
+split's task."""
 
 
 def read_delimited(
@@ -26,11 +28,15 @@ def read_delimited(
     csv source does not. A value that cannot be read becomes null and is flagged. Missing fields are
     null; fields beyond the last column are counted and dropped.
     """
+    given = [
+        spark.read.option("lineSep", line_sep).text(path).select("value", "_metadata", F.lit(rank).alias("src_rank"))
+        for rank, path in enumerate([paths] if isinstance(paths, str) else paths)
+    ]
     lines = (
-        spark.read.option("lineSep", line_sep)
-        .text([paths] if isinstance(paths, str) else list(paths))
+        reduce(DataFrame.unionByName, given)
         .select(
             F.col("value").alias("line"),
+            "src_rank",
             F.col("_metadata.file_path").alias("src_file"),
             F.col("_metadata.file_block_start").alias("src_block"),
             F.monotonically_increasing_id().alias("src_line"),

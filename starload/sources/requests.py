@@ -14,24 +14,30 @@ RECORDS_FIELD = "registros"
 """Fixed value: the field of the request that holds its rows."""
 
 
-def request_lines(lines: DataFrame) -> DataFrame:
-    """Body and place of text lines read from files, batch or stream."""
+def request_lines(lines: DataFrame, whole_files: bool = False) -> DataFrame:
+    """Body and place of text lines read from files, batch or stream. A blank line is no request, a blank file is."""
+    if not whole_files:
+        lines = lines.where(F.trim("value") != "")
     return lines.select(
         F.col("value").alias("body"),
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
 
 
 def with_request_ids(lines: DataFrame) -> DataFrame:
-    """``request_id`` and ``body``; the id is the place of the line, so equal bodies stay two requests."""
+    """``request_id`` and ``body``; the id is the file's path, the split and a number rising with the line.
+
+    Equal bodies stay two requests, as do files of one name in several folders.
+    """
     line_no = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
     return lines.select(F.format_string("%s#%d-%d", "file", "block", line_no).alias("request_id"), "body")
 
 
 def read_requests(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """``options`` go to the text source: ``wholetext="true"`` takes each file as one request."""
-    return with_request_ids(request_lines(spark.read.format("text").options(**options).load(path)))
+    whole_files = options.get("wholetext", "false").lower() == "true"
+    return with_request_ids(request_lines(spark.read.format("text").options(**options).load(path), whole_files))
 
 
 def request_rows(requests: DataFrame, spec: TableSpec, max_rows: int = MAX_ROWS) -> DataFrame:

@@ -31,7 +31,8 @@ def ingest_stream(
     after a failure finds the batch published and adds nothing.
     """
     warehouse.create()
-    lines = request_lines(warehouse.spark.readStream.format("text").options(**source_options).load(folder))
+    whole_files = source_options.get("wholetext", "false").lower() == "true"
+    lines = request_lines(warehouse.spark.readStream.format("text").options(**source_options).load(folder), whole_files)
 
     def store(batch: DataFrame, number: int) -> None:
         batch_id = f"{_query_id(warehouse, checkpoint)}-{number}"

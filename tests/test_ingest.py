@@ -163,6 +163,23 @@ def test_requests_from_files_have_distinct_ids(spark, tmp_path):
     assert read.select("request_id").distinct().count() == 4
 
 
+def test_files_of_one_name_and_blank_lines(spark, tmp_path):
+    for day in (1, 2):
+        (tmp_path / f"day={day}").mkdir()
+        (tmp_path / f"day={day}/req.json").write_text(request(hire(), hire()) + "\n\n")
+    read = read_requests(spark, f"file:{tmp_path}")
+    assert read.count() == read.select("request_id").distinct().count() == 2
+
+
+def test_a_replay_reads_nothing_and_leaves_no_scratch(spark, root):
+    warehouse = stored_star(spark, root)
+    schema = "request_id string, ordinal int, name string, hire_datetime string, department_id bigint, job_id bigint"
+    given = spark.createDataFrame([("a", 0, "Ann", "2021-05-05 01:02:03", 1, 1)], schema)
+    ingest(warehouse, "hired_employees", given, "one")
+    assert ingest(warehouse, "hired_employees", given.where(F.raise_error(F.lit("read")).cast("boolean")), "one").accepted.count() == 1
+    assert warehouse.files.names(f"{root}/staging") == []
+
+
 def test_a_request_over_several_lines(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"registros": [hire(), hire()]}, indent=2))
     read = read_requests(spark, f"file:{tmp_path}", wholetext="true")

@@ -148,3 +148,11 @@ def test_fact_waits_for_its_parents(spark, root):
     warehouse = Warehouse(spark, root)
     waves = load_module._waves(warehouse, {name: "" for name in warehouse.specs})
     assert [sorted(s.name for s in wave) for wave in waves] == [["departments", "jobs"], ["hired_employees"]]
+
+
+def test_the_callers_list_decides_which_line_is_first(spark, root, tmp_path):
+    paths = [history_file(tmp_path, "z.csv", ["1,of z"]), history_file(tmp_path, "a.csv", ["1,of a", "2,more"])]
+    warehouse = Warehouse(spark, root)
+    load_history(warehouse, {"jobs": paths})
+    assert rows(warehouse.read("jobs")) == [(1, "of z"), (2, "more")]
+    assert [r["line"] for r in warehouse.log("jobs", REJECTED_LINES).collect()] == ["1,of a"]

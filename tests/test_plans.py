@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from catalogue.tables import departments, fact, jobs
 from starload.operators.foreign_keys import with_parent_flag
-from starload.operators import ids
 from starload.operators.ids import assign_ids, number_rows
 from starload.operators.keys import first_by_key, present_keys
 from starload.plans.reports import above_mean_groups, quarterly_counts
@@ -110,12 +109,16 @@ def test_numbering_does_not_shuffle_the_rows(spark, root):
     assert "Exchange hashpartitioning" not in text
 
 
-def test_numbering_by_shuffle_gives_the_same(spark, root, monkeypatch):
+def test_numbering_by_shuffle_gives_the_same(spark, root):
     spark.range(1000).repartition(5).write.parquet(f"{root}/n")
     stored = spark.read.parquet(f"{root}/n")
     expected = number_rows(stored, "key")[0].collect()
-    monkeypatch.setattr(ids, "BROADCAST_FILES", 0)
-    assert sorted(number_rows(stored, "key")[0].collect()) == sorted(expected)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(number_rows(stored, "key")[0].collect()) == sorted(expected)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_lookup_of_stored_keys_skips_files_and_sends_the_small_side(spark, root):

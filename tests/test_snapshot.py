@@ -123,7 +123,7 @@ def test_snapshot_of_the_old_tool(spark, root):
         [(1, "a", "NaT", 1, 1), (2, "b", "2021-02-03", None, 2), (3, None, "2021-02-03 04:05:06", 9, 1), (4, "d", "garbage", 1, 8)],
     )
     name = next(n for n in warehouse.files.names(folder) if n.endswith(".avro"))
-    report = restore(warehouse, TABLE, f"{folder}/{name}", check_fk=True)
+    report = restore(warehouse, TABLE, f"{folder}/{name}", check_fk=True, trust_unverified=True)
     assert (report.rows, report.unreadable, report.orphans) == (4, {"hire_datetime": 2}, 2)
     assert rows(warehouse.read(TABLE)) == [
         (1, "a", None, 1, 1), (2, "b", datetime(2021, 2, 3), None, 2),
@@ -153,7 +153,7 @@ def test_restore_replaces_and_ids_go_on_from_it(spark, root):
 def test_snapshot_that_breaks_a_rule_leaves_the_table(spark, root, records, rule):
     warehouse = stored_star(spark, root, hires=HIRES[:1])
     with pytest.raises(ValueError, match=rule):
-        restore(warehouse, TABLE, old_snapshot(spark, f"{root}/old", records))
+        restore(warehouse, TABLE, old_snapshot(spark, f"{root}/old", records), trust_unverified=True)
     assert warehouse.read(TABLE).count() == 1
 
 
@@ -165,8 +165,10 @@ def test_damaged_missing_and_incomplete_snapshots_leave_the_table(spark, root, t
 
     damaged = tmp_path / "damaged.avro"
     damaged.write_bytes(open(f"{folder}/{names[0]}", "rb").read()[:-30])
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError, match="no row count"):
         restore(warehouse, TABLE, f"file:{damaged}")
+    with pytest.raises(Exception):
+        restore(warehouse, TABLE, f"file:{damaged}", trust_unverified=True)
     with pytest.raises(FileNotFoundError):
         restore(warehouse, TABLE, f"{root}/nothing")
     warehouse.files.move(f"{path}/{names[0]}", f"{root}/elsewhere.avro")
@@ -189,3 +191,39 @@ def test_parents_may_be_restored_after_the_fact(spark, root):
     for name in (DEPARTMENTS.name, JOBS.name):
         restore(warehouse, name, paths[name])
     assert rows(warehouse.read("departments")) == [(1, "Sales"), (2, "Legal")]
+
+
+def test_snapshot_cut_at_a_block_is_found_by_the_count(spark, root, tmp_path):
+    warehouse = stored_star(spark, root, hires=HIRES[:1])
+    many = spark.range(1, 40_001).select(
+        F.col("id").cast("int"), F.lit("a longer name of an employee").alias("name"), F.lit(AT).cast("timestamp_ntz").alias("hire_datetime"),
+        F.lit(1).alias("department_id"), F.lit(1).alias("job_id"),
+    )
+    schema = snapshot_schema(HIRED_EMPLOYEES)
+    texts = many.withColumn("hire_datetime", F.col("hire_datetime").cast("string"))
+    write_avro(texts.coalesce(1), f"{root}/big", TABLE, schema)
+    name = next(n for n in warehouse.files.names(f"{root}/big") if n.endswith(".avro"))
+    data = open(f"{root}/big/{name}".removeprefix("file:"), "rb").read()
+    marker = data[-16:]
+    cut = data[: data.rindex(marker, 0, len(data) - 16) + 16]  # ends with the marker of the last but one block
+    (tmp_path / "cut.avro").write_bytes(cut)
+    path = f"file:{tmp_path}/cut.avro"
+    with pytest.raises(ValueError, match="no row count"):
+        restore(warehouse, TABLE, path)
+    with pytest.raises(ValueError, match="40000 were written"):
+        restore(warehouse, TABLE, path, expected_rows=40_000)
+    assert warehouse.read(TABLE).count() == 1
+    assert restore(warehouse, TABLE, path, trust_unverified=True).rows < 40_000
+
+
+def test_fractions_round_and_far_years_are_refused(spark, root):
+    warehouse = stored_star(spark, root)
+    schema = warehouse.read(TABLE).schema
+    given = [(1, "a", datetime(2021, 1, 1, 0, 0, 0, 900_000), 1, 1), (2, "b", None, 1, 1)]
+    warehouse.publish(TABLE, warehouse.stage(TABLE, spark.createDataFrame(given, schema)), "given")
+    restore(warehouse, TABLE, backup(warehouse, TABLE, f"{root}/backups", NOW))
+    assert rows(warehouse.read(TABLE))[0][2] == datetime(2021, 1, 1, 0, 0, 1)
+    far = spark.createDataFrame(given[:1], schema).withColumn("hire_datetime", F.expr("timestamp_ntz'2021-01-01' + interval '10000' year"))
+    warehouse.publish(TABLE, warehouse.stage(TABLE, far), "far")
+    with pytest.raises(Exception, match="cannot be kept"):
+        backup(warehouse, TABLE, f"{root}/later", NOW)
