@@ -181,18 +181,20 @@ def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     Rows meet their copies by id, source and size; rows equal in all three are counted off against
     each other.
     """
-    same = W.partitionBy("_id", "_source", "_size").orderBy("_size")
-    decided = mix(docs, **how).where(F.col("copies") > 0).select(
+    # One key for the numbering and the join: the texts are shuffled once.
+    named = W.partitionBy("_key").orderBy("_id", "_source", "_size")
+    key = F.xxhash64("_id", "_source", "_size").alias("_key")
+    decided = mix(docs, **how).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
-    )
-    decided = decided.withColumn("_nth", F.row_number().over(same.orderBy(F.desc("copies"))))
+    ).select("*", key)
+    decided = decided.withColumn("_nth", F.row_number().over(named.orderBy("_id", "_source", "_size", F.desc("copies"))))
     left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).select(
         "_row", F.col("_row.doc_id").alias("_id"), F.col("_row.source").alias("_source"),
         F.size(words(F.col("_row.text"))).cast("long").alias("_size"),
-    )
-    left = left.withColumn("_nth", F.row_number().over(same)).alias("l")
-    right = decided.alias("r")
-    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("_id", "_source", "_size", "_nth")]
+    ).select("*", key)
+    left = left.withColumn("_nth", F.row_number().over(named)).alias("l")
+    right = decided.select("_key", "_nth", "copies").where(F.col("copies") > 0).alias("r")
+    on = (F.col("l._key") == F.col("r._key")) & (F.col("l._nth") <= F.col("r._nth")) & (F.col("l._nth") >= F.col("r._nth"))
     taken = left.join(right, on).select(
         F.col("l._row").alias("_row"), F.explode(F.sequence(F.lit(1), F.col("r.copies"))).alias("_copy")
     )
