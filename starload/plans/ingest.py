@@ -17,10 +17,11 @@ from starload.operators.judge import judge_request_rows
 from starload.operators.requests import MAX_ROWS, summarize, with_request_status
 from starload.sources.requests import request_rows
 from starload.spec import TableSpec
-from starload.warehouse import Warehouse
+from starload.warehouse import Batch, ConcurrentWrite, Warehouse
 
 REJECTED_ROWS = "rejected_rows"
 REQUESTS = "requests"
+TO_NUMBER, EMPTY = "to_number", "empty"
 SUMMARY_SCHEMA = "request_id string, status string, inserted bigint, failed bigint"
 
 
@@ -52,7 +53,9 @@ def ingest(
 def _ingest(
     warehouse: Warehouse, table: str, rows: Callable[[str], DataFrame], batch_id: str | None
 ) -> IngestResult:
-    """Store a batch unless its id is already stored, and hand out what was kept of it.
+    """Store a batch unless the table holds it already, and hand out what was kept of it.
+
+    ``accepted`` is empty for a replay whose rows have been joined with others by a rewrite of the table.
 
     ``rows`` gets the run's staging folder, and is not asked for a batch that is there already.
     """
@@ -72,38 +75,61 @@ def _ingest(
 
 
 def _store(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str, run: str) -> None:
-    """Judge once into a staging folder split by verdict; ids, append and summary all come from there.
+    """Judge once into the batch's own folder, split by verdict; ids, rows and summary all come from there.
 
-    The rows are published last, so the batch in the table marks the whole batch as done: a replay
-    after a failure in between replaces the logs and stores nothing twice.
+    One commit makes rows, rejects and summary visible together. When another writer has taken the next
+    keys first, only the numbering is done again.
     """
     spec = warehouse.specs[table]
-    path = f"{run}/judged"
+    path = warehouse.new_batch(table, batch_id)
     parents = {fk.parent: warehouse.read(fk.parent) for fk in spec.foreign_keys}
     logged_at = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
     judged = judge_request_rows(rows, spec, parents, run).withColumn("logged_at", logged_at)
     verdict = (
-        F.when(F.col("reason_code").isNotNull(), "rejected").when(F.col("ordinal").isNull(), "empty").otherwise("accepted")
-    )
-    # Sorted by verdict first, the split by folder keeps each request's rows in order of ordinal.
-    (
-        judged.withColumn("verdict", verdict)
-        .sortWithinPartitions("verdict", "request_id", "ordinal")
-        .write.partitionBy("verdict")
-        .parquet(path)
+        F.when(F.col("reason_code").isNotNull(), REJECTED_ROWS).when(F.col("ordinal").isNull(), EMPTY).otherwise(TO_NUMBER)
     )
-    read = warehouse.spark.read.schema(judged_schema(spec))
-    summarize(read.parquet(path)).write.parquet(f"{run}/requests")
-
-    accepted_path = f"{path}/verdict=accepted"
-    warehouse.files.mkdirs(accepted_path)
+    try:
+        # Sorted by verdict first, the split by folder keeps each request's rows in order of ordinal.
+        (
+            judged.withColumn("verdict", verdict)
+            .sortWithinPartitions("verdict", "request_id", "ordinal")
+            .write.partitionBy("verdict")
+            .parquet(path)
+        )
+        read = warehouse.spark.read.schema(judged_schema(spec))
+        all_kinds = read.option("basePath", path).parquet(path)
+        summarize(all_kinds).write.parquet(f"{path}/verdict={REQUESTS}")
+        to_number = f"{path}/verdict={TO_NUMBER}"
+        if warehouse.files.exists(to_number):
+            _commit_numbered(warehouse, table, read.parquet(to_number), path, batch_id)
+        else:
+            _tidy(warehouse, path)
+            warehouse.publish_all({table: Batch(path, 0)}, batch_id)
+    except BaseException:
+        warehouse.clear(path)
+        raise
+
+
+def _commit_numbered(warehouse: Warehouse, table: str, rows: DataFrame, path: str, batch_id: str) -> None:
+    spec = warehouse.specs[table]
     key_type = spec.schema[spec.key].dataType
-    numbered, last = number_rows(read.parquet(accepted_path), spec.key, warehouse.max_id(table), key_type)
-    accepted = warehouse.stage(table, _stored_row(numbered, spec), run)
-
-    warehouse.publish_log(table, REJECTED_ROWS, f"{path}/verdict=rejected", batch_id)
-    warehouse.publish_log(table, REQUESTS, f"{run}/requests", batch_id)
-    warehouse.publish(table, accepted, batch_id, last)
+    while True:
+        base = warehouse.state(table)
+        numbered, last = number_rows(rows, spec.key, base.largest, key_type)
+        warehouse.stage(table, _stored_row(numbered, spec), path)
+        try:
+            if not warehouse.publish_all({table: Batch(path, last, base)}, batch_id):
+                warehouse.clear(path)
+        except ConcurrentWrite:
+            continue
+        _tidy(warehouse, path)
+        return
+
+
+def _tidy(warehouse: Warehouse, path: str) -> None:
+    """Remove what the batch needed on the way."""
+    for kind in (TO_NUMBER, EMPTY):
+        warehouse.clear(f"{path}/verdict={kind}")
 
 
 def judged_schema(spec: TableSpec) -> T.StructType:

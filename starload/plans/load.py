@@ -17,7 +17,7 @@ from starload.operators.keys import first_positions, present_keys
 from starload.session import written
 from starload.sources.delimited import POSITION, read_delimited
 from starload.spec import TableSpec
-from starload.warehouse import Warehouse
+from starload.warehouse import ACCEPTED, Batch, Warehouse
 
 REJECTED_LINES = "rejected_lines"
 
@@ -39,12 +39,15 @@ def load_history(
     """Load every table in ``paths``, parents first; nothing is published until all are staged.
 
     The first line of a key wins, and a key already stored is skipped, so loading the same files
-    again adds nothing. Rows not stored are kept with their reason.
+    again adds nothing. Rows not stored are kept with their reason. One commit shows all tables; it is
+    refused with ``ConcurrentWrite`` when another writer has changed one of them since the load began.
     """
     batch_id = batch_id or f"load-{uuid.uuid4().hex}"
     logged_at = datetime.now(timezone.utc).replace(tzinfo=None)
     warehouse.create()
     run = warehouse.staging(batch_id)
+    before = {name: warehouse.state(name) for name in paths}
+    folders = {name: warehouse.new_batch(name, batch_id) for name in paths}
     try:
         staged: dict[str, str] = {}
         for wave in _waves(warehouse, paths):
@@ -52,13 +55,18 @@ def load_history(
                 stage = inheritable_thread_target(warehouse.spark)(
                     lambda spec: _stage_judged(
                         warehouse, spec, read_delimited(warehouse.spark, paths[spec.name], spec, **format_options),
-                        staged, logged_at, run,
+                        staged, logged_at, run, folders[spec.name],
                     )
                 )
                 staged |= dict(zip([spec.name for spec in wave], list(pool.map(stage, wave))))
         totals = {name: _totals(warehouse, name, path) for name, path in staged.items()}
-        for name, path in staged.items():
-            _publish(warehouse, name, path, batch_id, totals[name])
+        warehouse.publish_all(
+            {name: Batch(path, _largest(totals[name]), before[name]) for name, path in staged.items()}, batch_id
+        )
+    except BaseException:
+        for path in folders.values():
+            warehouse.clear(path)
+        raise
     finally:
         warehouse.clear(run)
     return LoadReport(batch_id, [row for rows in totals.values() for row in rows])
@@ -81,8 +89,8 @@ def _waves(warehouse: Warehouse, paths: Mapping[str, str | Sequence[str]]) -> li
 
 
 def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, staged: Mapping[str, str],
-                  logged_at: datetime, run: str) -> str:
-    """Write the judged rows under ``verdict=accepted`` and ``verdict=rejected`` and return the folder.
+                  logged_at: datetime, run: str, path: str) -> str:
+    """Write the judged rows to ``path``, split into accepted and rejected ones, and return it.
 
     The typed lines are written once, with their text, so that every rejected line keeps it. The key
     rules read a few columns of that; the joins on the key and the final write shuffle whole rows.
@@ -113,11 +121,10 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
         F.when(rejected, F.col("src_file")).alias("src_file"),
         F.when(rejected, F.lit(logged_at).cast("timestamp_ntz")).alias("logged_at"),
         (F.col("extra_fields") > 0).alias("has_extra_fields"),
-        F.when(rejected, F.lit("rejected")).otherwise(F.lit("accepted")).alias("verdict"),
+        F.when(rejected, F.lit(REJECTED_LINES)).otherwise(F.lit(ACCEPTED)).alias("verdict"),
     )
     out = warehouse.with_year(spec.name, out)
     folders = ["verdict"] + ([spec.year_column] if spec.year_column else [])
-    path = warehouse.staging(f"{spec.name}-judged", run)
     out.hint("rebalance", *folders).write.partitionBy(*folders).parquet(path)
     return path
 
@@ -127,7 +134,7 @@ def _parent_rows(warehouse: Warehouse, parent: str, staged: Mapping[str, str]) -
     key = warehouse.specs[parent].key
     rows = warehouse.read(parent).select(key)
     if parent in staged:
-        rows = rows.unionByName(_judged(warehouse, parent, staged[parent]).where("verdict = 'accepted'").select(key))
+        rows = rows.unionByName(_judged(warehouse, parent, staged[parent]).where(F.col("verdict") == ACCEPTED).select(key))
     return rows
 
 
@@ -150,8 +157,5 @@ def _totals(warehouse: Warehouse, name: str, path: str) -> list[Row]:
     return totals.withColumn("table", F.lit(name)).collect()
 
 
-def _publish(warehouse: Warehouse, name: str, path: str, batch_id: str, totals: list[Row]) -> None:
-    warehouse.publish_log(name, REJECTED_LINES, f"{path}/verdict=rejected", batch_id)
-    for stored in totals:
-        if stored["reason_code"] is None:
-            warehouse.publish(name, f"{path}/verdict=accepted", batch_id, stored["largest_key"])
+def _largest(totals: list[Row]) -> int:
+    return max((r["largest_key"] or 0 for r in totals if r["reason_code"] is None), default=0)

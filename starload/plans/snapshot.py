@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -15,10 +17,12 @@ from starload.functions.times import datetime_text, parse_datetime, to_seconds
 from starload.operators.constraints import audit
 from starload.sources.avro import container_files, read_avro, write_avro
 from starload.spec import TableSpec
-from starload.warehouse import Warehouse
+from starload.warehouse import ACCEPTED, Warehouse
 
 SKIPPED = "skipped"
 MANIFEST = "_manifest"
+CLAIM = "_started"
+"""Created first, so that of two backups to one folder only one goes on."""
 
 
 @dataclass(frozen=True)
@@ -43,33 +47,33 @@ def snapshot_schema(spec: TableSpec) -> T.StructType:
 def backup(warehouse: Warehouse, table: str, root: str, now: datetime | None = None) -> str:
     """Write ``<root>/<table>/<table>_backup_<time>.avro/`` and return it, or "skipped" for an empty table.
 
-    A second backup within the same second is refused. The folder appears by a rename once complete.
+    A second backup within the same second is refused. The row count, written last, marks it as complete;
+    with it go the ids of the batches whose rows it holds.
     """
     stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
     target = f"{root.rstrip('/')}/{table}/{table}_backup_{stamp}.avro"
-    return write_snapshot(warehouse.read(table), warehouse.specs[table], target)
+    state = warehouse.state(table)
+    return write_snapshot(warehouse.read(table, state=state), warehouse.specs[table], target, list(state.batches))
 
 
-def write_snapshot(rows: DataFrame, spec: TableSpec, target: str) -> str:
+def write_snapshot(rows: DataFrame, spec: TableSpec, target: str, batches: Sequence[str] = ()) -> str:
     spark = rows.sparkSession
     files = Files(spark)
     if rows.isEmpty():
         return SKIPPED
-    if files.exists(target):
+    if files.exists(target) or not files.create_new(f"{target}/{CLAIM}", spec.name):
         raise FileExistsError(target)
-    parent, name = target.rsplit("/", 1)
-    staged = f"{parent}/_{name}-{uuid.uuid4().hex}"
     texts = [
         _whole_seconds_text(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
         for f in spec.schema
     ]
     try:
-        write_avro(rows.select(*texts), staged, spec.name, snapshot_schema(spec))
-        manifest = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(spec.name))
-        manifest.write.json(f"{staged}/{MANIFEST}")
-        files.move(staged, target)
-    finally:
-        files.delete(staged)
+        write_avro(rows.select(*texts), target, spec.name, snapshot_schema(spec))
+        manifest = {"rows": rows.count(), "table": spec.name, "batches": list(batches)}
+        files.create_new(f"{target}/{MANIFEST}", json.dumps(manifest))
+    except BaseException:
+        files.delete(target)
+        raise
     return target
 
 
@@ -98,29 +102,29 @@ def restore(
 
     Avro readers take a file cut short at a block for its end, so the rows are counted against the
     snapshot's manifest. One without a manifest needs ``expected_rows``, or ``trust_unverified`` to take
-    what can be read.
+    what can be read. The table then counts as taken in the batches that the snapshot names, and no others.
     """
     spark, spec = warehouse.spark, warehouse.specs[table]
     container_files(spark, path)
-    expected = _manifest_rows(spark, path)
-    if expected is None:
-        expected = expected_rows
+    manifest = _manifest(spark, path)
+    expected = manifest.get("rows", expected_rows)
     if expected is None and not trust_unverified:
         raise ValueError(f"{path} has no row count: give expected_rows, or trust_unverified=True to take what is there")
-    run = warehouse.staging(f"restore-{table}")
+    staged = warehouse.new_batch(table, "restore")
     try:
         raw = read_avro(spark, path, snapshot_schema(spec))
-        staged = warehouse.stage(table, _typed(raw, spec, flag_lost=True), run, [f"_lost_{c}" for c in _times(spec)])
-        rows = spark.read.schema(_staged_schema(spec)).parquet(staged)
+        warehouse.stage(table, _typed(raw, spec, flag_lost=True), staged, [f"_lost_{c}" for c in _times(spec)])
+        rows = spark.read.schema(_staged_schema(spec)).parquet(f"{staged}/verdict={ACCEPTED}")
         lost = [F.count_if(f"_lost_{c}").alias(c) for c in _times(spec)]
         totals = rows.agg(F.count(F.lit(1)).alias("_rows"), F.max(spec.key).alias("_largest"), *lost).first().asDict()
         count, largest = totals.pop("_rows"), totals.pop("_largest") or 0
         if expected is not None and count != expected:
             raise ValueError(f"{path} holds {count} rows, {expected} were written")
         orphans = _check_rules(warehouse, spec, rows, path, check_fk)
-        warehouse.replace(table, staged, f"restore-{uuid.uuid4().hex}", largest)
-    finally:
-        warehouse.clear(run)
+        warehouse.replace(table, staged, f"restore-{uuid.uuid4().hex}", largest, manifest.get("batches", ()))
+    except BaseException:
+        warehouse.clear(staged)
+        raise
     return RestoreReport(count, totals, orphans)
 
 
@@ -154,8 +158,11 @@ def _staged_schema(spec: TableSpec) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema] + flags)
 
 
-def _manifest_rows(spark: SparkSession, path: str) -> int | None:
-    manifest = f"{path}/{MANIFEST}"
-    if not Files(spark).names(manifest):
-        return None
-    return spark.read.json(manifest, schema="rows bigint").first()["rows"]
+def _manifest(spark: SparkSession, path: str) -> dict:
+    """Row count and batch ids written beside the snapshot; empty when there is none."""
+    files, manifest = Files(spark), f"{path}/{MANIFEST}"
+    if files.is_file(manifest):
+        return json.loads(files.read_text(manifest))
+    if files.names(manifest):  # as a folder of one JSON line, in older snapshots
+        return {"rows": spark.read.json(manifest, schema="rows bigint").first()["rows"]}
+    return {}

@@ -36,7 +36,7 @@ def avro_schema(name: str, schema: T.StructType) -> dict:
 def write_avro(rows: DataFrame, path: str, name: str, schema: T.StructType) -> None:
     """Write ``rows`` as container files with exactly the declared record schema."""
     typed = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema])
-    typed.write.format(FORMAT).option("avroSchema", json.dumps(avro_schema(name, schema))).save(path)
+    typed.write.mode("append").format(FORMAT).option("avroSchema", json.dumps(avro_schema(name, schema))).save(path)
 
 
 def read_avro(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

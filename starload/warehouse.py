@@ -1,30 +1,48 @@
-"""Where the tables live: Parquet folders that are only ever added to.
-
-    <root>/tables/<table>/v000001/batch=<id>~<largest key>/[<ts>_year=<y>/]part-*.parquet
-    <root>/log/<table>/<kind>/batch=<id>/part-*.parquet     rejected rows and request summaries
-    <root>/staging/<run>/...                                removed when the run is over
-
-A batch is written to a staging folder first and becomes visible by one rename, under a name that a
-repeat finds taken. Replacing a table publishes a new version folder; readers take the highest one,
-so a failed replacement leaves the old table as it was. The largest key of a batch is part of its
-folder's name, so the next free key needs one listing and not a scan of the table. Many small
-batches, as a stream leaves them, are joined by ``compact``.
-One writer per table is assumed, as with any plain Parquet folder.
+"""Where the tables live: Parquet folders that are written once, and a commit record that names them.
+
+    <root>/commits/00000001.json                                       see ``commits``
+    <root>/tables/<table>/batch=<name>/verdict=accepted/[<ts>_year=<y>/]part-*.parquet
+    <root>/tables/<table>/batch=<name>/verdict=<kind>/part-*.parquet   rejected rows, request summaries
+    <root>/staging/<run>/...                                           removed when the run is over
+
+Executors write a batch where it stays. It becomes visible by one small file that is created only if no
+other writer was first, so nothing is copied, moved or seen in part, and any number of writers may work on
+a table. A folder that no commit names, as a writer that died leaves it, is never read.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starload.commits import Commits, Tables, TableState, without
 from starload.files import Files
 from starload.spec import STAR, TableSpec
 
+ACCEPTED = "accepted"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer changed the table after it was read, so what was made from it cannot be committed."""
+
+
+@dataclass(frozen=True)
+class Batch:
+    """A written folder, ready to be committed. ``largest`` is read from its rows when not known.
+
+    ``base``, when given, is the state of the table that the rows rest on; the commit is refused if it moved.
+    """
+
+    path: str
+    largest: int | None = None
+    base: TableState | None = None
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, specs: Iterable[TableSpec] = STAR):
@@ -32,18 +50,26 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.specs = {spec.name: spec for spec in specs}
         self.files = Files(spark)
+        self.commits = Commits(self.files, f"{self.root}/commits")
 
     # -- definition ---------------------------------------------------------------------------
 
     def create(self) -> None:
         """Create the tables that do not exist yet; existing ones are left alone."""
-        for name in self.specs:
-            if self._version(name) == 0:
-                self.files.mkdirs(self._version_path(name, 1))
+
+        def edit(tables: Tables) -> Tables | None:
+            absent = {name: TableState() for name in self.specs if name not in tables}
+            return tables | absent if absent else None
+
+        self.commits.change(edit)
 
     def drop(self, name: str) -> None:
-        """Remove the table if it exists."""
-        self.files.delete(f"{self.root}/tables/{name}")
+        """Remove the table, with its logs and its memory of batches, if it exists."""
+        dropped = self.commits.change(
+            lambda tables: {n: s for n, s in tables.items() if n != name} if name in tables else None
+        )
+        if dropped:
+            self.files.delete(self._folder(name))
 
     def register_views(self) -> None:
         """Offer every table to SQL as a temporary view of its own name."""
@@ -52,141 +78,196 @@ class Warehouse:
 
     # -- reading ------------------------------------------------------------------------------
 
-    def read(self, name: str, year: int | None = None) -> DataFrame:
-        """The table with its declared columns; ``year`` prunes the folders of a table kept by year."""
+    def state(self, name: str) -> TableState:
+        """The table in the newest version."""
+        _, tables = self.commits.latest()
+        if name not in tables:
+            raise LookupError(f"table {name} does not exist; call create()")
+        return tables[name]
+
+    def read(self, name: str, year: int | None = None, state: TableState | None = None) -> DataFrame:
+        """The table with its declared columns; ``year`` prunes the folders of a table kept by year.
+
+        ``state`` reads the table as it was in a version seen before.
+        """
         spec = self.specs[name]
-        stored = self._stored(name)
+        stored = self._rows(name, (state or self.state(name)).folders)
         if year is not None and spec.year_column:
             stored = stored.where(F.col(spec.year_column) == year)
         return stored.select(*spec.columns)
 
     def read_batch(self, name: str, batch_id: str) -> DataFrame:
         """The rows of one batch, empty when the table no longer keeps it apart."""
-        stored = self._stored(name)
-        return stored.where(F.col("batch").startswith(f"{batch_id}~")).select(*self.specs[name].columns)
+        state = self.state(name)
+        folder = state.batches.get(batch_id, {}).get("folder")
+        return self._rows(name, [f for f in state.folders if f == folder]).select(*self.specs[name].columns)
 
     def max_id(self, name: str) -> int:
-        """Largest key stored so far, 0 for an empty table."""
-        batches = [n for n in self.files.names(self._current(name)) if n.startswith("batch=")]
-        return max((int(n.rsplit("~", 1)[1]) for n in batches), default=0)
+        """Largest key stored, 0 for an empty table."""
+        return self.state(name).largest
 
     def is_empty(self, name: str) -> bool:
-        """Whether no batch has been published; answered from the folder names."""
-        return not self.files.names(self._current(name))
+        """Whether no batch makes up the table; answered from the commit record."""
+        return not self.state(name).folders
 
     def has_batch(self, name: str, batch_id: str) -> bool:
-        """Whether the batch was ever published, also when the table has been rewritten since."""
-        return any(n.startswith(f"batch={batch_id}~") for v in self._versions(name) for n in self.files.names(v))
+        """Whether the table holds what the batch brought, also when its rows have been rewritten since."""
+        return batch_id in self.state(name).batches
 
     def log(self, name: str, kind: str) -> DataFrame | None:
-        """What all runs kept beside the table, for instance its rejected rows; None when there is nothing."""
-        path = f"{self.root}/log/{name}/{kind}"
-        return self.spark.read.parquet(path) if self.files.names(path) else None
+        """What all batches kept beside their rows, for instance the rejected ones; None when there is nothing."""
+        batches = self.state(name).batches.values()
+        paths = [self._kind(self._batch(name, b["folder"]), kind) for b in batches if kind in b["kinds"]]
+        if not paths:
+            return None
+        read = self.spark.read.option("basePath", self._folder(name)).option("mergeSchema", True).parquet(*paths)
+        return read.withColumn("batch", F.regexp_extract("batch", "^(.*)~", 1)).drop("verdict")
+
+    def log_batch(self, name: str, kind: str, batch_id: str, schema: T.StructType | str) -> DataFrame:
+        batch = self.state(name).batches.get(batch_id, {"kinds": []})
+        if kind in batch["kinds"]:
+            return self.spark.read.schema(schema).parquet(self._kind(self._batch(name, batch["folder"]), kind))
+        return self.spark.createDataFrame([], schema)
 
     # -- writing ------------------------------------------------------------------------------
 
     def staging(self, label: str, run: str | None = None) -> str:
-        """A new folder name, under the folder of ``run`` when given."""
+        """A new folder name for intermediate data, under the folder of ``run`` when given."""
         return f"{run or self.root + '/staging'}/{label}-{uuid.uuid4().hex}"
 
-    def clear(self, run: str) -> None:
-        """Remove a run's own staging folder."""
-        self.files.delete(run)
+    def clear(self, folder: str) -> None:
+        """Remove a run's own folder."""
+        self.files.delete(folder)
+
+    def new_batch(self, name: str, label: str = "batch") -> str:
+        """A new folder name inside the table; nothing there is read before it is committed."""
+        if not re.fullmatch(r"[\w.-]+", label):
+            raise ValueError(f"batch id {label!r} cannot name a folder")
+        return self._batch(name, f"{label}~{uuid.uuid4().hex}")
 
     def with_year(self, name: str, rows: DataFrame) -> DataFrame:
         spec = self.specs[name]
         return rows.withColumn(spec.year_column, F.year(spec.year_of)) if spec.year_column else rows
 
-    def stage(self, name: str, rows: DataFrame, run: str | None = None, extra: Sequence[str] = ()) -> str:
-        """Write rows of a table to a new staging folder and return it. Readers never see ``extra`` columns.
+    def stage(self, name: str, rows: DataFrame, path: str | None = None, extra: Sequence[str] = ()) -> str:
+        """Write rows of a table to a batch folder and return it. Readers never see ``extra`` columns.
 
         The rebalance hint gives files of even size: AQE splits a year that holds most rows and
-        joins small ones, where a plain partitioned write makes one file per task and year.
+        joins small ones, where a plain partitioned write makes one file per task and year. Rows that an
+        earlier attempt left in ``path`` are replaced.
         """
         spec = self.specs[name]
-        path = self.staging(name, run)
+        path = path or self.new_batch(name)
         rows = self.with_year(name, rows.select(*spec.columns, *extra))
         if spec.year_column:
-            rows.hint("rebalance", spec.year_column).write.partitionBy(spec.year_column).parquet(path)
+            writer = rows.hint("rebalance", spec.year_column).write.partitionBy(spec.year_column)
         else:
-            rows.hint("rebalance").write.parquet(path)
+            writer = rows.hint("rebalance").write
+        writer.mode("overwrite").parquet(self._kind(path, ACCEPTED))
         return path
 
     def publish(self, name: str, staged: str, batch_id: str, largest: int | None = None) -> bool:
-        """Make a staged folder a batch of the table; False when that batch is already there.
+        """Make a written folder a batch of the table; False when that batch is already there."""
+        return self.publish_all({name: Batch(staged, largest)}, batch_id)
 
-        ``largest`` is the largest key in it, read from the folder when the caller does not know it.
-        """
-        if self.has_batch(name, batch_id):
-            return False
-        self._move_batch(staged, self._current(name), name, batch_id, largest)
-        return True
+    def publish_all(self, batches: Mapping[str, Batch], batch_id: str) -> bool:
+        """Add one folder to each of several tables by one commit, or to none of them.
 
-    def replace(self, name: str, staged: str, batch_id: str, largest: int | None = None) -> None:
-        """Make a staged folder the whole table, by one rename of a prepared version folder.
-
-        The version replaced is kept for readers in flight; older ones are removed.
+        False when one of the tables has that batch. ``ConcurrentWrite`` when a table is no longer as its
+        batch's ``base`` says.
         """
-        prepared = self.staging(f"{name}-version")
-        self._move_batch(staged, prepared, name, batch_id, largest)
-        older = self._versions(name)[:-1]
-        self.files.move(prepared, self._version_path(name, self._version(name) + 1))
-        for path in older:
-            self.files.delete(path)
+        entries = {name: self._entry(name, batch) for name, batch in batches.items()}
+
+        def edit(tables: Tables) -> Tables | None:
+            if any(batch_id in tables[name].batches for name in batches):
+                return None
+            changed = {}
+            for name, batch in batches.items():
+                state = tables[name]
+                if batch.base is not None and (state.folders, state.largest) != (batch.base.folders, batch.base.largest):
+                    raise ConcurrentWrite(f"{name} was changed by another writer")
+                folder, kinds, largest = entries[name]
+                changed[name] = replace(
+                    state,
+                    folders=state.folders + ((folder,) if ACCEPTED in kinds else ()),
+                    batches=state.batches | {batch_id: {"folder": folder, "kinds": kinds}},
+                    largest=max(state.largest, largest),
+                )
+            return tables | changed
+
+        return self.commits.change(edit)
+
+    def replace(
+        self, name: str, staged: str, batch_id: str, largest: int | None = None, batches: Iterable[str] = ()
+    ) -> None:
+        """Make a written folder the whole table, which then counts ``batches`` and ``batch_id`` as taken in."""
+
+        def edit(state: TableState, folder: str, kinds: list[str], top: int) -> TableState:
+            gone = {"folder": None, "kinds": []}
+            known = {b: state.batches.get(b, gone) for b in batches} | {batch_id: {"folder": folder, "kinds": kinds}}
+            return TableState((folder,), known, top, without(state.folders, [folder]))
+
+        self._rewrite(name, Batch(staged, largest), edit)
 
     def compact(self, name: str) -> None:
-        """Rewrite a table of many small batches as one."""
-        largest = self.max_id(name)
-        self.replace(name, self.stage(name, self.read(name)), f"compact-{uuid.uuid4().hex}", largest)
-
-    def publish_log(self, name: str, kind: str, staged: str, batch_id: str) -> None:
-        """Keep a staged folder, if there is one, in place of what an earlier attempt at the batch left."""
-        target = self.log_path(name, kind, batch_id)
-        self.files.delete(target)
-        if self.files.exists(staged):
-            self.files.move(staged, target)
-
-    def log_batch(self, name: str, kind: str, batch_id: str, schema: T.StructType | str) -> DataFrame:
-        path = self.log_path(name, kind, batch_id)
-        if self.files.exists(path):
-            return self.spark.read.schema(schema).parquet(path)
-        return self.spark.createDataFrame([], schema)
-
-    def log_path(self, name: str, kind: str, batch_id: str) -> str:
-        return f"{self.root}/log/{name}/{kind}/batch={batch_id}"
+        """Rewrite a table of many small batches as one. Batches that come in meanwhile are kept beside it."""
+        before = self.state(name)
+        if len(before.folders) < 2:
+            return
+
+        def edit(state: TableState, folder: str, kinds: list[str], top: int) -> TableState:
+            if state.folders[: len(before.folders)] != before.folders:
+                raise ConcurrentWrite(f"{name} was rewritten by another writer")
+            return replace(state, folders=(folder, *state.folders[len(before.folders) :]), retired=before.folders)
+
+        staged = self.stage(name, self.read(name, state=before), self.new_batch(name, "compact"))
+        self._rewrite(name, Batch(staged, before.largest), edit)
+
+    def _rewrite(
+        self, name: str, batch: Batch, edit: Callable[[TableState, str, list[str], int], TableState]
+    ) -> None:
+        """Commit a rewrite. The folders replaced stay for readers in flight until the next rewrite."""
+        entry = self._entry(name, batch)
+        replaced: list[TableState] = []
+
+        def apply(tables: Tables) -> Tables:
+            replaced[:] = [tables[name]]
+            return tables | {name: edit(tables[name], *entry)}
+
+        self.commits.change(apply)
+        logs = {b["folder"] for b in replaced[0].batches.values() if len(b["kinds"]) > 1}
+        for folder in replaced[0].retired:
+            path = self._batch(name, folder)
+            self.files.delete(self._kind(path, ACCEPTED) if folder in logs else path)
+
+    def _entry(self, name: str, batch: Batch) -> tuple[str, list[str], int]:
+        """Folder, kinds and largest key of a written batch."""
+        kinds = [n.removeprefix("verdict=") for n in self.files.names(batch.path) if n.startswith("verdict=")]
+        largest = batch.largest
+        if largest is None:
+            key = self.specs[name].schema[self.specs[name].key]
+            keys = self.spark.read.schema(T.StructType([key])).parquet(self._kind(batch.path, ACCEPTED))
+            largest = keys.agg(F.max(key.name)).first()[0] or 0
+        return batch.path.rsplit("/batch=", 1)[1], kinds, largest
 
     # -- layout -------------------------------------------------------------------------------
 
-    def _versions(self, name: str) -> list[str]:
-        folder = f"{self.root}/tables/{name}"
-        return [f"{folder}/{n}" for n in self.files.names(folder) if n.startswith("v")]
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/tables/{name}"
 
-    def _version(self, name: str) -> int:
-        versions = self._versions(name)
-        return int(versions[-1].rsplit("/v", 1)[1]) if versions else 0
+    def _batch(self, name: str, folder: str) -> str:
+        return f"{self._folder(name)}/batch={folder}"
 
-    def _version_path(self, name: str, version: int) -> str:
-        return f"{self.root}/tables/{name}/v{version:06d}"
-
-    def _current(self, name: str) -> str:
-        version = self._version(name)
-        if version == 0:
-            raise LookupError(f"table {name} does not exist; call create()")
-        return self._version_path(name, version)
+    def _kind(self, batch: str, kind: str) -> str:
+        return f"{batch}/verdict={kind}"
 
-    def _stored(self, name: str) -> DataFrame:
+    def _rows(self, name: str, folders: Sequence[str]) -> DataFrame:
         spec = self.specs[name]
-        fields = [T.StructField("batch", T.StringType())]
+        fields = [T.StructField(c, T.StringType()) for c in ("batch", "verdict")]
         if spec.year_column:
             fields.append(T.StructField(spec.year_column, T.IntegerType()))
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema] + fields)
-        return self.spark.read.schema(schema).parquet(self._current(name))
-
-    def _move_batch(self, staged: str, version_path: str, name: str, batch_id: str, largest: int | None) -> None:
-        if not re.fullmatch(r"[\w.-]+", batch_id):
-            raise ValueError(f"batch id {batch_id!r} cannot name a folder")
-        if largest is None:
-            key = self.specs[name].schema[self.specs[name].key]
-            keys = self.spark.read.schema(T.StructType([key])).parquet(staged)
-            largest = keys.agg(F.max(key.name)).first()[0] or 0
-        self.files.move(staged, f"{version_path}/batch={batch_id}~{largest}")
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        paths = [self._kind(self._batch(name, folder), ACCEPTED) for folder in folders]
+        return self.spark.read.schema(schema).option("basePath", self._folder(name)).parquet(*paths)

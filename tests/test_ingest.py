@@ -117,7 +117,7 @@ def test_replay_after_a_failure_before_publishing(spark, root, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(warehouse, "publish", fail)
+        patch.setattr(warehouse, "publish_all", fail)
         with pytest.raises(OSError):
             ingest_requests(warehouse, TABLE, body, "b1")
     assert warehouse.read(TABLE).count() == 0

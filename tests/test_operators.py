@@ -117,6 +117,8 @@ def test_a_reader_of_the_replaced_version_goes_on(spark, root):
     warehouse.replace("jobs", warehouse.stage("jobs", before.where("id = 1")), "r1")
     assert (before.count(), warehouse.read("jobs").count()) == (2, 1)
     warehouse.replace("jobs", warehouse.stage("jobs", before), "r2")
+    with pytest.raises(Exception):
+        before.count()
     assert len(warehouse.files.names(f"{root}/tables/jobs")) == 2
 
 
