@@ -26,7 +26,7 @@ from starload.operators.ids import assign_ids
 from starload.operators.judge import FOREIGN_KEY, MISSING_FIELD, judge_request_rows
 from starload.operators.keys import absent_rows, first_by_key
 from starload.operators.keys import key_violations as repeated_keys
-from starload.operators.requests import request_sizes, summarize, with_request_status
+from starload.operators.requests import as_request_rows, request_sizes, summarize, with_request_status
 from starload.session import fresh_dir
 from starload.spec import HIRED_EMPLOYEES, ForeignKey, TableSpec
 
@@ -160,7 +160,7 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
-    rows = with_request_status(_requests(spark, sf), 300)
+    rows = with_request_status(as_request_rows(_requests(spark, sf), HIRES), 300)
     spec = replace(HIRES, max_length={"name": 14})
     return judge_request_rows(rows, spec, {"departments": solvent_customers(spark, sf), "jobs": nations(spark, sf)})
 

@@ -1,4 +1,4 @@
-"""Command line, for spark-submit: load, ingest, report, backup, restore."""
+"""Command line, for spark-submit: load, ingest, stream, report, backup, restore, compact."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from starload.plans.snapshot import backup, restore
 from starload.session import build_session
 from starload.sources.requests import read_requests
 from starload.spec import DEPARTMENTS, HIRED_EMPLOYEES, JOBS, STAR
+from starload.streaming.ingest_stream import ingest_stream
 from starload.warehouse import Warehouse
 
 TABLES = [spec.name for spec in STAR]
@@ -34,6 +35,12 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--table", choices=TABLES, default=HIRED_EMPLOYEES.name)
     ingest.add_argument("--batch", help="batch id; the same id is stored once")
 
+    stream = commands.add_parser("stream", help="take in such files as they arrive in a folder")
+    stream.add_argument("path")
+    stream.add_argument("checkpoint", help="folder for the progress of the stream")
+    stream.add_argument("--table", choices=TABLES, default=HIRED_EMPLOYEES.name)
+    stream.add_argument("--every", metavar="INTERVAL", help='go on, for instance every "1 minute"; else stop at the end')
+
     report = commands.add_parser("report", help="write a yearly report")
     report.add_argument("kind", choices=["quarterly", "above-mean"])
     report.add_argument("year", type=int)
@@ -64,6 +71,9 @@ def run(warehouse: Warehouse, args: argparse.Namespace) -> None:
     elif args.command == "ingest":
         result = ingest_requests(warehouse, args.table, read_requests(warehouse.spark, args.path), args.batch)
         print(result.batch_id, "inserted", result.accepted.count(), "rejected", result.rejected.count())
+    elif args.command == "stream":
+        trigger = {"processingTime": args.every} if args.every else None
+        ingest_stream(warehouse, args.table, args.path, args.checkpoint, trigger=trigger).awaitTermination()
     elif args.command == "report":
         _report(warehouse, args.kind, args.year).write.option("header", True).csv(args.out)
     elif args.command == "backup":

@@ -6,28 +6,39 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starload.session import broadcastable, written
 from starload.spec import ForeignKey
 
 
+SPREAD = 16
+"""Tasks that the rows of one key are dealt to when the keys without parent are too many to broadcast."""
+
+
 def with_parent_flag(
     rows: DataFrame, fk: ForeignKey, parent: DataFrame, flag: str, scratch: str | None = None
 ) -> DataFrame:
     """Add ``flag``: whether the parent row exists. Every row is kept; a null key has no parent.
 
-    Parent keys that Spark would broadcast are joined directly. Larger ones meet only the distinct
-    keys of ``rows``, which leaves the keys without parent; those are few as a rule and are joined
-    back by their written size. Either way a hot key never gathers its rows in one task.
+    The parents meet only the distinct keys of ``rows``. The keys left over have no parent; they are few as a
+    rule and are joined back by their written size, and when Spark cannot broadcast them, to rows that are
+    dealt out further by a hash of their values. So rows of one hot key, or without key, never meet in one
+    task. ``rows`` are evaluated twice, so they should be stored.
     """
-    ids = parent.select(F.col(fk.parent_key).alias("_key")).where(F.col("_key").isNotNull()).distinct()
-    known = broadcastable(ids)
-    if not known:
-        used = rows.select(F.col(fk.column).alias("_key")).where(F.col("_key").isNotNull()).distinct()
-        ids = written(used.join(ids, "_key", "left_anti"), "orphan-keys", scratch)
-    joined = rows.join(ids, rows[fk.column] == ids["_key"], "left")
-    matched = F.col("_key").isNotNull()
-    return joined.withColumn(flag, matched if known else rows[fk.column].isNotNull() & ~matched).drop("_key")
+    ids = parent.select(F.col(fk.parent_key).alias("_key")).where(F.col("_key").isNotNull())
+    used = rows.select(F.col(fk.column).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    orphans = written(used.join(ids, "_key", "left_anti"), "orphan-keys", scratch)
+    if broadcastable(orphans):
+        joined = rows.join(orphans, rows[fk.column] == orphans["_key"], "left")
+    else:
+        plain = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+        dealt = rows.withColumn("_place", F.pmod(F.xxhash64(*plain), F.lit(SPREAD)))
+        places = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
+        orphans = orphans.select("_key", places.alias("_at"))
+        same = (dealt[fk.column] == orphans["_key"]) & (dealt["_place"] == orphans["_at"])
+        joined = dealt.join(orphans, same, "left").drop("_place", "_at")
+    return joined.withColumn(flag, rows[fk.column].isNotNull() & F.col("_key").isNull()).drop("_key")
 
 
 def with_parent_flags(

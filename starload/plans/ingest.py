@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from starload.functions.times import parse_datetime
 from starload.operators.ids import number_rows
 from starload.operators.judge import judge_request_rows
-from starload.operators.requests import MAX_ROWS, summarize, with_request_status
+from starload.operators.requests import MAX_ROWS, as_request_rows, summarize, with_request_status
+from starload.session import written
 from starload.sources.requests import request_rows
 from starload.spec import TableSpec
 from starload.warehouse import Batch, ConcurrentWrite, Warehouse
@@ -39,15 +40,18 @@ def ingest_requests(
     warehouse: Warehouse, table: str, requests: DataFrame, batch_id: str | None = None, max_rows: int = MAX_ROWS
 ) -> IngestResult:
     """Ingest JSON requests, a DataFrame of ``request_id, body``."""
-    return _ingest(warehouse, table, lambda run: request_rows(requests, warehouse.specs[table], max_rows), batch_id)
+    spec = warehouse.specs[table]
+    return _ingest(warehouse, table, lambda run: written(request_rows(requests, spec, max_rows), "rows", run), batch_id)
 
 
 def ingest(
     warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str | None = None, max_rows: int = MAX_ROWS
 ) -> IngestResult:
-    """Ingest rows of ``request_id, ordinal`` and the table's request fields."""
-    fields = [F.col(f.name).cast(f.dataType) for f in judged_schema(warehouse.specs[table]) if f.name in rows.columns]
-    return _ingest(warehouse, table, lambda run: with_request_status(rows.select(*fields), max_rows, run), batch_id)
+    """Ingest rows of ``request_id, ordinal`` and the table's request fields; see ``as_request_rows``."""
+    given = as_request_rows(rows, warehouse.specs[table])
+    return _ingest(
+        warehouse, table, lambda run: with_request_status(written(given, "rows", run), max_rows, run), batch_id
+    )
 
 
 def _ingest(
@@ -57,7 +61,8 @@ def _ingest(
 
     ``accepted`` is empty for a replay whose rows have been joined with others by a rewrite of the table.
 
-    ``rows`` gets the run's staging folder, and is not asked for a batch that is there already.
+    ``rows`` gets the run's staging folder, writes there what it reads from the caller, so that this is read
+    once, and is not asked for a batch that is there already.
     """
     batch_id = batch_id or f"ingest-{uuid.uuid4().hex}"
     if not warehouse.has_batch(table, batch_id):
@@ -86,7 +91,7 @@ def _store(warehouse: Warehouse, table: str, rows: DataFrame, batch_id: str, run
     logged_at = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
     judged = judge_request_rows(rows, spec, parents, run).withColumn("logged_at", logged_at)
     verdict = (
-        F.when(F.col("reason_code").isNotNull(), REJECTED_ROWS).when(F.col("ordinal").isNull(), EMPTY).otherwise(TO_NUMBER)
+        F.when(F.col("reason_code").isNotNull(), REJECTED_ROWS).when(~F.col("is_row"), EMPTY).otherwise(TO_NUMBER)
     )
     try:
         # Sorted by verdict first, the split by folder keeps each request's rows in order of ordinal.
@@ -138,6 +143,8 @@ def judged_schema(spec: TableSpec) -> T.StructType:
     for f in spec.row_fields:
         wide = T.LongType() if isinstance(f.dataType, T.IntegralType) else T.StringType()
         fields.append(T.StructField(f.name, wide))
+    fields.append(T.StructField("unread", T.MapType(T.StringType(), T.StringType())))
+    fields.append(T.StructField("is_row", T.BooleanType()))
     for name in ("request_status", "reason_code", "reason"):
         fields.append(T.StructField(name, T.StringType()))
     return T.StructType(fields + [T.StructField("logged_at", T.TimestampNTZType())])

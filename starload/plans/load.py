@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starload.operators.judge import DUPLICATE_KEY, judge_loaded_rows
 from starload.operators.keys import first_positions, present_keys
@@ -92,25 +94,23 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
                   logged_at: datetime, run: str, path: str) -> str:
     """Write the judged rows to ``path``, split into accepted and rejected ones, and return it.
 
-    The typed lines are written once, with their text, so that every rejected line keeps it. The key
-    rules read a few columns of that; the joins on the key and the final write shuffle whole rows.
+    The typed lines are written once, with their text, so that the files are parsed once and every rejected
+    line keeps its text. The parent and key rules read a few columns of that and end in one small table of
+    keys, which is joined to the lines; that join, where the table is too large to broadcast, and the
+    rebalance before the write are what shuffles whole lines.
     """
     parents = {fk.parent: _parent_rows(warehouse, fk.parent, staged) for fk in spec.foreign_keys}
-    first_pass = warehouse.staging(f"{spec.name}-lines", run)
-    judged = judge_loaded_rows(lines, spec, parents, run)
-    judged.write.parquet(first_pass)
-
-    rows = warehouse.spark.read.parquet(first_pass)
-    valid = rows.where(F.col("reason_code").isNull())
+    rows = judge_loaded_rows(written(lines, f"{spec.name}-lines", run), spec, parents, run)
     repeated = F.lit(False)
-    firsts = first_positions(valid, spec.key, POSITION, run)
-    if firsts is not None:
-        rows = rows.join(written(firsts, "firsts", run), spec.key, "left")
-        repeated = F.col("_first").isNotNull() & (F.struct(*POSITION) != F.col("_first"))
-    if not warehouse.is_empty(spec.name):
-        present = present_keys(warehouse.read(spec.name), valid, spec.key).withColumn("_present", F.lit(True))
-        rows = rows.join(written(present, "present", run), spec.key, "left")
-        repeated = repeated | F.col("_present").isNotNull()
+    marks = _key_marks(warehouse, spec, rows.where(F.col("reason_code").isNull()), run)
+    if marks is not None:
+        # A line refused already takes a place of its own and so meets no other on a null or broken key.
+        valid = F.col("reason_code").isNull()
+        place = F.coalesce(F.when(valid, F.col(spec.key).cast("bigint")), F.xxhash64(*POSITION))
+        rows = rows.withColumn("_place", place)
+        rows = rows.join(marks, (rows["_place"] == marks["_key"]) & valid, "left")
+        later = F.struct(*POSITION) != F.col("_first")
+        repeated = F.coalesce(F.col("_present"), F.lit(False)) | F.coalesce(later, F.lit(False))
 
     code = F.coalesce(F.col("reason_code"), F.when(repeated, F.lit(DUPLICATE_KEY)))
     rejected = F.col("reason_code").isNotNull()
@@ -129,6 +129,23 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
     return path
 
 
+def _key_marks(warehouse: Warehouse, spec: TableSpec, valid: DataFrame, run: str) -> DataFrame | None:
+    """Keys that stand in more than one line or are stored: ``_key, _first, _present``. None when there are none."""
+    unset = F.lit(None).cast(T.StructType([valid.schema[c] for c in POSITION]))
+    key = F.col(spec.key).cast("bigint").alias("_key")
+    parts = []
+    firsts = first_positions(valid, spec.key, POSITION, run)
+    if firsts is not None:
+        parts.append(firsts.select(key, F.col("_first"), F.lit(False).alias("_present")))
+    if not warehouse.is_empty(spec.name):
+        present = present_keys(warehouse.read(spec.name), valid, spec.key)
+        parts.append(present.select(key, unset.alias("_first"), F.lit(True).alias("_present")))
+    if not parts:
+        return None
+    marks = reduce(DataFrame.unionByName, parts).groupBy("_key")
+    return written(marks.agg(F.max("_first").alias("_first"), F.bool_or("_present").alias("_present")), "marks", run)
+
+
 def _parent_rows(warehouse: Warehouse, parent: str, staged: Mapping[str, str]) -> DataFrame:
     """Stored parent keys plus those this load is about to store."""
     key = warehouse.specs[parent].key

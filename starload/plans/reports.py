@@ -19,10 +19,10 @@ def quarterly_counts(
     With dimensions small enough to broadcast, each fact row is named in place and only partial
     counts per pair of names are shuffled. Otherwise counts are taken per pair of ids before the
     joins: the fact again shuffles as partial counts only, whatever share of it one department
-    holds, and the joins see one row per pair. Equal names merge in the last aggregation.
+    holds, and the joins see one row per pair. Equal names merge in the last aggregation; names that only
+    the collation makes equal show their least spelling by bytes.
     """
     dimensions = {"department": _labels(departments, "department"), "job": _labels(jobs, "job")}
-    names = [_name(label, collation) for label in dimensions]
     keys = [f"{label}_id" for label in dimensions]
     rows = fact.where(in_year(F.col("hire_datetime"), year)).dropna(subset=keys)
     if all(broadcastable(dimension) for dimension in dimensions.values()):
@@ -32,8 +32,12 @@ def quarterly_counts(
         counts = [F.sum(q).alias(q) for q in QUARTERS]
     for label, dimension in dimensions.items():
         rows = rows.join(dimension, f"{label}_id")
-    report = rows.groupBy(*names).agg(*counts).orderBy(*dimensions)
-    return report.withColumns({label: F.col(label).cast("string") for label in dimensions}) if collation else report
+    if not collation:
+        return rows.groupBy(*dimensions).agg(*counts).orderBy(*dimensions)
+    names = [F.collate(label, collation).alias(f"_{label}") for label in dimensions]
+    spellings = [F.min(label).alias(label) for label in dimensions]
+    report = rows.groupBy(*names).agg(*spellings, *counts).orderBy(*[f"_{label}" for label in dimensions])
+    return report.select(*dimensions, *QUARTERS)
 
 
 def _quarter_counts() -> list[Column]:
@@ -82,10 +86,6 @@ def _labels(dimension: DataFrame, label: str) -> DataFrame:
     return dimension.select(F.col("id").alias(f"{label}_id"), label)
 
 
-def _name(label: str, collation: str | None) -> Column:
-    return (F.collate(label, collation) if collation else F.col(label)).alias(label)
-
-
 def _exact(column: str) -> Column:
     """Wide enough that the product of two counts cannot overflow."""
     return F.col(column).cast("decimal(19,0)")

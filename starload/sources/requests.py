@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.functions.fields import any_of
-from starload.operators.requests import MALFORMED, MAX_ROWS, OK, TOO_MANY_ROWS
+from starload.functions.fields import any_of, is_whole_text, whole_number
+from starload.operators.requests import MALFORMED, MAX_ROWS, OK, TOO_MANY_ROWS, texts_by_field
 from starload.spec import TableSpec
 
 RECORDS_FIELD = "registros"
@@ -41,12 +41,13 @@ def read_requests(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def request_rows(requests: DataFrame, spec: TableSpec, max_rows: int = MAX_ROWS) -> DataFrame:
-    """One row per record: ``request_id, ordinal, <fields>, request_status``.
+    """One row per record: ``request_id, ordinal, <fields>, unread, is_row, request_status``.
 
     Types are judged on the JSON itself: a text field must be JSON text; a whole-number field may
     be a number without fraction, its text, or a boolean. One bad or absent field makes the whole
-    request MALFORMED, and such a request yields one row without ordinal, as does an empty one.
-    The size is known from the array, so the cap needs no shuffle.
+    request MALFORMED, and such a request yields one row that ``is_row`` tells from a record, as does an
+    empty one. A number beyond 64 bits is null, and ``unread`` keeps its text. The size is known from the
+    array, so the cap needs no shuffle.
     """
     raw = ", ".join(f"`{f.name}`: variant" for f in spec.row_fields)
     records = F.try_variant_get(F.try_parse_json("body"), f"$.{RECORDS_FIELD}", f"array<struct<{raw}>>")
@@ -59,8 +60,20 @@ def request_rows(requests: DataFrame, spec: TableSpec, max_rows: int = MAX_ROWS)
     judged = requests.select("request_id", records.alias("records")).withColumn("request_status", status)
     kept = F.when(F.col("request_status") != MALFORMED, F.col("records"))
     exploded = judged.select("request_id", "request_status", F.posexplode_outer(kept).alias("ordinal", "record"))
-    values = [_value(F.col(f"record.{f.name}"), f).alias(f.name) for f in spec.row_fields]
-    return exploded.select("request_id", "ordinal", *values, "request_status")
+    values = {f.name: _value(F.col(f"record.{f.name}"), f) for f in spec.row_fields}
+    unread = {
+        f.name: F.when(values[f.name].isNull(), _text(F.col(f"record.{f.name}")))
+        for f in spec.row_fields
+        if isinstance(f.dataType, T.IntegralType)
+    }
+    return exploded.select(
+        "request_id",
+        "ordinal",
+        *[value.alias(name) for name, value in values.items()],
+        texts_by_field(unread),
+        F.col("ordinal").isNotNull().alias("is_row"),
+        "request_status",
+    )
 
 
 def _kind(value: Column) -> Column:
@@ -76,23 +89,15 @@ def _well_formed(value: Column, field: T.StructField) -> Column:
     wanted = "BIGINT" if isinstance(field.dataType, T.IntegralType) else "STRING"
     fits = F.when(_kind(value) == wanted, True)
     if wanted == "BIGINT":
-        fits = fits.when(_kind(value) == "BOOLEAN", True).when(_whole(value).isNotNull(), True)
+        fits = fits.when(_kind(value) == "BOOLEAN", True).when(is_whole_text(_text(value)), True)
     return fits.otherwise(False)
 
 
 def _value(value: Column, field: T.StructField) -> Column:
-    """The typed value of a well-formed field."""
+    """The typed value of a well-formed field; a number may be decimal, double or text."""
     if not isinstance(field.dataType, T.IntegralType):
         return _text(value)
     return (
         F.when(_kind(value).isin("BIGINT", "BOOLEAN"), F.try_variant_get(value, "$", "bigint"))
-        .otherwise(_whole(value))
+        .otherwise(whole_number(_text(value)))
     )
-
-
-def _whole(value: Column) -> Column:
-    """Number without fraction, given as decimal, double or text. Beyond 64 bits no parent can match
-    either, so the bound stands in and the row is refused."""
-    number = F.trim(_text(value)).try_cast("decimal(38,6)")
-    inside = F.least(F.greatest(number, F.lit(-(2**63))), F.lit(2**63 - 1))
-    return F.when(number == F.floor(number), inside).cast("bigint")

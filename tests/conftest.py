@@ -18,3 +18,11 @@ def spark():
 @pytest.fixture
 def root(tmp_path):
     return f"file:{tmp_path}/warehouse"
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

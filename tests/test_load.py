@@ -8,6 +8,7 @@ from starload import Warehouse
 from starload.plans.load import REJECTED_LINES, load_history
 from starload.sources.delimited import read_delimited
 from starload.spec import HIRED_EMPLOYEES, JOBS
+from starload.warehouse import ConcurrentWrite
 
 AT = datetime(2021, 5, 5, 1, 2, 3)
 
@@ -144,6 +145,30 @@ def test_failed_load_publishes_nothing(spark, root, tmp_path, monkeypatch):
     assert all(warehouse.read(name).count() == 0 for name in warehouse.specs)
 
 
+def test_a_table_changed_meanwhile_refuses_the_load(spark, root, tmp_path, monkeypatch):
+    warehouse = stored_star(spark, root)
+    real = load_module._totals
+
+    def meanwhile(warehouse, name, path):
+        more = spark.createDataFrame([(7, "Cook")], warehouse.read("jobs").schema)
+        warehouse.publish("jobs", warehouse.stage("jobs", more), "other")
+        return real(warehouse, name, path)
+
+    monkeypatch.setattr(load_module, "_totals", meanwhile)
+    with pytest.raises(ConcurrentWrite):
+        load_history(warehouse, {"jobs": history_file(tmp_path, "j.csv", ["7,Baker"])})
+    assert (7, "Cook") in rows(warehouse.read("jobs"))
+
+
+def test_many_unreadable_and_repeated_keys_without_broadcast(spark, root, tmp_path, no_broadcast):
+    lines = [fact_line(f"x{i}") for i in range(300)] + [fact_line("5", f"n{i}") for i in range(300)] + [fact_line("6")]
+    warehouse = stored_star(spark, root)
+    load_history(warehouse, {"hired_employees": history_file(tmp_path, "h.csv", lines)})
+    assert sorted((r["id"], r["name"]) for r in warehouse.read("hired_employees").collect()) == [(5, "n0"), (6, "Ann")]
+    codes = warehouse.log("hired_employees", REJECTED_LINES).groupBy("reason_code").count().collect()
+    assert {r["reason_code"]: r["count"] for r in codes} == {"BAD_VALUE": 300, "DUPLICATE_KEY": 299}
+
+
 def test_fact_waits_for_its_parents(spark, root):
     warehouse = Warehouse(spark, root)
     waves = load_module._waves(warehouse, {name: "" for name in warehouse.specs})

@@ -25,14 +25,6 @@ def executed(df) -> str:
     return plan(df).split("Initial Plan")[0]
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 def test_year_range_and_columns_reach_the_scan(spark):
     text = plan(quarterly_counts(fact(spark, SF_DIR), departments(spark, SF_DIR), jobs(spark, SF_DIR), 1997))
     scan = next(line for line in text.splitlines() if "lineitem.parquet" in line)
