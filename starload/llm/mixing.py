@@ -178,24 +178,23 @@ def mix(docs: DataFrame, size: Column | None = None, weights: Sequence[float] =
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """``docs`` itself, each row as often as the mix takes it.
 
-    Rows meet their copies by id, source and size; rows equal in all three are counted off against
-    each other.
+    Rows meet their copies by a 128-bit hash of id, source and size. Rows equal in all three take one
+    number of copies or one more, so two numbers per hash say how often; the rows of the least text
+    hash take the one more. The texts are shuffled once, by that hash.
     """
-    # One key for the numbering and the join: the texts are shuffled once.
-    named = W.partitionBy("_key").orderBy("_id", "_source", "_size")
-    key = F.xxhash64("_id", "_source", "_size").alias("_key")
+    key = F.unhex(F.md5(F.to_json(F.struct("_id", "_source", "_size")))).alias("_key")
     decided = mix(docs, **how).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
-    ).select("*", key)
-    decided = decided.withColumn("_nth", F.row_number().over(named.orderBy("_id", "_source", "_size", F.desc("copies"))))
-    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).select(
-        "_row", F.col("_row.doc_id").alias("_id"), F.col("_row.source").alias("_source"),
-        F.size(words(F.col("_row.text"))).cast("long").alias("_size"),
-    ).select("*", key)
-    left = left.withColumn("_nth", F.row_number().over(named)).alias("l")
-    right = decided.select("_key", "_nth", "copies").where(F.col("copies") > 0).alias("r")
-    on = (F.col("l._key") == F.col("r._key")) & (F.col("l._nth") <= F.col("r._nth")) & (F.col("l._nth") >= F.col("r._nth"))
-    taken = left.join(right, on).select(
-        F.col("l._row").alias("_row"), F.explode(F.sequence(F.lit(1), F.col("r.copies"))).alias("_copy")
+    ).select(key, "copies")
+    least = F.min("copies")
+    shares = decided.groupBy("_key").agg(
+        least.alias("_least"), (F.sum("copies") - F.count(F.lit(1)) * least).alias("_more")
     )
-    return taken.select("_row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).select(
+        "_row", F.col("_row.doc_id").alias("_id"), F.col("_row.source").alias("_source"),
+        F.size(words(F.col("_row.text"))).cast("long").alias("_size"), F.xxhash64("_row.text").alias("_text"),
+    ).select("_row", "_text", key)
+    numbered = rows.withColumn("_nth", F.row_number().over(W.partitionBy("_key").orderBy("_text")))
+    copies = F.col("_least") + (F.col("_nth") <= F.col("_more")).cast("int")
+    taken = numbered.join(shares, "_key").withColumn("_copies", copies).where(F.col("_copies") > 0)
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -93,6 +93,27 @@ def test_mix(spark, odd, none):
     assert mixed.columns == odd.columns and mixed.count() == sum(r["copies"] for r in rows)
 
 
+def test_mixed_rows_of_one_key(spark):
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 2).alias("source"),
+        F.concat_ws(" ", F.lit("one two"), F.col("id") % 5).alias("text"),
+    )
+    due = Counter()
+    for r in got(mixing.mix(docs)):
+        due[r["doc_id"], r["source"]] += r["copies"]
+    plan = mixing.mixed_rows(docs)
+    again = mixing.mixed_rows(docs.repartition(5))
+    rows = [(r["doc_id"], r["source"], r["text"]) for r in got(plan)]
+    assert Counter(r[:2] for r in rows) == Counter({k: n for k, n in due.items() if n})
+    assert Counter(rows) == Counter((r["doc_id"], r["source"], r["text"]) for r in got(again))
+    rates = {r["source"]: r["target"] / r["source_size"] for r in got(mixing.mix(docs))}
+    given = Counter((r["doc_id"], r["source"], r["text"]) for r in got(docs))
+    held = Counter(rows)
+    for row, n in given.items():
+        base = int(rates[row[1]])
+        assert n * base <= held[row] <= n * (base + 1)
+
+
 def rows_key(rows):
     return sorted((str(r["doc_id"]), str(r["source"]), r["size"], r["copies"]) for r in rows)
 
