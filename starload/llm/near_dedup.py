@@ -21,8 +21,10 @@ ROWS = 6
 """A pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**40, about 6e-6."""
 COMMON = 50
 """Nodes of a hub that may share a shingle the hub lacks before it counts as common to them all."""
-_BATCH_BYTES = 8 << 20
-_BATCH_COMPONENTS = 2 << 20
+_BATCH_BYTES = 4 << 20
+_BATCH_COMPONENTS = 1 << 20
+_KNOWN_WORDS = 1 << 18
+"""Text and signature components worked on at once, and word hashes remembered: a task signs in some 340 MB."""
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -40,7 +42,7 @@ class Shingler:
 
     def word_hashes(self, held: list[bytes]) -> np.ndarray:
         known = self.known
-        if len(known) > 2_000_000:
+        if len(known) > _KNOWN_WORDS:
             known.clear()
         for word in set(held).difference(known):
             known[word] = xxhash.xxh3_64_intdigest(word)
