@@ -24,11 +24,16 @@ SYMBOLS = 257
 WIDTH = 9
 """Bits of a symbol within a key."""
 KEPT = 1 << 20
-"""A trie entry is kept when it holds at least 1/KEPT of all training symbols, so each order has at most
-KEPT entries; a word goes to every task when it holds 1/KEPT of all training tokens, likewise."""
-_BATCH_BYTES = 4 << 20
+"""A word goes to every task when it holds at least 1/KEPT of all training tokens, so at most KEPT do."""
+KEPT_GRAMS = 1 << 22
+"""A gram's score goes to every task when it holds at least 1/KEPT_GRAMS of all symbols; other grams meet theirs in a join."""
+SHARED = 2
+"""Longest context whose entries all go to every task that works out scores: at most 257**3 by the alphabet."""
+_BATCH_BYTES = 2 << 20
 _FLUSH = 1 << 19
-_FLUSH_GRAMS = 1 << 21
+_FLUSH_GRAMS = 1 << 20
+_SCORED_GRAMS = 1 << 19
+_OUT_ROWS = 100_000
 
 
 def lowered(text: bytes | None) -> bytes:
@@ -85,46 +90,68 @@ def training(doc_id: Column, folds: int, held_out: int) -> Column:
 
 
 def partial_counts(docs: DataFrame) -> DataFrame:
-    """(gram, word, n): counts of byte grams and of words of all texts, added up per task as far as memory goes."""
+    """(gram, word, n, learned): counts of byte grams of all texts, apart for those ``learned`` from, and of the words of these.
+
+    Added up per task as far as memory goes.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        grams = pd.Series(dtype=np.int64)
+        parts: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {True: [], False: []}
+        sizes = {True: 0, False: 0}
         docs_seen = 0
         for whole in batches:
             for batch in batches_of(whole, _BATCH_BYTES):
                 texts = [lowered(t) for t in column_bytes(batch.column("text"))]
-                docs_seen += len(texts)
-                for text in texts:
-                    words.update(text.split())
+                learned = batch.column("learned").to_pylist()
+                docs_seen += sum(learned)
+                for text, of_training in zip(texts, learned):
+                    if of_training:
+                        words.update(text.split())
                     if len(words) > _FLUSH:
                         yield _words(words)
                         words = Counter()
-                for keys, _ in contexts(texts):
-                    found, seen = pd.factorize(keys)
-                    grams = grams.add(pd.Series(np.bincount(found, minlength=len(seen)), index=seen), fill_value=0)
-                    if len(grams) > _FLUSH_GRAMS:
-                        yield _grams(grams)
-                        grams = pd.Series(dtype=np.int64)
+                for kind in (True, False):
+                    for keys, _ in contexts([t for t, k in zip(texts, learned) if k == kind]):
+                        found, seen = pd.factorize(keys)
+                        parts[kind].append((seen, np.bincount(found, minlength=len(seen))))
+                        sizes[kind] += len(seen)
+                        if sizes[kind] > 2 * _FLUSH_GRAMS:
+                            parts[kind] = [_added(parts[kind])]
+                            sizes[kind] = len(parts[kind][0][0])
+                            if sizes[kind] > _FLUSH_GRAMS:
+                                yield from _grams(*parts[kind][0], kind)
+                                parts[kind], sizes[kind] = [], 0
         yield _words(words)
-        yield _grams(grams)
-        yield _rows([None], [None], [docs_seen])
+        for kind in (True, False):
+            yield from _grams(*_added(parts[kind]), kind)
+        yield _rows([None], [None], [docs_seen], True)
 
-    return docs.select("text").mapInArrow(count, "gram long, word binary, n long")
+    return docs.select("text", "learned").mapInArrow(count, "gram long, word binary, n long, learned boolean")
 
 
-def _rows(grams: list, words: list, n: list) -> pa.RecordBatch:
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.array([], np.int64), np.array([], np.int64)
+    found, seen = pd.factorize(np.concatenate([k for k, _ in parts]))
+    return seen, np.bincount(found, np.concatenate([n for _, n in parts]), len(seen)).astype(np.int64)
+
+
+def _rows(grams: list, words: list, n: list, learned: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({
-        "gram": pa.array(grams, pa.int64()), "word": pa.array(words, pa.binary()), "n": pa.array(n, pa.int64())
+        "gram": pa.array(grams, pa.int64()), "word": pa.array(words, pa.binary()), "n": pa.array(n, pa.int64()),
+        "learned": pa.array([learned] * len(n), pa.bool_()),
     })
 
 
 def _words(words: Counter) -> pa.RecordBatch:
-    return _rows([None] * len(words), list(words), list(words.values()))
+    return _rows([None] * len(words), list(words), list(words.values()), True)
 
 
-def _grams(grams: pd.Series) -> pa.RecordBatch:
-    return _rows(grams.index.to_numpy(np.int64), [None] * len(grams), grams.to_numpy(np.int64))
+def _grams(grams: np.ndarray, n: np.ndarray, learned: bool) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(grams), _OUT_ROWS):
+        part = grams[at : at + _OUT_ROWS]
+        yield _rows(part, [None] * len(part), n[at : at + _OUT_ROWS], learned)
 
 
 class Trie:
@@ -200,16 +227,63 @@ class Trie:
         return total
 
 
-def trained(counts: DataFrame) -> Trie:
-    """The trie of the (gram, n) counts; the driver gets at most (ORDER + 1) * KEPT entries."""
-    grams = written(counts.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
-    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+def orders(keys: np.ndarray, n: np.ndarray, wanted: range) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of the entries of each wanted order, from whole grams and their counts."""
     entries = []
-    for k in range(ORDER + 1):
+    for k in wanted:
+        found, cut = pd.factorize(keys & ((1 << (WIDTH * (k + 1))) - 1))
+        entries.append((cut, np.bincount(found, n, len(cut)).astype(np.int64)))
+    return entries
+
+
+def gram_scores(counts: DataFrame) -> DataFrame:
+    """(gram, asked, log_p): occurrences in all texts and log10 probability of the symbol, for every gram that occurs.
+
+    The probability follows from the gram and the counts of its contexts and theirs alone. Grams of the
+    same last SHARED + 1 context symbols hold all counts of the orders beyond SHARED that they need, so
+    they are dealt out by these and a trie is made for some such groups at a time; no entry is left out.
+    """
+    grams = counts.where("gram is not null").groupBy("gram").agg(
+        F.sum("n").alias("asked"), F.sum(F.when(F.col("learned"), F.col("n")).otherwise(0)).alias("n")
+    )
+    grams = written(grams, "lm-grams")
+    low = []
+    for k in range(SHARED + 1):
         cut = F.col("gram").bitwiseAND(F.lit((1 << (WIDTH * (k + 1))) - 1)).alias("gram")
-        kept = grams.groupBy(cut).agg(F.sum("n").alias("n")).where(F.col("n") * KEPT >= total).toPandas()
-        entries.append((kept["gram"].to_numpy(np.int64), kept["n"].to_numpy(np.int64)))
-    return Trie(entries)
+        kept = grams.where("n > 0").groupBy(cut).agg(F.sum("n").alias("n")).toPandas()
+        low.append((kept["gram"].to_numpy(np.int64), kept["n"].to_numpy(np.int64)))
+    shared = counts.sparkSession.sparkContext.broadcast(low)
+    mask = (1 << (WIDTH * (SHARED + 1))) - 1
+
+    def work_out(grams: np.ndarray, asked: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        seen = n > 0
+        model = Trie(shared.value + orders(grams[seen], n[seen], range(SHARED + 1, ORDER + 1)))
+        for at in range(0, len(grams), _OUT_ROWS):
+            part = slice(at, at + _OUT_ROWS)
+            yield pa.RecordBatch.from_pydict({"gram": grams[part], "asked": asked[part], "log_p": model.log10(grams[part])})
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        size, enough = 0, _SCORED_GRAMS
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("gram", "asked", "n")])
+            size += batch.num_rows
+            if size < enough:
+                continue
+            whole = [np.concatenate(c) for c in zip(*held)]
+            group = (whole[0] >> WIDTH) & mask
+            at = int(np.argmax(group == group[-1]))  # the last group may go on in the next batch
+            if at:
+                yield from work_out(*(c[:at] for c in whole))
+            held = [[c[at:] for c in whole]]
+            size -= at
+            enough = max(_SCORED_GRAMS, 2 * size)
+        if size:
+            yield from work_out(*(np.concatenate(c) for c in zip(*held)))
+
+    dealt = grams.withColumn("group", F.shiftright("gram", WIDTH).bitwiseAND(F.lit(mask)))
+    dealt = dealt.repartition("group").sortWithinPartitions("group").select("gram", "asked", "n")
+    return dealt.mapInArrow(work, "gram long, asked long, log_p double")
 
 
 def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
@@ -219,16 +293,20 @@ def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
     their words, and the byte contexts of the trie. ``score`` is the trie's log10 probability of the
     text's bytes and its end; ``base_score`` that of words and end under add-one unigram counts.
 
-    Words that hold 1/KEPT of all tokens are looked up in every task. The rest, whose number grows
-    with the corpus, meet their counts in a join on the word, which no frequent word can weigh down.
+    Frequent words and grams are looked up in every task. The rest, whose number grows with the corpus,
+    meet their counts and scores in a join, which no frequent one can weigh down. Nothing counted is dropped.
 
     Null text is the empty text: one token, the end. A null id is the empty id text. Repeated rows are
     scored each. Without training rows every count is 0 and bytes are equally likely. An empty table
     gives no rows; other columns are ignored.
     """
-    learned = docs.where(training(F.col("doc_id"), folds, held_out))
-    counts = written(partial_counts(learned), "lm-partial")
-    trie = trained(counts)
+    counts = written(
+        partial_counts(docs.select("text", training(F.col("doc_id"), folds, held_out).alias("learned"))), "lm-partial"
+    )
+    by_gram = written(gram_scores(counts), "lm-gram-scores")
+    asked = by_gram.agg(F.coalesce(F.sum("asked"), F.lit(0))).first()[0]
+    is_frequent = F.col("asked") * KEPT_GRAMS >= asked
+    frequent = by_gram.where(is_frequent).select("gram", "log_p").toPandas().sort_values("gram")
     vocabulary = counts.where("word is not null").groupBy("word").agg(F.sum("n").alias("c"))
     vocabulary = written(vocabulary, "lm-words")
     kinds, in_words = vocabulary.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
@@ -237,21 +315,28 @@ def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
     is_common = F.col("c") * KEPT >= tokens
     common = vocabulary.where(is_common).toPandas()
     shared = docs.sparkSession.sparkContext.broadcast(
-        (trie.entries, dict(zip(common["word"].map(bytes), np.log10(common["c"].to_numpy(float) + 1))))
+        (frequent["gram"].to_numpy(np.int64), frequent["log_p"].to_numpy(float),
+         dict(zip(common["word"].map(bytes), np.log10(common["c"].to_numpy(float) + 1))))
     )
     end_log, below = math.log10(ends + 1), math.log10(tokens + kinds + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, logs = shared.value
-        model = Trie(entries)
+        frequent, log_p, logs = shared.value
         number = TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in batches_of(whole, _BATCH_BYTES):
                 texts = [lowered(t) for t in column_bytes(batch.column("text"))]
                 scores = np.zeros(len(texts))
+                asked_of: list[tuple] = []
                 for keys, owner in contexts(texts):
                     found, seen = pd.factorize(keys)
-                    scores += np.bincount(owner, model.log10(seen)[found], minlength=len(texts))
+                    at = np.minimum(np.searchsorted(frequent, seen), max(len(frequent) - 1, 0))
+                    held = frequent[at] == seen if len(frequent) else np.zeros(len(seen), bool)
+                    of_seen = np.where(held, log_p[at], 0.0) if len(frequent) else np.zeros(len(seen))
+                    scores += np.bincount(owner, of_seen[found], minlength=len(texts))
+                    open_ = ~held[found]
+                    pair, pairs = pd.factorize(owner[open_] * len(seen) + found[open_])
+                    asked_of.append((pairs // len(seen), seen[pairs % len(seen)], np.bincount(pair, minlength=len(pairs))))
                 n_tokens, known, base, rare = [], [], [], []
                 for text in texts:
                     words = text.split()
@@ -265,6 +350,7 @@ def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
                     "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
                     "n_tokens": pa.array(n_tokens, pa.int64()), "known": pa.array(known, pa.int64()),
                     "base": pa.array(base, pa.float64()), "score": pa.array(scores),
+                    "grams": _per_text(asked_of, len(texts)),
                     "rare": pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
                 })
                 number += len(texts)
@@ -273,17 +359,32 @@ def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), "text", (~training(F.col("doc_id"), folds, held_out)).alias("held_out")
     )
     schema = "place long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, " \
-        "rare array<struct<word: binary, n: long>>"
+        "grams array<struct<gram: long, n: int>>, rare array<struct<word: binary, n: long>>"
     rows = written(asked.mapInArrow(score, schema), "lm-rows")
     rare = rows.select("place", F.inline("rare"))
-    met = rare.join(vocabulary.where(~is_common), "word").groupBy("place").agg(
-        F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rare_base")
+    zero, nought = F.lit(0).cast("long"), F.lit(0.0)
+    of_words = rare.join(vocabulary.where(~is_common), "word").select(
+        "place", F.col("n").alias("known"), (F.col("n") * F.log10(F.col("c") + 1)).alias("base"), nought.alias("score")
     )
-    zero = F.lit(0)
-    return rows.drop("rare").join(met, "place", "left").select(
+    of_grams = rows.select("place", F.inline("grams")).join(by_gram.where(~is_frequent), "gram").select(
+        "place", zero.alias("known"), nought.alias("base"), (F.col("n") * F.col("log_p")).alias("score")
+    )
+    met = of_words.groupBy("place").agg(*[F.sum(c).alias(c) for c in ("known", "base", "score")]).unionByName(
+        of_grams.groupBy("place").agg(*[F.sum(c).alias(c) for c in ("known", "base", "score")])
+    )
+    met = met.groupBy("place").agg(*[F.sum(c).alias(f"rare_{c}") for c in ("known", "base", "score")])
+    return rows.drop("rare", "grams").join(met, "place", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rare_known", zero)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("base") + F.coalesce("rare_base", nought)).alias("base_score"),
+        (F.col("score") + F.coalesce("rare_score", nought)).alias("score"),
     )
+
+
+def _per_text(found: list[tuple], n_texts: int) -> pa.Array:
+    """Lists of (gram, n), one per text, from (text, gram, n) arrays."""
+    owner, gram, n = (np.concatenate([f[i] for f in found]) for i in range(3))
+    order = np.argsort(owner, kind="stable")
+    pairs = pa.StructArray.from_arrays([pa.array(gram[order]), pa.array(n[order].astype(np.int32))], names=["gram", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[order], np.arange(n_texts + 1)).astype(np.int32)), pairs)

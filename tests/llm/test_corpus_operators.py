@@ -220,6 +220,19 @@ def test_lm_score(odd, none):
     assert lm_score.scored(none).count() == 0
 
 
+def test_lm_score_keeps_what_is_rare(spark, odd):
+    rng = np.random.default_rng(4)
+    long = bytes(rng.choice(np.frombuffer(b"abc ", np.uint8), (1 << 20) + 5000)).decode()
+    given = [(0, long), (1, "zyxw rare vu"), (3, "zyxw rare vu tsr"), (6, "zyxw abc rare tsr"), (4, "qqq")]
+    docs = spark.createDataFrame([(i, t, None, None, None, 1, "r", 1, "w", 1) for i, t in given], odd.schema)
+    held = {i for i, _ in given if zlib.crc32(str(i).encode()) % 7 == 2}
+    learned = [t.encode() for i, t in given if i not in held]
+    assert 0 not in held
+    scores = {r["doc_id"]: r["score"] for r in got(lm_score.scored(docs))}
+    for i, t in given[1:]:
+        assert scores[i] == pytest.approx(plain_ppm(learned, t.encode()), abs=1e-6)
+
+
 def test_probabilities_sum_to_one():
     texts = [b"abracadabra", b"abba", b"", b"banana band"]
     keys = np.concatenate([k for k, _ in lm_score.contexts(texts)])
