@@ -207,7 +207,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, row and class_id (least doc_id of the class) for every row.
+    """doc_id, row, class_id and root for every row.
+
+    ``root`` names the class: the least row hash of its nodes. ``class_id`` is the least doc_id of the class,
+    null when it has none; classes that would share one, as ids repeat or several have none, take their root instead.
 
     Rows of the same words are one node. Nodes that share a band are candidates, verified on their
     whole texts; classes are the connected components of the verified pairs.
@@ -218,7 +221,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     through ``prefix_pairs``, which finds every pair across classes that can reach the threshold: a
     large group of copies costs its size, and texts somewhat like it are not compared pair by pair.
 
-    Texts without words form one class. A null doc_id counts only in a class of nulls. Repeated rows
+    Texts without words form one class. A null doc_id is not the least of a class that has others. Repeated rows
     share a class. An empty table gives no rows; other columns are ignored.
     """
     every = written(signed(docs, bands, rows), "near-signed")
@@ -260,8 +263,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
 
     of_key = written(with_root(keys, "node", roots, "root").select("key", "root"), "near-roots")
     rooted = every.select("doc_id", "row", "key").join(of_key, "key")
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return rooted.join(least, "root").select("doc_id", "row", "class_id")
+    least = written(rooted.groupBy("root").agg(F.min("doc_id").alias("least")), "near-least")
+    repeated = least.where("least is not null").groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = written(repeated.select(F.col("least").alias("_least")), "near-repeated")
+    without = least.where("least is null").limit(2).count()
+    named = least.join(repeated, F.col("least") == F.col("_least"), "left").select(
+        "root", F.when(F.col("_least").isNotNull() | (F.col("least").isNull() & F.lit(without > 1)), F.col("root"))
+        .otherwise(F.col("least")).alias("class_id"),
+    )
+    return rooted.join(named, "root").select("doc_id", "row", "class_id", "root")
 
 
 def prefix_pairs(texts: DataFrame, stars: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
@@ -353,11 +363,12 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, **how) -> DataFrame:
     """One row of ``docs`` per class, that of the least doc_id, all columns as they are.
 
-    Of several texts with that id the least row hash stays; of rows that repeat it in full, one.
+    A null id comes last. Of several texts with that id the least row hash stays; of rows that repeat it in full, one.
     """
-    found = written(classes(docs, **how), "near-classes")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("row").alias("_row"))
+    found = classes(docs, **how)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = written(found.groupBy("root").agg(F.min(rank).alias("first")).select(F.col("first.row").alias("_row")), "near-first-rows")
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")).withColumn(
         "_row", F.xxhash64(F.col("_doc.doc_id"), F.col("_doc.text"))
     )
-    return kept.join(first.select("_row"), "_row", "left_semi").dropDuplicates(["_row"]).select("_doc.*")
+    return kept.join(first, "_row", "left_semi").dropDuplicates(["_row"]).select("_doc.*")

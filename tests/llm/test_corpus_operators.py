@@ -437,6 +437,17 @@ def test_near_classes(spark, odd, none):
     assert near_dedup.classes(none).count() == 0
 
 
+def test_classes_of_null_and_repeated_ids(spark, odd):
+    given = [(None, prose(60, 40)), (None, prose(61, 40)), (None, prose(61, 40)), (7, prose(62, 40)), (7, prose(63, 40)),
+             (8, prose(64, 40)), (None, prose(64, 40))]
+    docs = spark.createDataFrame([(i, t, None, None, None, 1, "r", 1, "w", 1) for i, t in given], odd.schema)
+    found = got(near_dedup.classes(docs))
+    assert len(found) == 7 and len({r["root"] for r in found}) == len({r["class_id"] for r in found}) == 5
+    assert [r["class_id"] for r in found if r["doc_id"] == 8] == [8]
+    kept = Counter((r["doc_id"], r["text"]) for r in got(near_dedup.keep_first(docs)))
+    assert kept == Counter({g: 1 for g in given[:6]})
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     found = {r["node"]: r["root"] for r in near_dedup.components(spark.createDataFrame(chain, "a long, b long")).collect()}
