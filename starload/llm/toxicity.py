@@ -20,6 +20,8 @@ MOST_LABELLED = 50_000
 """Labelled rows a model is fitted on, those of the least id hash; a fit beyond them changes little."""
 MOST_TERMS = 2_000
 """Terms of a lexicon, the strongest first."""
+LEAST_TEXTS = 3
+"""Toxic texts a term must be in, however many there are."""
 LEAST_ODDS = 3.0
 LEAST_G = 24.0
 """Log-likelihood ratio a term must reach: beyond what the best of some 100,000 chance words does."""
@@ -193,7 +195,7 @@ def term_counts(labelled: DataFrame) -> DataFrame:
 
 
 def lexicon(labelled: DataFrame, toxic: int, clean: int, most_terms: int = MOST_TERMS) -> list[Term]:
-    """Terms far more frequent in toxic texts, and in at least one of 100. A stem that is nearly always one word gives way to the word."""
+    """Terms far more frequent in toxic texts, and in at least LEAST_TEXTS. A stem that is nearly always one word gives way to the word."""
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     share = (F.col("toxic") + F.col("clean")) / max(toxic + clean, 1)
     g = 2 * (
@@ -202,7 +204,7 @@ def lexicon(labelled: DataFrame, toxic: int, clean: int, most_terms: int = MOST_
     )
     found = (
         term_counts(labelled)
-        .where(F.col("toxic") >= max(3, toxic // 100))
+        .where(F.col("toxic") >= LEAST_TEXTS)
         .withColumn("odds", odds)
         .where((F.col("odds") >= LEAST_ODDS) & (g >= LEAST_G))
         .orderBy(F.desc(F.col("toxic") * F.col("odds")), "term", "stem")

@@ -296,6 +296,14 @@ def test_toxicity(spark, odd, none):
     assert all(r["score"] == pytest.approx(1 / (1 + math.exp(3))) for r in got(toxicity.scored(odd, flat)))
 
 
+def test_lexicon_holds_rare_terms(spark):
+    texts = [(prose(i, 12) + (" you grobnik" if i < 15 else " you idiot" if i < 2000 else ""), int(i < 2000)) for i in range(8000)]
+    labelled = spark.createDataFrame(texts, "text string, toxic int")
+    terms = toxicity.lexicon(labelled, 2000, 6000)
+    automaton = toxicity.Automaton(terms)
+    assert automaton.look_up("idiot") is not None and automaton.look_up("grobnik") is not None
+
+
 # -- 7 ------------------------------------------------------------------------------------------
 
 
