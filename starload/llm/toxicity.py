@@ -35,7 +35,10 @@ REPORTING = frozenset(
     "dit écrit appelé cité mot terme sagte sagt schrieb nannte zitiert wort begriff "
     "dijo dice escribió llamó citó palabra término".split()
 )
-_TOKEN = re.compile(rf"[^\W_]+|[{QUOTES}]")
+# A single curly mark between two letters is an apostrophe.
+_TOKEN = re.compile(rf"[^\W_]+|(?<![^\W\d_])[‘’]|[‘’](?![^\W\d_])|[{QUOTES.strip('‘’')}]")
+CLOSING = {'"': '"', "“": "”", "”": "”", "„": "“”", "«": "»", "»": "«»", "‹": "›", "›": "‹›", "‘": "’", "’": "’"}
+"""Marks that may close what a mark opens, in the corpus's languages."""
 
 
 @dataclass(frozen=True)
@@ -155,7 +158,7 @@ def features(held: list[str], automaton: Automaton) -> list[float]:
         if hit is None:
             continue
         before, after = held[max(0, at - WINDOW) : at], held[at + 1 : at + 1 + WINDOW]
-        marked = any(w in QUOTES for w in before) and any(w in QUOTES for w in after)
+        marked = any(w in CLOSING and any(a in CLOSING[w] for a in after) for w in before)
         if marked or not REPORTING.isdisjoint(before):
             quoted += 1
             continue

@@ -282,6 +282,16 @@ def test_quotation_is_told_from_abuse():
     assert plain[0] > 0 and plain[2] == 0 and quoted[0] == 0 and quoted[2] > 0
 
 
+def test_apostrophes_are_no_quotation():
+    automaton = toxicity.Automaton([toxicity.Term("idiot", 2.0, False)])
+    for text in ("you’re an idiot and that’s it", "l’ami est un idiot et d’abord", "”then you idiot“ he"):
+        measured = toxicity.features(toxicity.tokens(text), automaton)
+        assert measured[0] > 0 and measured[2] == 0, text
+    for text in ("they shouted ‘an idiot’ there", "they shouted “an idiot” there", "they shouted «an idiot» there"):
+        measured = toxicity.features(toxicity.tokens(text), automaton)
+        assert measured[0] == 0 and measured[2] > 0, text
+
+
 def test_toxicity(spark, odd, none):
     texts = [(1000 + i, prose(i, 30) + (" you idiot" if i % 3 == 0 else "")) for i in range(300)]
     more = spark.createDataFrame([(i, t, None, None, None, 1, "r", 1, "w", 1) for i, t in texts], odd.schema)
