@@ -5,6 +5,7 @@ import math
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -494,3 +495,39 @@ def test_cascade_is_exact(spark, monkeypatch):
     cascade = url_filter.Cascade(listed, universe)
     assert len(cascade.levels) > 2
     assert universe.where(cascade.listed(F.col("key")) != F.expr("xxhash64(key) % 5 = 0")).isEmpty()
+
+
+# -- pipeline -----------------------------------------------------------------------------------
+
+
+def test_pipeline_keeps_every_clean_text(spark, tmp_path, monkeypatch):
+    item = prose(900, 30)
+    clean = [(None, prose(901, 40)), (None, prose(902, 40)), (21, prose(903, 40)), (21, prose(904, 40)), (22, prose(905, 60))]
+    clean += [(30 + i, prose(910 + i, 40 + i)) for i in range(12)]
+    lost = [(23, prose(905, 60)), (24, prose(906, 20) + " " + item + " " + prose(907, 20)), (25, "few words"), (26, None), (27, "spam " * 60)]
+
+    def rows(given):
+        return spark.createDataFrame([(i, t, None, f"s{(i or 0) % 2}", None) for i, t in given],
+                                     "doc_id long, text string, lang string, source string, n_chars long")
+
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/sf/benchmark.parquet")
+    rows(clean + lost).write.parquet(f"{tmp_path}/sf/documents.parquet")
+    between, write = {}, corpus_pipeline.written
+    monkeypatch.setattr(corpus_pipeline, "written", lambda df, name: between.setdefault(name, write(df, name)))
+    found = got(corpus_pipeline.run(spark, f"{tmp_path}/sf"))
+    left = Counter((r["doc_id"], r["text"]) for r in got(between["pipeline-decontamination"]))
+    assert left == Counter(clean)
+    due, rates = Counter(), {}
+    for r in got(mixing.mix(rows(clean))):
+        due[r["doc_id"]] += r["copies"]
+        rates[r["source"]] = int(r["target"] / r["source_size"])
+    assert Counter(r["doc_id"] for r in found) == Counter({k: n for k, n in due.items() if n})
+    sums = {(i, len(t.encode()) + 1, zlib.crc32(t.encode())) for i, t in clean}
+    held = Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found)
+    assert set(held) <= sums
+    for row in sums:  # a source's rate leaves a row its whole part or one copy more
+        assert 0 <= held[row] - rates[f"s{(row[0] or 0) % 2}"] <= 1
+    for shard in {r["shard"] for r in found}:
+        slots = sorted(r["slot"] for r in found if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert all(r["law"] == "bytes" for r in found)
