@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import (
+    bk_trees,
     chat,
+    conversation_repair,
     decontamination,
     lm_score,
     mixing,
@@ -19,6 +21,7 @@ from starload.llm import (
     token_output,
     toxicity,
     url_filter,
+    whitening,
 )
 from starload.llm.common import crc_of_id, table
 from starload.session import fresh_dir
@@ -185,6 +188,19 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bk_trees.linked_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_decontaminate": (op1_decontaminate, OP1_SQL),
     "op2_mix": (op2_mix, None),
@@ -196,4 +212,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op8_chat": (op8_chat, None),
     "op9_near_dedup": (op9_near_dedup, None),
     "op10_urls": (op10_urls, OP10_SQL),
+    "op11_whiten": (op11_whiten, None),
+    "op12_simhash": (op12_simhash, None),
+    "op13_repair": (op13_repair, None),
 }
