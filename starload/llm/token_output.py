@@ -22,6 +22,8 @@ from starload.llm import token_codec
 from starload.llm.common import batches_of
 
 END = 0
+DRAW = 7
+"""Seed of the draw that deals out rows equal in id and text."""
 SEGMENT_IDS = token_codec.BLOCK * token_codec.LANES
 _BATCH_BYTES = 4 << 20
 _MEMO = 1_000_000
@@ -37,7 +39,6 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -56,9 +57,11 @@ class Encoder:
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
-    """Write ``docs(doc_id, text)`` to ``path`` in ascending doc_id order, null ids first, ties by text.
+    """Write ``docs(doc_id, text)`` to ``path`` in ascending doc_id order, null ids first, ties by text hash.
 
-    Documents are dealt out by ranges of doc_id and encoded where they land; a text is encoded whole.
+    Documents are dealt out by ranges of doc_id and, where one id or none has very many rows, of text hash and
+    then of a draw, so that such rows, equal ones included, do not gather in one task. They are encoded where
+    they land, each text whole, as the tokenizer itself does: a special token's literal is that token.
     Null text is empty: the end id alone. Repeated rows are written each. Ids must fit 16 bits. Other
     columns are ignored.
     """
@@ -82,10 +85,12 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
         if held:
             yield _segment(part, segment, doc_ids, held)
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(
-        "doc_id"
-    ).sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(write, SCHEMA).write.parquet(path)
+    order = ["doc_id", "_hash", "_draw"]
+    named = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_hash"), F.rand(DRAW).alias("_draw")
+    )
+    ordered = named.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select("doc_id", "text").mapInArrow(write, SCHEMA).write.parquet(path)
 
 
 def _segment(part: int, segment: int, doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:

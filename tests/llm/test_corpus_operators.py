@@ -183,9 +183,9 @@ def test_codec_round_trip(seed):
 
 def test_token_files(spark, odd, none, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     path = f"file:{tmp_path}/tokens"
-    more = spark.createDataFrame([(20, "  a  b\n\n c<|endoftext|> d'll 12,000", *[None] * 3, 1, "r", 1, "w", 1)], odd.schema)
+    texts = {20: "  a  b\n\n c<|endoftext|> d'll 12,000", 21: "a page <|endoftext|> next page", 22: "<|endoftext|>", 23: "<|endoftext|> x.<|endoftext|>"}
+    more = spark.createDataFrame([(i, t, *[None] * 3, 1, "r", 1, "w", 1) for i, t in texts.items()], odd.schema)
     docs = odd.unionByName(more)
     token_output.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), path)
     found = sorted(got(token_output.digests(token_output.read_tokens(spark, path))), key=lambda r: r["start"])
@@ -199,6 +199,23 @@ def test_token_files(spark, odd, none, tmp_path):
     assert token_output.read_tokens(spark, f"{path}-none").count() == 0
 
 
+def test_tokens_of_rows_without_id(spark, tmp_path):
+    """A third of the rows without id and as many equal in id and text: they are dealt out, and all come back."""
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 1, F.col("id")).when(F.col("id") % 3 == 2, F.lit(7)).alias("doc_id"),
+        F.when(F.col("id") % 3 == 2, F.lit("same words")).otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"),
+    )
+    token_output.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), f"file:{tmp_path}/tokens")
+    stored = spark.read.parquet(f"file:{tmp_path}/tokens")
+    per_part = Counter()
+    for r in stored.select("part", F.size("doc_ids").alias("n")).collect():
+        per_part[r["part"]] += r["n"]
+    assert sum(per_part.values()) == 3000 and max(per_part.values()) < 700
+    rows = got(token_output.digests(token_output.read_tokens(spark, f"file:{tmp_path}/tokens")).orderBy("start"))
+    assert [r["doc_id"] for r in rows[:1000]] == [None] * 1000 and Counter(r["doc_id"] for r in rows)[7] == 1001
+    assert [r["start"] for r in rows] == [0, *itertools.accumulate(r["n_tokens"] for r in rows)][:-1]
+
+
 # -- 5 ------------------------------------------------------------------------------------------
 
 
