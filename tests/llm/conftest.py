@@ -27,3 +27,11 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def none(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture
+def as_dealt(spark):
+    """Partitions stay as they were dealt out, however small."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -199,7 +199,7 @@ def test_token_files(spark, odd, none, tmp_path):
     assert token_output.read_tokens(spark, f"{path}-none").count() == 0
 
 
-def test_tokens_of_rows_without_id(spark, tmp_path):
+def test_tokens_of_rows_without_id(spark, as_dealt, tmp_path):
     """A third of the rows without id and as many equal in id and text: they are dealt out, and all come back."""
     docs = spark.range(3000).select(
         F.when(F.col("id") % 3 == 1, F.col("id")).when(F.col("id") % 3 == 2, F.lit(7)).alias("doc_id"),
