@@ -6,14 +6,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starload.session import broadcastable, written
 from starload.spec import ForeignKey
 
 
-SPREAD = 16
-"""Tasks that the rows of one key are dealt to when the keys without parent are too many to broadcast."""
+HOT_ROWS = 1_000_000
+"""Rows of one key that may meet in a task; a key with more is looked up without moving its rows."""
 
 
 def with_parent_flag(
@@ -21,24 +20,34 @@ def with_parent_flag(
 ) -> DataFrame:
     """Add ``flag``: whether the parent row exists. Every row is kept; a null key has no parent.
 
-    The parents meet only the distinct keys of ``rows``. The keys left over have no parent; they are few as a
-    rule and are joined back by their written size, and when Spark cannot broadcast them, to rows that are
-    dealt out further by a hash of their values. So rows of one hot key, or without key, never meet in one
-    task. ``rows`` are evaluated twice, so they should be stored.
+    Parents that Spark can broadcast are joined to the rows as they are. Others meet only the distinct keys of
+    ``rows``, which are then evaluated twice and should be stored. The keys left over have no parent; they are
+    few as a rule and are joined back by their written size. When Spark cannot broadcast them, those of more
+    than ``HOT_ROWS`` rows still are, one for that many rows at most, and only rows of other keys are shuffled by
+    key. Rows without key, or of a hot one, keep to themselves, so no task gets more than ``HOT_ROWS`` of a key.
     """
+    key = F.col(fk.column)
     ids = parent.select(F.col(fk.parent_key).alias("_key")).where(F.col("_key").isNotNull())
-    used = rows.select(F.col(fk.column).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    if broadcastable(ids):
+        joined = rows.join(ids.distinct(), rows[fk.column] == F.col("_key"), "left")
+        return joined.withColumn(flag, F.col("_key").isNotNull()).drop("_key")
+
+    used = rows.select(key.alias("_key")).where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
     orphans = written(used.join(ids, "_key", "left_anti"), "orphan-keys", scratch)
     if broadcastable(orphans):
-        joined = rows.join(orphans, rows[fk.column] == orphans["_key"], "left")
-    else:
-        plain = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-        dealt = rows.withColumn("_place", F.pmod(F.xxhash64(*plain), F.lit(SPREAD)))
-        places = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
-        orphans = orphans.select("_key", places.alias("_at"))
-        same = (dealt[fk.column] == orphans["_key"]) & (dealt["_place"] == orphans["_at"])
-        joined = dealt.join(orphans, same, "left").drop("_place", "_at")
-    return joined.withColumn(flag, rows[fk.column].isNotNull() & F.col("_key").isNull()).drop("_key")
+        joined = rows.join(orphans.drop("_rows"), rows[fk.column] == F.col("_key"), "left")
+        return joined.withColumn(flag, rows[fk.column].isNotNull() & F.col("_key").isNull()).drop("_key")
+
+    hot = F.broadcast(orphans.where(F.col("_rows") > HOT_ROWS).select(F.col("_key").alias("_hot")))
+    cold = orphans.where(F.col("_rows") <= HOT_ROWS).select(F.col("_key").cast("string").alias("_cold"))
+    busy = F.broadcast(written(used.where(F.col("_rows") > HOT_ROWS).select(F.col("_key").alias("_busy")), "hot-keys", scratch))
+    marked = rows.join(hot, rows[fk.column] == F.col("_hot"), "left").join(busy, rows[fk.column] == F.col("_busy"), "left")
+    by_key = F.col(fk.column).isNotNull() & F.col("_busy").isNull()
+    alone = F.concat(F.lit("-"), F.rand(0).cast("string"))  # no key's text, so such rows are dealt out and match nothing
+    placed = marked.withColumn("_place", F.when(by_key, F.col(fk.column).cast("string")).otherwise(alone))
+    joined = placed.join(cold, placed["_place"] == F.col("_cold"), "left")
+    has = F.col(fk.column).isNotNull() & F.col("_hot").isNull() & F.col("_cold").isNull()
+    return joined.select(*rows.columns, has.alias(flag))
 
 
 def with_parent_flags(

@@ -50,6 +50,12 @@ def judge_request_rows(
     return coded.select(*rows.columns, "reason_code", _reason(spec).alias("reason"))
 
 
+def refuse_orphans(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Judged rows that turned out to have no parent, with that reason."""
+    coded = rows.withColumn("reason_code", F.lit(FOREIGN_KEY))
+    return coded.withColumn("reason", _reason(spec))
+
+
 def _sent(field: str) -> Column:
     """The text of a value that could not be read, null for any other."""
     return F.try_element_at("unread", F.lit(field))

@@ -7,9 +7,6 @@ shuffles, so a hot key reaches its reducer as one row per task and never as its
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,25 +18,14 @@ def key_violations(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
-def first_by_key(
-    rows: DataFrame, key: Sequence[str], order: Sequence[str], scratch: str | None = None
-) -> DataFrame:
+def first_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the least by ``order`` and then by the remaining columns; null is a key like any other.
 
-    Keys alone are counted first, by hash. Rows of keys held once pass as they are, and only rows of
-    repeated keys are compared. ``rows`` are evaluated three times, so they should be stored.
+    Rows are evaluated once and shuffled once: each task keeps its least row of a key, and those meet.
     """
-    names = {k: f"_repeated_{k}" for k in key}
-    repeated = key_violations(rows, key).select(*[F.col(k).alias(n) for k, n in names.items()])
-    repeated = written(repeated, "repeated-keys", scratch)
-    if repeated.isEmpty():
-        return rows
-    same = reduce(and_, [rows[k].eqNullSafe(repeated[n]) for k, n in names.items()])
     rest = [c for c in rows.columns if c not in key and c not in order]
-    contenders = rows.join(repeated, same, "left_semi")
-    picked = contenders.groupBy(*key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
-    firsts = picked.select(*[c if c in key else F.col(f"_first.{c}").alias(c) for c in rows.columns])
-    return rows.join(repeated, same, "left_anti").unionByName(firsts)
+    picked = rows.groupBy(*key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return picked.select(*[c if c in key else F.col(f"_first.{c}").alias(c) for c in rows.columns])
 
 
 def first_positions(

@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from starload.operators.judge import DUPLICATE_KEY, judge_loaded_rows
 from starload.operators.keys import first_positions, present_keys
-from starload.session import written
-from starload.sources.delimited import POSITION, read_delimited
+from starload.session import broadcastable, written
+from starload.sources.delimited import POSITION, mended, read_lines
 from starload.spec import TableSpec
 from starload.warehouse import ACCEPTED, Batch, Warehouse
 
@@ -42,13 +42,16 @@ def load_history(
 
     The first line of a key wins, and a key already stored is skipped, so loading the same files
     again adds nothing. Rows not stored are kept with their reason. One commit shows all tables; it is
-    refused with ``ConcurrentWrite`` when another writer has changed one of them since the load began.
+    refused with ``ConcurrentWrite`` when another writer has changed one of them since the load began, or when rows
+    of a parent that is not loaded may have left.
     """
     batch_id = batch_id or f"load-{uuid.uuid4().hex}"
     logged_at = datetime.now(timezone.utc).replace(tzinfo=None)
     warehouse.create()
     run = warehouse.staging(batch_id)
     before = {name: warehouse.state(name) for name in paths}
+    outside = {fk.parent for name in paths for fk in warehouse.specs[name].foreign_keys} - set(paths)
+    parents = {name: warehouse.state(name) for name in outside}
     folders = {name: warehouse.new_batch(name, batch_id) for name in paths}
     try:
         staged: dict[str, str] = {}
@@ -56,14 +59,14 @@ def load_history(
             with ThreadPoolExecutor(len(wave)) as pool:
                 stage = inheritable_thread_target(warehouse.spark)(
                     lambda spec: _stage_judged(
-                        warehouse, spec, read_delimited(warehouse.spark, paths[spec.name], spec, **format_options),
+                        warehouse, spec, _records(warehouse, spec, paths[spec.name], run, **format_options),
                         staged, logged_at, run, folders[spec.name],
                     )
                 )
                 staged |= dict(zip([spec.name for spec in wave], list(pool.map(stage, wave))))
         totals = {name: _totals(warehouse, name, path) for name, path in staged.items()}
         warehouse.publish_all(
-            {name: Batch(path, _largest(totals[name]), before[name]) for name, path in staged.items()}, batch_id
+            {name: Batch(path, _largest(totals[name]), before[name]) for name, path in staged.items()}, batch_id, parents
         )
     except BaseException:
         for path in folders.values():
@@ -90,17 +93,33 @@ def _waves(warehouse: Warehouse, paths: Mapping[str, str | Sequence[str]]) -> li
     return waves
 
 
+def _records(
+    warehouse: Warehouse, spec: TableSpec, paths: str | Sequence[str], run: str, **format_options: str
+) -> DataFrame:
+    """The typed records, written, with their text: the files are parsed once and rejected ones keep their text."""
+    lines = written(read_lines(warehouse.spark, paths, spec, **format_options), f"{spec.name}-lines", run)
+    return mended(lines, spec, scratch=run, **format_options)
+
+
 def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, staged: Mapping[str, str],
                   logged_at: datetime, run: str, path: str) -> str:
-    """Write the judged rows to ``path``, split into accepted and rejected ones, and return it.
+    """Write the judged rows to ``path``, split into accepted and rejected ones, and return it."""
+    folders = ["verdict"] + ([spec.year_column] if spec.year_column else [])
+    out = judged_lines(warehouse, spec, lines, staged, logged_at, run)
+    out.write.partitionBy(*folders).parquet(path)
+    return path
 
-    The typed lines are written once, with their text, so that the files are parsed once and every rejected
-    line keeps its text. The parent and key rules read a few columns of that and end in one small table of
-    keys, which is joined to the lines; that join, where the table is too large to broadcast, and the
-    rebalance before the write are what shuffles whole lines.
+
+def judged_lines(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, staged: Mapping[str, str],
+                 logged_at: datetime, run: str) -> DataFrame:
+    """Records with verdict and reason, laid out to be written.
+
+    The parent and key rules read a few columns of ``lines`` and end in one small table of keys, which is joined
+    to them. Whole lines are shuffled once: by the rebalance before the write or, where the table of keys is too
+    large to broadcast, by that join, whose partitions are then written as they are.
     """
     parents = {fk.parent: _parent_rows(warehouse, fk.parent, staged) for fk in spec.foreign_keys}
-    rows = judge_loaded_rows(written(lines, f"{spec.name}-lines", run), spec, parents, run)
+    rows = judge_loaded_rows(lines, spec, parents, run)
     repeated = F.lit(False)
     marks = _key_marks(warehouse, spec, rows.where(F.col("reason_code").isNull()), run)
     if marks is not None:
@@ -124,9 +143,9 @@ def _stage_judged(warehouse: Warehouse, spec: TableSpec, lines: DataFrame, stage
         F.when(rejected, F.lit(REJECTED_LINES)).otherwise(F.lit(ACCEPTED)).alias("verdict"),
     )
     out = warehouse.with_year(spec.name, out)
-    folders = ["verdict"] + ([spec.year_column] if spec.year_column else [])
-    out.hint("rebalance", *folders).write.partitionBy(*folders).parquet(path)
-    return path
+    if marks is not None and not broadcastable(marks):
+        return out
+    return out.hint("rebalance", "verdict", *([spec.year_column] if spec.year_column else []))
 
 
 def _key_marks(warehouse: Warehouse, spec: TableSpec, valid: DataFrame, run: str) -> DataFrame | None:

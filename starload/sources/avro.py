@@ -7,6 +7,7 @@ jar of Spark 4.1, so its full name works without.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -33,16 +34,23 @@ def avro_schema(name: str, schema: T.StructType) -> dict:
     return {"type": "record", "name": name, "fields": [{"name": f.name, "type": kind(f)} for f in schema]}
 
 
-def write_avro(rows: DataFrame, path: str, name: str, schema: T.StructType) -> None:
-    """Write ``rows`` as container files with exactly the declared record schema."""
-    typed = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema])
-    typed.write.mode("append").format(FORMAT).option("avroSchema", json.dumps(avro_schema(name, schema))).save(path)
+def write_avro(
+    rows: DataFrame, path: str, name: str, schema: T.StructType, folders_by: Sequence[str] = ()
+) -> None:
+    """Write ``rows`` as container files with exactly the declared record schema, in folders by other columns."""
+    typed = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema], *folders_by)
+    writer = typed.write.mode("append").format(FORMAT).option("avroSchema", json.dumps(avro_schema(name, schema)))
+    (writer.partitionBy(*folders_by) if folders_by else writer).save(path)
 
 
-def read_avro(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of one container file or of a folder of them; a folder without any is an error."""
-    container_files(spark, path)
-    return spark.read.format(FORMAT).load(path).select(*schema.names)
+def read_avro(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """Rows of container files or of folders of them; a folder without any is an error."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    for path in paths:
+        container_files(spark, path)
+    return spark.read.format(FORMAT).load(paths).select(*schema.names)
 
 
 def container_files(spark: SparkSession, path: str) -> list[str]:

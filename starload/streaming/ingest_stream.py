@@ -28,7 +28,9 @@ def ingest_stream(
     file source, for instance ``maxFilesPerTrigger``.
 
     Each micro-batch is one ingest whose batch id is the query's id and the batch number. A replay
-    after a failure finds the batch published and adds nothing.
+    after a failure finds the batch published and adds nothing. Small folders are joined as they gather, and the
+    batch numbers taken in are kept as intervals, so neither the commit record nor the number of folders grows with
+    the stream.
     """
     warehouse.create()
     whole_files = source_options.get("wholetext", "false").lower() == "true"
@@ -39,6 +41,7 @@ def ingest_stream(
         result = ingest_requests(warehouse, table, with_request_ids(batch), batch_id, max_rows)
         if on_batch:
             on_batch(result)
+        warehouse.join_small(table)
 
     return (
         lines.writeStream.foreachBatch(store)

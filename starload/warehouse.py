@@ -1,13 +1,14 @@
 """Where the tables live: Parquet folders that are written once, and a commit record that names them.
 
-    <root>/commits/00000001.json                                       see ``commits``
-    <root>/tables/<table>/batch=<name>/verdict=accepted/[<ts>_year=<y>/]part-*.parquet
-    <root>/tables/<table>/batch=<name>/verdict=<kind>/part-*.parquet   rejected rows, request summaries
+    <root>/commits/0000/00/00000001.json                               see ``commits``
+    <root>/tables/<table>/<home>/batch=<name>/verdict=accepted/[<ts>_year=<y>/]part-*.parquet
+    <root>/tables/<table>/<home>/batch=<name>/verdict=<kind>/part-*.parquet   rejected rows, request summaries
     <root>/staging/<run>/...                                           removed when the run is over
 
 Executors write a batch where it stays. It becomes visible by one small file that is created only if no
 other writer was first, so nothing is copied, moved or seen in part, and any number of writers may work on
-a table. A folder that no commit names, as a writer that died leaves it, is never read.
+a table. A folder that no commit names, as a writer that died leaves it, is never read. Each creation of a table
+has a home of its own: what was written for a table that has been dropped since cannot get into its successor.
 """
 
 from __future__ import annotations
@@ -16,32 +17,60 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.commits import Commits, Tables, TableState, without
+from starload.commits import ACCEPTED, MOST_LEASES, Commits, Intervals, Tables, TableState, numbered
 from starload.files import Files
 from starload.spec import STAR, TableSpec
 
-ACCEPTED = "accepted"
+FAN_IN = 16
+"""Folders of one tier that are joined to one of the next, so a row is rewritten once per tier."""
+BATCH_ID = "_batch"
+"""Column of a joined log that says which batch a row came with."""
 
 
 class ConcurrentWrite(RuntimeError):
     """Another writer changed the table after it was read, so what was made from it cannot be committed."""
 
 
+class TableGone(ConcurrentWrite):
+    """The table was dropped, or dropped and created anew, after the rows were written for it."""
+
+
+class LeaseEnded(ConcurrentWrite):
+    """The key range was given up, because the table was restored or took in keys of that range."""
+
+
+class ParentMoved(ConcurrentWrite):
+    """Rows of a parent may have left since the batch was judged against it."""
+
+
+@dataclass(frozen=True)
+class Lease:
+    """Keys ``first`` to ``last``, which no other writer is given."""
+
+    id: str
+    first: int
+    last: int
+
+
 @dataclass(frozen=True)
 class Batch:
     """A written folder, ready to be committed. ``largest`` is read from its rows when not known.
 
     ``base``, when given, is the state of the table that the rows rest on; the commit is refused if it moved.
+    ``lease`` is the key range that the rows were numbered from; the commit is refused if it ended.
     """
 
     path: str
     largest: int | None = None
     base: TableState | None = None
+    lease: Lease | None = None
 
 
 class Warehouse:
@@ -58,18 +87,25 @@ class Warehouse:
         """Create the tables that do not exist yet; existing ones are left alone."""
 
         def edit(tables: Tables) -> Tables | None:
-            absent = {name: TableState() for name in self.specs if name not in tables}
+            absent = {name: TableState(uuid.uuid4().hex) for name in self.specs if name not in tables}
             return tables | absent if absent else None
 
         self.commits.change(edit)
 
     def drop(self, name: str) -> None:
-        """Remove the table, with its logs and its memory of batches, if it exists."""
-        dropped = self.commits.change(
-            lambda tables: {n: s for n, s in tables.items() if n != name} if name in tables else None
-        )
-        if dropped:
-            self.files.delete(self._folder(name))
+        """Remove the table, with its logs and its memory of batches, if it exists.
+
+        Its home is deleted once no commit can name a folder there any more: a writer that has staged rows
+        is refused with ``TableGone``, and the home of a table created meanwhile is another one.
+        """
+        homes: list[str] = []
+
+        def edit(tables: Tables) -> Tables | None:
+            homes[:] = [self._home(name, tables[name])] if name in tables else []
+            return {n: s for n, s in tables.items() if n != name} if homes else None
+
+        if self.commits.change(edit):
+            self.files.delete(homes[0])
 
     def register_views(self) -> None:
         """Offer every table to SQL as a temporary view of its own name."""
@@ -78,9 +114,13 @@ class Warehouse:
 
     # -- reading ------------------------------------------------------------------------------
 
+    def tables(self) -> Tables:
+        """All tables in the newest version."""
+        return self.commits.latest()[1]
+
     def state(self, name: str) -> TableState:
         """The table in the newest version."""
-        _, tables = self.commits.latest()
+        tables = self.tables()
         if name not in tables:
             raise LookupError(f"table {name} does not exist; call create()")
         return tables[name]
@@ -91,16 +131,21 @@ class Warehouse:
         ``state`` reads the table as it was in a version seen before.
         """
         spec = self.specs[name]
-        stored = self._rows(name, (state or self.state(name)).folders)
+        state = state or self.state(name)
+        stored = self._rows(name, state, state.folders)
         if year is not None and spec.year_column:
             stored = stored.where(F.col(spec.year_column) == year)
         return stored.select(*spec.columns)
 
+    def read_parts(self, name: str, state: TableState, folders: Sequence[str]) -> DataFrame:
+        """The rows of some folders of a state, with the folder as ``part``."""
+        return self._rows(name, state, folders).select(*self.specs[name].columns, F.col("batch").alias("part"))
+
     def read_batch(self, name: str, batch_id: str) -> DataFrame:
         """The rows of one batch, empty when the table no longer keeps it apart."""
         state = self.state(name)
-        folder = state.batches.get(batch_id, {}).get("folder")
-        return self._rows(name, [f for f in state.folders if f == folder]).select(*self.specs[name].columns)
+        folder = state.batches.get(batch_id)
+        return self._rows(name, state, [f for f in state.folders if f == folder]).select(*self.specs[name].columns)
 
     def max_id(self, name: str) -> int:
         """Largest key stored, 0 for an empty table."""
@@ -112,22 +157,24 @@ class Warehouse:
 
     def has_batch(self, name: str, batch_id: str) -> bool:
         """Whether the table holds what the batch brought, also when its rows have been rewritten since."""
-        return batch_id in self.state(name).batches
+        return self.state(name).holds(batch_id)
 
     def log(self, name: str, kind: str) -> DataFrame | None:
         """What all batches kept beside their rows, for instance the rejected ones; None when there is nothing."""
-        batches = self.state(name).batches.values()
-        paths = [self._kind(self._batch(name, b["folder"]), kind) for b in batches if kind in b["kinds"]]
-        if not paths:
-            return None
-        read = self.spark.read.option("basePath", self._folder(name)).option("mergeSchema", True).parquet(*paths)
-        return read.withColumn("batch", F.regexp_extract("batch", "^(.*)~", 1)).drop("verdict")
+        state = self.state(name)
+        rows = self._log(name, state, kind, state.parts)
+        if rows is not None and any(_tier(f) for f in state.parts):
+            rows = rows.where(_held(F.col("batch"), state))  # a joined log may tell of batches that a restore undid
+        return rows
 
     def log_batch(self, name: str, kind: str, batch_id: str, schema: T.StructType | str) -> DataFrame:
-        batch = self.state(name).batches.get(batch_id, {"kinds": []})
-        if kind in batch["kinds"]:
-            return self.spark.read.schema(schema).parquet(self._kind(self._batch(name, batch["folder"]), kind))
-        return self.spark.createDataFrame([], schema)
+        state = self.state(name)
+        apart = state.batches.get(batch_id)
+        if apart and kind in state.parts.get(apart, ()):
+            return self.spark.read.schema(schema).parquet(self._kind(self._batch(name, state, apart), kind))
+        empty = self.spark.createDataFrame([], schema)
+        joined = self._log(name, state, kind, [f for f in state.parts if _tier(f)]) if state.holds(batch_id) and not apart else None
+        return empty if joined is None else joined.where(F.col("batch") == batch_id).select(*empty.columns)
 
     # -- writing ------------------------------------------------------------------------------
 
@@ -143,7 +190,7 @@ class Warehouse:
         """A new folder name inside the table; nothing there is read before it is committed."""
         if not re.fullmatch(r"[\w.-]+", label):
             raise ValueError(f"batch id {label!r} cannot name a folder")
-        return self._batch(name, f"{label}~{uuid.uuid4().hex}")
+        return self._batch(name, self.state(name), f"{label}~{uuid.uuid4().hex}")
 
     def with_year(self, name: str, rows: DataFrame) -> DataFrame:
         spec = self.specs[name]
@@ -166,46 +213,87 @@ class Warehouse:
         writer.mode("overwrite").parquet(self._kind(path, ACCEPTED))
         return path
 
+    def lease(self, name: str, keys: int) -> Lease:
+        """Reserve the next ``keys`` keys by a commit of its own, before any row is numbered.
+
+        Writers at the same time get ranges that do not meet, so none numbers its rows twice. Keys of a
+        range that is not used up, or whose writer dies, stay gaps.
+        """
+        got: list[Lease] = []
+
+        def edit(tables: Tables) -> Tables:
+            state = self._known(tables, name)
+            first = max(state.largest, state.reserved) + 1
+            got[:] = [Lease(uuid.uuid4().hex, first, first + keys - 1)]
+            leases = dict(list(state.leases.items())[-(MOST_LEASES - 1) :]) | {got[0].id: [first, got[0].last]}
+            return tables | {name: replace(state, leases=leases, reserved=got[0].last)}
+
+        self.commits.change(edit)
+        return got[0]
+
     def publish(self, name: str, staged: str, batch_id: str, largest: int | None = None) -> bool:
         """Make a written folder a batch of the table; False when that batch is already there."""
         return self.publish_all({name: Batch(staged, largest)}, batch_id)
 
-    def publish_all(self, batches: Mapping[str, Batch], batch_id: str) -> bool:
+    def publish_all(
+        self, batches: Mapping[str, Batch], batch_id: str, judged_against: Mapping[str, TableState] | None = None
+    ) -> bool:
         """Add one folder to each of several tables by one commit, or to none of them.
 
         False when one of the tables has that batch. ``ConcurrentWrite`` when a table is no longer as its
-        batch's ``base`` says.
+        batch's ``base`` says, ``TableGone`` when it was dropped meanwhile, ``LeaseEnded`` when the batch's key range
+        is no longer its own. ``judged_against`` names the states of the parents that the rows were judged by:
+        ``ParentMoved`` when rows of one may have left since; parents that only grew do not matter.
         """
         entries = {name: self._entry(name, batch) for name, batch in batches.items()}
 
         def edit(tables: Tables) -> Tables | None:
-            if any(batch_id in tables[name].batches for name in batches):
+            if any(self._known(tables, name).holds(batch_id) for name in batches):
                 return None
-            changed = {}
-            for name, batch in batches.items():
-                state = tables[name]
-                if batch.base is not None and (state.folders, state.largest) != (batch.base.folders, batch.base.largest):
-                    raise ConcurrentWrite(f"{name} was changed by another writer")
-                folder, kinds, largest = entries[name]
-                changed[name] = replace(
-                    state,
-                    folders=state.folders + ((folder,) if ACCEPTED in kinds else ()),
-                    batches=state.batches | {batch_id: {"folder": folder, "kinds": kinds}},
-                    largest=max(state.largest, largest),
-                )
-            return tables | changed
+            for parent, seen in (judged_against or {}).items():
+                if parent not in tables or not tables[parent].keeps(seen):
+                    raise ParentMoved(f"{parent} was dropped, restored or rewritten by another writer")
+            return tables | {name: self._added(name, tables[name], batch, batch_id, entries[name]) for name, batch in batches.items()}
 
         return self.commits.change(edit)
 
+    def _added(
+        self, name: str, state: TableState, batch: Batch, batch_id: str, entry: tuple[str, list[str], int]
+    ) -> TableState:
+        folder, kinds, largest = entry
+        self._at_home(name, state, batch)
+        if batch.base is not None and (state.folders, state.largest) != (batch.base.folders, batch.base.largest):
+            raise ConcurrentWrite(f"{name} was changed by another writer")
+        if batch.lease is None:  # keys from outside: whoever was promised such a key has to take others
+            leases = {n: keys for n, keys in state.leases.items() if keys[0] > largest}
+        elif batch.lease.id in state.leases:
+            leases = {n: keys for n, keys in state.leases.items() if n != batch.lease.id}
+        else:
+            raise LeaseEnded(f"keys {batch.lease.first} to {batch.lease.last} of {name} were given up")
+        state = replace(state, largest=max(state.largest, largest), leases=leases)
+        if kinds:
+            state = replace(state, parts=state.parts | {folder: kinds})
+        return state.with_batch(batch_id, folder if kinds else None)
+
     def replace(
-        self, name: str, staged: str, batch_id: str, largest: int | None = None, batches: Iterable[str] = ()
+        self, name: str, staged: str, batch_id: str, largest: int | None = None, batches: Iterable[str] = (),
+        taken: Mapping[str, Intervals] | None = None,
     ) -> None:
-        """Make a written folder the whole table, which then counts ``batches`` and ``batch_id`` as taken in."""
+        """Make a written folder the whole table, which then counts ``batches``, ``taken`` and ``batch_id`` as taken in.
+
+        Key ranges that wait for their rows end: the keys after ``largest`` are given out anew.
+        """
+        known = list(batches)
 
         def edit(state: TableState, folder: str, kinds: list[str], top: int) -> TableState:
-            gone = {"folder": None, "kinds": []}
-            known = {b: state.batches.get(b, gone) for b in batches} | {batch_id: {"folder": folder, "kinds": kinds}}
-            return TableState((folder,), known, top, without(state.folders, [folder]))
+            remembered = {b: state.batches.get(b) for b in known}
+            logs = {f for f in remembered.values() if f} | {f for f in state.parts if _tier(f)}
+            parts = {f: [k for k in kinds_ if k != ACCEPTED] for f, kinds_ in state.parts.items() if f in logs}
+            parts = {f: left for f, left in parts.items() if left}
+            remembered = {b: f if f in parts else None for b, f in remembered.items()}
+            remembered = {b: f for b, f in remembered.items() if f or not numbered(b)[0] or not taken}
+            after = TableState(state.home, parts | {folder: kinds}, remembered, dict(taken or {}), top)
+            return replace(after.with_batch(batch_id, folder), retired=state.folders)
 
         self._rewrite(name, Batch(staged, largest), edit)
 
@@ -216,33 +304,87 @@ class Warehouse:
             return
 
         def edit(state: TableState, folder: str, kinds: list[str], top: int) -> TableState:
-            if state.folders[: len(before.folders)] != before.folders:
+            if not state.keeps(before):
                 raise ConcurrentWrite(f"{name} was rewritten by another writer")
-            return replace(state, folders=(folder, *state.folders[len(before.folders) :]), retired=before.folders)
+            left = state.without_parts(before.folders, accepted_only=True)
+            return replace(left, parts={folder: kinds} | left.parts, retired=before.folders)
 
         staged = self.stage(name, self.read(name, state=before), self.new_batch(name, "compact"))
         self._rewrite(name, Batch(staged, before.largest), edit)
 
+    def join_small(self, name: str, fan_in: int = FAN_IN) -> int:
+        """Join ``fan_in`` folders of one tier to one of the next, rows and logs, while there are as many; returns how often.
+
+        New batches are the lowest tier. Each row is written once per tier, so n batches cost n log n and leave
+        fewer than ``fan_in`` folders a tier, however long a stream runs. Only the folders joined are
+        replaced. When another writer rewrites one of them first, its commit stands and this one gives way.
+        """
+        joined = 0
+        while True:
+            state = self.state(name)
+            tiers: dict[int, list[str]] = {}
+            for folder in state.parts:
+                tiers.setdefault(_tier(folder), []).append(folder)
+            full = [(tier, folders[:fan_in]) for tier, folders in sorted(tiers.items()) if len(folders) >= fan_in]
+            if not full:
+                return joined
+            tier, run = full[0]
+            path = self._batch(name, state, f"tier~{tier + 1}~{uuid.uuid4().hex}")
+            rows = [f for f in run if ACCEPTED in state.parts[f]]
+            if rows:
+                self.stage(name, self._rows(name, state, rows).select(*self.specs[name].columns), path)
+            for kind in sorted({k for f in run for k in state.parts[f]} - {ACCEPTED}):
+                log = self._log(name, state, kind, run).withColumnRenamed("batch", BATCH_ID)
+                log.hint("rebalance").write.parquet(self._kind(path, kind))
+
+            def edit(
+                now: TableState, folder: str, kinds: list[str], top: int, run: list[str] = run, read: TableState = state
+            ) -> TableState:
+                if any(now.parts.get(f) != read.parts[f] for f in run):
+                    raise ConcurrentWrite(f"{name} was rewritten by another writer")
+                left = now.without_parts(run)
+                return replace(left, parts=left.parts | {folder: kinds}, retired=tuple(run))
+
+            try:
+                self._rewrite(name, Batch(path, 0), edit)
+            except ConcurrentWrite:
+                self.clear(path)
+                return joined
+            joined += 1
+
     def _rewrite(
         self, name: str, batch: Batch, edit: Callable[[TableState, str, list[str], int], TableState]
     ) -> None:
         """Commit a rewrite. The folders replaced stay for readers in flight until the next rewrite."""
         entry = self._entry(name, batch)
-        replaced: list[TableState] = []
+        seen: list[TableState] = []
 
         def apply(tables: Tables) -> Tables:
-            replaced[:] = [tables[name]]
-            return tables | {name: edit(tables[name], *entry)}
+            before = self._known(tables, name)
+            self._at_home(name, before, batch)
+            seen[:] = [before, edit(before, *entry)]
+            return tables | {name: seen[1]}
 
         self.commits.change(apply)
-        logs = {b["folder"] for b in replaced[0].batches.values() if len(b["kinds"]) > 1}
-        for folder in replaced[0].retired:
-            path = self._batch(name, folder)
-            self.files.delete(self._kind(path, ACCEPTED) if folder in logs else path)
+        before, after = seen
+        for folder in before.retired:
+            path = self._batch(name, before, folder)
+            self.files.delete(self._kind(path, ACCEPTED) if folder in after.parts else path)
+
+    def _known(self, tables: Tables, name: str) -> TableState:
+        if name not in tables:
+            raise TableGone(f"{name} was dropped by another writer")
+        return tables[name]
+
+    def _at_home(self, name: str, state: TableState, batch: Batch) -> None:
+        if not batch.path.startswith(f"{self._home(name, state)}/"):
+            raise TableGone(f"{name} was dropped and created anew after these rows were written")
 
     def _entry(self, name: str, batch: Batch) -> tuple[str, list[str], int]:
-        """Folder, kinds and largest key of a written batch."""
-        kinds = [n.removeprefix("verdict=") for n in self.files.names(batch.path) if n.startswith("verdict=")]
+        """Folder, kinds and largest key of a written batch; kinds that begin with ``_`` are its writer's own."""
+        if not self.files.exists(batch.path):
+            raise TableGone(f"{batch.path} is not there; was {name} dropped?")
+        kinds = [n.removeprefix("verdict=") for n in self.files.names(batch.path) if re.match("verdict=[^_]", n)]
         largest = batch.largest
         if largest is None:
             key = self.specs[name].schema[self.specs[name].key]
@@ -252,16 +394,20 @@ class Warehouse:
 
     # -- layout -------------------------------------------------------------------------------
 
-    def _folder(self, name: str) -> str:
-        return f"{self.root}/tables/{name}"
+    def home(self, name: str) -> str:
+        """The folder that holds all batches of the table."""
+        return self._home(name, self.state(name))
 
-    def _batch(self, name: str, folder: str) -> str:
-        return f"{self._folder(name)}/batch={folder}"
+    def _home(self, name: str, state: TableState) -> str:
+        return f"{self.root}/tables/{name}/{state.home}"
+
+    def _batch(self, name: str, state: TableState, folder: str) -> str:
+        return f"{self._home(name, state)}/batch={folder}"
 
     def _kind(self, batch: str, kind: str) -> str:
         return f"{batch}/verdict={kind}"
 
-    def _rows(self, name: str, folders: Sequence[str]) -> DataFrame:
+    def _rows(self, name: str, state: TableState, folders: Sequence[str]) -> DataFrame:
         spec = self.specs[name]
         fields = [T.StructField(c, T.StringType()) for c in ("batch", "verdict")]
         if spec.year_column:
@@ -269,5 +415,34 @@ class Warehouse:
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema] + fields)
         if not folders:
             return self.spark.createDataFrame([], schema)
-        paths = [self._kind(self._batch(name, folder), ACCEPTED) for folder in folders]
-        return self.spark.read.schema(schema).option("basePath", self._folder(name)).parquet(*paths)
+        paths = [self._kind(self._batch(name, state, folder), ACCEPTED) for folder in folders]
+        return self.spark.read.schema(schema).option("basePath", self._home(name, state)).parquet(*paths)
+
+    def _log(self, name: str, state: TableState, kind: str, folders: Iterable[str]) -> DataFrame | None:
+        """One kind of log of these folders, with the id of the batch each row came with."""
+        paths = [self._kind(self._batch(name, state, f), kind) for f in folders if kind in state.parts[f]]
+        if not paths:
+            return None
+        read = self.spark.read.option("basePath", self._home(name, state)).option("mergeSchema", True).parquet(*paths)
+        own = F.regexp_extract("batch", "^(.*)~", 1)
+        batch = F.coalesce(F.col(BATCH_ID), own) if BATCH_ID in read.columns else own
+        return read.withColumn("batch", batch).drop("verdict", BATCH_ID)
+
+
+def _tier(folder: str) -> int:
+    """How often the rows of a folder have been joined; 0 for a batch as it came in."""
+    found = re.match(r"tier~(\d+)~", folder)
+    return int(found.group(1)) if found else 0
+
+
+def _held(batch: Column, state: TableState) -> Column:
+    """Whether the state counts a batch id as taken in."""
+    known = [batch.isin(list(state.batches))] if state.batches else []
+    for series, intervals in state.taken.items():
+        number = F.when(
+            F.substring_index(batch, "-", -1).rlike("^[0-9]{1,18}$") & batch.startswith(f"{series}-"),
+            F.substring_index(batch, "-", -1).try_cast("bigint"),
+        )
+        inside = reduce(or_, [number.between(low, high) for low, high in intervals])
+        known.append((F.regexp_replace(batch, "-[0-9]+$", "") == series) & F.coalesce(inside, F.lit(False)))
+    return reduce(or_, known, F.lit(False))

@@ -143,7 +143,7 @@ def test_a_writer_that_dies_before_its_commit_leaves_the_table(spark, root, monk
         patch.setattr(warehouse, "clear", lambda path: None)  # nor does it tidy up
         with pytest.raises(KeyboardInterrupt):
             ingest_requests(warehouse, TABLE, bodies(spark, a=request(hire(), hire(name=""))), "b1")
-    assert len(warehouse.files.names(f"{root}/tables/{TABLE}")) == 2
+    assert len(warehouse.files.names(warehouse.home(TABLE))) == 2
     assert (warehouse.read(TABLE).count(), warehouse.max_id(TABLE), warehouse.log(TABLE, REJECTED_ROWS)) == (1, 41, None)
 
 

@@ -181,3 +181,68 @@ def test_the_callers_list_decides_which_line_is_first(spark, root, tmp_path):
     load_history(warehouse, {"jobs": paths})
     assert rows(warehouse.read("jobs")) == [(1, "of z"), (2, "more")]
     assert [r["line"] for r in warehouse.log("jobs", REJECTED_LINES).collect()] == ["1,of a"]
+
+
+ESCAPED = ["1,a\\", "b", "2,plain", "3,\\", "\\\\\\", "\\", "end", "4,pair\\\\", "5,last\\"]
+"""As lines of a file: open, its rest, whole, three open ones in a row and their rest, an escaped backslash, open at the end."""
+
+
+@pytest.mark.parametrize("splits", [1, 3, 18])
+def test_escaped_line_ends_over_splits(spark, root, tmp_path, splits):
+    lines = [line for k in range(40) for line in ESCAPED[:-1]] + ESCAPED[-1:]
+    for i, line in enumerate(lines):
+        if line[0].isdigit():
+            lines[i] = f"{i},{line.split(',', 1)[1]}"
+    paths = [history_file(tmp_path, "in/a.csv", lines), history_file(tmp_path, "in/b.csv", ["900,\\", "x", "901,y"])]
+    size = (tmp_path / "in/a.csv").stat().st_size
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(-(-size // splits)))
+    try:
+        found = read_delimited(spark, paths, JOBS)
+        assert found.select("src_file", "src_block").distinct().count() >= splits
+        direct = {r["id"]: r["job"] for r in found.collect()}
+        warehouse = Warehouse(spark, root)
+        load_history(warehouse, {"jobs": paths})
+        loaded = {r["id"]: r["job"] for r in warehouse.read("jobs").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {900: "\r\nx", 901: "y", len(lines) - 1: "last\\"}
+    for k in range(0, len(lines) - 1, 8):
+        want |= {k: "a\r\nb", k + 2: "plain", k + 3: "\r\n\\\r\n\r\nend", k + 7: "pair\\"}
+    assert direct == loaded == want
+
+
+def test_every_line_open_is_one_record(spark, tmp_path):
+    path = history_file(tmp_path, "j.csv", ["1,a\\"] + ["b\\"] * 300 + ["c"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        found = read_delimited(spark, path, JOBS).select("id", "job").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [tuple(r) for r in found] == [(1, "a\r\n" + "b\r\n" * 300 + "c")]
+
+
+def test_other_separators_and_line_ends_with_escapes(spark, tmp_path):
+    path = history_file(tmp_path, "k.csv", ["1;a\\", r"b\;c", "2;d"], "\n")
+    assert rows(read_delimited(spark, path, JOBS, ";", "\n").select("id", "job")) == [(1, "a\nb;c"), (2, "d")]
+
+
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_whole_lines_are_shuffled_once(spark, root, tmp_path, limit):
+    lines = [f"{k % 900},v{k}" for k in range(1000)]
+    warehouse = Warehouse(spark, root)
+    warehouse.create()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        run = warehouse.staging("plan")
+        records = load_module._records(warehouse, JOBS, history_file(tmp_path, "j.csv", lines), run)
+        out = load_module.judged_lines(warehouse, JOBS, records, {}, AT, run)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.where("verdict = 'accepted'").count() == 900
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    with_lines = [line for line in moved if "_place" in line or "REBALANCE" in line]
+    assert len(with_lines) == 1

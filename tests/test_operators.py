@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from starload import Warehouse
 from starload.operators.constraints import audit
+from starload.operators import foreign_keys
 from starload.operators.foreign_keys import orphan_keys, with_parent_flag
 from starload.operators.ids import assign_ids, number_rows
 from starload.operators.keys import absent_rows, first_by_key, first_positions, key_violations, present_keys
@@ -119,7 +120,7 @@ def test_a_reader_of_the_replaced_version_goes_on(spark, root):
     warehouse.replace("jobs", warehouse.stage("jobs", before), "r2")
     with pytest.raises(Exception):
         before.count()
-    assert len(warehouse.files.names(f"{root}/tables/jobs")) == 2
+    assert len(warehouse.files.names(warehouse.home("jobs"))) == 2
 
 
 def test_year_folders_hold_nulls_too(spark, root):
@@ -136,3 +137,29 @@ def test_warehouse_of_other_tables(spark, root):
     other = HIRED_EMPLOYEES.widened()
     assert other.schema["id"].dataType == T.LongType()
     assert Warehouse(spark, root, [other]).specs == {"hired_employees": other}
+
+
+def test_hot_and_null_keys_are_not_shuffled_by_key(spark, no_broadcast, monkeypatch):
+    """A third of the rows without key, a third with one orphan key, a tenth with one parent's: no task gathers them."""
+    monkeypatch.setattr(foreign_keys, "HOT_ROWS", 200)
+    monkeypatch.setattr(foreign_keys, "broadcastable", lambda rows: False)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).when(F.col("id") % 10 == 0, 8).otherwise(F.col("id"))
+        df = spark.range(6000).select(key.alias("department_id"), F.lit("same").alias("v"))
+        parents = spark.range(0, 6000, 2).select((F.col("id") + F.when(F.col("id") == 7, 1).otherwise(0)).alias("id"))
+        flagged = with_parent_flag(df, DEPARTMENT, parents, "ok")
+        sizes = [r["n"] for r in flagged.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        found = flagged.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(found) == 6000 and max(sizes) < 1.25 * 6000 / len(sizes)
+    assert all(r["ok"] == (r["department_id"] is not None and r["department_id"] % 2 == 0) for r in found)
+
+
+def test_small_parents_cost_no_job_of_their_own(spark):
+    """Nothing is written before the join, and repeated parents repeat no row."""
+    df = spark.createDataFrame([(1, "a"), (3, "b"), (None, "c")], "department_id int, v string")
+    flagged = with_parent_flag(df, DEPARTMENT, spark.range(1, 3).select(F.col("id").cast("int")).union(spark.range(1, 2).selectExpr("cast(id as int)")), "ok")
+    assert "parquet" not in flagged._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows(flagged) == [(1, "a", True), (3, "b", False), (None, "c", False)]

@@ -7,7 +7,8 @@ from helpers import rows, stored_star
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.plans.snapshot import SKIPPED, backup, read_snapshot, restore, snapshot_schema
+from starload.operators.checksums import added, checksum, limb_sums
+from starload.plans.snapshot import SKIPPED, backup, backup_changes, orphan_report, read_snapshot, restore, snapshot_schema
 from starload.sources.avro import avro_schema, read_avro, write_avro
 from starload.spec import DEPARTMENTS, HIRED_EMPLOYEES, JOBS
 
@@ -228,3 +229,93 @@ def test_fractions_round_and_far_years_are_refused(spark, root):
     warehouse.publish(TABLE, warehouse.stage(TABLE, far), "far")
     with pytest.raises(Exception, match="cannot be kept"):
         backup(warehouse, TABLE, f"{root}/later", NOW)
+
+
+def test_chain_of_snapshots(spark, root):
+    """Each holds what is new; a rewrite of the table makes everything new; any of them restores by itself."""
+    warehouse = stored_star(spark, root, hires=HIRES[:2])
+    paths, states = [], []
+
+    def save(second):
+        paths.append(backup_changes(warehouse, TABLE, f"{root}/backups", paths[-1] if paths else None, NOW.replace(second=second)))
+        states.append(rows(warehouse.read(TABLE)))
+
+    def add(batch, given):
+        warehouse.publish(TABLE, warehouse.stage(TABLE, spark.createDataFrame(given, warehouse.read(TABLE).schema)), batch)
+
+    save(1)
+    add("s-1", HIRES[2:4])
+    save(2)
+    save(3)
+    warehouse.compact(TABLE)
+    add("s-2", HIRES[4:])
+    save(4)
+    parts = [[n for n in warehouse.files.names(p) if n.startswith("part=")] for p in paths]
+    assert [len(p) for p in parts] == [1, 1, 0, 2]
+    target = stored_star(spark, root + "-other")
+    for path, held in reversed(list(zip(paths, states))):
+        assert restore(target, TABLE, path).rows == len(held)
+        assert rows(target.read(TABLE)) == held == rows(read_snapshot(spark, HIRED_EMPLOYEES, path))
+    assert target.state(TABLE).taken == {} and rows(target.read(TABLE)) == states[0]
+    flat = backup(warehouse, TABLE, f"{root}/backups", NOW.replace(second=9))
+    with pytest.raises(ValueError, match="not a snapshot of a chain"):
+        backup_changes(warehouse, TABLE, f"{root}/backups", flat, NOW.replace(second=10))
+    assert backup_changes(stored_star(spark, root + "-empty"), TABLE, f"{root}/backups") == SKIPPED
+
+
+def test_a_part_missing_from_the_chain_leaves_the_table(spark, root):
+    warehouse = stored_star(spark, root, hires=HIRES[:2])
+    first = backup_changes(warehouse, TABLE, f"{root}/backups", None, NOW)
+    more = spark.createDataFrame(HIRES[2:], warehouse.read(TABLE).schema)
+    warehouse.publish(TABLE, warehouse.stage(TABLE, more), "more")
+    second = backup_changes(warehouse, TABLE, f"{root}/backups", first, NOW.replace(second=17))
+    warehouse.files.delete(first)
+    with pytest.raises(FileNotFoundError):
+        restore(warehouse, TABLE, second)
+    assert warehouse.read(TABLE).count() == 5
+
+
+def test_a_file_swapped_for_one_of_as_many_rows_is_refused(spark, root):
+    warehouse = stored_star(spark, root, hires=HIRES)
+    path = backup(warehouse, TABLE, f"{root}/backups", NOW)
+    other = stored_star(spark, root + "-other", hires=[*HIRES[:2], (4, *HIRES[2][1:]), (3, *HIRES[3][1:]), HIRES[4]])
+    swapped = backup(other, TABLE, f"{root}-other/backups", NOW)
+    for name in warehouse.files.names(path):
+        if name.endswith(".avro"):
+            os.unlink(f"{path}/{name}".removeprefix("file:"))
+    for name in warehouse.files.names(swapped):
+        if name.endswith(".avro"):
+            os.link(f"{swapped}/{name}".removeprefix("file:"), f"{path}/{name}".removeprefix("file:"))
+    with pytest.raises(ValueError, match="other rows than were written"):
+        restore(warehouse, TABLE, path)
+    assert rows(warehouse.read(TABLE)) == rows(spark.createDataFrame(HIRES, warehouse.read(TABLE).schema))
+
+
+def test_checksum_knows_neither_order_nor_splits(spark):
+    schema = HIRED_EMPLOYEES.schema
+    given = spark.createDataFrame(HIRES * 20, schema)
+
+    def total(df, fields=schema):
+        return checksum(df.agg(*limb_sums(fields)).first())
+
+    parts = [r for r in given.groupBy("job_id").agg(*limb_sums(schema)).collect()]
+    assert total(given) == total(given.repartition(7)) == total(given.orderBy("id")) == checksum(*parts)
+    assert added([checksum(p) for p in parts]) == total(given)
+    wide = HIRED_EMPLOYEES.widened().schema
+    assert total(given.select([F.col(f.name).cast(f.dataType) for f in wide]), wide) == total(given)
+    swapped = given.withColumns({"department_id": F.col("job_id"), "job_id": F.col("department_id")})
+    assert len({total(given), total(swapped), total(given.limit(99)), total(given.limit(0))}) == 4
+    moved = spark.createDataFrame([(1, None, None, 5, None)], schema), spark.createDataFrame([(1, None, None, None, 5)], schema)
+    assert total(moved[0]) != total(moved[1])
+
+
+def test_restored_parent_lists_its_childrens_orphans(spark, root):
+    warehouse = stored_star(spark, root, hires=[*HIRES[:3], (9, "i", AT, 3, 1), (10, "j", AT, 3, 2), (11, "k", AT, 4, 1)])
+    path = backup(warehouse, "departments", f"{root}/backups", NOW)
+    more = spark.createDataFrame([(3, "Lab")], warehouse.read("departments").schema)
+    warehouse.publish("departments", warehouse.stage("departments", more), "more")
+    report = restore(warehouse, "departments", path, check_fk=True)
+    assert rows(report.orphan_keys) == [(TABLE, "department_id", "departments", 3, 2), (TABLE, "department_id", "departments", 4, 1)]
+    assert report.orphans == 0 and restore(warehouse, "departments", path).orphan_keys is None
+    warehouse.drop(TABLE)
+    assert rows(orphan_report(warehouse, "departments")) == []
