@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.llm.common import UPPER_TO_LOWER, batches_of, column_bytes
+from starload.llm.graph import components
 from starload.session import written
 
 SHINGLE = 3
@@ -19,7 +20,7 @@ RADIUS = 3
 BITS = 64
 SHARD = 1_024
 """Fingerprints of a shard; a larger one is split again by bits that it does not share yet."""
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 _AT_ONCE = 1 << 16
 """Shingles whose bits are counted at once."""
 _VISITS = 1 << 21
@@ -239,32 +240,7 @@ def _searched(rows: pa.Table, radius: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"a": pa.array(signed_points[label[linked]]), "b": pa.array(signed_points[linked])})
 
 
-# -- components ---------------------------------------------------------------------------------
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every linked node: the least node of its component.
-
-    Large-star and small-star steps in turn, until one changes nothing. The least neighbours are written
-    before they are joined, so both sides of the join are plain shuffles, which Spark splits where one node
-    has very many neighbours. A lost executor costs the step at hand.
-    """
-    pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    now = written(links.where("a <> b").select(*pair("a", "b")).distinct(), "bk-links")
-    while not now.isEmpty():
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "bk-least")
-        large = both.where("b > a").join(least, "a").select(*pair("b", "m")).where("a <> b").distinct()
-        large = written(large, "bk-large-star")
-        least = written(large.groupBy("b").agg(F.min("a").alias("m")), "bk-least")
-        small = large.join(least, "b")
-        small = small.select(*pair("a", "m")).unionByName(small.select(*pair("b", "m")))
-        after = written(small.where("a <> b").distinct(), "bk-small-star")
-        digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        if after.agg(F.count(F.lit(1)), digest).first() == now.agg(F.count(F.lit(1)), digest).first():
-            break
-        now = after
-    return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
+# -- documents ----------------------------------------------------------------------------------
 
 
 def linked_documents(docs: DataFrame, radius: int = RADIUS, limit: int = SHARD) -> DataFrame:

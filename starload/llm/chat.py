@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.session import written
+from starload.operators.ids import assign_ids
+from starload.session import fresh_dir, written
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = {SYSTEM: "system", USER: "user", ASSISTANT: "assistant"}
@@ -21,7 +22,9 @@ NAMES = {
 MERGE, INSERT, RELABEL = 1, 2, 3
 """Costs of appending a turn to the one before, of an empty turn put in, and of another role."""
 PIECE = 1000
-"""Turn numbers per piece of a conversation; a longer conversation is repaired by several tasks."""
+"""Turns per piece of a conversation; a longer conversation is repaired by several tasks."""
+DRAW = 5
+"""Seed of the draw that deals out turns equal in everything."""
 
 # Legal: at most one system turn, first; then user and assistant in turn, ending with assistant.
 _BETWEEN = {
@@ -145,33 +148,44 @@ def format_chats(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
     cost, rendered. Joining ``rendered`` in that order gives the formatted conversation; a merged turn
     continues the one before. The sum of ``cost`` is the least possible.
 
-    A conversation is cut every ``piece`` turn numbers, so that a task never holds more than a piece
-    of one. For those of several pieces, each piece first yields its least cost from every state to
-    every state, these small tables are chained per conversation to fix where each piece starts and
-    ends, and then the pieces are written out like whole conversations.
+    A conversation is cut every ``piece`` rows, so that a task never holds more than a piece of one, whatever its
+    turn numbers: all turns are sorted into files by range, and a turn's place there, which no retry can change,
+    less that of its conversation's first turn says which piece it is in. For conversations of several pieces, each
+    piece first yields its least cost from every state to every state, these small tables are chained per
+    conversation to fix where each piece starts and ends, and then the pieces are written out like whole
+    conversations.
 
-    Turns go by number, then role and text; equal numbers are separate turns, null numbers come first.
-    Null conversation ids are one conversation. A null or unknown role is relabelled, null text is
-    empty. An empty table gives no rows; other columns are ignored.
+    Turns go by number, then role, then the first characters of the text, then its hash; equal numbers are separate
+    turns, null numbers come first. Null conversation ids are one conversation. A null or unknown role is relabelled,
+    null text is empty, texts may be of any length. An empty table gives no rows; other columns are ignored.
     """
-    cut = F.coalesce(F.floor(F.col("turn") / piece), F.lit(-1)).cast("long")
-    turns = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"), cut.alias("piece"), F.col("turn").cast("long").alias("turn"), "role", "text"
+    order = ["conv_id", "turn", "role", "_head", "_hash", "_draw"]
+    given = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text",
+        F.substring("text", 1, 64).alias("_head"), F.xxhash64("text").alias("_hash"), F.rand(DRAW).alias("_draw"),
     )
-    spans = turns.groupBy("conv_id").agg(F.min("piece").alias("first"), F.max("piece").alias("last"))
-    several = written(spans.where("first < last").select(F.col("conv_id").alias("_conv")), "chat-long")
-    if not several.isEmpty():
-        several_turns = turns.join(several, F.col("conv_id").eqNullSafe(F.col("_conv")), "left_semi")
-        tables = _laid_out(several_turns).mapInPandas(_tables, "conv_id long, piece long, costs array<double>")
+    spark = conversations.sparkSession
+    placed = assign_ids(given, "_place", order, fresh_dir(spark, "chat-turns")).drop("_head", "_hash", "_draw")
+    spans = placed.groupBy("conv_id").agg(F.min("_place").alias("_first"), F.max("_place").alias("_last"))
+    several = spans.where(F.col("_last") - F.col("_first") >= piece).select(F.col("conv_id").alias("_conv"), "_first")
+    several = written(several, "chat-long")
+    columns = ["conv_id", "piece", "turn", "role", "text"]
+    same = F.col("conv_id").eqNullSafe(F.col("_conv"))
+    if several.isEmpty():
+        none = F.lit(None).cast("int")
+        turns = placed.withColumns({"piece": F.lit(0).cast("long"), "entry": none, "exit": none, "is_last": none.cast("boolean")})
+    else:
+        number = F.coalesce(F.floor((F.col("_place") - F.col("_first")) / piece), F.lit(0))
+        cut = placed.join(several, same, "left").withColumn("piece", number)
+        long_turns = cut.where(F.col("_first").isNotNull()).select(*columns, "_place")
+        tables = _laid_out(long_turns).mapInPandas(_tables, "conv_id long, piece long, costs array<double>")
         states = written(
             tables.groupBy("conv_id").applyInPandas(_chain, "_conv long, _piece long, entry int, exit int, is_last boolean"),
             "chat-states",
         )
         on = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("piece") == F.col("_piece"))
-        turns = turns.join(states, on, "left").drop("_conv", "_piece")
-    else:
-        none = F.lit(None).cast("int")
-        turns = turns.withColumns({"entry": none, "exit": none, "is_last": F.lit(None).cast("boolean")})
+        turns = cut.drop("_conv", "_first").join(states, on, "left")
+    turns = turns.select(*columns, "entry", "exit", "is_last", "_place")
 
     def write_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
@@ -208,7 +222,8 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 def _laid_out(turns: DataFrame) -> DataFrame:
-    return turns.repartition(*_TURNS).sortWithinPartitions(*_TURNS, "turn", "role", "text")
+    laid = turns.repartition(*_TURNS).sortWithinPartitions(*_TURNS, "_place")
+    return laid.drop("_place")
 
 
 def _tables(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

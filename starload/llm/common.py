@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def column_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
 
 def batches_of(batch: pa.RecordBatch, max_bytes: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Parts of a batch holding about ``max_bytes`` of text each; a longer text stands alone."""
-    sizes = [len(t) if t else 0 for t in column_bytes(batch.column(column))]
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = filled = 0
     for i, size in enumerate(sizes):
         if i > start and filled + size > max_bytes:
@@ -51,5 +52,19 @@ def batches_of(batch: pa.RecordBatch, max_bytes: int, column: str = "text") -> I
         yield batch.slice(start)
 
 
+COPIES = 100_000
+"""Copies of a row that one task makes; more are dealt out first."""
+
+
+def copied(rows: DataFrame) -> DataFrame:
+    """Every row ``n`` times, with ``nth`` from 0. A row of very many copies is cut into runs dealt to several tasks."""
+    runs = rows.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    if not rows.where(F.col("n") > COPIES).isEmpty():
+        runs = runs.repartition(*[c for c in runs.columns])
+    first = F.col("_run") * COPIES
+    last = F.least(F.col("n"), first + COPIES) - 1
+    return runs.withColumn("nth", F.explode(F.sequence(first, last))).drop("_run", "n")
+
+
 UPPER_TO_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 NOT_A_LETTER = re.compile(r"[\W\d_]+")

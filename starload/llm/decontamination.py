@@ -6,6 +6,7 @@ DataFrame functions only.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starload.llm.common import words
@@ -14,9 +15,9 @@ from starload.session import written
 SHINGLE = 5
 THRESHOLD = 0.8
 BITS = 64
-RADIUS = 20
-"""Largest Hamming distance looked for. Two texts of similarity 0.8 differ in 9.7 of 64 bits on average
-(angle of cosine 8/9), with a deviation of 2.9; 20 is 3.7 deviations beyond."""
+RADIUS = 4
+"""Hamming distance within which the blocks, of 12 bits or 13, find every pair; unrelated ones seldom share a block.
+Pairs beyond it are found by their rarest shingles."""
 BROADCAST_SHINGLES = 500_000
 """Benchmark shingles sent to every task, some 20 MB; more are met by a shuffle of the documents' shingles."""
 
@@ -73,6 +74,26 @@ def blocks(fingerprint: Column, radius: int) -> Column:
     ])
 
 
+def rarest(of_items: DataFrame, threshold: float) -> DataFrame:
+    """Of each item the shingles that the fewest items have, with more than 1 - threshold of its weight.
+
+    A text as similar as the threshold shares at least that part of the item's weight, so it shares one of these.
+    A shingle that many items have in common is seldom among them.
+    """
+    held = of_items.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    item = W.partitionBy("item")
+    earlier = item.orderBy("held", "shingle").rowsBetween(W.unboundedPreceding, -1)
+    ranked = of_items.join(held, "shingle").withColumns({
+        "before": F.coalesce(F.sum("weight").over(earlier), F.lit(0)), "total": F.sum("weight").over(item),
+    })
+    return ranked.where(F.col("before") <= (1 - threshold) * F.col("total") + 1e-9)
+
+
+def row_name(doc_id: Column, text: Column) -> Column:
+    """128 bits that name a row by its id and text."""
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), doc_id, text)), 16, "0") for k in (1, 2)])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """Windows of documents that are nearly a benchmark item.
 
@@ -82,9 +103,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
        similarity 0, so this loses nothing.
     2. Each meeting lays an item-sized window where the two places coincide. Windows are
        fingerprinted by SimHash over their weighted shingles, as are the items.
-    3. A multi-index join on (item size, block number, block) proposes every pair within ``radius``.
-    4. Pairs within it whose weighted Jaccard similarity, sum of least over sum of greatest weights,
-       is at least ``threshold`` are returned.
+    3. A multi-index join on (item size, block number, block) proposes every pair within ``radius``. A similar
+       pair may be further apart, as when one shingle is repeated often; those share one of the item's
+       rarest shingles, and are proposed by that (see ``rarest``).
+    4. Of the pairs proposed, those whose weighted Jaccard similarity, sum of least over sum of greatest
+       weights, is at least ``threshold`` are returned: none is lost, whatever the radius.
 
     An item or document without words matches nothing. An item of fewer than five words is one
     shingle of all its words, and is looked for as such.
@@ -109,7 +132,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
 
     wanted = F.broadcast(item_shingles) if item_shingles.count() <= BROADCAST_SHINGLES else item_shingles
 
-    row = F.xxhash64(F.col("doc_id"), F.col("text")).alias("row")
+    row = row_name(F.col("doc_id"), F.col("text")).alias("row")
     split = docs.select("doc_id", row, plain_words(F.col("text")).alias("words"))
     runs = F.flatten(F.array(*[
         F.transform(shingles(F.col("words"), k), lambda h, i: F.struct(i.alias("at"), h.alias("shingle"))) for k in sizes
@@ -134,10 +157,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     of_windows = written(weighted_shingles(windows, key), "leak-window-shingles")
     of_items = written(weighted_shingles(items, ["item", "n_words"]), "leak-item-shingles")
 
-    window_prints = fingerprints(of_windows, key)
-    item_prints = fingerprints(of_items, ["item", "n_words"]).withColumnsRenamed(
+    window_prints = written(fingerprints(of_windows, key), "leak-window-prints")
+    item_prints = written(fingerprints(of_items, ["item", "n_words"]).withColumnsRenamed(
         {"fingerprint": "item_print", "total": "item_total"}
-    )
+    ), "leak-item-prints")
     near = (
         window_prints.select("*", F.posexplode(blocks(F.col("fingerprint"), radius)).alias("block", "bits"))
         .join(
@@ -149,7 +172,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
         .groupBy(*key, "item")
         .agg(*[F.first(c).alias(c) for c in ("distance", "total", "item_total")])
     )
-    near = written(near, "leak-near")
+    prints = item_prints.select("item", "item_print", "item_total")
+    beyond = (
+        of_windows.select(*key, "shingle")
+        .join(rarest(of_items, threshold).select("item", "n_words", "shingle"), ["n_words", "shingle"])
+        .select(*key, "item").distinct()
+        .join(window_prints, key).join(prints, "item")
+        .withColumn("distance", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))))
+        .where(F.col("distance") > radius)
+    )
+    near = written(near.unionByName(beyond.select(near.columns)), "leak-near")
     shared = (
         near.join(of_windows.withColumnRenamed("weight", "window_weight"), key)
         .join(of_items.drop("n_words").withColumnRenamed("weight", "item_weight"), ["item", "shingle"])
@@ -166,9 +198,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` without a leak, all columns as they are."""
+    """The rows of ``docs`` without a leak, all columns as they are.
+
+    Null, empty and blank texts hold no leak and stay, as all rows do when there are no items. Repeated rows stay or
+    go together; columns of any name may be there. Texts of any length are read whole.
+    """
     caught = written(leaks(docs, benchmark, **how).select(F.col("row").alias("_row")).distinct(), "leak-rows")
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")).withColumn(
-        "_row", F.xxhash64(F.col("_doc.doc_id"), F.col("_doc.text"))
+        "_row", row_name(F.col("_doc.doc_id"), F.col("_doc.text"))
     )
     return kept.join(caught, "_row", "left_anti").select("_doc.*")

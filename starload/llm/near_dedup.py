@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starload.llm.common import batches_of, column_bytes, split_words
+from starload.llm.graph import components
 from starload.session import written
 
 SHINGLE = 5
@@ -21,10 +22,12 @@ ROWS = 6
 """A pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**40, about 6e-6."""
 COMMON = 50
 """Nodes of a hub that may share a shingle the hub lacks before it counts as common to them all."""
-_BATCH_BYTES = 4 << 20
-_BATCH_COMPONENTS = 1 << 20
-_KNOWN_WORDS = 1 << 18
-"""Text and signature components worked on at once, and word hashes remembered: a task signs in some 340 MB."""
+PIECE = 2_000
+"""Texts that meet one text in a task; those of a larger hub are dealt out, with the hub's text once per piece."""
+_BATCH_BYTES = 1 << 20
+_BATCH_COMPONENTS = 1 << 18
+_KNOWN_WORDS = 1 << 16
+"""Text and signature components worked on at once, and word hashes remembered."""
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -160,29 +163,24 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges(a, b)``: the least node of its connected component.
+def beside(members: DataFrame, group: str, member: str, texts: DataFrame, kept: list[str]) -> DataFrame:
+    """Rows (group, kind, *kept, text): per group its own text (kind 0), then its members with theirs (kind 1).
 
-    Alternating large-star and small-star steps, each a join-free aggregate plus an explode, until a
-    step changes nothing; the number of steps grows with the logarithm of the longest path. Each
-    step is written, so a lost executor costs one step.
+    Rows come sorted so, a group in pieces of some ``PIECE`` members: each piece begins with the group's text,
+    which is thus sent once per piece and not once per member, and no group, however large, is one task's.
     """
-    both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    now = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    while True:
-        linked = both(now)
-        least = linked.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = linked.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.where("a <> b").distinct(), "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
-        after = written(
-            small.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "small-star"
-        )
-        if after.count() == now.count() and after.join(now, ["a", "b"], "left_anti").isEmpty():
-            return after.select(F.col("b").alias("node"), F.col("a").alias("root"))
-        now = after
+    pieces = max(1, -(-members.count() // PIECE))
+    dealt = members.withColumn("piece", F.pmod(F.xxhash64(member), F.lit(pieces)).cast("int"))
+    heads = written(dealt.select(group, "piece").distinct(), "near-heads")
+    nothing = [F.lit(None).cast(members.schema[c].dataType).alias(c) for c in kept]
+    heads = heads.join(texts.select(F.col("node").alias(group), "text"), group).select(
+        group, "piece", F.lit(0).alias("kind"), *nothing, "text"
+    )
+    rows = dealt.join(texts.select(F.col("node").alias(member), "text"), member).select(
+        group, "piece", F.lit(1).alias("kind"), *kept, "text"
+    )
+    laid = heads.unionByName(rows).repartition(group, "piece").sortWithinPartitions(group, "piece", "kind")
+    return laid.select(group, "kind", *kept, "text")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -190,20 +188,18 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        last, of_last = None, None
+        of_b: tuple[np.ndarray, np.ndarray] | None = None
         for whole in batches:
-            for batch in batches_of(whole, _BATCH_BYTES, "b_text"):
+            for batch in batches_of(whole, _BATCH_BYTES):
                 kept = []
-                rows = zip(batch.column("b").to_pylist(), column_bytes(batch.column("a_text")), column_bytes(batch.column("b_text")))
-                for b, a_text, b_text in rows:
-                    if b != last:
-                        last, of_last = b, shingler.weighted(split_words(b_text))
-                    kept.append(probability_jaccard(*shingler.weighted(split_words(a_text)), *of_last) >= threshold)
+                for kind, text in zip(batch.column("kind").to_pylist(), column_bytes(batch.column("text"))):
+                    weighted = shingler.weighted(split_words(text))
+                    if kind == 0:
+                        of_b = weighted
+                    kept.append(kind == 1 and probability_jaccard(*weighted, *of_b) >= threshold)
                 yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
-    of_b = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    return pairs.select("a", "b").join(of_a, "a").join(of_b, "b").mapInArrow(verify, "a long, b long")
+    return beside(pairs.select("a", "b"), "b", "a", texts, ["a"]).select("a", "b", "kind", "text").mapInArrow(verify, "a long, b long")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -221,8 +217,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     through ``prefix_pairs``, which finds every pair across classes that can reach the threshold: a
     large group of copies costs its size, and texts somewhat like it are not compared pair by pair.
 
-    Texts without words form one class. A null doc_id is not the least of a class that has others. Repeated rows
-    share a class. An empty table gives no rows; other columns are ignored.
+    Texts without words form one class; long ones are read whole. A null doc_id is not the least of a class that has
+    others. Repeated rows share a class. An empty table gives no rows; other columns are ignored.
     """
     every = written(signed(docs, bands, rows), "near-signed")
     keys = written(every.groupBy("key").agg(F.min("row").alias("node")), "near-keys")
@@ -235,7 +231,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     degrees = buckets.groupBy("node").agg(F.sum(F.col("n") - 1).alias("degree"))
     ranked = buckets.join(degrees, "node").select("bucket", "node", F.struct("degree", "node").alias("rank"))
     ranked = written(ranked, "near-ranked")
-    hubs = ranked.groupBy("bucket").agg(F.max("rank").alias("hub"))
+    hubs = written(ranked.groupBy("bucket").agg(F.max("rank").alias("hub")), "near-hubs")
     stars = ranked.join(hubs, "bucket").where("rank <> hub").select(F.col("node").alias("a"), "hub").distinct()
     stars = written(stars.select("a", F.col("hub.node").alias("b"), "hub"), "near-stars")
     involved = written(stars.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "near-involved")
@@ -252,14 +248,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
 
     placed = with_root(buckets, "node", roots, "root")
     torn = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    torn = written(placed.join(torn.select("bucket"), "bucket").select("node", "root").distinct(), "near-torn")
-    ties = stars.select(F.col("a").alias("node"), F.col("b").alias("hub"))
-    cross = prefix_pairs(texts, ties, torn, threshold)
-    stars_by_order = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = written(cross.join(stars_by_order, ["a", "b"], "left_anti"), "near-rest")
-    if not rest.isEmpty():
-        linked = written(linked.unionByName(verified(rest, texts, threshold)), "near-links")
-        roots = components(linked)
+    torn = written(torn.select("bucket"), "near-torn")
+    if not torn.isEmpty():
+        apart_still = written(placed.join(torn, "bucket").select("node", "root").distinct(), "near-apart")
+        ties = stars.select(F.col("a").alias("node"), F.col("b").alias("hub"))
+        cross = prefix_pairs(texts, ties, apart_still, threshold)
+        stars_by_order = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        rest = written(cross.join(stars_by_order, ["a", "b"], "left_anti"), "near-rest")
+        if not rest.isEmpty():
+            linked = written(linked.unionByName(verified(rest, texts, threshold)), "near-links")
+            roots = components(linked)
 
     of_key = written(with_root(keys, "node", roots, "root").select("key", "root"), "near-roots")
     rooted = every.select("doc_id", "row", "key").join(of_key, "key")
@@ -295,29 +293,29 @@ def prefix_pairs(texts: DataFrame, stars: DataFrame, roots: DataFrame, threshold
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        last, of_last = None, None
+        of_hub = np.zeros(0, np.uint64)
+        names = ("hub", "node", "root", "shingle", "mass", "own", "n")
         for whole in batches:
             for batch in batches_of(whole, _BATCH_BYTES):
-                columns: dict[str, list] = {c: [] for c in ("hub", "node", "root", "shingle", "mass", "own", "n")}
-                rows = zip(batch.column("hub").to_pylist(), batch.column("node").to_pylist(), batch.column("root").to_pylist(),
-                           column_bytes(batch.column("text")), column_bytes(batch.column("hub_text")))
-                for hub, node, root, text, hub_text in rows:
-                    if hub != last:
-                        last, of_last = hub, shingler.weighted(split_words(hub_text))[0]
+                columns: dict[str, list] = {c: [] for c in names}
+                rows = zip(*(batch.column(c).to_pylist() for c in ("hub", "kind", "node", "root")), column_bytes(batch.column("text")))
+                for hub, kind, node, root, text in rows:
                     shingles, weights = shingler.weighted(split_words(text))
+                    if kind == 0:
+                        of_hub = shingles
+                        continue
                     n = len(shingles)
                     for name, value in (("hub", hub), ("node", node), ("root", root)):
                         columns[name].append(np.full(n, value, np.int64))
                     columns["shingle"].append(shingles.view(np.int64))
                     columns["mass"].append(weights / weights.sum())
-                    columns["own"].append(~np.isin(shingles, of_last))
+                    columns["own"].append(~np.isin(shingles, of_hub))
                     columns["n"].append(np.full(n, n if weights.max() == 1 else -1, np.int64))
-                yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate(v)) for c, v in columns.items()})
+                if columns["n"]:
+                    yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate(v)) for c, v in columns.items()})
 
-    tied = stars.join(roots, "node").join(texts, "node").join(
-        texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub"
-    )
-    rows = tied.select("hub", "node", "root", "text", "hub_text").mapInArrow(
+    tied = written(stars.join(roots, "node").select("hub", "node", "root"), "near-tied")
+    rows = beside(tied, "hub", "node", texts, ["node", "root"]).mapInArrow(
         spread, "hub long, node long, root long, shingle long, mass double, own boolean, n long"
     )
     rows = written(rows, "near-shingles")
@@ -333,8 +331,9 @@ def prefix_pairs(texts: DataFrame, stars: DataFrame, roots: DataFrame, threshold
     meets = F.col("private") | (F.col("n") < 0) | (F.col("k") >= threshold * F.col("n"))
     front = front.where((F.col("held") > 1) & (F.col("left") >= threshold - 1e-9) & meets)
     front = written(front.select("hub", "node", "root", "shingle", "left", "private", "n", "k"), "near-front")
-    per_root = stars.join(roots, "node").groupBy("hub", "root").agg(F.count(F.lit(1)).alias("nodes"))
+    per_root = tied.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("nodes"))
     most = per_root.groupBy("hub").agg(F.max(F.struct("nodes", "root")).alias("most")).select("hub", F.col("most.root").alias("_root"))
+    most = written(most, "near-most")
     seeking = written(front.join(most, "hub").where("root <> _root").drop("_root"), "near-seeking")
     x, y = seeking.alias("x"), front.alias("y")
     k = F.least("x.k", "y.k")

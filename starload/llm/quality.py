@@ -5,18 +5,50 @@ from __future__ import annotations
 import operator
 import string
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starload.llm.common import batches_of
+
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+LONG = 50_000
+"""Words from which on a text's windows are numbered rather than held one by one."""
+_BATCH_BYTES = 1 << 20
+_SAMPLED = 32
+"""Rows at the head of every partition on which the rules are tried."""
+
+
+def covered_by(starts: Iterable[int]) -> int:
+    """Words inside the windows that begin at these places, in order."""
+    covered = end = 0
+    for i in starts:
+        covered += i + WINDOW - max(i, end)
+        end = i + WINDOW
+    return covered
+
+
+def repeated_windows(words: list[bytes]) -> list[int]:
+    """Where the windows begin that occur at least twice, in a few numbers per word.
+
+    Runs of one, two, four and eight words get numbers in turn, equal runs equal ones: a run is named by the
+    numbers of its halves, so nothing rests on hashes.
+    """
+    known: dict[bytes, int] = {}
+    run = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+    size = 1
+    while size < WINDOW:
+        run = np.unique(run[:-size] * (len(words) + 1) + run[size:], return_inverse=True)[1]
+        size *= 2
+    return np.flatnonzero(np.bincount(run)[run] > 1).tolist()
 
 
 class Measures:
@@ -56,6 +88,8 @@ class Measures:
     @cached_property
     def n_repeat_words(self) -> int:
         """Words inside a window of eight that occurs at least twice, its first place included."""
+        if self.n_words > LONG:
+            return covered_by(repeated_windows(self.words))
         windows = list(zip(*(self.words[i:] for i in range(WINDOW))))
         if len(set(windows)) == len(windows):
             return 0
@@ -64,11 +98,7 @@ class Measures:
         for i, window in enumerate(windows):
             if first.setdefault(window, i) != i:
                 repeated.update((first[window], i))
-        covered = end = 0
-        for i in sorted(repeated):
-            covered += i + WINDOW - max(i, end)
-            end = i + WINDOW
-        return covered
+        return covered_by(sorted(repeated))
 
     def count_of(self, characters: str) -> int:
         return len(self.data) - len(self.data.translate(None, characters.encode()))
@@ -95,25 +125,31 @@ RULES = (
 )
 
 
-def cascade_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 512) -> list[Rule]:
+def cascade_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = _SAMPLED) -> list[Rule]:
     """The rules by rejected texts per second on a sample, best first.
 
-    The sample is ``sample_rows`` rows as Spark finds them. It decides only which rule is asked
-    first: a text is kept when no rule rejects it, in any order. The driver gets one row per rule.
+    The sample is the first ``sample_rows`` rows of every partition, wherever in the table it lies. Each task
+    tries the rules on its own and stops reading; only a row per rule leaves it. It decides only which rule is
+    asked first: a text is kept when no rule rejects it, in any order.
     """
 
     def trial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spent, rejected = [0.0] * len(rules), [0] * len(rules)
+        left = sample_rows
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for k, rule in enumerate(rules):
-                    alone = Measures(text)
-                    began = time.perf_counter()
-                    rejected[k] += rule.rejects(alone)
-                    spent[k] += time.perf_counter() - began
+            for part in batches_of(batch.slice(0, left), _BATCH_BYTES):
+                for text in part.column("text").to_pylist():
+                    for k, rule in enumerate(rules):
+                        alone = Measures(text)
+                        began = time.perf_counter()
+                        rejected[k] += rule.rejects(alone)
+                        spent[k] += time.perf_counter() - began
+            left -= batch.num_rows
+            if left <= 0:
+                break
         yield pa.RecordBatch.from_pydict({"rule": list(range(len(rules))), "s": spent, "n": rejected})
 
-    sampled = docs.select("text").limit(sample_rows).mapInArrow(trial, "rule long, s double, n long")
+    sampled = docs.select("text").mapInArrow(trial, "rule long, s double, n long")
     found = sampled.groupBy("rule").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
     gain = {r["rule"]: r["n"] / (r["s"] + 1e-9) for r in found}
     return [rules[k] for k in sorted(range(len(rules)), key=lambda k: (-gain.get(k, 0.0), k))]
@@ -123,14 +159,14 @@ def judged(docs: DataFrame, rules: Sequence[Rule] = RULES, measures: Sequence[st
     """doc_id, the named measures, base_failed and kept for every row.
 
     The cascade stops at the first rule that rejects. A null or empty text has no words and fails;
-    whole texts are read. Repeated rows are judged each, an empty table gives no rows, other columns
-    are ignored.
+    whole texts are read, a few at a time, long ones in a few numbers per word. Repeated rows are judged each,
+    an empty table gives no rows, other columns are ignored.
     """
     order = cascade_order(docs, rules)
     base = [r for r in rules if r in BASE]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in batches_of(whole, _BATCH_BYTES)):
             rows = []
             for text in batch.column("text").to_pylist():
                 m = Measures(text)
@@ -151,11 +187,15 @@ def judged(docs: DataFrame, rules: Sequence[Rule] = RULES, measures: Sequence[st
 
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, all columns as they are."""
+    """The rows of ``docs`` that no rule rejects, all columns as they are.
+
+    Null, empty and blank texts have no words and go. Repeated rows stay or go together, an empty table gives no
+    rows. Texts are looked at a few at a time, whatever the size of the batches they come in.
+    """
     order = cascade_order(docs, rules)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in batches_of(whole, _BATCH_BYTES)):
             texts = batch.column("text").to_pylist()
             yield batch.filter(pa.array([not any(r.rejects(m) for r in order) for m in map(Measures, texts)], pa.bool_()))
 

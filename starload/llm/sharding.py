@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starload.llm.common import copied
 from starload.session import written
 
 BUNDLES = 4096
@@ -103,12 +104,21 @@ def assign_shards(docs: DataFrame, shards: int = 8, bundles: int = BUNDLES) -> D
 
 
 def with_slots(homed: DataFrame, buckets: int) -> DataFrame:
-    """Number the rows of each shard without bringing a shard together: bucket counts, then rows of a bucket."""
-    spread = homed.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "key"), F.lit(max(buckets, 1))).cast("int"))
+    """Number the rows of each shard without bringing a shard together: bucket counts, then rows of a bucket.
+
+    Rows equal in id and text differ in nothing but their slots. They are counted in every task first and take
+    the slots after each other, so no bucket holds them one by one.
+    """
+    kinds = homed.groupBy("shard", "doc_id", "key", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    spread = kinds.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "key"), F.lit(max(buckets, 1))).cast("int"))
+    spread = written(spread, "shard-kinds")
     before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    counts = spread.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = spread.groupBy("shard", "bucket").agg(F.sum("n").alias("n"))
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = W.partitionBy("shard", "bucket").orderBy("doc_id", "key")
-    numbered = spread.withColumn("place", F.row_number().over(inside)).join(offsets, ["shard", "bucket"])
-    slot = (F.col("offset") + F.col("place") - 1).cast("long")
-    return numbered.select("doc_id", "size", "text_crc32", "shard", slot.alias("slot"))
+    inside = W.partitionBy("shard", "bucket").orderBy("doc_id", "key").rowsBetween(W.unboundedPreceding, -1)
+    placed = spread.withColumn("place", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(offsets, ["shard", "bucket"])
+    start = (F.col("offset") + F.col("place")).alias("start")
+    ranges = copied(placed.select("doc_id", "size", "text_crc32", "shard", start, "n"))
+    return ranges.select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("nth")).cast("long").alias("slot"))
+
+

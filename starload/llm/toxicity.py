@@ -5,21 +5,26 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import crc_of_id
+from starload.llm.common import batches_of, crc_of_id
 from starload.session import written
 
 MOST_LABELLED = 50_000
 """Labelled rows a model is fitted on, those of the least id hash; a fit beyond them changes little."""
-MOST_TERMS = 2_000
-"""Terms of a lexicon, the strongest first."""
+MOST_STATES = 20_000
+MOST_WORDS = 200_000
+"""Automaton states and words with their terms that a task remembers; beyond, it starts to remember anew."""
+BLOCK_TOKENS = 50_000
+"""Tokens of a text held at once."""
+_BATCH_BYTES = 1 << 20
 LEAST_TEXTS = 3
 """Toxic texts a term must be in, however many there are."""
 LEAST_ODDS = 3.0
@@ -59,7 +64,8 @@ class Automaton:
 
     A state is the set of (trie node, edits so far) that a prefix of the word can have led to. Its
     successor per character is worked out on first use and kept, so a word costs one look-up per
-    character and ends as soon as no term is within reach.
+    character and ends as soon as no term is within reach. Of states and words only so many are kept; what is
+    forgotten is worked out again, to the same result.
     """
 
     def __init__(self, terms: Sequence[Term]):
@@ -78,13 +84,16 @@ class Automaton:
                 node = self.children[node][c]
                 self.reach[node] = max(self.reach[node], term.edits)
             self.terms[node].append(term)
+        self.found: dict[str, tuple[float, int] | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
         self.sets: list[frozenset] = []
         self.numbers: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
         self.whole: list[tuple[float, int] | None] = []
         self.begun: list[tuple[float, int] | None] = []
         self.start = self._state({0: 0})
-        self.found: dict[str, tuple[float, int] | None] = {}
 
     def _state(self, nodes: dict[int, int]) -> int:
         """Number of the state with the least edits per node, after leaving out characters of terms."""
@@ -123,6 +132,8 @@ class Automaton:
         """(weight, edits) of the term the word means, the fewest edits first; None when it means none."""
         if word in self.found:
             return self.found[word]
+        if len(self.sets) > MOST_STATES:
+            self._forget()
         state, best = self.start, None
         for c in word:
             state = self.steps[state].get(c, -1) if c in self.steps[state] else self._step(state, c)
@@ -131,7 +142,7 @@ class Automaton:
                 break
         else:
             best = max((h for h in (best, self.whole[state]) if h), key=_rank, default=None)
-        if len(self.found) > 1_000_000:
+        if len(self.found) > MOST_WORDS:
             self.found.clear()
         self.found[word] = best
         return best
@@ -141,35 +152,48 @@ def _rank(hit: tuple[float, int]) -> tuple[int, float]:
     return -hit[1], hit[0]
 
 
-def tokens(text: str | None) -> list[str]:
-    return _TOKEN.findall((text or "").lower())
+def token_blocks(text: str | None) -> Iterator[tuple[list[str], int, int]]:
+    """Tokens of a text in blocks, each with the range of those that are its own and the windows around them."""
+    found = (m.group() for m in _TOKEN.finditer((text or "").lower()))
+    held = list(islice(found, BLOCK_TOKENS + WINDOW))
+    own = 0
+    while True:
+        more = list(islice(found, BLOCK_TOKENS))
+        end = len(held) - WINDOW if more else len(held)
+        yield held, own, end
+        if not more:
+            return
+        held = held[max(0, end - WINDOW) :] + more
+        own = min(WINDOW, end)
 
 
 FEATURES = 6
 
 
-def features(held: list[str], automaton: Automaton) -> list[float]:
+def features(blocks: Iterable[tuple[list[str], int, int]], automaton: Automaton) -> list[float]:
     """Of one text: exact, misspelled and quoted hits, their best weight, their density, and any hit at all."""
-    exact = near = quoted = 0
+    exact = near = quoted = size = 0
     best = 0.0
     look_up = automaton.look_up
-    for at, word in enumerate(held):
-        hit = look_up(word)
-        if hit is None:
-            continue
-        before, after = held[max(0, at - WINDOW) : at], held[at + 1 : at + 1 + WINDOW]
-        marked = any(w in CLOSING and any(a in CLOSING[w] for a in after) for w in before)
-        if marked or not REPORTING.isdisjoint(before):
-            quoted += 1
-            continue
-        best = max(best, hit[0] / (1 + hit[1]))
-        if hit[1]:
-            near += 1
-        else:
-            exact += 1
+    for held, own, end in blocks:
+        size += end - own
+        for at in range(own, end):
+            hit = look_up(held[at])
+            if hit is None:
+                continue
+            before, after = held[max(0, at - WINDOW) : at], held[at + 1 : at + 1 + WINDOW]
+            marked = any(w in CLOSING and any(a in CLOSING[w] for a in after) for w in before)
+            if marked or not REPORTING.isdisjoint(before):
+                quoted += 1
+                continue
+            best = max(best, hit[0] / (1 + hit[1]))
+            if hit[1]:
+                near += 1
+            else:
+                exact += 1
     return [
         math.log1p(exact), math.log1p(near), math.log1p(quoted), best,
-        math.log1p(1000 * (exact + near) / max(len(held), 1)), float(exact + near > 0),
+        math.log1p(1000 * (exact + near) / max(size, 1)), float(exact + near > 0),
     ]
 
 
@@ -178,9 +202,9 @@ def term_counts(labelled: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
+        for batch in (part for whole in batches for part in batches_of(whole, _BATCH_BYTES)):
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                words = {w for w in tokens(text) if w.isalpha()}
+                words = {w for held, own, end in token_blocks(text) for w in held[own:end] if w.isalpha()}
                 kinds = {(w, False) for w in words if len(w) >= 3}
                 kinds.update((w[:n], True) for w in words for n in STEMS if len(w) >= n)
                 seen[toxic].update(kinds)
@@ -197,8 +221,11 @@ def term_counts(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def lexicon(labelled: DataFrame, toxic: int, clean: int, most_terms: int = MOST_TERMS) -> list[Term]:
-    """Terms far more frequent in toxic texts, and in at least LEAST_TEXTS. A stem that is nearly always one word gives way to the word."""
+def lexicon(labelled: DataFrame, toxic: int, clean: int) -> list[Term]:
+    """All terms far more frequent in toxic texts, and in at least LEAST_TEXTS, the strongest first.
+
+    A stem that is nearly always one word gives way to the word. The labelled texts bound their number.
+    """
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     share = (F.col("toxic") + F.col("clean")) / max(toxic + clean, 1)
     g = 2 * (
@@ -211,21 +238,25 @@ def lexicon(labelled: DataFrame, toxic: int, clean: int, most_terms: int = MOST_
         .withColumn("odds", odds)
         .where((F.col("odds") >= LEAST_ODDS) & (g >= LEAST_G))
         .orderBy(F.desc(F.col("toxic") * F.col("odds")), "term", "stem")
-        .limit(4 * most_terms)
         .collect()
     )
-    words = {r["term"]: r["toxic"] for r in found if not r["stem"]}
+    said: dict[str, int] = {}
+    """Per beginning of a word, the toxic texts that its commonest word is in."""
+    for r in found:
+        if not r["stem"]:
+            for n in STEMS:
+                said[r["term"][:n]] = max(said.get(r["term"][:n], 0), r["toxic"])
     terms: list[Term] = []
     stems: set[str] = set()
     for r in found:
-        if any(r["term"].startswith(s) for s in stems):
+        if any(r["term"][:n] in stems for n in STEMS):
             continue
         if r["stem"]:
-            if any(w.startswith(r["term"]) and n >= 0.8 * r["toxic"] for w, n in words.items()):
+            if said.get(r["term"], 0) >= 0.8 * r["toxic"]:
                 continue
             stems.add(r["term"])
         terms.append(Term(r["term"], r["odds"], r["stem"]))
-    return terms[:most_terms]
+    return terms
 
 
 def fitted(x: np.ndarray, y: np.ndarray, steps: int = 25) -> np.ndarray:
@@ -269,8 +300,8 @@ def trained(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int =
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(terms)
-        for batch in batches:
-            rows = [features(tokens(t), automaton) for t in batch.column("text").to_pylist()]
+        for batch in (part for whole in batches for part in batches_of(whole, _BATCH_BYTES)):
+            rows = [features(token_blocks(t), automaton) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "toxic": batch.column("toxic"), "features": pa.array(rows, pa.list_(pa.float64()))
             })
@@ -283,15 +314,15 @@ def trained(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int =
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1) of every row, from its whole text alone.
 
-    Null and empty texts have no hits and score as such. Repeated rows are scored each, an empty
+    Null and empty texts have no hits and score as such; a long text is read in blocks of tokens. Repeated rows are scored each, an empty
     table gives no rows, other columns are ignored. A model without both kinds of labels scores every
     text alike and low.
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(model.terms)
-        for batch in batches:
-            x = np.array([features(tokens(t), automaton) for t in batch.column("text").to_pylist()], float)
+        for batch in (part for whole in batches for part in batches_of(whole, _BATCH_BYTES)):
+            x = np.array([features(token_blocks(t), automaton) for t in batch.column("text").to_pylist()], float)
             z = x.reshape(batch.num_rows, FEATURES) @ model.beta[:-1] + model.beta[-1]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["doc_id", "score"]

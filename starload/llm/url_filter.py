@@ -17,7 +17,7 @@ Rule = tuple[str, str, str]
 FIRST_RATE = 0.01
 LATER_RATE = 0.5
 MOST_BYTES = 16 << 20
-"""Size up to which one level's filter goes to every task; a longer list is met by a shuffled semi join."""
+"""Size of a level's filter, which goes to every task; the keys of a longer list are dealt out to several cascades."""
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -85,16 +85,23 @@ class Cascade:
     Level 1 holds the listed keys, level 2 the other keys of the universe that level 1 takes for
     listed, level 3 the listed keys that level 2 takes for those, and so on until a level errs on no
     key. The first level that does not hold a key gives its answer: an odd one says not listed.
+
+    Of the universe only the keys that level 1 holds are compared with the list.
     """
 
     def __init__(self, listed: DataFrame, universe: DataFrame):
-        inside = written(universe.join(listed, "key", "left_semi"), "url-listed")
-        outside = written(universe.join(listed, "key", "left_anti"), "url-others")
         self.levels: list[Level] = []
-        number, held, other = 1, inside, outside
-        count = held.count()
+        count = listed.count()
+        if not count:
+            return
+        first = Level(listed, count, FIRST_RATE, 1)
+        self.levels.append(first)
+        passed = written(universe.where(first.holds(F.col("key"))), "url-passed")  # the listed ones and a hundredth of the others
+        held = written(passed.join(listed, "key", "left_anti"), "url-wrong")
+        other = written(passed.join(listed, "key", "left_semi"), "url-listed")
+        number, count = 2, held.count()
         while count:
-            level = Level(held, count, FIRST_RATE if number == 1 else LATER_RATE, number)
+            level = Level(held, count, LATER_RATE, number)
             self.levels.append(level)
             wrong = written(other.where(level.holds(F.col("key"))), "url-wrong")
             number, held, other, count = number + 1, wrong, held, wrong.count()
@@ -111,23 +118,25 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame) -> Da
 
     Without a fitting rule a page is blocked when its host is in ``listed(key)``, a distinct column
     of hosts. A null url, or one without ``://``, has an empty host and path. Repeated rows are kept,
-    an empty table gives no rows, an empty list blocks nothing, other columns are ignored. A list
-    whose first filter would pass ``MOST_BYTES`` is looked up by a semi join of distinct hosts.
+    an empty table gives no rows, an empty list blocks nothing, other columns are ignored. Hosts are dealt out
+    by hash to as many cascades as keep each filter within ``MOST_BYTES``: one as a rule; with more, the pages of
+    each are judged and written in turn.
     """
     host, path = host_and_path(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
     universe = written(parts.select(F.col("host").alias("key")).distinct(), "url-hosts")
-    if bits_for(listed.count(), FIRST_RATE) <= MOST_BYTES * 8:
-        blocked = Cascade(listed, universe).listed(F.col("host"))
-    else:
-        inside = universe.join(listed, "key", "left_semi").withColumnRenamed("key", "_listed")
-        parts = parts.join(inside, F.col("host") == F.col("_listed"), "left")
-        blocked = F.col("_listed").isNotNull()
+    cascades = max(1, -(-bits_for(listed.count(), FIRST_RATE) // (8 * MOST_BYTES)))
     by_rule = longest_rule(rules, F.col("host"), F.col("path"))
-    return parts.withColumn("_by", by_rule).select(
-        "page_id", "host", "path", F.col("_by.rule").alias("rule"),
-        F.coalesce("_by.verdict", F.when(blocked, "block").otherwise("allow")).alias("verdict"),
-    )
+    judged = []
+    for k in range(cascades):
+        mine = lambda rows, key: rows.where(F.pmod(F.xxhash64(F.lit(-1), F.col(key)), F.lit(cascades)) == k) if cascades > 1 else rows  # noqa: B023, E731
+        blocked = Cascade(mine(listed, "key"), mine(universe, "key")).listed(F.col("host"))
+        verdicts = mine(parts, "host").withColumn("_by", by_rule).select(
+            "page_id", "host", "path", F.col("_by.rule").alias("rule"),
+            F.coalesce("_by.verdict", F.when(blocked, "block").otherwise("allow")).alias("verdict"),
+        )
+        judged.append(verdicts if cascades == 1 else written(verdicts, "url-verdicts"))
+    return reduce(DataFrame.unionByName, judged)
 
 
 def tracking_hosts(pages: DataFrame, mark: str = "utm_source=") -> DataFrame:

@@ -295,18 +295,18 @@ def test_automaton_is_levenshtein():
 
 def test_quotation_is_told_from_abuse():
     automaton = toxicity.Automaton([toxicity.Term("idiot", 2.0, False)])
-    plain = toxicity.features(toxicity.tokens("you are such an idiot really"), automaton)
-    quoted = toxicity.features(toxicity.tokens('he called them "an idiot" yesterday'), automaton)
+    plain = toxicity.features(toxicity.token_blocks("you are such an idiot really"), automaton)
+    quoted = toxicity.features(toxicity.token_blocks('he called them "an idiot" yesterday'), automaton)
     assert plain[0] > 0 and plain[2] == 0 and quoted[0] == 0 and quoted[2] > 0
 
 
 def test_apostrophes_are_no_quotation():
     automaton = toxicity.Automaton([toxicity.Term("idiot", 2.0, False)])
     for text in ("you’re an idiot and that’s it", "l’ami est un idiot et d’abord", "”then you idiot“ he"):
-        measured = toxicity.features(toxicity.tokens(text), automaton)
+        measured = toxicity.features(toxicity.token_blocks(text), automaton)
         assert measured[0] > 0 and measured[2] == 0, text
     for text in ("they shouted ‘an idiot’ there", "they shouted “an idiot” there", "they shouted «an idiot» there"):
-        measured = toxicity.features(toxicity.tokens(text), automaton)
+        measured = toxicity.features(toxicity.token_blocks(text), automaton)
         assert measured[0] == 0 and measured[2] > 0, text
 
 
