@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -19,8 +20,8 @@ from starload.session import written
 
 MOST_LABELLED = 50_000
 """Labelled rows a model is fitted on, those of the least id hash; a fit beyond them changes little."""
-MOST_STATES = 20_000
-MOST_WORDS = 200_000
+MOST_STATES = 150_000
+MOST_WORDS = 300_000
 """Automaton states and words with their terms that a task remembers; beyond, it starts to remember anew."""
 BLOCK_TOKENS = 50_000
 """Tokens of a text held at once."""
@@ -88,9 +89,10 @@ class Automaton:
         self._forget()
 
     def _forget(self) -> None:
-        self.sets: list[frozenset] = []
-        self.numbers: dict[frozenset, int] = {}
-        self.steps: list[dict[str, int]] = []
+        self.sets: list[bytes] = []
+        """Per state its nodes and edits, packed into 32 bits each: node * 4 + edits, in order."""
+        self.numbers: dict[bytes, int] = {}
+        self.steps: dict[tuple[int, str], int] = {}
         self.whole: list[tuple[float, int] | None] = []
         self.begun: list[tuple[float, int] | None] = []
         self.start = self._state({0: 0})
@@ -105,12 +107,11 @@ class Automaton:
                 continue
             least[node] = edits
             stack.extend((child, edits + 1) for child in self.children[node].values())
-        state = frozenset(least.items())
+        state = array("I", sorted(4 * node + edits for node, edits in least.items())).tobytes()
         if state not in self.numbers:
             self.numbers[state] = len(self.sets)
             self.sets.append(state)
-            self.steps.append({})
-            hits = [(t.weight, -e, t.stem) for node, e in state for t in self.terms[node] if e <= t.edits]
+            hits = [(t.weight, -e, t.stem) for node, e in least.items() for t in self.terms[node] if e <= t.edits]
             self.whole.append(max(((w, -e) for w, e, _ in hits), key=_rank, default=None))
             self.begun.append(max(((w, -e) for w, e, stem in hits if stem), key=_rank, default=None))
         return self.numbers[state]
@@ -121,11 +122,12 @@ class Automaton:
         def reach(node: int, edits: int) -> None:
             after[node] = min(edits, after.get(node, 99))
 
-        for node, edits in self.sets[state]:
+        for packed in array("I", self.sets[state]):
+            node, edits = packed >> 2, packed & 3
             reach(node, edits + 1)
             for letter, child in self.children[node].items():
                 reach(child, edits + (letter != c))
-        self.steps[state][c] = following = self._state(after)
+        self.steps[state, c] = following = self._state(after)
         return following
 
     def look_up(self, word: str) -> tuple[float, int] | None:
@@ -136,7 +138,8 @@ class Automaton:
             self._forget()
         state, best = self.start, None
         for c in word:
-            state = self.steps[state].get(c, -1) if c in self.steps[state] else self._step(state, c)
+            after = self.steps.get((state, c), -1)
+            state = after if after >= 0 else self._step(state, c)
             best = max((h for h in (best, self.begun[state]) if h), key=_rank, default=None)
             if not self.sets[state]:
                 break
