@@ -92,7 +92,7 @@ class Automaton:
         self.sets: list[bytes] = []
         """Per state its nodes and edits, packed into 32 bits each: node * 4 + edits, in order."""
         self.numbers: dict[bytes, int] = {}
-        self.steps: dict[tuple[int, str], int] = {}
+        self.steps: list[dict[str, int]] = []
         self.whole: list[tuple[float, int] | None] = []
         self.begun: list[tuple[float, int] | None] = []
         self.start = self._state({0: 0})
@@ -111,6 +111,7 @@ class Automaton:
         if state not in self.numbers:
             self.numbers[state] = len(self.sets)
             self.sets.append(state)
+            self.steps.append({})
             hits = [(t.weight, -e, t.stem) for node, e in least.items() for t in self.terms[node] if e <= t.edits]
             self.whole.append(max(((w, -e) for w, e, _ in hits), key=_rank, default=None))
             self.begun.append(max(((w, -e) for w, e, stem in hits if stem), key=_rank, default=None))
@@ -127,7 +128,7 @@ class Automaton:
             reach(node, edits + 1)
             for letter, child in self.children[node].items():
                 reach(child, edits + (letter != c))
-        self.steps[state, c] = following = self._state(after)
+        self.steps[state][c] = following = self._state(after)
         return following
 
     def look_up(self, word: str) -> tuple[float, int] | None:
@@ -138,26 +139,45 @@ class Automaton:
             self._forget()
         state, best = self.start, None
         for c in word:
-            after = self.steps.get((state, c), -1)
-            state = after if after >= 0 else self._step(state, c)
-            best = max((h for h in (best, self.begun[state]) if h), key=_rank, default=None)
+            after = self.steps[state].get(c)
+            state = self._step(state, c) if after is None else after
+            hit = self.begun[state]
+            if hit and (best is None or _rank(hit) > _rank(best)):
+                best = hit
             if not self.sets[state]:
                 break
         else:
-            best = max((h for h in (best, self.whole[state]) if h), key=_rank, default=None)
+            hit = self.whole[state]
+            if hit and (best is None or _rank(hit) > _rank(best)):
+                best = hit
         if len(self.found) > MOST_WORDS:
             self.found.clear()
         self.found[word] = best
         return best
 
 
+_LAST: list[tuple[tuple[Term, ...], Automaton]] = []
+
+
+def automaton_of(terms: Sequence[Term]) -> Automaton:
+    """The automaton of these terms; a worker's next task goes on with what its last one has worked out."""
+    if not _LAST or _LAST[0][0] != tuple(terms):
+        _LAST[:] = [(tuple(terms), Automaton(terms))]
+    return _LAST[0][1]
+
+
 def _rank(hit: tuple[float, int]) -> tuple[int, float]:
     return -hit[1], hit[0]
 
 
 def token_blocks(text: str | None) -> Iterator[tuple[list[str], int, int]]:
     """Tokens of a text in blocks, each with the range of those that are its own and the windows around them."""
-    found = (m.group() for m in _TOKEN.finditer((text or "").lower()))
+    text = (text or "").lower()
+    if len(text) <= BLOCK_TOKENS:  # so it has no more tokens
+        held = _TOKEN.findall(text)
+        yield held, 0, len(held)
+        return
+    found = (m.group() for m in _TOKEN.finditer(text))
     held = list(islice(found, BLOCK_TOKENS + WINDOW))
     own = 0
     while True:
@@ -180,8 +200,9 @@ def features(blocks: Iterable[tuple[list[str], int, int]], automaton: Automaton)
     look_up = automaton.look_up
     for held, own, end in blocks:
         size += end - own
-        for at in range(own, end):
-            hit = look_up(held[at])
+        hits = {w: hit for w in set(held) if (hit := look_up(w))}
+        for at in range(own, end) if hits else ():
+            hit = hits.get(held[at])
             if hit is None:
                 continue
             before, after = held[max(0, at - WINDOW) : at], held[at + 1 : at + 1 + WINDOW]
@@ -302,7 +323,7 @@ def trained(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int =
     terms = lexicon(labelled, toxic, clean)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(terms)
+        automaton = automaton_of(terms)
         for batch in (part for whole in batches for part in batches_of(whole, _BATCH_BYTES)):
             rows = [features(token_blocks(t), automaton) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
@@ -323,7 +344,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(model.terms)
+        automaton = automaton_of(model.terms)
         for batch in (part for whole in batches for part in batches_of(whole, _BATCH_BYTES)):
             x = np.array([features(token_blocks(t), automaton) for t in batch.column("text").to_pylist()], float)
             z = x.reshape(batch.num_rows, FEATURES) @ model.beta[:-1] + model.beta[-1]
