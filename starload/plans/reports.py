@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.times import in_year
+from starload.operators.partial_counts import KEYED, QUARTER, ROWS
 from starload.session import broadcastable
 
 QUARTERS = ("Q1", "Q2", "Q3", "Q4")
@@ -30,6 +31,23 @@ def quarterly_counts(
     else:
         rows = rows.groupBy(*keys).agg(*_quarter_counts())
         counts = [F.sum(q).alias(q) for q in QUARTERS]
+    return _named_quarters(rows, dimensions, counts, collation)
+
+
+def quarterly_of_counts(
+    counts: DataFrame, departments: DataFrame, jobs: DataFrame, collation: str | None = None
+) -> DataFrame:
+    """``quarterly_counts`` of the rows that one year's ``partial_counts`` were taken from."""
+    dimensions = {"department": _labels(departments, "department"), "job": _labels(jobs, "job")}
+    keys = [f"{label}_id" for label in dimensions]
+    in_quarter = [F.when(F.col(QUARTER) == i, F.col(ROWS)).otherwise(0) for i in range(1, len(QUARTERS) + 1)]
+    pairs = counts.dropna(subset=keys).groupBy(*keys).agg(*[F.sum(n).alias(q) for q, n in zip(QUARTERS, in_quarter)])
+    return _named_quarters(pairs, dimensions, [F.sum(q).alias(q) for q in QUARTERS], collation)
+
+
+def _named_quarters(
+    rows: DataFrame, dimensions: dict[str, DataFrame], counts: list[Column], collation: str | None
+) -> DataFrame:
     for label, dimension in dimensions.items():
         rows = rows.join(dimension, f"{label}_id")
     if not collation:
@@ -51,7 +69,10 @@ def group_counts(fact: DataFrame, departments: DataFrame, year: int) -> DataFram
     Counted per id before the join, so the join sees one row per department.
     """
     matched = fact.where(in_year(F.col("hire_datetime"), year)).dropna(subset=["department_id"])
-    per_id = matched.groupBy("department_id").agg(F.count("id").alias("hired"))
+    return _named_groups(matched.groupBy("department_id").agg(F.count("id").alias("hired")), departments)
+
+
+def _named_groups(per_id: DataFrame, departments: DataFrame) -> DataFrame:
     named = per_id.join(_labels(departments, "department"), "department_id")
     return named.groupBy(F.col("department_id").alias("id"), "department").agg(F.sum("hired").alias("hired"))
 
@@ -67,7 +88,16 @@ def above_mean_groups(fact: DataFrame, departments: DataFrame, year: int) -> Dat
     ``hired > mean`` is tested in whole numbers, ``hired * groups > total``, so nothing is rounded.
     The totals are one row by construction, which is what makes the broadcast safe.
     """
-    groups = group_counts(fact, departments, year)
+    return _above_mean(group_counts(fact, departments, year))
+
+
+def above_mean_of_counts(counts: DataFrame, departments: DataFrame) -> DataFrame:
+    """``above_mean_groups`` of the rows that one year's ``partial_counts`` were taken from."""
+    per_id = counts.dropna(subset=["department_id"]).groupBy("department_id").agg(F.sum(KEYED).alias("hired"))
+    return _above_mean(_named_groups(per_id, departments))
+
+
+def _above_mean(groups: DataFrame) -> DataFrame:
     totals = groups.agg(F.sum("hired").alias("_total"), F.count(F.lit(1)).alias("_groups"))
     above = _exact("hired") * _exact("_groups") > F.col("_total")
     return (

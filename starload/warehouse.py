@@ -3,6 +3,7 @@
     <root>/commits/0000/00/00000001.json                               see ``commits``
     <root>/tables/<table>/<home>/batch=<name>/verdict=accepted/[<ts>_year=<y>/]part-*.parquet
     <root>/tables/<table>/<home>/batch=<name>/verdict=<kind>/part-*.parquet   rejected rows, request summaries
+    <root>/tables/<table>/<home>/counts=<run>/part=<name>/part-*.parquet      report counts of a batch folder
     <root>/staging/<run>/...                                           removed when the run is over
 
 Executors write a batch where it stays. It becomes visible by one small file that is created only if no
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from starload.commits import ACCEPTED, MOST_LEASES, Commits, Intervals, Tables, TableState, numbered
 from starload.files import Files
+from starload.operators.partial_counts import added_counts, counts_schema, partial_counts
 from starload.spec import STAR, TableSpec
 
 FAN_IN = 16
@@ -137,9 +139,22 @@ class Warehouse:
             stored = stored.where(F.col(spec.year_column) == year)
         return stored.select(*spec.columns)
 
-    def read_parts(self, name: str, state: TableState, folders: Sequence[str]) -> DataFrame:
-        """The rows of some folders of a state, with the folder as ``part``."""
-        return self._rows(name, state, folders).select(*self.specs[name].columns, F.col("batch").alias("part"))
+    def read_parts(self, name: str, state: TableState, folders: Sequence[str], year: int | None = None) -> DataFrame:
+        """The rows of some folders of a state, with the folder as ``part``; ``year`` as in ``read``."""
+        spec = self.specs[name]
+        stored = self._rows(name, state, folders)
+        if year is not None and spec.year_column:
+            stored = stored.where(F.col(spec.year_column) == year)
+        return stored.select(*spec.columns, F.col("batch").alias("part"))
+
+    def read_counts(self, name: str, state: TableState, folders: Sequence[str]) -> DataFrame:
+        """The kept ``partial_counts`` of some folders that have them, with the folder as ``part``."""
+        names = [T.StructField(c, T.StringType()) for c in ("counts", "part")]
+        schema = T.StructType(counts_schema(self.specs[name]).fields + names)
+        paths = [self._counts(name, state, f) for f in folders if state.counted[f]]
+        if not paths:
+            return self.spark.createDataFrame([], schema).drop("counts")
+        return self.spark.read.schema(schema).option("basePath", self._home(name, state)).parquet(*paths).drop("counts")
 
     def read_batch(self, name: str, batch_id: str) -> DataFrame:
         """The rows of one batch, empty when the table no longer keeps it apart."""
@@ -307,9 +322,12 @@ class Warehouse:
             if not state.keeps(before):
                 raise ConcurrentWrite(f"{name} was rewritten by another writer")
             left = state.without_parts(before.folders, accepted_only=True)
-            return replace(left, parts={folder: kinds} | left.parts, retired=before.folders)
+            return replace(
+                left, parts={folder: kinds} | left.parts, retired=before.folders, counted=left.counted | counted
+            )
 
         staged = self.stage(name, self.read(name, state=before), self.new_batch(name, "compact"))
+        counted = self._add_up(name, before, before.folders, staged)
         self._rewrite(name, Batch(staged, before.largest), edit)
 
     def join_small(self, name: str, fan_in: int = FAN_IN) -> int:
@@ -333,22 +351,28 @@ class Warehouse:
             rows = [f for f in run if ACCEPTED in state.parts[f]]
             if rows:
                 self.stage(name, self._rows(name, state, rows).select(*self.specs[name].columns), path)
+            counted = self._add_up(name, state, rows, path)
             for kind in sorted({k for f in run for k in state.parts[f]} - {ACCEPTED}):
                 log = self._log(name, state, kind, run).withColumnRenamed("batch", BATCH_ID)
                 log.hint("rebalance").write.parquet(self._kind(path, kind))
 
             def edit(
-                now: TableState, folder: str, kinds: list[str], top: int, run: list[str] = run, read: TableState = state
+                now: TableState, folder: str, kinds: list[str], top: int, run: list[str] = run, read: TableState = state,
+                counted: dict[str, str] = counted,
             ) -> TableState:
                 if any(now.parts.get(f) != read.parts[f] for f in run):
                     raise ConcurrentWrite(f"{name} was rewritten by another writer")
                 left = now.without_parts(run)
-                return replace(left, parts=left.parts | {folder: kinds}, retired=tuple(run))
+                return replace(
+                    left, parts=left.parts | {folder: kinds}, retired=tuple(run), counted=left.counted | counted
+                )
 
             try:
                 self._rewrite(name, Batch(path, 0), edit)
             except ConcurrentWrite:
                 self.clear(path)
+                for run in filter(None, counted.values()):
+                    self.clear(f"{self._home(name, state)}/counts={run}")
                 return joined
             joined += 1
 
@@ -362,7 +386,10 @@ class Warehouse:
         def apply(tables: Tables) -> Tables:
             before = self._known(tables, name)
             self._at_home(name, before, batch)
-            seen[:] = [before, edit(before, *entry)]
+            after = edit(before, *entry)
+            used = {*after.folders, *after.retired}
+            counted = {f: run for f, run in (before.counted | after.counted).items() if f in used}
+            seen[:] = [before, replace(after, counted=counted)]
             return tables | {name: seen[1]}
 
         self.commits.change(apply)
@@ -370,6 +397,52 @@ class Warehouse:
         for folder in before.retired:
             path = self._batch(name, before, folder)
             self.files.delete(self._kind(path, ACCEPTED) if folder in after.parts else path)
+            if before.counted.get(folder):
+                self.files.delete(self._counts(name, before, folder))
+
+    # -- counts -------------------------------------------------------------------------------
+
+    def keep_counts(self, name: str) -> int:
+        """Count the folders that have no report counts yet, by one job, and commit the counts; returns how many.
+
+        The rows of a counted folder need not be read again by a report. Of writers that count a folder at the same
+        time the first one's counts stand. A folder that a rewrite dropped meanwhile gets none.
+        """
+        spec, state = self.specs[name], self.state(name)
+        if not spec.year_of:
+            raise ValueError(f"{name} has no datetime to count by")
+        new = [f for f in state.folders if f not in state.counted]
+        if not new:
+            return 0
+        made = self._write_counts(name, state, partial_counts(self.read_parts(name, state, new), spec, "part"), new)
+        taken: list[str] = []
+
+        def edit(tables: Tables) -> Tables | None:
+            now = tables.get(name)
+            there = now.folders if now and now.home == state.home else ()
+            taken[:] = [f for f in new if f in there and f not in now.counted]
+            return tables | {name: replace(now, counted=now.counted | {f: made[f] for f in taken})} if taken else None
+
+        self.commits.change(edit)
+        for folder in set(new) - set(taken):
+            if made[folder]:
+                self.files.delete(f"{self._home(name, state)}/counts={made[folder]}/part={folder}")
+        return len(taken)
+
+    def _add_up(self, name: str, state: TableState, folders: Sequence[str], staged: str) -> dict[str, str]:
+        """The counts of a folder that holds the rows of others, if all of them are counted."""
+        if not folders or not all(f in state.counted for f in folders):
+            return {}
+        folder = staged.rsplit("/batch=", 1)[1]
+        counts = added_counts(self.read_counts(name, state, folders), self.specs[name])
+        return self._write_counts(name, state, counts.withColumn("part", F.lit(folder)), [folder])
+
+    def _write_counts(self, name: str, state: TableState, counts: DataFrame, folders: Sequence[str]) -> dict[str, str]:
+        run = uuid.uuid4().hex
+        path = f"{self._home(name, state)}/counts={run}"
+        counts.hint("rebalance", "part").write.partitionBy("part").parquet(path)
+        written = set(self.files.names(path))
+        return {f: run if f"part={f}" in written else "" for f in folders}
 
     def _known(self, tables: Tables, name: str) -> TableState:
         if name not in tables:
@@ -404,6 +477,9 @@ class Warehouse:
     def _batch(self, name: str, state: TableState, folder: str) -> str:
         return f"{self._home(name, state)}/batch={folder}"
 
+    def _counts(self, name: str, state: TableState, folder: str) -> str:
+        return f"{self._home(name, state)}/counts={state.counted[folder]}/part={folder}"
+
     def _kind(self, batch: str, kind: str) -> str:
         return f"{batch}/verdict={kind}"
 
