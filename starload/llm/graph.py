@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from starload.session import written
@@ -17,7 +17,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     now = written(links.where("a <> b").select(*pair("a", "b")).distinct(), "links")
-    while not now.isEmpty():
+    before = _digest(now)
+    while before["n"]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(*pair("b", "m")).where("a <> b").distinct()
@@ -26,8 +27,12 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "b")
         small = small.select(*pair("a", "m")).unionByName(small.select(*pair("b", "m")))
         after = written(small.where("a <> b").distinct(), "small-star")
-        digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        if after.agg(F.count(F.lit(1)), digest).first() == now.agg(F.count(F.lit(1)), digest).first():
+        now, last, before = after, before, _digest(after)
+        if before == last:
             break
-        now = after
     return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
+
+
+def _digest(links: DataFrame) -> Row:
+    """Tells two sets of links apart."""
+    return links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")).first()

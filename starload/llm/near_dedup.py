@@ -166,11 +166,14 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 def beside(members: DataFrame, group: str, member: str, texts: DataFrame, kept: list[str]) -> DataFrame:
     """Rows (group, kind, *kept, text): per group its own text (kind 0), then its members with theirs (kind 1).
 
-    Rows come sorted so, a group in pieces of some ``PIECE`` members: each piece begins with the group's text,
-    which is thus sent once per piece and not once per member, and no group, however large, is one task's.
+    Rows come sorted so, a group of more than ``PIECE`` members in pieces of some ``PIECE``: each piece begins with
+    the group's text, which is thus sent and split once per piece and not once per member, and no group, however
+    large, is one task's. There are at most members / ``PIECE`` groups in pieces.
     """
-    pieces = max(1, -(-members.count() // PIECE))
-    dealt = members.withColumn("piece", F.pmod(F.xxhash64(member), F.lit(pieces)).cast("int"))
+    sizes = members.groupBy(F.col(group).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > PIECE)
+    large = written(sizes.select("_large", F.ceil(F.col("_n") / PIECE).alias("_pieces")), "near-large")
+    piece = F.coalesce(F.pmod(F.xxhash64(member), F.col("_pieces")), F.lit(0)).cast("int")
+    dealt = members.join(large, F.col(group) == F.col("_large"), "left").withColumn("piece", piece).drop("_large", "_pieces")
     heads = written(dealt.select(group, "piece").distinct(), "near-heads")
     nothing = [F.lit(None).cast(members.schema[c].dataType).alias(c) for c in kept]
     heads = heads.join(texts.select(F.col("node").alias(group), "text"), group).select(

@@ -351,3 +351,22 @@ def test_query_matches_its_sql(spark, name):
     query, sql = queries.ENTRIES[name]
     sf_dir = "/root/testdata/sf0.01"
     assert assert_same(query(spark, sf_dir), connect(sf_dir), sql) >= 0
+
+
+def test_a_small_group_s_text_is_sent_once_beside_a_large_one(spark, monkeypatch):
+    """Pieces follow each group's size, and not that of the whole table; every member meets its group's text."""
+    monkeypatch.setattr(near_dedup, "PIECE", 50)
+    members = [(1, 1000 + k) for k in range(500)] + [(g, 10_000 + 10 * g + k) for g in range(2, 40) for k in range(5)]
+    nodes = sorted({n for pair in members for n in pair})
+    texts = spark.createDataFrame([(n, f"text {n}") for n in nodes], "node long, text string")
+    laid = near_dedup.beside(spark.createDataFrame(members, "b long, a long"), "b", "a", texts, ["a"])
+    heads = Counter(r["b"] for r in laid.where("kind = 0").collect())
+    assert all(heads[g] == 1 for g in range(2, 40)) and heads[1] == 10
+    assert all(r["text"] == f"text {r['b']}" for r in laid.where("kind = 0").collect())
+    assert sorted((r["b"], r["a"]) for r in laid.where("kind = 1").collect()) == sorted(members)
+    in_order = laid.select("b", "kind", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at")).collect()
+    by_task = {}
+    for r in sorted(in_order, key=lambda r: r["at"]):
+        by_task.setdefault(r["p"], []).append((r["b"], r["kind"]))
+    for task in by_task.values():
+        assert all(kind == 0 or task[i - 1][0] == b for i, (b, kind) in enumerate(task))
