@@ -1,4 +1,4 @@
-"""Command line, for spark-submit: load, ingest, stream, report, backup, restore, compact."""
+"""Command line, for spark-submit: load, ingest, stream, report, backup, restore, compact, index."""
 
 from __future__ import annotations
 
@@ -59,6 +59,9 @@ def parser() -> argparse.ArgumentParser:
 
     join = commands.add_parser("compact", help="rewrite a table of many small batches as one")
     join.add_argument("table", choices=TABLES)
+
+    index = commands.add_parser("index", help="keep key filters, and report counts, of folders that came in since")
+    index.add_argument("table", choices=TABLES)
     return top
 
 
@@ -81,6 +84,9 @@ def run(warehouse: Warehouse, args: argparse.Namespace) -> None:
             print(name, backup(warehouse, name, args.folder))
     elif args.command == "compact":
         warehouse.compact(args.table)
+    elif args.command == "index":
+        counted = warehouse.keep_counts(args.table) if warehouse.specs[args.table].year_of else 0
+        print(args.table, "indexed", warehouse.keep_keys(args.table), "counted", counted)
     else:
         print(restore(warehouse, args.table, args.path, args.check_fk, args.expected_rows, args.trust_unverified))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starload.operators.judge import DUPLICATE_KEY, judge_loaded_rows
-from starload.operators.keys import first_positions, present_keys
+from starload.operators.keys import first_positions
 from starload.session import broadcastable, written
 from starload.sources.delimited import POSITION, mended, read_lines
 from starload.spec import TableSpec
@@ -157,7 +157,7 @@ def _key_marks(warehouse: Warehouse, spec: TableSpec, valid: DataFrame, run: str
     if firsts is not None:
         parts.append(firsts.select(key, F.col("_first"), F.lit(False).alias("_present")))
     if not warehouse.is_empty(spec.name):
-        present = present_keys(warehouse.read(spec.name), valid, spec.key)
+        present = warehouse.present_keys(spec.name, valid, run)
         parts.append(present.select(key, unset.alias("_first"), F.lit(True).alias("_present")))
     if not parts:
         return None

@@ -4,6 +4,8 @@
     <root>/tables/<table>/<home>/batch=<name>/verdict=accepted/[<ts>_year=<y>/]part-*.parquet
     <root>/tables/<table>/<home>/batch=<name>/verdict=<kind>/part-*.parquet   rejected rows, request summaries
     <root>/tables/<table>/<home>/counts=<run>/part=<name>/part-*.parquet      report counts of a batch folder
+    <root>/tables/<table>/<home>/filters=<run>/part=<name>/part-*.parquet     key filters of a batch folder
+    <root>/tables/<table>/<home>/keys=<run>/part=<name>/slice=<n>/part-*.parquet    its keys, by hash
     <root>/staging/<run>/...                                           removed when the run is over
 
 Executors write a batch where it stays. It becomes visible by one small file that is created only if no
@@ -25,9 +27,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.commits import ACCEPTED, MOST_LEASES, Commits, Intervals, Tables, TableState, numbered
+from starload.commits import ACCEPTED, MOST_LEASES, Commits, Intervals, KeyIndex, Tables, TableState, numbered
 from starload.files import Files
+from starload.operators.keys import present_keys
+from starload.operators.membership import PER_SLICE, filter_words, layout, may_hold, placed
 from starload.operators.partial_counts import added_counts, counts_schema, partial_counts
+from starload.session import written
 from starload.spec import STAR, TableSpec
 
 FAN_IN = 16
@@ -389,7 +394,8 @@ class Warehouse:
             after = edit(before, *entry)
             used = {*after.folders, *after.retired}
             counted = {f: run for f, run in (before.counted | after.counted).items() if f in used}
-            seen[:] = [before, replace(after, counted=counted)]
+            indexed = {f: index for f, index in (before.indexed | after.indexed).items() if f in used}
+            seen[:] = [before, replace(after, counted=counted, indexed=indexed)]
             return tables | {name: seen[1]}
 
         self.commits.change(apply)
@@ -399,6 +405,8 @@ class Warehouse:
             self.files.delete(self._kind(path, ACCEPTED) if folder in after.parts else path)
             if before.counted.get(folder):
                 self.files.delete(self._counts(name, before, folder))
+            if folder in before.indexed:
+                self._delete_index(name, before, folder, before.indexed[folder][0])
 
     # -- counts -------------------------------------------------------------------------------
 
@@ -441,8 +449,95 @@ class Warehouse:
         run = uuid.uuid4().hex
         path = f"{self._home(name, state)}/counts={run}"
         counts.hint("rebalance", "part").write.partitionBy("part").parquet(path)
-        written = set(self.files.names(path))
-        return {f: run if f"part={f}" in written else "" for f in folders}
+        there = set(self.files.names(path))
+        return {f: run if f"part={f}" in there else "" for f in folders}
+
+    # -- keys ---------------------------------------------------------------------------------
+
+    def keep_keys(self, name: str, per_slice: int = PER_SLICE) -> int:
+        """Index the keys of the folders that have no index yet, and commit that; returns how many.
+
+        ``present_keys`` then asks their filters before it reads a key of theirs. The keys themselves are
+        written once more, narrow and in slices by hash, so a "maybe" costs one slice and not a folder of facts. Of writers
+        that index a folder at the same time the first one's index stands; joined folders are indexed anew.
+        """
+        spec, state = self.specs[name], self.state(name)
+        new = [f for f in state.folders if f not in state.indexed]
+        if not new:
+            return 0
+        run, home = uuid.uuid4().hex, self._home(name, state)
+        keys = self.read_parts(name, state, new).select("part", F.col(spec.key).cast("bigint").alias("key"))
+        extent = [F.count(F.lit(1)).alias("keys"), F.min("key").alias("low"), F.max("key").alias("high")]
+        made: dict[str, KeyIndex] = {f: ("", 0, 0, 0, 0) for f in new}
+        for r in keys.where("key is not null").groupBy("part").agg(*extent).collect():  # a row per folder
+            made[r["part"]] = (run, r["low"], r["high"], *layout(r["keys"], per_slice))
+        layouts = self.spark.createDataFrame([(f, *index[3:]) for f, index in made.items() if index[0]], "part string, slices int, words int")
+        sliced = placed(keys.join(layouts, "part")).select("part", "slice", "key").where("key is not null")
+        sliced.hint("rebalance", "part", "slice").write.partitionBy("part", "slice").parquet(f"{home}/keys={run}")
+        stored = self.spark.read.schema("key bigint, part string, slice int").parquet(f"{home}/keys={run}")
+        words = filter_words(stored.drop("slice").join(layouts, "part"))
+        words.hint("rebalance", "part").write.partitionBy("part").parquet(f"{home}/filters={run}")
+        taken: list[str] = []
+
+        def edit(tables: Tables) -> Tables | None:
+            now = tables.get(name)
+            there = now.folders if now and now.home == state.home else ()
+            taken[:] = [f for f in new if f in there and f not in now.indexed]
+            return tables | {name: replace(now, indexed=now.indexed | {f: made[f] for f in taken})} if taken else None
+
+        self.commits.change(edit)
+        for folder in set(new) - set(taken):
+            self._delete_index(name, state, folder, made[folder][0])
+        return len(taken)
+
+    def present_keys(self, name: str, incoming: DataFrame, scratch: str | None = None) -> DataFrame:
+        """Keys of ``incoming`` that the table holds; null is none.
+
+        Folders whose range of keys the incoming ones miss are left out by the commit record. Filters say
+        which slices of the other indexed folders may hold one, and only those are read. Folders without index are
+        looked up by their files' statistics.
+        """
+        spec, state = self.specs[name], self.state(name)
+        plain = [f for f in state.folders if f not in state.indexed]
+        if len(plain) == len(state.folders):
+            return present_keys(self.read(name, state=state), incoming, spec.key)
+        asked = incoming.select(F.col(spec.key).cast("bigint").alias("key")).where("key is not null").distinct()
+        asked = written(asked, "asked-keys", scratch)
+        found = []
+        if plain:
+            rows = self._rows(name, state, plain).select(F.col(spec.key).cast("bigint").alias("key"))
+            found.append(present_keys(rows, asked, "key"))
+        found.append(self._indexed_keys(name, state, asked, scratch))
+        return reduce(DataFrame.unionByName, found).distinct().select(
+            F.col("key").cast(spec.schema[spec.key].dataType).alias(spec.key)
+        )
+
+    def _indexed_keys(self, name: str, state: TableState, asked: DataFrame, scratch: str | None) -> DataFrame:
+        """Those of the distinct ``asked(key)`` that stand in an indexed folder."""
+        home = self._home(name, state)
+        low, high = asked.agg(F.min("key"), F.max("key")).first()
+        near = {
+            f: index for f, index in state.indexed.items()
+            if low is not None and f in state.folders and index[0] and index[1] <= high and low <= index[2]
+        }
+        nothing = asked.where(F.lit(False))
+        if not near:
+            return nothing
+        words = self.spark.read.schema("slices int, words int, slice int, word int, mask bigint, filters string, part string")
+        words = words.option("basePath", home).parquet(*[f"{home}/filters={index[0]}/part={f}" for f, index in near.items()])
+        maybe = written(may_hold(words, asked, [index[3:] for index in near.values()]), "maybe-held", scratch)
+        slices = maybe.select("part", "slice").distinct().collect()  # a row per slice of PER_SLICE keys at most
+        if not slices:
+            return nothing
+        keys = self.spark.read.schema("key bigint, keys string, part string, slice int").option("basePath", home).parquet(
+            *[f"{home}/keys={near[r['part']][0]}/part={r['part']}/slice={r['slice']}" for r in slices]
+        )
+        return keys.join(maybe, ["part", "slice", "key"], "left_semi").select("key")
+
+    def _delete_index(self, name: str, state: TableState, folder: str, run: str) -> None:
+        if run:
+            for kind in ("filters", "keys"):
+                self.files.delete(f"{self._home(name, state)}/{kind}={run}/part={folder}")
 
     def _known(self, tables: Tables, name: str) -> TableState:
         if name not in tables:

@@ -17,6 +17,10 @@ def test_all_commands(spark, root, tmp_path, capsys):
         main(["--root", root, "ingest", f"file:{tmp_path}/r.json", "--batch", "b1"])
     assert capsys.readouterr().out.splitlines() == ["b1 inserted 1 rejected 1"] * 2
 
+    for table, said in ((HIRED_EMPLOYEES.name, "indexed 2 counted 2"), ("jobs", "indexed 1 counted 0")):
+        main(["--root", root, "index", table])
+        assert capsys.readouterr().out == f"{table} {said}\n"
+
     main(["--root", root, "report", "quarterly", "2021", f"{root}/q"])
     assert rows(spark.read.csv(f"{root}/q", header=True)) == [
         ("Legal", "Engineer", "0", "1", "0", "0"), ("Sales", "Engineer", "1", "1", "0", "0"),
