@@ -29,8 +29,8 @@ KEPT_GRAMS = 1 << 22
 """A gram's score goes to every task when it holds at least 1/KEPT_GRAMS of all symbols; other grams meet theirs in a join."""
 SHARED = 2
 """Longest context whose entries all go to every task that works out scores: at most 257**3 by the alphabet."""
-_BATCH_BYTES = 2 << 20
-_FLUSH = 1 << 19
+_BATCH_BYTES = 1 << 20
+_FLUSH = 1 << 18
 _FLUSH_GRAMS = 1 << 20
 _SCORED_GRAMS = 1 << 19
 _OUT_ROWS = 100_000
@@ -47,7 +47,7 @@ def contexts(texts: list[bytes], order: int = ORDER) -> Iterator[tuple[np.ndarra
     start from the bytes before them, so no more than a batch is held at a time.
     """
     for first, group in _grouped([(i, t, a) for i, t in enumerate(texts) for a in range(0, len(t) + 1, _BATCH_BYTES)]):
-        parts, owners, edges, body, at = [], [], [], [], 0
+        parts, owners, sizes, edges, before_text, at = [], [], [], [], [], 0
         for i, text, start in group:
             before = text[max(0, start - order) : start]
             piece = text[start : start + _BATCH_BYTES]
@@ -57,17 +57,16 @@ def contexts(texts: list[bytes], order: int = ORDER) -> Iterator[tuple[np.ndarra
             edges.extend(range(at, at + pad))
             if last:
                 edges.append(at + len(parts[-1]) - 1)
-            n = len(piece) + last
-            body.append(np.arange(at + order, at + order + n))
-            owners.append(np.full(n, i))
+            before_text.extend(range(at, at + order))
+            owners.append(i)
+            sizes.append(len(piece) + last)
             at += len(parts[-1])
         symbols = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
         symbols[edges] = EDGE
-        places = np.concatenate(body)
-        key = symbols[places]
+        key = symbols.copy()
         for k in range(1, order + 1):
-            key |= symbols[places - k] << (WIDTH * k)
-        yield key, np.concatenate(owners)
+            key[k:] |= symbols[:-k] << (WIDTH * k)
+        yield np.delete(key, before_text), np.repeat(owners, sizes)
 
 
 def _grouped(pieces: list[tuple[int, bytes, int]]) -> Iterator[tuple[int, list]]:
@@ -113,9 +112,8 @@ def partial_counts(docs: DataFrame) -> DataFrame:
                         words = Counter()
                 for kind in (True, False):
                     for keys, _ in contexts([t for t, k in zip(texts, learned) if k == kind]):
-                        found, seen = pd.factorize(keys)
-                        parts[kind].append((seen, np.bincount(found, minlength=len(seen))))
-                        sizes[kind] += len(seen)
+                        parts[kind].append(np.unique(keys, return_counts=True))
+                        sizes[kind] += len(parts[kind][-1][0])
                         if sizes[kind] > 2 * _FLUSH_GRAMS:
                             parts[kind] = [_added(parts[kind])]
                             sizes[kind] = len(parts[kind][0][0])
@@ -133,8 +131,11 @@ def partial_counts(docs: DataFrame) -> DataFrame:
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     if not parts:
         return np.array([], np.int64), np.array([], np.int64)
-    found, seen = pd.factorize(np.concatenate([k for k, _ in parts]))
-    return seen, np.bincount(found, np.concatenate([n for _, n in parts]), len(seen)).astype(np.int64)
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")  # a merge, as every part is in order
+    keys, n = keys[order], np.concatenate([n for _, n in parts])[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))  # keys are not negative
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _rows(grams: list, words: list, n: list, learned: bool) -> pa.RecordBatch:
@@ -155,13 +156,12 @@ def _grams(grams: np.ndarray, n: np.ndarray, learned: bool) -> Iterator[pa.Recor
 
 
 class Trie:
-    """A trained byte-context trie: per order the kept (context, symbol) entries with their counts.
+    """A trained byte-context trie: per order the (context, symbol) entries with their counts, or a part closed under contexts.
 
     The escape estimate is that of method C: a context seen n times with d symbols escapes with
-    d / (n + d); occurrences whose entry was not kept are escapes too. A context that escapes excludes
-    its symbols from the shorter one. As counts only grow when a context is cut short, the symbols of a
-    kept context are among those of the shorter one, and what is left there after exclusion is fixed by
-    the context that was left.
+    d / (n + d). A context that escapes excludes its symbols from the shorter one. As counts only grow when a
+    context is cut short, the symbols of a context are among those of the shorter one, and what is left
+    there after exclusion is fixed by the context that was left.
     """
 
     def __init__(self, entries: list[tuple[np.ndarray, np.ndarray]]):
@@ -330,9 +330,12 @@ def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
                 asked_of: list[tuple] = []
                 for keys, owner in contexts(texts):
                     found, seen = pd.factorize(keys)
-                    at = np.minimum(np.searchsorted(frequent, seen), max(len(frequent) - 1, 0))
-                    held = frequent[at] == seen if len(frequent) else np.zeros(len(seen), bool)
-                    of_seen = np.where(held, log_p[at], 0.0) if len(frequent) else np.zeros(len(seen))
+                    held, of_seen = np.zeros(len(seen), bool), np.zeros(len(seen))
+                    if len(frequent):
+                        order = np.argsort(seen)  # asked in order, a search stays near the last one
+                        at = np.minimum(np.searchsorted(frequent, seen[order]), len(frequent) - 1)
+                        held[order] = frequent[at] == seen[order]
+                        of_seen[order] = np.where(held[order], log_p[at], 0.0)
                     scores += np.bincount(owner, of_seen[found], minlength=len(texts))
                     open_ = ~held[found]
                     pair, pairs = pd.factorize(owner[open_] * len(seen) + found[open_])
