@@ -35,7 +35,8 @@ def number_rows(
 
     A row's place is (file, row in file), which no retry can change. The driver sees one count per
     file, never a row, and turns the counts into the first key of each file. ``sizes`` are those counts, when
-    they are known.
+    they are known. The first keys go to every task, a row per file: the rows stay where they are read, where
+    a join by file would gather and sort those of a whole file in one task.
     """
     dtype = dtype or T.LongType()
     sizes = rows_per_file(stored) if sizes is None else sizes
@@ -50,7 +51,7 @@ def number_rows(
     placed = stored.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
-    numbered = placed.join(offsets, "_file").withColumn(column, (F.col("_start") + F.col("_row")).cast(dtype))
+    numbered = placed.join(F.broadcast(offsets), "_file").withColumn(column, (F.col("_start") + F.col("_row")).cast(dtype))
     return numbered.drop("_file", "_row", "_start"), after + total
 
 

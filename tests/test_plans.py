@@ -122,3 +122,18 @@ def test_lookup_of_stored_keys_skips_files_and_sends_the_small_side(spark, root)
     join = text.index("BroadcastHashJoin")
     assert "Exchange hashpartitioning" not in text[join : text.index(scan)]
     assert present.count() == 10
+
+
+def test_numbering_sends_the_first_keys_and_not_the_rows(spark, root):
+    """Whether the rows would fit a broadcast or are too many for one, they stay where they are read."""
+    spark.range(1000).repartition(5).write.parquet(f"{root}/n")
+    stored = spark.read.parquet(f"{root}/n")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for bytes_ in (threshold, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bytes_)
+        try:
+            text = executed(number_rows(stored, "key")[0])
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+        assert "FileScan" not in text[text.index("BroadcastExchange") :]
