@@ -123,6 +123,25 @@ def test_the_callers_rows_are_read_once(spark, root, no_broadcast):
     assert seen.value == 100
 
 
+def test_a_dimensions_numbered_rows_stay_in_the_tasks_that_read_them(spark, root, monkeypatch):
+    """Of the rows to store only the even files are shuffled; nothing is sorted by file or sent to every task."""
+    warehouse = stored_star(spark, root)
+    plans, stage = [], warehouse.stage
+
+    def watched(name, rows, *args, **kwargs):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return stage(name, rows, *args, **kwargs)
+
+    monkeypatch.setattr(warehouse, "stage", watched)
+    given = spark.range(500).select(
+        F.expr("cast(id div 50 as string) AS request_id"), F.col("id").cast("int").alias("ordinal"), F.lit("Cook").alias("job")
+    )
+    result = ingest(warehouse, "jobs", given)
+    assert sorted(r["id"] for r in result.accepted.collect()) == list(range(3, 503))
+    assert len(plans) == 1 and "Sort" not in plans[0]
+    assert "FileScan" not in plans[0][plans[0].index("BroadcastExchange") :]
+
+
 def test_writers_at_the_same_time_give_out_distinct_ids(spark, root):
     warehouse = stored_star(spark, root)
     body = bodies(spark, a=request(*[hire()] * 4))
