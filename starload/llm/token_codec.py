@@ -31,69 +31,95 @@ _NODES = 4369
 
 
 class _Model:
+    """State of all lanes in flat tables; a lane's part starts at its number times the size."""
+
     def __init__(self, lanes: int):
-        self.guess = [np.zeros((lanes, _SLOTS), np.int32) for _ in range(2)]
-        self.trust = [np.zeros((lanes, _SLOTS), np.int8) for _ in range(2)]
-        self.right = np.full((3, lanes, 8), _ONE * 8, np.int64)
-        self.weight = np.full((2, lanes, 2, 3), 1 << 14, np.int64)
-        self.counts = np.ones((lanes, _NODES, 16), np.uint16)
-        self.totals = np.full((lanes, _NODES), 16, np.int64)
+        self.guess = [np.zeros(lanes * _SLOTS, np.int32) for _ in range(2)]
+        """The id guessed, and above its 16 bits how far it is trusted, 0 to 7."""
+        self.right = [np.full(lanes * 8, _ONE * 8, np.int64) for _ in range(3)]
+        self.weight = [np.full((lanes * 2, 3), 1 << 14, np.int64) for _ in range(2)]
+        self.counts = np.ones((lanes * _NODES, 16), np.uint16)
+        self.count_of = self.counts.reshape(-1)
+        self.totals = np.full(lanes * _NODES, 16, np.int32)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
 
     def look(self, lane: np.ndarray) -> None:
         """Guesses of order 2 and 1 for the next id of each lane."""
         one, two = self.last[lane], self.before[lane]
-        self.slot = [(one * 40503 + two * 10007 + (two >> 5)) & (_SLOTS - 1), (one * 9973 + (one >> 3)) & (_SLOTS - 1)]
-        self.guesses = [g[lane, s].astype(np.int64) for g, s in zip(self.guess, self.slot)]
-        self.trusts = [t[lane, s].astype(np.int64) for t, s in zip(self.trust, self.slot)]
+        of = lane * _SLOTS
+        self.slot = [
+            of + ((one * 40503 + two * 10007 + (two >> 5)) & (_SLOTS - 1)), of + ((one * 9973 + (one >> 3)) & (_SLOTS - 1))
+        ]
+        held = [g.take(s).astype(np.int64) for g, s in zip(self.guess, self.slot)]
+        self.guesses = [h & 65535 for h in held]
+        self.trusts = [h >> 16 for h in held]
 
     def seen(self, lane: np.ndarray, token: np.ndarray) -> None:
         for k in range(2):
             hit = self.guesses[k] == token
             trust = self.trusts[k]
-            self.guess[k][lane, self.slot[k]] = np.where(hit | (trust > 1), self.guesses[k], token)
-            self.trust[k][lane, self.slot[k]] = np.where(hit, np.minimum(trust + 1, 7), np.where(trust > 1, trust >> 1, 0))
+            firm = trust > 1
+            kept = np.where(hit | firm, self.guesses[k], token)
+            trust = np.where(hit, np.minimum(trust + 1, 7), (trust >> 1) * firm)
+            self.guess[k][self.slot[k]] = kept | trust << 16
         self.before[lane] = self.last[lane]
         self.last[lane] = token
 
     def order0(self, lane: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Chance of the id by the counts, of 4096."""
-        chance = np.full(len(lane), _ONE << 8)
+        chance = _ONE << 8
+        of = lane * _NODES
         for k in range(4):
-            node = _BASES[k] + (token >> (16 - 4 * k))
-            chance = chance * self.counts[lane, node, (token >> (12 - 4 * k)) & 15] // self.totals[lane, node]
+            node = of + (_BASES[k] + (token >> (16 - 4 * k)))
+            chance = chance * self.count_of.take((node << 4) + ((token >> (12 - 4 * k)) & 15)).astype(np.int64)
+            chance = chance // self.totals.take(node)
         return np.clip(chance >> 8, 1, _ONE - 1)
 
     def chance(self, which: int, lane: np.ndarray, pick: np.ndarray) -> np.ndarray:
         """Mixed chance, of 4096, that guess ``which`` of the picked lanes is right."""
         trust2, trust1 = self.trusts[0][pick], self.trusts[1][pick]
         self.agree = (self.guesses[0][pick] == self.guesses[1][pick]).astype(np.int64)
-        self.used = trust1 if which else trust2
-        self.inputs = np.stack([
-            _STRETCH[self.right[which, lane, self.used] >> 4],
-            _STRETCH[self.right[2, lane, trust1] >> 4] * (2 * self.agree - 1 if not which else 1),
-            _STRETCH[self.order0(lane, self.guesses[which][pick])],
-        ], axis=1)
-        self.mix = self.weight[which, lane, self.agree]
-        self.mixed = _SQUASH[np.clip((self.mix * self.inputs).sum(axis=1) >> 15, -2200, 2200) + 2200]
+        self.places = [(lane << 3) + (trust1 if which else trust2), (lane << 3) + trust1]
+        self.was = [self.right[which].take(self.places[0]), self.right[2].take(self.places[1])]
+        self.inputs = np.empty((len(lane), 3), np.int64)
+        self.inputs[:, 0] = _STRETCH.take(self.was[0] >> 4)
+        short = _STRETCH.take(self.was[1] >> 4)
+        self.inputs[:, 1] = short if which else short * (2 * self.agree - 1)
+        self.inputs[:, 2] = _STRETCH.take(self.order0(lane, self.guesses[which][pick]))
+        self.place = (lane << 1) + self.agree
+        self.mix = self.weight[which].take(self.place, axis=0)
+        mixed = np.einsum("ij,ij->i", self.mix, self.inputs) >> 15
+        self.mixed = _SQUASH.take(np.minimum(np.maximum(mixed, -2200), 2200) + 2200)
         return self.mixed
 
-    def learn(self, which: int, lane: np.ndarray, pick: np.ndarray, hit: np.ndarray) -> None:
+    def learn(self, which: int, hit: np.ndarray) -> None:
         error = (hit * _ONE - self.mixed)[:, None]
-        self.weight[which, lane, self.agree] = np.clip(self.mix + ((self.inputs * error) >> 8), -(1 << 18), 1 << 18)
-        for row, trust, was in ((which, self.used, hit), (2, self.trusts[1][pick], hit * self.agree if not which else hit)):
-            p = self.right[row, lane, trust]
-            self.right[row, lane, trust] = np.clip(p + ((was * 65535 - p) >> 5), 16, 65519)
-
-    def count(self, lane: np.ndarray, node: np.ndarray, digit: np.ndarray) -> None:
-        self.counts[lane, node, digit] += _STEP
-        self.totals[lane, node] += _STEP
-        full = self.totals[lane, node] > _LIMIT
+        self.weight[which][self.place] = np.minimum(np.maximum(self.mix + ((self.inputs * error) >> 8), -(1 << 18)), 1 << 18)
+        for row, place, p, was in zip((which, 2), self.places, self.was, (hit, hit if which else hit * self.agree)):
+            self.right[row][place] = np.minimum(np.maximum(p + ((was * 65535 - p) >> 5), 16), 65519)
+
+    def count(self, node: np.ndarray, digit: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
+        """Add to a digit of a node, whose count and total were ``size`` and ``total``."""
+        self.count_of[(node << 4) + digit] = size + _STEP
+        total = total + _STEP
+        self.totals[node] = total
+        full = total > _LIMIT
         if full.any():
-            of, at = lane[full], node[full]
-            self.counts[of, at] = (self.counts[of, at] + 1) >> 1
-            self.totals[of, at] = self.counts[of, at].sum(axis=1)
+            at = node[full]
+            self.counts[at] = (self.counts[at] + 1) >> 1
+            self.totals[at] = self.counts[at].sum(axis=1)
+
+
+def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Where the top byte is known, or the range too small to go on."""
+    return ((low ^ (low + width)) < _TOP) | (width < _BOTTOM)
+
+
+def _moved_on(low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Low end and range without their top byte; a small range across a carry is cut at it first."""
+    width = np.where((low ^ (low + width)) >= _TOP, -low & (_BOTTOM - 1), width)
+    return (low << 8) & _FULL, (width << 8) & _FULL
 
 
 class _Encoder:
@@ -102,33 +128,36 @@ class _Encoder:
         self.range = np.full(lanes, _FULL)
         self.out = np.zeros((lanes, 1 << 14), np.uint8)
         self.at = np.zeros(lanes, np.int64)
+        self.most = 0
+        """No lane has put out more."""
 
     def put(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray | int) -> None:
         unit = self.range[lane] // total
         low, width = (self.low[lane] + start * unit) & _FULL, size * unit
-        self._shift(lane, low, width)
-
-    def _shift(self, lane: np.ndarray, low: np.ndarray, width: np.ndarray) -> None:
-        settle = ((low ^ ((low + width) & _FULL)) < _TOP) & (low + width <= _FULL) | (width < _BOTTOM)
-        while settle.any():
-            go = np.flatnonzero(settle)
+        go = np.flatnonzero(_unsettled(low, width))
+        while len(go):
             of, cut = lane[go], low[go]
-            tight = ((cut ^ ((cut + width[go]) & _FULL)) >= _TOP) | (cut + width[go] > _FULL)
-            span = np.where(tight, -cut & (_BOTTOM - 1), width[go])
-            if self.at.max() + 8 > self.out.shape[1]:
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-            self.out[of, self.at[of]] = cut >> 24
-            self.at[of] += 1
-            low[go] = (cut << 8) & _FULL
-            width[go] = (span << 8) & _FULL
-            settle = ((low ^ ((low + width) & _FULL)) < _TOP) & (low + width <= _FULL) | (width < _BOTTOM)
+            self._room()
+            at = self.at[of]
+            self.out.reshape(-1)[of * self.out.shape[1] + at] = cut >> 24
+            self.at[of] = at + 1
+            cut, span = _moved_on(cut, width[go])
+            low[go], width[go] = cut, span
+            go = go[_unsettled(cut, span)]
         self.low[lane], self.range[lane] = low, width
 
+    def _room(self) -> None:
+        """Room for one more byte in every lane."""
+        self.most += 1
+        if self.most > self.out.shape[1]:
+            self.most = int(self.at.max()) + 1
+            if self.most > self.out.shape[1]:
+                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
+
     def end(self) -> list[bytes]:
+        lanes = np.arange(len(self.low))
         for _ in range(4):
-            lanes = np.arange(len(self.low))
-            if self.at.max() + 8 > self.out.shape[1]:
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
+            self._room()
             self.out[lanes, self.at] = self.low >> 24
             self.at += 1
             self.low = (self.low << 8) & _FULL
@@ -146,25 +175,26 @@ class _Decoder:
         self.code = np.zeros(lanes, np.int64)
         for k in range(4):
             self.code = (self.code << 8) | self.data[:, k]
-        self.at = np.full(lanes, 4)
+        self.flat = self.data.reshape(-1)
+        self.at = np.arange(lanes) * self.data.shape[1] + 4
 
     def offset(self, lane: np.ndarray, total: np.ndarray | int) -> np.ndarray:
+        self.from_low, self.of_code = self.low[lane], self.code[lane]
         self.unit = self.range[lane] // total
-        return np.minimum(((self.code[lane] - self.low[lane]) & _FULL) // self.unit, np.asarray(total) - 1)
+        return np.minimum(((self.of_code - self.from_low) & _FULL) // self.unit, np.asarray(total) - 1)
 
     def take(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        low, width, code = (self.low[lane] + start * self.unit) & _FULL, size * self.unit, self.code[lane]
-        settle = ((low ^ ((low + width) & _FULL)) < _TOP) & (low + width <= _FULL) | (width < _BOTTOM)
-        while settle.any():
-            go = np.flatnonzero(settle)
-            of, cut = lane[go], low[go]
-            tight = ((cut ^ ((cut + width[go]) & _FULL)) >= _TOP) | (cut + width[go] > _FULL)
-            span = np.where(tight, -cut & (_BOTTOM - 1), width[go])
-            code[go] = ((code[go] << 8) & _FULL) | self.data[of, self.at[of]]
-            self.at[of] += 1
-            low[go] = (cut << 8) & _FULL
-            width[go] = (span << 8) & _FULL
-            settle = ((low ^ ((low + width) & _FULL)) < _TOP) & (low + width <= _FULL) | (width < _BOTTOM)
+        """Follows ``offset`` of the same lanes."""
+        low, width, code = (self.from_low + start * self.unit) & _FULL, size * self.unit, self.of_code
+        go = np.flatnonzero(_unsettled(low, width))
+        while len(go):
+            of = lane[go]
+            at = self.at[of]
+            code[go] = ((code[go] << 8) & _FULL) | self.flat.take(at)
+            self.at[of] = at + 1
+            cut, span = _moved_on(low[go], width[go])
+            low[go], width[go] = cut, span
+            go = go[_unsettled(cut, span)]
         self.low[lane], self.range[lane], self.code[lane] = low, width, code
 
 
@@ -173,48 +203,51 @@ def _lockstep(lengths: np.ndarray, coder, read, write) -> None:
     model = _Model(len(lengths))
     decoding = read is None
     every = np.arange(len(lengths))
+    shortest = lengths.min(initial=0)
     for t in range(int(lengths.max(initial=0))):
-        lane = every if t < lengths.min() else np.flatnonzero(lengths > t)
+        lane = every if t < shortest else np.flatnonzero(lengths > t)
         model.look(lane)
         token = np.full(len(lane), -1) if decoding else read(lane, t)
-        left = np.arange(len(lane))
+        left = every[: len(lane)]
         for which in range(2):
             of = lane[left]
             guess = model.guesses[which][left]
             chance = model.chance(which, of, left)
             if decoding:
-                hit = (coder.offset(of, _ONE) < chance).astype(np.int64)
-                token[left[hit == 1]] = guess[hit == 1]
+                right = coder.offset(of, _ONE) < chance
+                token[left[right]] = guess[right]
             else:
-                hit = (guess == token[left]).astype(np.int64)
-            start, size = np.where(hit, 0, chance), np.where(hit, chance, _ONE - chance)
+                right = guess == token[left]
+            start, size = np.where(right, 0, chance), np.where(right, chance, _ONE - chance)
             coder.take(of, start, size) if decoding else coder.put(of, start, size, _ONE)
-            model.learn(which, of, left, hit)
-            missed = left[hit == 0]
-            left = missed if which else missed[model.guesses[0][missed] != model.guesses[1][missed]]
+            model.learn(which, right.astype(np.int64))
+            missed = left[~right]
             if which == 0:
-                agreed = missed[model.guesses[0][missed] == model.guesses[1][missed]]
+                same = model.guesses[0][missed] == model.guesses[1][missed]
+                left, agreed = missed[~same], missed[same]
+            else:
+                left = missed
             if not len(left):
                 break
-        else:
-            pass
         left = np.sort(np.concatenate([left, agreed])) if len(agreed) else left
         if len(left):
             of = lane[left]
+            known = token[left]
+            at = of * _NODES
+            row = every[: len(left)]
             prefix = np.zeros(len(left), np.int64)
             for k in range(4):
-                node = _BASES[k] + prefix
-                upto = np.cumsum(model.counts[of, node], axis=1, dtype=np.int64)
-                total = model.totals[of, node]
+                node = at + (_BASES[k] + prefix)
+                upto = np.cumsum(model.counts.take(node, axis=0), axis=1, dtype=np.int32)
+                total = model.totals.take(node).astype(np.int64)
                 if decoding:
                     digit = (upto <= coder.offset(of, total)[:, None]).sum(axis=1)
                 else:
-                    digit = (token[left] >> (12 - 4 * k)) & 15
-                row = np.arange(len(left))
-                size = model.counts[of, node, digit].astype(np.int64)
+                    digit = (known >> (12 - 4 * k)) & 15
+                size = model.count_of.take((node << 4) + digit).astype(np.int64)
                 start = upto[row, digit] - size
                 coder.take(of, start, size) if decoding else coder.put(of, start, size, total)
-                model.count(of, node, digit)
+                model.count(node, digit, size, total)
                 prefix = (prefix << 4) | digit
             token[left] = prefix
         model.seen(lane, token)

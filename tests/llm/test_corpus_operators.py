@@ -181,6 +181,16 @@ def test_codec_round_trip(seed):
     assert len(coded[1]) < 40
 
 
+def test_codec_keeps_its_file_format():
+    """The bytes of files written so far; nodes pass the limit of their counts, and blocks differ in length."""
+    ids = (np.arange(9000, dtype=np.int64) ** 2 // 7 % 977).astype(np.uint16)
+    many = (np.arange(4000) * 40503 % 65536).astype(np.uint16)
+    blocks = [ids[:8192], ids[8192:], np.repeat(ids[:40], 50), many]
+    coded = token_codec.encode(blocks)
+    assert [(len(b), zlib.crc32(b)) for b in coded] == [(10579, 6590084), (1213, 2757992136), (164, 4069128182), (9693, 3762386952)]
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, token_codec.decode(coded, [len(b) for b in blocks])))
+
+
 def test_token_files(spark, odd, none, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     path = f"file:{tmp_path}/tokens"
