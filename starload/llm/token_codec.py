@@ -261,11 +261,11 @@ def encode(blocks: Sequence[np.ndarray]) -> list[bytes]:
     for i in range(0, len(blocks), LANES):
         group = blocks[i : i + LANES]
         lengths = np.array([len(b) for b in group])
-        ids = np.zeros((len(group), lengths.max(initial=0)), np.int64)
-        for row, block in zip(ids, group):
-            row[: len(block)] = block
+        ids = np.zeros((lengths.max(initial=0), len(group)), np.uint16)
+        for n, block in enumerate(group):
+            ids[: len(block), n] = block
         coder = _Encoder(len(group))
-        _lockstep(lengths, coder, lambda lane, t: ids[lane, t], None)
+        _lockstep(lengths, coder, lambda lane, t: ids[t, lane].astype(np.int64), None)
         out.extend(coder.end())
     return out
 

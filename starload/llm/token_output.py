@@ -26,7 +26,7 @@ DRAW = 7
 """Seed of the draw that deals out rows equal in id and text."""
 SEGMENT_IDS = token_codec.BLOCK * token_codec.LANES
 _BATCH_BYTES = 4 << 20
-_MEMO = 1_000_000
+_MEMO = 250_000
 # A blank between letters, digits or these marks always starts a new piece of byte-level BPE.
 _PIECES = re.compile(r"(?<=[A-Za-z0-9.,;:!?])(?= [A-Za-z0-9])")
 
@@ -35,7 +35,10 @@ SCHEMA = "part int, segment int, doc_ids array<long>, lengths array<long>, " \
 
 
 class Encoder:
-    """Token ids of whole texts, as the tokenizer gives them; pieces met before are not encoded again."""
+    """Token ids of whole texts, as the tokenizer gives them; pieces met before are not encoded again.
+
+    Pieces are encoded one by one: the library's threads for batches save no CPU and cost a worker some 100 MB.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -47,11 +50,8 @@ class Encoder:
         if len(known) > _MEMO:
             known.clear()
         pieces = [_PIECES.split(t) if t else [] for t in texts]
-        new = list({p for held in pieces for p in held}.difference(known))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[piece] = np.array(found.ids, np.uint16).tobytes()
+        for piece in set().union(*pieces).difference(known):
+            known[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, np.uint16).tobytes()
         end = np.array([END], np.uint16).tobytes()
         return [np.frombuffer(b"".join(map(known.__getitem__, held)) + end, np.uint16) for held in pieces]
 

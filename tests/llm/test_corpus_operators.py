@@ -209,6 +209,18 @@ def test_token_files(spark, odd, none, tmp_path):
     assert token_output.read_tokens(spark, f"{path}-none").count() == 0
 
 
+def test_an_encoder_forgets_pieces():
+    """Texts of ever new pieces: a worker keeps a bounded number of them, and the ids stay the library's."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_output.Encoder(path), Tokenizer.from_file(path)
+    for first in range(100_000, 460_000, 60_000):
+        text = " ".join(map(str, range(first, first + 60_000)))
+        ids = encoder.ids([text, "", None])
+        assert list(ids[0]) == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert [list(i) for i in ids[1:]] == [[0], [0]]
+    assert len(encoder.known) < 320_000
+
+
 def test_tokens_of_rows_without_id(spark, as_dealt, tmp_path):
     """A third of the rows without id and as many equal in id and text: they are dealt out, and all come back."""
     docs = spark.range(3000).select(
