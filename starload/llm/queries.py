@@ -119,7 +119,7 @@ FROM b
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
     token_output.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
-    return token_output.digests(token_output.read_tokens(spark, path))
+    return token_output.digests(token_output.read_tokens(spark, path, packed=True))
 
 
 def op5_score(spark: SparkSession, sf_dir: str) -> DataFrame:

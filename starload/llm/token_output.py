@@ -1,14 +1,17 @@
 """Documents as token ids in compressed block files, and back.
 
 The files are Parquet rows, one per segment of consecutive documents: their ids and lengths, and the
-ids cut into blocks of ``token_codec.BLOCK``, each coded from an empty model with its own checksum.
+ids cut into blocks of ``segment_codec.BLOCK`` with a checksum each, coded side by side by one model.
+Files of before, whose blocks are coded one by one from an empty model, are read as well.
 Segments are ordered by (part, segment), documents within by doc_id.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,42 +21,153 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starload.llm import token_codec
+from starload.llm import segment_codec, token_codec
 from starload.llm.common import batches_of
 
 END = 0
 DRAW = 7
 """Seed of the draw that deals out rows equal in id and text."""
-SEGMENT_IDS = token_codec.BLOCK * token_codec.LANES
+SHARED = 2
+"""``codec`` of segments in ``segment_codec``; those of ``token_codec``, whose blocks each have a model of their own, have none."""
+SEGMENT_IDS = segment_codec.BLOCK * segment_codec.LANES
 _BATCH_BYTES = 4 << 20
 _MEMO = 250_000
-# A blank between letters, digits or these marks always starts a new piece of byte-level BPE.
-_PIECES = re.compile(r"(?<=[A-Za-z0-9.,;:!?])(?= [A-Za-z0-9])")
+_JOINED = 256
+"""New pieces that one call of the tokenizer encodes."""
+
+_LINE = re.compile(r" ?(?:[!-~]|[^\W_])(?:[^\n]*(?:[!-~]|[^\W_]))?")
+"""A piece that keeps its ids as a line among others."""
+
+# Kinds of bytes: 1 blank, 2 letter, 3 digit, 4 mark, 5 mark of a contraction or special token, 6 last byte of a longer
+# character, 7 line break or tab; 0 is never cut beside.
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F], _KIND[0x80:0xC0], _KIND[9:14], _KIND[32] = 4, 6, 7, 1
+for _letter in range(26):
+    _KIND[[65 + _letter, 97 + _letter]] = 2
+_KIND[48:58] = 3
+_KIND[list(b"'<|>")] = 5
+# Byte-level BPE never joins what stands on both sides of these: a word and the blank after it, letters, digits and marks.
+_CUT = np.zeros(64, bool)
+for _left, _right in [(c, s) for c in range(2, 7) for s in (1, 7)] + [(a, b) for a in (2, 3, 4) for b in (2, 3, 4) if a != b]:
+    _CUT[_left << 3 | _right] = True
 
 SCHEMA = "part int, segment int, doc_ids array<long>, lengths array<long>, " \
-    "blocks array<struct<n: int, crc32: long, data: binary>>"
+    "blocks array<struct<n: int, crc32: long, data: binary>>, codec int"
+
+
+def _piece_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where UTF-8 texts that start at ``starts`` may be cut, the starts included, without change to their ids."""
+    kind = _KIND.take(data)
+    cut = np.zeros(len(data), bool)
+    cut[1:] = _CUT.take(kind[:-1] << 3 | kind[1:])
+    # Before a blank, a longer character must not be one itself: all those begin with C2, E1, E2 or E3.
+    long = np.flatnonzero(cut & (np.concatenate([[0], kind[:-1]]) == 6))
+    one, two = data[long - 2], data[long - 3]
+    cut[long] = ((one >= 0xC3) & (one < 0xE0)) | ((one < 0xC0) & (two >= 0xE4) & (two < 0xF0))
+    # After a single line break or tab.
+    after = np.flatnonzero(kind[:-1] == 7) + 1
+    after = after[after > 1]
+    sides = np.stack([kind[after - 2], kind[after]])
+    cut[after[((sides > 1) & (sides < 6)).all(axis=0)]] = True
+    cut[starts] = True
+    return np.flatnonzero(cut)
 
 
 class Encoder:
     """Token ids of whole texts, as the tokenizer gives them; pieces met before are not encoded again.
 
-    Pieces are encoded one by one: the library's threads for batches save no CPU and cost a worker some 100 MB.
+    New pieces are encoded many in one text, a line each: a single line break is always a token of its own.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        (self.line_break,) = self._plain("\n")
+        self.known: dict[bytes, int] = {}
+        """A piece's number, counted from 1 in the order of the pieces here; number 0 is the end id."""
+        self.flat = np.array([END], np.uint16)
+        self.sizes = np.array([1])
+        self.uses = np.array([0])
+
+    def _keep_half(self) -> None:
+        """Forget all but the most used half of what may be remembered."""
+        kept = np.append(0, np.sort(np.argsort(-self.uses[1:], kind="stable")[: _MEMO // 2]) + 1)
+        pieces = list(self.known)
+        self.known = {pieces[number - 1]: new for new, number in enumerate(kept[1:].tolist(), 1)}
+        self.flat, self.sizes, self.uses = self._flat_of(kept), self.sizes[kept], self.uses[kept] >> 1
+
+    def _flat_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of one piece after the other."""
+        sizes = self.sizes.take(numbers)
+        firsts = np.cumsum(self.sizes) - self.sizes
+        place = np.repeat(firsts.take(numbers) - np.cumsum(sizes) + sizes, sizes)
+        place += np.arange(len(place))
+        return self.flat.take(place)
+
+    def _plain(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        lines, others = [], []
+        for piece in pieces:
+            text = piece.decode()
+            (lines if _LINE.fullmatch(text) else others).append((piece, text))
+        flat, sizes = [self.flat], [self.sizes]
+        for i in range(0, len(lines), _JOINED):
+            ids = np.array(self._plain("\n".join([text for _, text in lines[i : i + _JOINED]])), np.uint16)
+            breaks = ids == self.line_break
+            ends = np.flatnonzero(breaks)
+            flat.append(ids[~breaks])
+            sizes.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
+        for _, text in others:
+            flat.append(np.array(self._plain(text), np.uint16))
+            sizes.append(np.array([len(flat[-1])]))
+        first = len(self.sizes)
+        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
+        self.uses = np.append(self.uses, np.zeros(len(pieces), np.int64))
+        self.known.update(zip([piece for piece, _ in lines + others], range(first, len(self.sizes))))
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has, the end id included."""
+        if len(self.known) > _MEMO:
+            self._keep_half()
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        _, ends, data = texts.buffers()
+        ends = np.frombuffer(ends, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
+        held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+        ends = ends - ends[0]
+        filled = ends[1:] > ends[:-1]
+        numbers = at = np.zeros(0, np.int64)
+        if len(held):
+            at = _piece_starts(held, ends[:-1][filled])
+            offsets = np.append(at, len(held))
+            cut = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+            cut = cut.dictionary_encode()
+            distinct = cut.dictionary.to_pylist()
+            new = [piece for piece in distinct if piece not in self.known]
+            if new:
+                self._learn(new)
+            numbered = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            which = cut.indices.to_numpy()
+            self.uses[numbered] += np.bincount(which)
+            numbers = numbered.take(which)
+        last = np.searchsorted(at, ends[1:]) + np.arange(len(texts))
+        every = np.zeros(len(numbers) + len(texts), np.int64)
+        piece = np.ones(len(every), bool)
+        piece[last] = False
+        every[piece] = numbers
+        upto = np.cumsum(self.sizes.take(every))
+        return self._flat_of(every), np.diff(upto[last], prepend=0)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """One array per text, the end id included."""
-        known = self.known
-        if len(known) > _MEMO:
-            known.clear()
-        pieces = [_PIECES.split(t) if t else [] for t in texts]
-        for piece in set().union(*pieces).difference(known):
-            known[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, np.uint16).tobytes()
-        end = np.array([END], np.uint16).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, held)) + end, np.uint16) for held in pieces]
+        flat, sizes = self.encoded(pa.array(texts, pa.string()))
+        return np.split(flat, np.cumsum(sizes)[:-1])
+
+
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """A worker keeps its encoder, and the pieces it knows, for its next task."""
+    return Encoder(path)
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
@@ -68,22 +182,19 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer_path)
-        doc_ids: list = []
-        held: list[np.ndarray] = []
+        encoder = encoder_of(tokenizer_path)
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         size = segment = 0
         for whole in batches:
             for batch in batches_of(whole, _BATCH_BYTES):
-                found = encoder.ids(batch.column("text").to_pylist())
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found):
-                    doc_ids.append(doc_id)
-                    held.append(ids)
-                    size += len(ids)
-                    if size >= SEGMENT_IDS:
-                        yield _segment(part, segment, doc_ids, held)
-                        doc_ids, held, size, segment = [], [], 0, segment + 1
+                found = encoder.encoded(batch.column("text"))
+                if held and size + len(found[0]) > SEGMENT_IDS:
+                    yield _segment(part, segment, held)
+                    held, size, segment = [], 0, segment + 1
+                held.append((batch.column("doc_id"), *found))
+                size += len(found[0])
         if held:
-            yield _segment(part, segment, doc_ids, held)
+            yield _segment(part, segment, held)
 
     order = ["doc_id", "_hash", "_draw"]
     named = docs.select(
@@ -93,26 +204,28 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str) -> None:
     ordered.select("doc_id", "text").mapInArrow(write, SCHEMA).write.parquet(path)
 
 
-def _segment(part: int, segment: int, doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
-    ids = np.concatenate(held)
-    cut = [ids[i : i + token_codec.BLOCK] for i in range(0, len(ids), token_codec.BLOCK)]
-    blocks = [
-        {"n": len(c), "crc32": token_codec.checksum(c), "data": d} for c, d in zip(cut, token_codec.encode(cut))
-    ]
-    kinds = pa.struct([("n", pa.int32()), ("crc32", pa.int64()), ("data", pa.binary())])
+def _segment(part: int, segment: int, held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    doc_ids, ids, lengths = zip(*held)
+    ids = np.concatenate(ids)
+    cut = [ids[i : i + segment_codec.BLOCK] for i in range(0, len(ids), segment_codec.BLOCK)]
+    blocks = pa.StructArray.from_arrays([
+        pa.array([len(c) for c in cut], pa.int32()), pa.array([token_codec.checksum(c) for c in cut], pa.int64()),
+        pa.array(segment_codec.encode(ids), pa.binary()),
+    ], ["n", "crc32", "data"])
+    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
     return pa.RecordBatch.from_pydict({
         "part": pa.array([part], pa.int32()), "segment": pa.array([segment], pa.int32()),
-        "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
-        "lengths": pa.array([[len(h) for h in held]], pa.list_(pa.int64())),
-        "blocks": pa.array([blocks], pa.list_(kinds)),
+        "doc_ids": one(pa.concat_arrays(doc_ids)), "lengths": one(pa.array(np.concatenate(lengths), pa.int64())),
+        "blocks": one(blocks), "codec": pa.array([SHARED], pa.int32()),
     })
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
     """doc_id, start (ids of all documents before) and ids of every document in the files.
 
-    A block whose ids do not give its checksum raises. Starts are summed in two steps, over the parts
-    and within a part, so that no task sees all segments.
+    The ids are an array or, ``packed``, binary: four bytes each, little-endian. A block whose ids do not
+    give its checksum raises. Starts are summed in two steps, over the parts and within a part, so that no
+    task sees all segments.
     """
     stored = spark.read.schema(SCHEMA).parquet(path)
     sizes = stored.select("part", "segment", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
@@ -126,36 +239,52 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                blocks = row["blocks"]
-                found = token_codec.decode([b["data"] for b in blocks], [b["n"] for b in blocks])
-                for block, ids in zip(blocks, found):
-                    if token_codec.checksum(ids) != block["crc32"]:
-                        raise ValueError(f"damaged block in segment {row['part']}.{row['segment']}")
-                ends = np.cumsum(row["lengths"])
-                ids = np.split(np.concatenate(found), ends[:-1])
-                for at in range(0, len(ids), 1000):
-                    part = slice(at, at + 1000)
+            for at in range(len(batch)):
+                row = batch.slice(at, 1)
+                part, segment, start, codec = (row.column(c)[0].as_py() for c in ("part", "segment", "start", "codec"))
+                doc_ids, lengths, blocks = (row.column(c).flatten() for c in ("doc_ids", "lengths", "blocks"))
+                sizes, sums, data = (column.to_pylist() for column in blocks.flatten())
+                if codec == SHARED:
+                    ids = segment_codec.decode(data, sum(sizes))
+                else:
+                    ids = np.concatenate(token_codec.decode(data, sizes))
+                ids = ids.astype("<i4")
+                block_ends = np.cumsum(sizes).tolist()
+                for end, size, crc in zip(block_ends, sizes, sums):
+                    if zlib.crc32(ids[end - size : end]) != crc:
+                        raise ValueError(f"damaged block in segment {part}.{segment}")
+                sizes = lengths.to_numpy()
+                ends = np.cumsum(sizes)
+                for first in range(0, len(ends), 1000):
+                    held = slice(first, first + 1000)
+                    begin = ends[first] - sizes[first]
+                    offsets = np.append(begin, ends[held]) - begin
+                    flat = ids[begin : ends[held][-1]]
+                    if packed:
+                        buffers = [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(flat)]
+                        found = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+                    else:
+                        found = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
                     yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array(row["doc_ids"][part], pa.int64()),
-                        "start": pa.array((row["start"] + ends - row["lengths"])[part], pa.int64()),
-                        "ids": pa.array([i.astype(np.int32) for i in ids[part]], pa.list_(pa.int32())),
+                        "doc_id": doc_ids[first : first + 1000], "start": pa.array((start + ends - sizes)[held], pa.int64()), "ids": found,
                     })
 
-    return stored.join(starts, ["part", "segment"]).mapInArrow(read, "doc_id long, start long, ids array<int>")
+    kind = "binary" if packed else "array<int>"
+    return stored.join(starts, ["part", "segment"]).mapInArrow(read, f"doc_id long, start long, ids {kind}")
 
 
 def digests(tokens: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32, over the ids as little-endian 32-bit numbers."""
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("ids")
-            flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            sums = [token_codec.checksum(flat[a:b]) for a, b in zip(ends, ends[1:])]
+            packed = [ids.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes() for ids in batch.column("ids")]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "start": batch.column("start"),
-                "n_tokens": pa.array(np.diff(ends), pa.int64()), "ids_crc32": pa.array(sums, pa.int64()),
+                "doc_id": batch.column("doc_id"), "start": batch.column("start"), "ids": pa.array(packed, pa.binary()),
             })
 
-    return tokens.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    if tokens.schema["ids"].dataType.typeName() == "array":
+        tokens = tokens.mapInArrow(pack, "doc_id long, start long, ids binary")
+    return tokens.select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from llm_helpers import plain_ppm, prose
 from tokenizers import Tokenizer
 
 from starload.llm import (
-    chat, decontamination, lm_score, mixing, near_dedup, quality, queries, sharding, token_codec, token_output, toxicity,
+    chat, decontamination, lm_score, mixing, near_dedup, quality, queries, segment_codec, sharding, token_codec, token_output, toxicity,
     url_filter,
 )
 
@@ -221,6 +222,88 @@ def test_an_encoder_forgets_pieces():
     assert len(encoder.known) < 320_000
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_segment_codec_round_trip(seed, monkeypatch):
+    monkeypatch.setattr(segment_codec, "LANES", 5)
+    rng = np.random.default_rng(seed)
+    for n in (0, 1, 1023, 1024, 1025, 4096, 5 * 1024, 5 * 1024 + 1, 12 * 1024 + 7):
+        for ids in (rng.integers(0, 65536, n), np.zeros(n), np.full(n, 65535), rng.zipf(1.4, n) % 50257, np.arange(n) % 40):
+            coded = segment_codec.encode(ids.astype(np.uint16))
+            assert len(coded) == -(-n // segment_codec.BLOCK)
+            assert np.array_equal(segment_codec.decode(coded, n), ids)
+
+
+def test_blocks_of_a_segment_learn_from_each_other():
+    """A shared model says more of the next id than one that each block starts anew."""
+    rng = np.random.default_rng(1)
+    words = [rng.integers(0, 50257, n).astype(np.uint16) for n in rng.integers(1, 6, 2000)]
+    ids = np.concatenate([words[w] for w in rng.zipf(1.3, 40_000) % 2000])
+    alone = token_codec.encode([ids[i : i + token_codec.BLOCK] for i in range(0, len(ids), token_codec.BLOCK)])
+    assert sum(map(len, segment_codec.encode(ids))) < 0.9 * sum(map(len, alone))
+
+
+def test_new_pieces_are_encoded_together():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_output.Encoder(path), Tokenizer.from_file(path)
+    calls = []
+
+    class Counted:
+        def encode(self, text, **options):
+            calls.append(text)
+            return tokenizer.encode(text, **options)
+
+    encoder.tokenizer = Counted()
+    text = " ".join(f"w{hex(i)[2:].translate(str.maketrans('0123456789', 'ghijklmnop'))}" for i in range(20_000))
+    (ids,) = encoder.ids([text])
+    assert len(calls) < 200
+    assert list(ids) == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cuts_keep_the_ids(seed):
+    """Texts of all that pieces are cut beside, and of what they must not be cut beside."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_output.Encoder(path), Tokenizer.from_file(path)
+    parts = [*" \n\t\r\x0b\x1c\x00\x85\xa0\u2003\u2028\u3000\u180e\u200b abzAZ019.,;:!?'\"<|>-_#$éßñ²½×«·…—’中日한😀א١ิःⅣ"]
+    parts += ["<|endoftext|>", "'s", "'ll", " a", " the", "\n\n", "  ", "'S", "endoftext"]
+    rng = random.Random(seed)
+    for _ in range(40):
+        some = rng.sample(parts, rng.choice([3, 6, 12, len(parts)]))
+        texts = ["".join(rng.choices(some, k=rng.choice([0, 1, 2, 3, 5, 8, 20, 60]))) for _ in range(50)]
+        for text, ids in zip(texts, encoder.ids(texts), strict=True):
+            assert list(ids) == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], text
+
+
+def test_files_of_the_first_codec_are_read(spark, tmp_path):
+    """Their blocks have a model each and their rows no ``codec``; either form of the ids gives the same digests."""
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.zipf(1.5, n) % 50257, 0).astype(np.uint16) for n in (5, 0, 9000, 40)]
+    ids = np.concatenate(docs)
+    cut = [ids[i : i + token_codec.BLOCK] for i in range(0, len(ids), token_codec.BLOCK)]
+    blocks = [(len(c), token_codec.checksum(c), bytearray(d)) for c, d in zip(cut, token_codec.encode(cut))]
+    schema = token_output.SCHEMA.replace(", codec int", "")
+    rows = spark.createDataFrame([(0, 0, [1, 2, 3, 4], [len(d) for d in docs], blocks)], schema)
+    rows.write.parquet(f"file:{tmp_path}/old")
+    for packed in (False, True):
+        found = got(token_output.digests(token_output.read_tokens(spark, f"file:{tmp_path}/old", packed)).orderBy("start"))
+        assert [(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found] == [
+            (i, len(d), token_codec.checksum(d)) for i, d in enumerate(docs, 1)
+        ]
+    (held,) = [r["ids"] for r in got(token_output.read_tokens(spark, f"file:{tmp_path}/old")) if r["doc_id"] == 4]
+    assert held == docs[3].tolist()
+
+
+def test_a_damaged_block_raises(spark, tmp_path):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.col("id").cast("string"), 50).alias("text"))
+    token_output.write_tokens(docs.coalesce(1), public_tokenizers.path("byte_bpe_50k.json"), f"file:{tmp_path}/whole")
+    damaged = spark.read.parquet(f"file:{tmp_path}/whole").withColumn(
+        "blocks", F.transform("blocks", lambda b: b.withField("data", F.overlay(b["data"], F.lit(b"\xff\x00\xaa"), F.lit(9))))
+    )
+    damaged.write.parquet(f"file:{tmp_path}/damaged")
+    with pytest.raises(Exception, match="damaged block"):
+        got(token_output.digests(token_output.read_tokens(spark, f"file:{tmp_path}/damaged", packed=True)))
+
+
 def test_tokens_of_rows_without_id(spark, as_dealt, tmp_path):
     """A third of the rows without id and as many equal in id and text: they are dealt out, and all come back."""
     docs = spark.range(3000).select(
