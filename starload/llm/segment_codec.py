@@ -18,25 +18,31 @@ from collections.abc import Sequence
 import numpy as np
 
 BLOCK = 1024
-LANES = 4096
+LANES = 8192
 _IDS = 1 << 16
 _SLOTS = 1 << 20
-_BITS = 16
 _STRETCH = np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int64)
 _SQUASH = np.array([
-    min((1 << _BITS) - 32, max(32, round((1 << _BITS) / (1 + math.exp(-x / 256))))) for x in range(-2200, 2201)
+    min((1 << 16) - 128, max(128, round((1 << 16) / (1 + math.exp(-x / 256))))) for x in range(-2200, 2201)
 ], np.int64)
 _TRUSTS, _BINS = 8, 16
 _SHAPE = (_TRUSTS, _TRUSTS, 2, _BINS)
 _CONTEXTS = math.prod(_SHAPE)
-_EVERY = 8
+_MORE = np.array([1 << 16] * (_TRUSTS - 1) + [0], np.int32)
+_LESS = np.array([t - (t >> 1) << 16 for t in range(_TRUSTS)], np.int32)
+"""What a trust rises and falls by, where a guess is held."""
+_EVERY = 16
 """Steps from one lesson of the mixed chances and the counts to the next; the first steps have one each."""
 _STEP, _LIMIT = 32, 1 << 24
 _KEPT = 1 << 16
 """A context's cases are halved beyond so many."""
+_WHOLE, _WHOLE_BITS = np.uint64(1 << 20), np.uint64(20)
+"""What the chances of the guesses and of neither add up to."""
+_COUNTED, _COUNTED_BITS = 1 << 24, np.uint64(24)
+"""What the counts are scaled to add up to, at most."""
+_BUCKET_BITS = 9
 _WORD = np.uint64(32)
 _SMALL = np.uint64(1 << 32)
-_SHIFT = np.uint64(_BITS)
 
 
 class _Mixer:
@@ -46,7 +52,8 @@ class _Mixer:
         self.hits = np.zeros(_CONTEXTS, np.int64)
         self.cases = np.zeros(_CONTEXTS, np.int64)
         self.weights = np.repeat([[16384], [8192], [8192], [40960]], 2, axis=1)
-        self.new: list[tuple[np.ndarray, np.ndarray]] = []
+        self.new: list[np.ndarray] = []
+        """Contexts, doubled, and one more where the guess was right."""
         self._mix()
 
     def _mix(self) -> None:
@@ -59,48 +66,66 @@ class _Mixer:
         mixed = (self.inputs * self.weights[:, None, None, :, None]).sum(axis=0) >> 16
         self.chances = _SQUASH[np.clip(mixed, -2200, 2200) + 2200].reshape(-1).astype(np.uint64)
 
-    def learn(self) -> None:
+    def learn(self, agreeing: bool) -> None:
         """From the cases since the last lesson; the weights go down the gradient of their cost in bits."""
         if not self.new:
             return
-        context = np.concatenate([c for c, _ in self.new])
-        cases = np.bincount(context, minlength=_CONTEXTS)
-        hits = np.bincount(context[np.concatenate([h for _, h in self.new])], minlength=_CONTEXTS)
+        found = np.bincount(np.concatenate(self.new), minlength=2 * _CONTEXTS).reshape(*_SHAPE, 2)
         self.new = []
-        error = ((hits << _BITS) - cases * self.chances.astype(np.int64)).reshape(_SHAPE)
+        if not agreeing:
+            found[:, :, 1] = 0
+        hits, cases = found[..., 1], found.sum(axis=-1)
+        error = (hits << 16) - cases * self.chances.astype(np.int64).reshape(_SHAPE)
         slope = (self.inputs * error).sum(axis=(1, 2, 4)) // max(1, int(cases.sum()))
         self.weights = np.clip(self.weights + (slope >> 10), -(1 << 18), 1 << 18)
-        self.hits += hits
-        self.cases += cases
+        self.hits += hits.reshape(-1)
+        self.cases += cases.reshape(-1)
         full = self.cases > _KEPT
-        if full.any():
-            self.hits[full] >>= 1
-            self.cases[full] >>= 1
+        self.hits[full] >>= 1
+        self.cases[full] >>= 1
         self._mix()
 
 
 class _Counts:
-    """Order-0 counts; ``upto`` holds the sum of those before an id, ``bins`` how rare it is."""
+    """Order-0 counts; of them scaled, ``upto`` holds the sum before an id. ``bins`` is how rare an id is."""
 
-    def __init__(self):
-        self.sizes = np.ones(_IDS, np.int64)
+    def __init__(self, searched: bool):
+        self.counts = np.ones(_IDS, np.int64)
         self.upto = np.zeros(_IDS + 1, np.int64)
+        self.searched = searched
         self.new: list[np.ndarray] = []
-        self._sum(True)
-
-    def _sum(self, bins: bool) -> None:
-        np.cumsum(self.sizes, out=self.upto[1:])
-        self.total = int(self.upto[-1])
+        self._scale(True)
+
+    def _scale(self, bins: bool) -> None:
+        total = int(self.counts.sum())
+        if total > _LIMIT:
+            self.counts = (self.counts + 1) >> 1
+            total = int(self.counts.sum())
+        sizes = self.counts * ((_COUNTED << 16) // total) >> 16
+        np.cumsum(sizes, out=self.upto[1:])
+        self.sizes = sizes.astype(np.uint64)
+        self.starts = self.upto[:-1].astype(np.uint64)
         if bins:
-            self.bins = np.minimum(np.frexp(self.total // self.sizes)[1], _BINS).astype(np.int32) - 1
+            self.bins = np.minimum(np.frexp(total // self.counts)[1], _BINS) - 1
+        if self.searched:
+            buckets = (_COUNTED >> _BUCKET_BITS) + 1
+            first = self.upto[:-1] + ((1 << _BUCKET_BITS) - 1) >> _BUCKET_BITS
+            self.first = np.cumsum(np.bincount(first, minlength=buckets + 1)) - 1
 
     def learn(self, bins: bool) -> None:
         if self.new:
-            self.sizes += _STEP * np.bincount(np.concatenate(self.new), minlength=_IDS)
+            self.counts += _STEP * np.bincount(np.concatenate(self.new), minlength=_IDS)
             self.new = []
-            if int(self.sizes.sum()) > _LIMIT:
-                self.sizes = (self.sizes + 1) >> 1
-        self._sum(bins)
+        self._scale(bins)
+
+    def find(self, offset: np.ndarray) -> np.ndarray:
+        """The ids that the offsets lie in: at once where all of a bucket of offsets lies in one id, else by search."""
+        offset = np.minimum(offset, np.uint64(int(self.upto[-1]) - 1)).astype(np.int64)
+        bucket = offset >> _BUCKET_BITS
+        found = self.first.take(bucket)
+        open_ = np.flatnonzero(found != self.first.take(bucket + 1))
+        found[open_] = np.searchsorted(self.upto, offset[open_], "right") - 1
+        return found
 
 
 class _Encoder:
@@ -177,75 +202,63 @@ class _Decoder:
 def _lockstep(lengths: np.ndarray, coder: _Encoder | _Decoder, ids: np.ndarray) -> None:
     """Walk all lanes id by id; ``ids[t, lane]`` is read or, when decoding, written. No lane is longer than one before it."""
     decoding = isinstance(coder, _Decoder)
-    mixers, counts = [_Mixer(), _Mixer()], _Counts()
+    follow = coder.take if decoding else coder.put
+    mixer2, mixer1, counts = _Mixer(), _Mixer(), _Counts(decoding)
     two_of, one_of = np.zeros(_SLOTS, np.int32), np.zeros(_IDS, np.int32)
     """The id guessed, and above its 16 bits how far it is trusted, 0 to 7."""
-    last, before = np.zeros(len(lengths), np.int32), np.zeros(len(lengths), np.int32)
-    scale = np.uint64(1 << _BITS)
+    last, before = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for t in range(int(lengths.max(initial=0))):
         n = int(np.searchsorted(-lengths, -t))
         if t < _EVERY or t % _EVERY == 0:
-            for mixer in mixers:
-                mixer.learn()
-            counts.learn(t < _EVERY or t % (8 * _EVERY) == 0)
+            mixer2.learn(True)
+            mixer1.learn(False)
+            counts.learn(t < _EVERY or t % (4 * _EVERY) == 0)
         last, before = last[:n], before[:n]
-        slot = ((last * np.int32(40503)) ^ (before * np.int32(-1640531527))) >> np.int32(7) & np.int32(_SLOTS - 1)
+        slot = (last * 40503 ^ before * 2654435761) >> 7 & (_SLOTS - 1)
         two, one = two_of.take(slot), one_of.take(last)
         guess2, guess1 = two & 65535, one & 65535
         trust2, trust1 = two >> 16, one >> 16
         agree = guess2 == guess1
-        both = ((trust2 << 3 | trust1) << 1) * _BINS
-        token = np.empty(n, np.int32) if decoding else ids[t, :n].astype(np.int32)
-
-        lane = slice(0, n)
-        context = both + agree * np.int32(_BINS) + counts.bins.take(guess2)
-        chance = mixers[0].chances.take(context)
-        unit = coder.range[:n] >> _SHIFT
-        right = coder.code[:n] < chance * unit if decoding else guess2 == token
-        start, size = np.where(right, np.uint64(0), chance), np.where(right, chance, scale - chance)
-        coder.take(lane, start, size, unit) if decoding else coder.put(lane, start, size, unit)
-        mixers[0].new.append((context, right))
+        both = (trust2 << 3 | trust1) << 5
+        context2 = (both | agree * np.int32(_BINS)) + counts.bins.take(guess2)
+        context1 = both + counts.bins.take(guess1)
+        chance2 = mixer2.chances.take(context2)
+        chance1 = mixer1.chances.take(context1)
+        chance1[agree] = 0
+        size2 = chance2 << np.uint64(4)
+        upto1 = size2 + ((np.uint64(1 << 16) - chance2) * chance1 >> np.uint64(12))
+        unit = coder.range[:n] >> _WHOLE_BITS
         if decoding:
-            np.copyto(token, guess2, where=right)
-        hit2 = right
-
-        ask = np.flatnonzero(~(right | agree))
-        if len(ask):
-            guess = guess1[ask]
-            context = both[ask] + counts.bins.take(guess)
-            chance = mixers[1].chances.take(context)
-            unit = coder.range[ask] >> _SHIFT
-            right = coder.code[ask] < chance * unit if decoding else guess == token[ask]
-            start, size = np.where(right, np.uint64(0), chance), np.where(right, chance, scale - chance)
-            coder.take(ask, start, size, unit) if decoding else coder.put(ask, start, size, unit)
-            mixers[1].new.append((context, right))
-            known = hit2.copy()
-            known[ask] = right
-            if decoding:
-                token[ask[right]] = guess[right]
+            right2 = coder.code[:n] < size2 * unit
+            right = coder.code[:n] < upto1 * unit
         else:
-            known = hit2
-
-        left = np.flatnonzero(~known)
-        if len(left):
-            unit = coder.range[left] // np.uint64(counts.total)
-            if decoding:
-                offset = np.minimum(coder.code[left] // unit, np.uint64(counts.total - 1)).astype(np.int64)
-                missed = np.searchsorted(counts.upto, offset, "right") - 1
-                token[left] = missed
-            else:
-                missed = token[left]
-            start, size = counts.upto.take(missed).astype(np.uint64), counts.sizes.take(missed).astype(np.uint64)
-            coder.take(left, start, size, unit) if decoding else coder.put(left, start, size, unit)
-            counts.new.append(missed)
-
-        for table, at, guess, trust, hit in ((two_of, slot, guess2, trust2, hit2), (one_of, last, guess1, trust1, guess1 == token)):
-            firm = trust > 1
-            kept = np.where(hit | firm, guess, token)
-            table[at] = kept | np.where(hit, np.minimum(trust + 1, 7), (trust >> 1) * firm) << 16
-        before, last = last, token
+            token = ids[t, :n].astype(np.int32)
+            right2 = guess2 == token
+            right = right2 | (guess1 == token)
+        start = np.where(right, size2, upto1)
+        size = np.where(right, upto1, _WHOLE) - start
+        np.copyto(start, np.uint64(0), where=right2)
+        np.copyto(size, size2, where=right2)
+        follow(slice(0, n), start, size, unit)
+
+        left = np.flatnonzero(~right)
+        unit = coder.range[left] >> _COUNTED_BITS
         if decoding:
+            token = np.where(right2, guess2, guess1)
+            missed = counts.find(coder.code[left] // unit)
+            token[left] = missed
             ids[t, :n] = token
+        else:
+            missed = token[left]
+        follow(left, counts.starts.take(missed), counts.sizes.take(missed), unit)
+        right1 = guess1 == token
+        mixer2.new.append(context2 << 1 | right2)
+        mixer1.new.append((context1 | (right2 | agree) * np.int32(_BINS)) << 1 | right1)
+        counts.new.append(missed)
+        for table, at, held, trust, hit in ((two_of, slot, two, trust2, right2), (one_of, last, one, trust1, right1)):
+            kept = np.where(trust > 1, held - _LESS.take(trust), token)
+            table[at] = np.where(hit, held + _MORE.take(trust), kept)
+        before, last = last, token.astype(np.int64)
 
 
 def _lengths(n: int) -> np.ndarray:

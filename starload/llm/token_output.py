@@ -35,21 +35,22 @@ _MEMO = 250_000
 _JOINED = 256
 """New pieces that one call of the tokenizer encodes."""
 
+_WORD = re.compile(r" ?(?:[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u0400-\u0481]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
+"""A piece that the tokenizer gives to its model whole."""
 _LINE = re.compile(r" ?(?:[!-~]|[^\W_])(?:[^\n]*(?:[!-~]|[^\W_]))?")
 """A piece that keeps its ids as a line among others."""
 
 # Kinds of bytes: 1 blank, 2 letter, 3 digit, 4 mark, 5 mark of a contraction or special token, 6 last byte of a longer
 # character, 7 line break or tab; 0 is never cut beside.
-_KIND = np.zeros(256, np.uint8)
-_KIND[0x21:0x7F], _KIND[0x80:0xC0], _KIND[9:14], _KIND[32] = 4, 6, 7, 1
-for _letter in range(26):
-    _KIND[[65 + _letter, 97 + _letter]] = 2
-_KIND[48:58] = 3
-_KIND[list(b"'<|>")] = 5
+_KIND = bytearray(256)
+for _first, _end, _kind in ((33, 127, 4), (65, 91, 2), (97, 123, 2), (48, 58, 3), (128, 192, 6), (9, 14, 7), (32, 33, 1)):
+    _KIND[_first:_end] = bytes([_kind]) * (_end - _first)
+for _mark in b"'<|>":
+    _KIND[_mark] = 5
 # Byte-level BPE never joins what stands on both sides of these: a word and the blank after it, letters, digits and marks.
-_CUT = np.zeros(64, bool)
+_CUT = bytearray(256)
 for _left, _right in [(c, s) for c in range(2, 7) for s in (1, 7)] + [(a, b) for a in (2, 3, 4) for b in (2, 3, 4) if a != b]:
-    _CUT[_left << 3 | _right] = True
+    _CUT[_left << 3 | _right] = 1
 
 SCHEMA = "part int, segment int, doc_ids array<long>, lengths array<long>, " \
     "blocks array<struct<n: int, crc32: long, data: binary>>, codec int"
@@ -57,11 +58,11 @@ SCHEMA = "part int, segment int, doc_ids array<long>, lengths array<long>, " \
 
 def _piece_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Where UTF-8 texts that start at ``starts`` may be cut, the starts included, without change to their ids."""
-    kind = _KIND.take(data)
+    kind = np.frombuffer(data.tobytes().translate(_KIND), np.uint8)
     cut = np.zeros(len(data), bool)
-    cut[1:] = _CUT.take(kind[:-1] << 3 | kind[1:])
+    cut[1:] = np.frombuffer((kind[:-1] << 3 | kind[1:]).tobytes().translate(_CUT), bool)
     # Before a blank, a longer character must not be one itself: all those begin with C2, E1, E2 or E3.
-    long = np.flatnonzero(cut & (np.concatenate([[0], kind[:-1]]) == 6))
+    long = np.flatnonzero(cut[1:] & (kind[:-1] == 6)) + 1
     one, two = data[long - 2], data[long - 3]
     cut[long] = ((one >= 0xC3) & (one < 0xE0)) | ((one < 0xC0) & (two >= 0xE4) & (two < 0xF0))
     # After a single line break or tab.
@@ -73,14 +74,27 @@ def _piece_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _listed(values: pa.LargeBinaryArray) -> list[bytes]:
+    """As ``to_pylist``, which takes several times as long."""
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int64, len(values) + 1, 8 * values.offset).tolist()
+    data = data.to_pybytes()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class Encoder:
     """Token ids of whole texts, as the tokenizer gives them; pieces met before are not encoded again.
 
-    New pieces are encoded many in one text, a line each: a single line break is always a token of its own.
+    New pieces that are a word, a number or marks go to the tokenizer's model, in its letters for bytes. The others are
+    encoded many in one text, a line each: a single line break is always a token of its own.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        spelled = {ord(x): x for x in map(chr, (*range(33, 127), *range(161, 173), *range(174, 256)))}
+        others = iter(range(256, 512))
+        self.letters = {b: spelled.get(b) or chr(next(others)) for b in range(256)}
         (self.line_break,) = self._plain("\n")
         self.known: dict[bytes, int] = {}
         """A piece's number, counted from 1 in the order of the pieces here; number 0 is the end id."""
@@ -88,9 +102,9 @@ class Encoder:
         self.sizes = np.array([1])
         self.uses = np.array([0])
 
-    def _keep_half(self) -> None:
-        """Forget all but the most used half of what may be remembered."""
-        kept = np.append(0, np.sort(np.argsort(-self.uses[1:], kind="stable")[: _MEMO // 2]) + 1)
+    def _keep_most(self) -> None:
+        """Forget all but the most used four fifths of what may be remembered."""
+        kept = np.append(0, np.sort(np.argsort(-self.uses[1:], kind="stable")[: _MEMO * 4 // 5]) + 1)
         pieces = list(self.known)
         self.known = {pieces[number - 1]: new for new, number in enumerate(kept[1:].tolist(), 1)}
         self.flat, self.sizes, self.uses = self._flat_of(kept), self.sizes[kept], self.uses[kept] >> 1
@@ -107,29 +121,34 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, pieces: list[bytes]) -> None:
-        lines, others = [], []
+        words, lines, others = [], [], []
         for piece in pieces:
             text = piece.decode()
-            (lines if _LINE.fullmatch(text) else others).append((piece, text))
-        flat, sizes = [self.flat], [self.sizes]
+            (words if _WORD.fullmatch(text) else lines if _LINE.fullmatch(text) else others).append(piece)
+        ids, lengths = [], []
+        spelled = b"\n".join(words).decode("latin-1").translate(self.letters).split(self.letters[10]) if words else []
+        for word in spelled:
+            found = self.model.tokenize(word)
+            lengths.append(len(found))
+            ids.extend([token.id for token in found])
+        flat, sizes = [self.flat, np.array(ids, np.uint16)], [self.sizes, np.array(lengths, np.int64)]
         for i in range(0, len(lines), _JOINED):
-            ids = np.array(self._plain("\n".join([text for _, text in lines[i : i + _JOINED]])), np.uint16)
+            ids = np.array(self._plain(b"\n".join(lines[i : i + _JOINED]).decode()), np.uint16)
             breaks = ids == self.line_break
-            ends = np.flatnonzero(breaks)
             flat.append(ids[~breaks])
-            sizes.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
-        for _, text in others:
-            flat.append(np.array(self._plain(text), np.uint16))
+            sizes.append(np.diff(np.flatnonzero(breaks), prepend=-1, append=len(ids)) - 1)
+        for piece in others:
+            flat.append(np.array(self._plain(piece.decode()), np.uint16))
             sizes.append(np.array([len(flat[-1])]))
         first = len(self.sizes)
         self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
         self.uses = np.append(self.uses, np.zeros(len(pieces), np.int64))
-        self.known.update(zip([piece for piece, _ in lines + others], range(first, len(self.sizes))))
+        self.known.update(zip(words + lines + others, range(first, len(self.sizes))))
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each has, the end id included."""
         if len(self.known) > _MEMO:
-            self._keep_half()
+            self._keep_most()
         texts = texts.cast(pa.large_binary()).fill_null(b"")
         _, ends, data = texts.buffers()
         ends = np.frombuffer(ends, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
@@ -142,7 +161,7 @@ class Encoder:
             offsets = np.append(at, len(held))
             cut = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
             cut = cut.dictionary_encode()
-            distinct = cut.dictionary.to_pylist()
+            distinct = _listed(cut.dictionary)
             new = [piece for piece in distinct if piece not in self.known]
             if new:
                 self._learn(new)
