@@ -32,6 +32,10 @@ SHARED = 2
 SEGMENT_IDS = segment_codec.BLOCK * segment_codec.LANES
 _BATCH_BYTES = 4 << 20
 _MEMO = 250_000
+_SHORT, _SHORT_IDS = 16, 8
+"""Bytes and ids of a piece that goes into the table."""
+_SLOT_BITS = 21
+_LOWEST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _JOINED = 256
 """New pieces that one call of the tokenizer encodes."""
 
@@ -74,12 +78,42 @@ def _piece_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def _listed(values: pa.LargeBinaryArray) -> list[bytes]:
-    """As ``to_pylist``, which takes several times as long."""
+def _strings(values: pa.LargeBinaryArray) -> tuple[np.ndarray, bytes]:
     _, ends, data = values.buffers()
-    ends = np.frombuffer(ends, np.int64, len(values) + 1, 8 * values.offset).tolist()
-    data = data.to_pybytes()
-    return [data[a:b] for a, b in zip(ends, ends[1:])]
+    return np.frombuffer(ends, np.int64, len(values) + 1, 8 * values.offset), data.to_pybytes()
+
+
+class _Keys:
+    """Strings of up to 16 bytes as two numbers and a length each, and their slots in a table."""
+
+    def __init__(self, starts: np.ndarray, sizes: np.ndarray, data: bytes):
+        at = np.ndarray(len(data) + 9, "<u8", data + bytes(16), 0, (1,))
+        self.low = at[starts] & _LOWEST[np.minimum(sizes, 8)]
+        self.high = at[starts + 8] & _LOWEST[np.maximum(sizes - 8, 0)]
+        self.sizes = sizes.astype(np.uint8)
+        mixed = (self.low ^ self.high * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
+        self.slots = (mixed >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
+class _Table:
+    """Ids of short pieces, one in each slot; a new one takes the place of the one that is there."""
+
+    def __init__(self):
+        self.low, self.high = np.zeros(1 << _SLOT_BITS, np.uint64), np.zeros(1 << _SLOT_BITS, np.uint64)
+        self.sizes = np.zeros(1 << _SLOT_BITS, np.uint8)
+        self.lengths = np.zeros(1 << _SLOT_BITS, np.uint8)
+        self.ids = np.zeros((1 << _SLOT_BITS, _SHORT_IDS), np.uint16)
+
+    def held(self, keys: _Keys) -> np.ndarray:
+        at = keys.slots
+        return (self.low[at] == keys.low) & (self.high[at] == keys.high) & (self.sizes[at] == keys.sizes)
+
+    def put(self, keys: _Keys, flat: np.ndarray, lengths: np.ndarray) -> None:
+        ids = np.zeros((len(lengths), _SHORT_IDS), np.uint16)
+        ids[np.arange(_SHORT_IDS) < lengths[:, None]] = flat
+        slots, one = np.unique(keys.slots, return_index=True)
+        self.low[slots], self.high[slots], self.sizes[slots] = keys.low[one], keys.high[one], keys.sizes[one]
+        self.lengths[slots], self.ids[slots] = lengths[one], ids[one]
 
 
 class Encoder:
@@ -96,86 +130,97 @@ class Encoder:
         others = iter(range(256, 512))
         self.letters = {b: spelled.get(b) or chr(next(others)) for b in range(256)}
         (self.line_break,) = self._plain("\n")
-        self.known: dict[bytes, int] = {}
-        """A piece's number, counted from 1 in the order of the pieces here; number 0 is the end id."""
-        self.flat = np.array([END], np.uint16)
-        self.sizes = np.array([1])
-        self.uses = np.array([0])
-
-    def _keep_most(self) -> None:
-        """Forget all but the most used four fifths of what may be remembered."""
-        kept = np.append(0, np.sort(np.argsort(-self.uses[1:], kind="stable")[: _MEMO * 4 // 5]) + 1)
-        pieces = list(self.known)
-        self.known = {pieces[number - 1]: new for new, number in enumerate(kept[1:].tolist(), 1)}
-        self.flat, self.sizes, self.uses = self._flat_of(kept), self.sizes[kept], self.uses[kept] >> 1
-
-    def _flat_of(self, numbers: np.ndarray) -> np.ndarray:
-        """The ids of one piece after the other."""
-        sizes = self.sizes.take(numbers)
-        firsts = np.cumsum(self.sizes) - self.sizes
-        place = np.repeat(firsts.take(numbers) - np.cumsum(sizes) + sizes, sizes)
-        place += np.arange(len(place))
-        return self.flat.take(place)
+        self.table = _Table()
+        self.known: dict[bytes, np.ndarray] = {}
+        """Pieces that the table has no room for."""
 
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces in another order, how many each has, and that order."""
         words, lines, others = [], [], []
-        for piece in pieces:
+        for i, piece in enumerate(pieces):
             text = piece.decode()
-            (words if _WORD.fullmatch(text) else lines if _LINE.fullmatch(text) else others).append(piece)
+            (words if _WORD.fullmatch(text) else lines if _LINE.fullmatch(text) else others).append(i)
+        spelled = b"\n".join([pieces[i] for i in words]).decode("latin-1").translate(self.letters)
         ids, lengths = [], []
-        spelled = b"\n".join(words).decode("latin-1").translate(self.letters).split(self.letters[10]) if words else []
-        for word in spelled:
+        for word in spelled.split(self.letters[10]) if words else []:
             found = self.model.tokenize(word)
             lengths.append(len(found))
             ids.extend([token.id for token in found])
-        flat, sizes = [self.flat, np.array(ids, np.uint16)], [self.sizes, np.array(lengths, np.int64)]
-        for i in range(0, len(lines), _JOINED):
-            ids = np.array(self._plain(b"\n".join(lines[i : i + _JOINED]).decode()), np.uint16)
+        flat, sizes = [np.array(ids, np.uint16)], [np.array(lengths, np.int64)]
+        for at in range(0, len(lines), _JOINED):
+            ids = np.array(self._plain(b"\n".join([pieces[i] for i in lines[at : at + _JOINED]]).decode()), np.uint16)
             breaks = ids == self.line_break
             flat.append(ids[~breaks])
             sizes.append(np.diff(np.flatnonzero(breaks), prepend=-1, append=len(ids)) - 1)
-        for piece in others:
-            flat.append(np.array(self._plain(piece.decode()), np.uint16))
+        for i in others:
+            flat.append(np.array(self._plain(pieces[i].decode()), np.uint16))
             sizes.append(np.array([len(flat[-1])]))
-        first = len(self.sizes)
-        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
-        self.uses = np.append(self.uses, np.zeros(len(pieces), np.int64))
-        self.known.update(zip(words + lines + others, range(first, len(self.sizes))))
+        return np.concatenate(flat), np.concatenate(sizes), np.array(words + lines + others, np.int64)
+
+    def _found(self, pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces in another order, and of each where they start and how many there are."""
+        ends, data = _strings(pieces)
+        sizes = np.diff(ends)
+        firsts, lengths = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        missing = sizes > 0
+        short = np.flatnonzero(sizes <= _SHORT)
+        keys = _Keys(ends[short], sizes[short], data)
+        held = self.table.held(keys)
+        known, at = short[held], keys.slots[held]
+        lengths[known] = self.table.lengths[at]
+        missing[known] = False
+        flat = [self.table.ids[at][np.arange(_SHORT_IDS) < lengths[known][:, None]]]
+        order = [known]
+        for i in np.flatnonzero(sizes > _SHORT).tolist() if self.known else []:
+            if (ids := self.known.get(data[ends[i] : ends[i + 1]])) is not None:
+                flat.append(ids)
+                order.append([i])
+                lengths[i], missing[i] = len(ids), False
+        new = np.flatnonzero(missing)
+        if len(new):
+            spans = zip(ends[new].tolist(), ends[new + 1].tolist())
+            found, counts, which = self._encode([data[a:b] for a, b in spans])
+            new = new[which]
+            lengths[new] = counts
+            fits = (sizes[new] <= _SHORT) & (counts <= _SHORT_IDS)
+            self.table.put(_Keys(ends[new[fits]], sizes[new[fits]], data), found[np.repeat(fits, counts)], counts[fits])
+            upto = np.cumsum(counts)
+            for i in np.flatnonzero(~fits).tolist():
+                self.known[data[ends[new[i]] : ends[new[i] + 1]]] = found[upto[i] - counts[i] : upto[i]].copy()
+            flat.append(found)
+            order.append(new)
+        order = np.concatenate(order)
+        firsts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return np.concatenate(flat), firsts, lengths
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each has, the end id included."""
         if len(self.known) > _MEMO:
-            self._keep_most()
+            self.known.clear()
         texts = texts.cast(pa.large_binary()).fill_null(b"")
         _, ends, data = texts.buffers()
         ends = np.frombuffer(ends, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
         held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
         ends = ends - ends[0]
-        filled = ends[1:] > ends[:-1]
-        numbers = at = np.zeros(0, np.int64)
-        if len(held):
-            at = _piece_starts(held, ends[:-1][filled])
-            offsets = np.append(at, len(held))
-            cut = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
-            cut = cut.dictionary_encode()
-            distinct = _listed(cut.dictionary)
-            new = [piece for piece in distinct if piece not in self.known]
-            if new:
-                self._learn(new)
-            numbered = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-            which = cut.indices.to_numpy()
-            self.uses[numbered] += np.bincount(which)
-            numbers = numbered.take(which)
+        at = _piece_starts(held, ends[:-1][ends[1:] > ends[:-1]])
+        offsets = np.append(at, len(held))
+        cut = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+        cut = cut.dictionary_encode()
+        flat, firsts, sizes = self._found(cut.dictionary)
+        flat, firsts, sizes = np.append(flat, np.uint16(END)), np.append(firsts, len(flat)), np.append(sizes, 1)
         last = np.searchsorted(at, ends[1:]) + np.arange(len(texts))
-        every = np.zeros(len(numbers) + len(texts), np.int64)
+        every = np.full(len(at) + len(texts), len(sizes) - 1)
         piece = np.ones(len(every), bool)
         piece[last] = False
-        every[piece] = numbers
-        upto = np.cumsum(self.sizes.take(every))
-        return self._flat_of(every), np.diff(upto[last], prepend=0)
+        every[piece] = cut.indices.to_numpy()
+        sizes = sizes.take(every)
+        upto = np.cumsum(sizes)
+        place = np.repeat(firsts.take(every) - upto + sizes, sizes)
+        place += np.arange(len(place))
+        return flat.take(place), np.diff(upto[last], prepend=0)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """One array per text, the end id included."""
@@ -244,7 +289,7 @@ def read_tokens(spark: SparkSession, path: str, packed: bool = False) -> DataFra
 
     The ids are an array or, ``packed``, binary: four bytes each, little-endian. A block whose ids do not
     give its checksum raises. Starts are summed in two steps, over the parts and within a part, so that no
-    task sees all segments.
+    task sees all segments, and are sent to the blocks: a row for some million ids.
     """
     stored = spark.read.schema(SCHEMA).parquet(path)
     sizes = stored.select("part", "segment", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
@@ -289,7 +334,7 @@ def read_tokens(spark: SparkSession, path: str, packed: bool = False) -> DataFra
                     })
 
     kind = "binary" if packed else "array<int>"
-    return stored.join(starts, ["part", "segment"]).mapInArrow(read, f"doc_id long, start long, ids {kind}")
+    return stored.join(F.broadcast(starts), ["part", "segment"]).mapInArrow(read, f"doc_id long, start long, ids {kind}")
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -224,15 +224,25 @@ def test_an_encoder_forgets_pieces():
 
 @pytest.mark.parametrize("seed", range(3))
 def test_segment_codec_round_trip(seed, monkeypatch):
+    monkeypatch.setattr(segment_codec, "BLOCK", 128)
     monkeypatch.setattr(segment_codec, "LANES", 5)
     rng = np.random.default_rng(seed)
-    for n in (0, 1, 1023, 1024, 1025, 4096, 5 * 1024, 5 * 1024 + 1, 12 * 1024 + 7):
+    for n in (0, 1, 127, 128, 129, 640, 641, 1543):
         for ids in (rng.integers(0, 65536, n), np.zeros(n), np.full(n, 65535), rng.zipf(1.4, n) % 50257, np.arange(n) % 40):
             coded = segment_codec.encode(ids.astype(np.uint16))
             assert len(coded) == -(-n // segment_codec.BLOCK)
             assert np.array_equal(segment_codec.decode(coded, n), ids)
 
 
+def test_segment_codec_keeps_its_file_format():
+    """The bytes of files written so far; the counts pass their limit, and the last block is shorter."""
+    at = np.arange(700_000, dtype=np.int64)
+    ids = np.where(at % 3 > 0, at * at // 7 % 977, at * 40503 % 65521).astype(np.uint16)
+    coded = segment_codec.encode(ids)
+    assert (len(coded), sum(map(len, coded)), zlib.crc32(b"".join(coded))) == (684, 1149344, 3391260558)
+    assert np.array_equal(segment_codec.decode(coded, len(ids)), ids)
+
+
 def test_blocks_of_a_segment_learn_from_each_other():
     """A shared model says more of the next id than one that each block starts anew."""
     rng = np.random.default_rng(1)
@@ -259,6 +269,25 @@ def test_new_pieces_are_encoded_together():
     assert list(ids) == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
 
 
+def test_pieces_met_before_are_not_encoded_again(monkeypatch):
+    """Far more of them than an encoder lists by name; with few slots it encodes again, and the ids stay the library's."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    text = " ".join(map(str, range(1_000_000, 1_400_000)))
+    expected = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    encoder = token_output.Encoder(path)
+    assert list(encoder.ids([text])[0]) == expected
+    again = []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda pieces: (again.extend(pieces), encode(pieces))[1])
+    assert list(encoder.ids([text])[0]) == expected
+    assert len(again) < 100_000
+    monkeypatch.setattr(token_output, "_SLOT_BITS", 4)
+    few = token_output.Encoder(path)
+    for _ in range(2):
+        assert list(few.ids([text[:80_000]])[0]) == [*tokenizer.encode(text[:80_000], add_special_tokens=False).ids, 0]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_cuts_keep_the_ids(seed):
     """Texts of all that pieces are cut beside, and of what they must not be cut beside."""
