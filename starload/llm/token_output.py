@@ -31,7 +31,8 @@ SHARED = 2
 """``codec`` of segments in ``segment_codec``; those of ``token_codec``, whose blocks each have a model of their own, have none."""
 SEGMENT_IDS = segment_codec.BLOCK * segment_codec.LANES
 _BATCH_BYTES = 4 << 20
-_MEMO = 250_000
+_MEMO, _LONG = 100_000, 64
+"""Pieces that are listed by name, and the bytes of the longest that is: longer ones are encoded each time."""
 _SHORT, _SHORT_IDS = 16, 8
 """Bytes and ids of a piece that goes into the table."""
 _SLOT_BITS = 21
@@ -188,7 +189,7 @@ class Encoder:
             fits = (sizes[new] <= _SHORT) & (counts <= _SHORT_IDS)
             self.table.put(_Keys(ends[new[fits]], sizes[new[fits]], data), found[np.repeat(fits, counts)], counts[fits])
             upto = np.cumsum(counts)
-            for i in np.flatnonzero(~fits).tolist():
+            for i in np.flatnonzero(~fits & (sizes[new] <= _LONG)).tolist():
                 self.known[data[ends[new[i]] : ends[new[i] + 1]]] = found[upto[i] - counts[i] : upto[i]].copy()
             flat.append(found)
             order.append(new)

@@ -288,6 +288,18 @@ def test_pieces_met_before_are_not_encoded_again(monkeypatch):
         assert list(few.ids([text[:80_000]])[0]) == [*tokenizer.encode(text[:80_000], add_special_tokens=False).ids, 0]
 
 
+def test_long_pieces_are_not_kept():
+    """Texts without a blank are one piece each: an encoder that lives on between tasks must not gather them."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_output.Encoder(path), Tokenizer.from_file(path)
+    rng = random.Random(5)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(400)) for _ in range(300)]
+    texts += [f"Straßenbahnhaltestelle{i}größe" for i in range(50)]
+    for text, ids in zip(texts, encoder.ids(texts), strict=True):
+        assert list(ids) == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    assert sum(map(len, encoder.known)) < 100 * token_output._LONG
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_cuts_keep_the_ids(seed):
     """Texts of all that pieces are cut beside, and of what they must not be cut beside."""
